@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses statlake covers are batch analyses: none of them reads an
+unbounded source, keeps state between micro-batches or handles late data,
+so no streaming operator exists here.  Every operator is a DataFrame
+transformation and therefore also usable inside ``foreachBatch`` of a
+Structured Streaming query if a caller needs that.
+"""
