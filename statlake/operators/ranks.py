@@ -123,10 +123,11 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
         F.struct(F.lit(0).alias("side"), F.col("_lo").alias("pos")),
         F.struct(F.lit(1).alias("side"), F.col("_hi").alias("pos")))).alias("p"), "_frac")
     pos = pos.select(*keys, "q", "_frac", "p.side", "p.pos")
-    cond = [pos[k] == pre[k] for k in keys] + [
-        pre["before"] <= pos["pos"], pos["pos"] < pre["before"] + pre["cnt"]]
-    hit = pos.join(pre, cond).select(*[pos[k] for k in keys], "q", "_frac", "side",
-                                     pre[value].alias("_v"))
+    pre_r = pre.select(*[F.col(k).alias(f"_pk_{k}") for k in keys], F.col(value).alias("_v"),
+                       F.col("before").alias("_before"), F.col("cnt").alias("_cnt"))
+    cond = [pos[k] == pre_r[f"_pk_{k}"] for k in keys] + [
+        pre_r["_before"] <= pos["pos"], pos["pos"] < pre_r["_before"] + pre_r["_cnt"]]
+    hit = pos.join(pre_r, cond).select(*[pos[k] for k in keys], "q", "_frac", "side", "_v")
     return (hit.groupBy(*keys, "q").agg(
         F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_vhi"),
