@@ -93,3 +93,35 @@ def map_gram_rows(gram: DataFrame, fn: Callable[[pd.Series], list[dict]], schema
 def _schema_fields(spark, ddl: str):
     from pyspark.sql.types import _parse_datatype_string  # noqa: F401
     return spark.createDataFrame([], ddl).schema.fields
+
+
+def ols_gram(n: float, s: np.ndarray, q: np.ndarray, xi: Sequence[int], yi: int):
+    """OLS with intercept from raw sums, solved on centred, equilibrated
+    cross products (stable when columns differ in scale by many orders).
+
+    Returns (beta [const, x...], ssr, inv of the full XᵀX, k)."""
+    xi = list(xi)
+    k = len(xi) + 1
+    mean = s / n
+    if not xi:
+        ssr = float(q[yi, yi] - s[yi] ** 2 / n)
+        return np.array([mean[yi]]), max(ssr, 1e-300), np.array([[1.0 / n]]), 1
+    cxx = q[np.ix_(xi, xi)] - np.outer(s[xi], s[xi]) / n
+    cxy = q[xi, yi] - s[xi] * s[yi] / n
+    cyy = q[yi, yi] - s[yi] ** 2 / n
+    dg = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
+    scaled = cxx / np.outer(dg, dg)
+    try:
+        inv_s = np.linalg.inv(scaled)
+    except np.linalg.LinAlgError:
+        inv_s = np.linalg.pinv(scaled)
+    inv_c = inv_s / np.outer(dg, dg)
+    slopes = inv_c @ cxy
+    ssr = float(cyy - slopes @ cxy)
+    xbar = mean[xi]
+    beta = np.concatenate([[mean[yi] - slopes @ xbar], slopes])
+    inv = np.empty((k, k))
+    inv[1:, 1:] = inv_c
+    inv[1:, 0] = inv[0, 1:] = -inv_c @ xbar
+    inv[0, 0] = 1.0 / n + xbar @ inv_c @ xbar
+    return beta, max(ssr, 1e-300), inv, k

@@ -247,7 +247,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], keys=()) -> DataFrame:
     key in ``mapInPandas``.  Long ``(keys, term, coef, stderr)`` plus
     ``r2``, ``n``, ``sigma2`` on every row."""
     import numpy as np
-    from statlake.operators.moments import gram_agg, gram_from_row, design_blocks, ls_solve, map_gram_rows
+    from statlake.operators.moments import gram_agg, gram_from_row, map_gram_rows, ols_gram
     keys = _keys(keys)
     cols = list(xs) + [y]
     d = clean_numeric(df.select(*keys, *cols), cols)
@@ -256,9 +256,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], keys=()) -> DataFrame:
 
     def fit(row):
         n, s, q = gram_from_row(row, cols)
-        a, b, yy = design_blocks(n, s, q, range(p), p)
-        beta, ssr, inv = ls_solve(a, b, yy, n)
-        sst = yy - s[p] ** 2 / n
+        beta, ssr, inv, _ = ols_gram(n, s, q, range(p), p)
+        sst = q[p, p] - s[p] ** 2 / n
         dof = n - (p + 1)
         s2 = ssr / dof if dof > 0 else float("nan")
         se = np.sqrt(np.maximum(np.diag(inv) * s2, 0))

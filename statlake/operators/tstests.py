@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.functions import special
-from statlake.operators.moments import gram_agg, gram_from_row
+from statlake.operators.moments import gram_agg, gram_from_row, ols_gram
 
 # MacKinnon (1994/2010) response-surface constants for the
 # ADF test with a constant and one series (p-value and critical values).
@@ -114,16 +114,7 @@ def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> Dat
 
 
 def _ols_from_gram(n, s, q, xi, yi):
-    k = len(xi) + 1
-    a = np.empty((k, k))
-    a[0, 0] = n
-    a[0, 1:] = a[1:, 0] = s[xi]
-    a[1:, 1:] = q[np.ix_(xi, xi)]
-    b = np.concatenate([[s[yi]], q[xi, yi]])
-    inv = np.linalg.pinv(a)
-    beta = inv @ b
-    ssr = max(float(q[yi, yi] - 2 * beta @ b + beta @ a @ beta), 1e-300)
-    return beta, ssr, inv, k
+    return ols_gram(n, s, q, xi, yi)
 
 
 def _adf_from_grams(rows: dict, ml: int, cols: list[str]) -> dict:
@@ -161,7 +152,8 @@ def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12)
     lowest ADF p.  All 12 candidate series are tested in one ADF job;
     the choice is made on the small result table.
 
-    Output ``(keys, log_applied, d, D, adf_p_raw, adf_p_after)``."""
+    Output ``(keys, log_applied, d, seasonal_d, seasonal_periods, adf_p_raw, adf_p_after)``
+    (``seasonal_d`` is the seasonal order D; Spark names are case-insensitive)."""
     keys = _k(keys)
     w = _series_w(keys, order)
     base = df.select(*keys, order, value).filter(F.col(value).isNotNull())
@@ -202,13 +194,13 @@ def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12)
         if np.isfinite(pv) and (not np.isfinite(best_p2) or pv < best_p2):
             best_big, best_p2 = 1, pv
         row = {k: pdf.iloc[0][k] for k in keys}
-        row.update({"log_applied": tr == "log", "d": best_d, "D": best_big, "seasonal_periods": season,
+        row.update({"log_applied": tr == "log", "d": best_d, "seasonal_d": best_big, "seasonal_periods": season,
                     "adf_p_raw": float(p_raw), "adf_p_after": float(p.get((tr, best_d, best_big), np.nan))})
         return pd.DataFrame([row])
 
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in res.schema.fields if f.name in keys)
     schema = (kschema + ", " if kschema else "") + (
-        "log_applied boolean, d long, D long, seasonal_periods long, adf_p_raw double, adf_p_after double")
+        "log_applied boolean, d long, seasonal_d long, seasonal_periods long, adf_p_raw double, adf_p_after double")
     grp = res.groupBy(*keys) if keys else res.groupBy()
     return grp.applyInPandas(choose, schema)
 
