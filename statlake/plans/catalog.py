@@ -1,4 +1,4 @@
 """Imports every query module so its ``@register`` calls run."""
 
-from statlake.plans import q_fits, q_forecast, q_learn, q_misc, q_series, q_stats  # noqa: F401
+from statlake.plans import q_fits, q_forecast, q_learn, q_misc, q_select, q_series, q_stats  # noqa: F401
 from statlake.plans.registry import ORACLE, QUERIES  # noqa: F401
