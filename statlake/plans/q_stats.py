@@ -277,3 +277,36 @@ def correlation_matrix_lineitem(spark, sf):
     """Spearman correlation matrix per line status (long form)."""
     c = stats.correlation_matrix(table(spark, sf, "lineitem"), _LI_SMALL, "spearman", keys=["l_linestatus"])
     return c.select("l_linestatus", "col_i", "col_j", rnd("r").alias("r"))
+
+
+def _kendall_sql(tbl, key, x, y):
+    return f"""
+WITH c AS (SELECT {key} AS k, {x}::DOUBLE AS x, {y}::DOUBLE AS y, count(*) AS w FROM {tbl}
+           WHERE {finite(x, y)} GROUP BY 1, 2, 3),
+p AS (SELECT a.k, sum(CASE WHEN a.y < b.y THEN a.w*b.w ELSE 0 END) AS conc,
+             sum(CASE WHEN a.y > b.y THEN a.w*b.w ELSE 0 END) AS disc
+      FROM c a JOIN c b ON a.k = b.k AND a.x < b.x GROUP BY a.k),
+tx AS (SELECT k, sum(t*(t-1)/2) AS n1 FROM (SELECT k, x, sum(w) AS t FROM c GROUP BY 1, 2) GROUP BY k),
+ty AS (SELECT k, sum(t*(t-1)/2) AS n2 FROM (SELECT k, y, sum(w) AS t FROM c GROUP BY 1, 2) GROUP BY k),
+t AS (SELECT k, sum(w) AS n FROM c GROUP BY k)
+SELECT t.k AS {key}, n::BIGINT AS n, conc::BIGINT AS concordant, disc::BIGINT AS discordant,
+       round((conc - disc) / sqrt((n*(n-1)/2 - n1) * (n*(n-1)/2 - n2)), 6) AS tau_b
+FROM t JOIN p USING (k) JOIN tx USING (k) JOIN ty USING (k)"""
+
+
+def _kendall(spark, sf, tbl, key, x, y):
+    d = table(spark, sf, tbl).select(key, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
+    k = stats.kendall_tau_b(d, x, y, keys=[key])
+    return k.select(key, "n", "concordant", "discordant", rnd("tau_b").alias("tau_b"))
+
+
+@register("kendall_lineitem", _kendall_sql("lineitem", "l_linestatus", "l_quantity", "l_discount"))
+def kendall_lineitem(spark, sf):
+    """Kendall τ-b (heavy ties) of quantity vs discount per line status."""
+    return _kendall(spark, sf, "lineitem", "l_linestatus", "l_quantity", "l_discount")
+
+
+@register("kendall_events", _kendall_sql("events", "event_type", "user_id", "value"))
+def kendall_events(spark, sf):
+    """Kendall τ-b of user id vs value per event type (few ties)."""
+    return _kendall(spark, sf, "events", "event_type", "user_id", "value")
