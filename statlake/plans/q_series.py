@@ -42,8 +42,8 @@ w AS (SELECT series_key, ts, value,
         avg(value) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING) AS rm12,
         lag(value, 1) OVER o AS lag1, lag(value, 3) OVER o AS lag3
       FROM f WINDOW o AS (PARTITION BY series_key ORDER BY ts))
-SELECT series_key, strftime(ts, '%Y-%m-%d') AS ts, round(value, 2) AS value, round(d1, 2) AS d1, round(d2lag, 2) AS d2lag,
-       round(d12, 2) AS d12, round(dd2, 2) AS dd2, round(rm12, 5) AS rm12, round(lag1, 2) AS lag1, round(lag3, 2) AS lag3 FROM w""")
+SELECT series_key, strftime(ts, '%Y-%m-%d') AS ts, round(value, 5) AS value, round(d1, 5) AS d1, round(d2lag, 5) AS d2lag,
+       round(d12, 5) AS d12, round(dd2, 5) AS dd2, round(rm12, 5) AS rm12, round(lag1, 5) AS lag1, round(lag3, 5) AS lag3 FROM w""")
 def monthly_windows_orders(spark, sf):
     """W1–W6, W12 on monthly order totals per priority: month grid, linear
     gap fill, lag-1/lag-2/lag-12 differences, true 2nd difference, centred
@@ -56,7 +56,8 @@ def monthly_windows_orders(spark, sf):
     s = windows.diff_order(s, k, "ts", "value", 2, out="dd2")
     s = windows.rolling_mean_centered(s, k, "ts", "value", 12, "rm12")
     s = windows.lag_matrix(s, k, "ts", "value", 3)
-    return s.select("series_key", _ds(), *[rnd(c, 5 if c == "rm12" else 2).alias(c)
+    # gap-filled months are cents/k; 5 places avoid rounding ties for short gaps
+    return s.select("series_key", _ds(), *[rnd(c, 5).alias(c)
                                            for c in ["value", "d1", "d2lag", "d12", "dd2", "rm12", "lag1", "lag3"]])
 
 
