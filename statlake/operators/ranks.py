@@ -42,19 +42,30 @@ def _bucket_expr(cols: list[str], bounds: list[tuple]) -> Column:
     return build(0, len(bounds))
 
 
-def _choose_bounds(cells: DataFrame, cols: list[str], n_cells: int, buckets: int,
-                   seed: int) -> list[tuple]:
-    want = buckets * SAMPLE_PER_BUCKET
-    frac = min(1.0, want / max(n_cells, 1))
-    rows = cells.select(*cols).sample(False, frac, seed).limit(want * 2).collect()
-    pts = sorted(tuple(r) for r in rows)
-    if len(pts) < buckets:
+def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, seed: int = 17) -> list[tuple]:
+    """Range-bucket boundaries over ``cols`` (lexicographic) from ONE job.
+
+    The K rows with the smallest hash form a uniform, deterministic sample
+    (each task keeps at most K rows); when the sample is full its K-th hash
+    also estimates the number of distinct rows (KMV), which sets the bucket
+    count unless ``buckets`` is given.  Returns [] for a single bucket."""
+    k = MAX_BUCKETS * SAMPLE_PER_BUCKET
+    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    rows = cells.select(*cols, h.alias("_h")).orderBy("_h").limit(k).collect()
+    if len(rows) < k:
+        n_est = len(rows)
+    else:
+        frac = (rows[-1]["_h"] + 2 ** 63) / 2 ** 64
+        n_est = (k - 1) / max(frac, 1e-18)
+    b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
+    if b <= 1 or len(rows) < b:
         return []
+    pts = sorted(tuple(r[c] for c in cols) for r in rows)
     bounds = []
-    for i in range(1, buckets):
-        b = pts[(i * len(pts)) // buckets]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
+    for i in range(1, b):
+        bd = pts[(i * len(pts)) // b]
+        if not bounds or bd > bounds[-1]:
+            bounds.append(bd)
     return bounds
 
 
@@ -65,12 +76,7 @@ def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], we
     non-null in ``cells`` (collapse duplicates with a groupBy first)."""
     keys, order = list(keys), list(order)
     cols = keys + order
-    if buckets is None:
-        n = cells.count()
-        buckets = max(1, min(MAX_BUCKETS, math.ceil(n / ROWS_PER_BUCKET)))
-    else:
-        n = cells.count() if buckets > 1 else 0
-    bounds = _choose_bounds(cells, cols, n, buckets, seed) if buckets > 1 else []
+    bounds = [] if buckets == 1 else plan_bounds(cells, cols, buckets, seed)
     b = cells.withColumn("_bkt", _bucket_expr(cols, bounds) if bounds else F.lit(0))
     part = ["_bkt"] + keys
     w_local = (Window.partitionBy(*part).orderBy(*order)

@@ -138,17 +138,19 @@ def rank_pairs(df: DataFrame, x: str, y: str, keys=(), buckets=None) -> DataFram
 
 
 def weighted_corr(df: DataFrame, a: str, b: str, w: str, keys=()) -> DataFrame:
-    """Pearson r of weighted rows from centred moments (n = Σw)."""
+    """Pearson r of weighted rows in ONE aggregate from raw weighted sums.
+    Used on ranks, whose mean/σ ratio is about √3, so the raw-moment form
+    loses no meaningful precision."""
     keys = _keys(keys)
-    m = df.groupBy(*keys).agg(F.sum(w).alias("n"),
-                              F.sum(F.col(w) * F.col(a)).alias("_sa"), F.sum(F.col(w) * F.col(b)).alias("_sb"))
-    j = df.join(m, keys) if keys else df.crossJoin(F.broadcast(m))
-    da = F.col(a) - F.col("_sa") / F.col("n")
-    db = F.col(b) - F.col("_sb") / F.col("n")
-    c = j.groupBy(*keys).agg(F.first("n").alias("n"), F.sum(F.col(w) * da * db).alias("_sab"),
-                             F.sum(F.col(w) * da * da).alias("_saa"), F.sum(F.col(w) * db * db).alias("_sbb"))
-    return c.select(*keys, F.col("n").cast("long").alias("n"),
-                    div(F.col("_sab"), F.sqrt(F.col("_saa") * F.col("_sbb"))).alias("r"))
+    wc, ac, bc = F.col(w).cast("double"), F.col(a), F.col(b)
+    m = df.groupBy(*keys).agg(F.sum(wc).alias("n"), F.sum(wc * ac).alias("_sa"), F.sum(wc * bc).alias("_sb"),
+                              F.sum(wc * ac * ac).alias("_saa"), F.sum(wc * bc * bc).alias("_sbb"),
+                              F.sum(wc * ac * bc).alias("_sab"))
+    n = F.col("n")
+    cov = F.col("_sab") - F.col("_sa") * F.col("_sb") / n
+    va = F.col("_saa") - F.col("_sa") * F.col("_sa") / n
+    vb = F.col("_sbb") - F.col("_sb") * F.col("_sb") / n
+    return m.select(*keys, n.cast("long").alias("n"), div(cov, F.sqrt(va * vb)).alias("r"))
 
 
 def spearman(df: DataFrame, x: str, y: str, keys=(), buckets=None) -> DataFrame:
@@ -165,11 +167,18 @@ def auto_correlation(df: DataFrame, x: str, y: str, keys=(), alpha: float = 0.05
     Both coefficients are computed by keyed aggregates and the choice is a
     ``when`` per key, so one job covers any number of groups."""
     keys = _keys(keys)
-    nx = normality_k2(df, x, keys).select(*keys, F.col("p_value").alias("p_x"), F.col("is_normal").alias("nx"))
-    ny = normality_k2(df, y, keys).select(*keys, F.col("p_value").alias("p_y"), F.col("is_normal").alias("ny"))
-    pe = pearson(df, x, y, keys).select(*keys, F.col("n"), F.col("r").alias("r_p"), F.col("p_value").alias("pv_p"))
-    sp = spearman(df, x, y, keys).select(*keys, F.col("r").alias("r_s"), F.col("p_value").alias("pv_s"))
-    j = _join_all([pe, sp, nx, ny], keys)
+    d = _pair_clean(df, x, y, keys)
+    # one aggregate for both margins' moments and Pearson r (pairwise-clean rows)
+    m = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.skewness(x).alias("_sx"), (F.kurtosis(x) + 3.0).alias("_kx"),
+                             F.skewness(y).alias("_sy"), (F.kurtosis(y) + 3.0).alias("_ky"), F.corr(x, y).alias("r_p"))
+    small = F.col("n") < 8
+    for tag in ("x", "y"):
+        z = k2_columns(F.col("n"), F.col(f"_s{tag}"), F.col(f"_k{tag}"))
+        m = m.withColumn(f"p_{tag}", F.when(small, F.lit(1.0)).otherwise(F.exp(-z["k2"] / 2.0)))
+        m = m.withColumn(f"n{tag}", F.coalesce(F.col(f"p_{tag}") > alpha, F.lit(False)))
+    pe = with_r_pvalue(m.withColumn("r", F.col("r_p"))).withColumnRenamed("p_value", "pv_p").drop("r")
+    sp = spearman(d, x, y, keys).select(*keys, F.col("r").alias("r_s"), F.col("p_value").alias("pv_s"))
+    j = _join_all([pe, sp], keys)
     use_p = F.col("nx") & F.col("ny")
     j = (j.withColumn("method", F.when(use_p, F.lit("pearson")).otherwise(F.lit("spearman")))
           .withColumn("r", F.when(use_p, F.col("r_p")).otherwise(F.col("r_s")))
@@ -407,16 +416,13 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None =
     across x-blocks inside one y-bucket (local merge count) and across
     both (a buckets² histogram).  Every group is bounded by the bucket
     size, so a hot key or value never lands whole in one task."""
-    import math as _m
-    from statlake.operators.ranks import MAX_BUCKETS, ROWS_PER_BUCKET, _bucket_expr, _choose_bounds
+    from statlake.operators.ranks import _bucket_expr, plan_bounds
     keys = _keys(keys)
     d = _pair_clean(df, x, y, keys)
     cells = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
-    n_cells = cells.count()
-    b = buckets or max(1, min(MAX_BUCKETS, _m.ceil(n_cells / ROWS_PER_BUCKET)))
-    bx = _choose_bounds(cells, keys + [x, y], n_cells, b, 17) if b > 1 else []
+    bx = [] if buckets == 1 else plan_bounds(cells, keys + [x, y], buckets, 17)
     cells = cells.withColumn("_xb", _bucket_expr(keys + [x, y], bx) if bx else F.lit(0))
-    by = _choose_bounds(cells, keys + [y, "_xb"], n_cells, b, 29) if b > 1 else []
+    by = [] if buckets == 1 else plan_bounds(cells, keys + [y, "_xb"], buckets or (len(bx) + 1), 29)
     cells = cells.withColumn("_yb", _bucket_expr(keys + [y, "_xb"], by) if by else F.lit(0))
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields if f.name in keys)
     ks = (kschema + ", " if kschema else "")

@@ -251,13 +251,14 @@ def group_means_lineitem(spark, sf):
 @register("hamming_diversity_embeddings", """
 WITH b AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding) AS v FROM embeddings),
 p AS (SELECT label, pos, avg(CASE WHEN v > 0 THEN 1 ELSE 0 END) AS p FROM b GROUP BY 1, 2)
-SELECT label, round(avg(2*p*(1-p)), 6) AS diversity, count(*)::BIGINT AS loci FROM p GROUP BY 1""")
+SELECT label, round(avg(2*p*(1-p)), 10) AS diversity, count(*)::BIGINT AS loci FROM p GROUP BY 1""")
 def hamming_diversity_embeddings(spark, sf):
     """Mean locus diversity 2p(1−p) of the sign bits of each embedding, per label."""
     e = table(spark, sf, "embeddings").select(
         "label", F.transform("embedding", lambda v: F.when(v > 0, 1).otherwise(0)).alias("bits"))
     h = stats.hamming_diversity(e, "bits", keys=["label"])
-    return h.select("label", rnd("diversity").alias("diversity"), F.col("loci").cast("long").alias("loci"))
+    # mean of 2p(1-p) over 64 loci is an exact short decimal: round past it
+    return h.select("label", rnd("diversity", 10).alias("diversity"), F.col("loci").cast("long").alias("loci"))
 
 
 @register("ks_norm_events")
