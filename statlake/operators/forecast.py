@@ -407,3 +407,34 @@ def holt_winters(packed: DataFrame, keys, s: int = 12, h: int = 10,
             yield pd.DataFrame(out, columns=keys + ["alpha", "beta", "gamma", "sse", "h_step", "forecast"])
 
     return best.mapInPandas(fc_run, ks + "alpha double, beta double, gamma double, sse double, h_step long, forecast double")
+
+
+def sarimax_fit(df: DataFrame, keys, order_col: str, y: str, exog: Sequence[str], o: dict,
+                h: int = 0, future: DataFrame | None = None) -> DataFrame:
+    """regression with SARIMA errors by conditional least squares; the
+    exogenous columns are differenced like the target.  One row per series
+    with ``params`` (AR, seasonal AR, MA, seasonal MA, exog betas), σ², AIC."""
+    keys = _k(keys)
+    exog = list(exog)
+    packed = (df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("ts"), F.col(y).alias("y"),
+                                                                         *[F.col(c).alias(c) for c in exog]))).alias("_s")))
+    packed = packed.select(*keys, F.col("_s.y").alias("y"), *[F.col(f"_s.{c}").alias(c) for c in exog])
+
+    def run(it):
+        for pdf in it:
+            out = []
+            for _, r in pdf.iterrows():
+                rec = {k: r[k] for k in keys}
+                try:
+                    x = np.column_stack([np.asarray(r[c], float) for c in exog])
+                    fit = fit_css(np.asarray(r["y"], float), o, x)
+                    rec.update(ok=True, aic=fit["aic"], sigma2=fit["sigma2"], n_eff=fit["n_eff"],
+                               params=[float(v) for v in fit["theta"]], names=param_names(o, exog)[:-1], error=None)
+                except Exception as ex:  # noqa: BLE001
+                    rec.update(ok=False, aic=None, sigma2=None, n_eff=None, params=None, names=None, error=str(ex)[:200])
+                out.append(rec)
+            yield pd.DataFrame(out, columns=keys + ["ok", "aic", "sigma2", "n_eff", "params", "names", "error"])
+
+    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema.fields if f.name in keys)
+    return packed.mapInPandas(run, (kschema + ", " if kschema else "") + (
+        "ok boolean, aic double, sigma2 double, n_eff long, params array<double>, names array<string>, error string"))

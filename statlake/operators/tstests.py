@@ -362,3 +362,118 @@ def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
     schema = (kschema + ", " if kschema else "") + (
         "lag long, nobs long, ssr_f double, ssr_f_p double, ssr_chi2 double, ssr_chi2_p double, lr double, lr_p double")
     return g.mapInPandas(solve, schema)
+
+
+# ---- T7, T8: STL and Hodrick-Prescott (per series, bounded length) --------------------
+
+def _loess(y, w_rob, span, deg=1, xs=None):
+    """Local polynomial (tricube) smoother of y at integer positions xs
+    (default the sample positions); robustness weights multiply in."""
+    n = len(y)
+    xs = np.arange(n) if xs is None else xs
+    t = np.arange(n, dtype=float)
+    q = min(span, n)
+    out = np.empty(len(xs))
+    for i, x0 in enumerate(xs):
+        d = np.abs(t - x0)
+        h = np.sort(d)[q - 1] * (max(span, n) / n if span > n else 1.0)
+        h = max(h, 1e-12)
+        u = np.clip(d / h, 0, 1)
+        w = (1 - u ** 3) ** 3 * w_rob
+        if w.sum() <= 0:
+            out[i] = y[int(np.clip(round(x0), 0, n - 1))]
+            continue
+        if deg == 0:
+            out[i] = (w * y).sum() / w.sum()
+            continue
+        sw, swx = w.sum(), (w * t).sum()
+        mx = swx / sw
+        sxx = (w * (t - mx) ** 2).sum()
+        b = (w * (t - mx) * y).sum() / sxx if sxx > 0 else 0.0
+        out[i] = (w * y).sum() / sw + b * (x0 - mx)
+    return out
+
+
+def _next_odd(v):
+    v = int(math.ceil(v))
+    return v if v % 2 else v + 1
+
+
+def stl_numpy(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True):
+    """Seasonal-trend decomposition by LOESS (inner/outer loops with
+    bisquare robustness weights).  Returns (seasonal, trend, resid)."""
+    y = np.asarray(y, float)
+    n = len(y)
+    n_s, n_l = seasonal, _next_odd(period + 1 if period % 2 == 0 else period)
+    n_t = _next_odd(1.5 * period / (1 - 1.5 / n_s))
+    inner, outer = (2, 15) if robust else (5, 0)
+    trend = np.zeros(n)
+    rob = np.ones(n)
+    season = np.zeros(n)
+    for _ in range(outer + 1):
+        for _ in range(inner):
+            detr = y - trend
+            cyc = np.zeros(n + 2 * period)
+            for p in range(period):
+                idx = np.arange(p, n, period)
+                sub = detr[idx]
+                xs = np.arange(-1, len(idx) + 1)
+                sm = _loess(sub, rob[idx], n_s, 1, xs)
+                pos = np.arange(p, n + 2 * period, period)[:len(xs)]
+                cyc[pos] = sm
+            lp = np.convolve(cyc, np.ones(period) / period, mode="valid")
+            lp = np.convolve(lp, np.ones(period) / period, mode="valid")
+            lp = np.convolve(lp, np.ones(3) / 3, mode="valid")
+            lp = _loess(lp, np.ones(len(lp)), n_l, 1)
+            season = cyc[period:period + n] - lp[:n]
+            trend = _loess(y - season, rob, n_t, 1)
+        resid = y - season - trend
+        h = 6 * np.median(np.abs(resid))
+        u = np.clip(np.abs(resid) / max(h, 1e-12), 0, 1)
+        rob = (1 - u ** 2) ** 2
+    return season, trend, y - season - trend
+
+
+def hp_numpy(y: np.ndarray, lamb: float) -> np.ndarray:
+    """Hodrick–Prescott trend: solve (I + λ KᵀK) τ = y, K the second-
+    difference operator (dense solve on one bounded series)."""
+    y = np.asarray(y, float)
+    n = len(y)
+    if n < 3:
+        return y.copy()
+    k = np.zeros((n - 2, n))
+    for i in range(n - 2):
+        k[i, i:i + 3] = (1.0, -2.0, 1.0)
+    return np.linalg.solve(np.eye(n) + lamb * k.T @ k, y)
+
+
+def _per_series(df, keys, order, value, fn, out_cols, schema_tail):
+    keys = _k(keys)
+    d = df.select(*keys, order, value)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        res = fn(pdf[value].to_numpy(float))
+        out = pdf[keys + [order, value]].copy()
+        for c, v in zip(out_cols, res):
+            out[c] = v
+        return out
+
+    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema.fields if f.name in keys + [order, value])
+    grp = d.groupBy(*keys) if keys else d.groupBy()
+    return grp.applyInPandas(run, kschema + ", " + schema_tail)
+
+
+def stl(df: DataFrame, keys, order: str, value: str, period: int = 12, robust: bool = True) -> DataFrame:
+    """Robust STL per series (``applyInPandas``; one regular series per
+    group).  Adds ``seasonal``, ``trend``, ``resid`` (they sum to the value)."""
+    return _per_series(df, keys, order, value, lambda y: stl_numpy(y, period, robust=robust),
+                       ["seasonal", "trend", "resid"], "seasonal double, trend double, resid double")
+
+
+def hp_filter(df: DataFrame, keys, order: str, value: str, lamb: float = 129600.0) -> DataFrame:
+    """Hodrick–Prescott split per series: ``trend`` and ``cycle``."""
+    def fn(y):
+        t = hp_numpy(y, lamb)
+        return t, y - t
+    return _per_series(df, keys, order, value, fn, ["trend", "cycle"], "trend double, cycle double")

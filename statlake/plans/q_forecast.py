@@ -87,3 +87,31 @@ def holt_winters_orders(spark, sf):
     packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
     hw = fc.holt_winters(packed, KEY, s=12, h=10)
     return hw.select(*KEY, "alpha", "beta", "gamma", "h_step", rnd("forecast", 2).alias("forecast"))
+
+
+@register("stl_orders")
+def stl_orders(spark, sf):
+    """Robust STL (period 12) of monthly order totals per priority."""
+    s = tstests.stl(monthly_order_totals(spark, sf), KEY, "ts", "value", 12)
+    return s.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("ts"), rnd("value", 2).alias("value"),
+                    rnd("seasonal", 2).alias("seasonal"), rnd("trend", 2).alias("trend"), rnd("resid", 2).alias("resid"))
+
+
+@register("hp_filter_orders")
+def hp_filter_orders(spark, sf):
+    """Hodrick–Prescott trend/cycle (λ = 129600, monthly) per priority."""
+    s = tstests.hp_filter(monthly_order_totals(spark, sf), KEY, "ts", "value", 129600.0)
+    return s.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("ts"), rnd("trend", 2).alias("trend"),
+                    rnd("cycle", 2).alias("cycle"))
+
+
+@register("sarimax_lineitem")
+def sarimax_lineitem(spark, sf):
+    """SARIMAX(1,1,1)x(1,1,1,12) of log monthly shipped revenue with the
+    monthly mean discount as exogenous regressor, per return flag."""
+    from statlake.sources.tables import monthly_lineitem
+    m = monthly_lineitem(spark, sf).withColumn("revenue", F.log("revenue"))
+    o = dict(p=1, d=1, q=1, sp=1, sd=1, sq=1, s=12)
+    f = fc.sarimax_fit(m, KEY, "ts", "revenue", ["discount"], o)
+    return f.select(*KEY, "ok", rnd("aic", 4).alias("aic"), "n_eff", "names",
+                    F.transform("params", lambda v: F.round(v, 6)).alias("params"))

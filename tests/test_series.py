@@ -87,3 +87,25 @@ def test_granger_detects_lead(spark):
                                "k string, t long, y double, x double")
     g = tstests.granger(df, ["k"], "t", "y", "x", maxlag=2).toPandas()
     assert (g["ssr_f_p"] < 1e-6).all()
+
+
+def test_stl_and_hp_add_up(spark):
+    s = tstests.stl(_solar(spark), ["series_key"], "ts", "value", 12).toPandas()
+    assert np.allclose(s["seasonal"] + s["trend"] + s["resid"], s["value"])
+    h = tstests.hp_filter(_solar(spark), ["series_key"], "ts", "value", 129600.0).toPandas().sort_values("ts")
+    assert np.allclose(h["trend"] + h["cycle"], h["value"])
+    # normal equations: (I + λKᵀK)τ = y
+    y = h["value"].to_numpy()
+    assert np.allclose(tstests.hp_numpy(y, 129600.0), h["trend"].to_numpy())
+    assert np.abs(np.diff(h["trend"].to_numpy(), 2)).max() < np.abs(np.diff(y, 2)).max()
+
+
+def test_sarimax_recovers_exog_effect(spark):
+    rng = np.random.default_rng(5)
+    n = 120
+    x = rng.normal(size=n).cumsum()
+    y = 3.0 * x + rng.normal(scale=0.01, size=n).cumsum()
+    df = spark.createDataFrame([("k", i, float(a), float(b)) for i, (a, b) in enumerate(zip(y, x))],
+                               "k string, t long, y double, x double")
+    r = fc.sarimax_fit(df, ["k"], "t", "y", ["x"], dict(p=1, d=1, q=0, sp=0, sd=0, sq=0, s=12)).first()
+    assert r["ok"] and abs(r["params"][-1] - 3.0) < 0.05
