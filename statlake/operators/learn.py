@@ -283,19 +283,24 @@ def cross_val_score(df: DataFrame, fit_fn, label: str = "label_idx", fold_col: s
 
 
 def grid_search(df: DataFrame, features: str = "features", label: str = "label_idx", fold_col: str = "fold",
-                parallelism: int = 4, grid: dict | None = None):
+                parallelism: int = 4, grid: dict | None = None, folds: int = 5):
     """M4: decision-tree grid (impurity × depth × leaf size) scored by fold
-    accuracy through ``CrossValidator(foldCol=…)``; ``log_loss`` maps to
-    entropy and an unlimited depth to 30 (MLlib's maximum)."""
+    accuracy through ``CrossValidator(foldCol=…)``.  The reference grid is
+    criterion {gini, entropy, log_loss} × max_depth {None, 2, 3, 4, 5} ×
+    min_samples_split {2, 4, 6, 8} × min_samples_leaf {1, 2, 3}; log_loss is
+    entropy, an unlimited depth maps to 30 (MLlib's maximum) and
+    min_samples_split has no MLlib parameter, leaving 30 distinct settings."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    g = grid or {"impurity": ["gini", "entropy", "entropy"], "maxDepth": [3, 5, 7, 10, 30],
-                 "minInstancesPerNode": [1, 2, 4, 8]}
+    # The reference grid after mapping to MLlib parameters
+    g = grid or {"impurity": ["gini", "entropy", "entropy"], "maxDepth": [30, 2, 3, 4, 5],
+                 "minInstancesPerNode": [1, 2, 3]}
     dt = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=42)
     pg = ParamGridBuilder()
     pg = pg.addGrid(dt.impurity, sorted(set(g["impurity"]))).addGrid(dt.maxDepth, g["maxDepth"]).addGrid(
         dt.minInstancesPerNode, g["minInstancesPerNode"]).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col, parallelism=parallelism)
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col,
+                        numFolds=folds, parallelism=parallelism)
     return cv.fit(df)

@@ -282,3 +282,30 @@ def cross_val_documents(spark, sf):
     d.unpersist()
     return spark.createDataFrame([(i, float(round(s, 6))) for i, s in enumerate(scores)] + [(-1, float(round(mean, 6)))],
                                  "fold long, accuracy double")
+
+
+@register("grid_search_documents")
+def grid_search_documents(spark, sf):
+    """M4: tree hyper-parameter grid (30 distinct MLlib settings) scored by
+    5-fold stratified accuracy on the training split; best setting, its CV
+    accuracy and held-out accuracy."""
+    d = learn.stratified_split(_doc_features(spark, sf), "quality", "doc_id", 0.25)
+    train = learn.stratified_folds(d.filter(~F.col("is_test")), "quality", "doc_id", 5)
+    train, _ = learn.index_label(learn.assemble(train, DOC_F), "quality")
+    train = train.cache()
+    cv = learn.grid_search(train, parallelism=4)
+    best = cv.bestModel
+    test, _ = learn.index_label(learn.assemble(d.filter(F.col("is_test")), DOC_F), "quality")
+    acc = learn.accuracy(best.transform(test), "label_idx", "prediction").first()["accuracy"]
+    train.unpersist()
+    return spark.createDataFrame([(best.getImpurity(), int(best.getMaxDepth()), int(best.getMinInstancesPerNode()),
+                                   float(round(max(cv.avgMetrics), 6)), float(round(acc, 6)))],
+                                 "impurity string, max_depth long, min_leaf long, cv_accuracy double, test_accuracy double")
+
+
+@register("tree_rules_documents")
+def tree_rules_documents(spark, sf):
+    """M6: the if/else rules of the depth-5 tree with feature names."""
+    d, labels = learn.index_label(learn.assemble(_doc_features(spark, sf), DOC_F), "quality")
+    txt = learn.tree_rules(learn.decision_tree(d), DOC_F)
+    return spark.createDataFrame([(i, line) for i, line in enumerate(txt.splitlines())], "line long, rule string")
