@@ -52,10 +52,12 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, labels: Sequence | No
     """Counts over the full label × prediction grid (zeros included)."""
     c = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
     if labels is None:
-        labs = df.select(F.col(label).alias("label")).union(df.select(F.col(pred).alias("label"))).distinct()
+        # distinct classes as one array (bounded by the class count), exploded twice
+        arr = df.select(F.col(label).alias("_l")).union(df.select(F.col(pred).alias("_l"))).agg(
+            F.array_sort(F.collect_set("_l")).alias("_ls"))
     else:
-        labs = df.sparkSession.createDataFrame([(x,) for x in labels], ["label"])
-    grid = labs.crossJoin(labs.withColumnRenamed("label", "pred"))  # |labels|² cells, bounded by classes
+        arr = df.sparkSession.range(1).select(F.array(*[F.lit(x) for x in labels]).alias("_ls"))
+    grid = arr.select(F.explode("_ls").alias("label"), "_ls").select("label", F.explode("_ls").alias("pred"))
     return grid.join(c, ["label", "pred"], "left").fillna(0, ["n"])
 
 

@@ -51,11 +51,11 @@ def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, s
     count unless ``buckets`` is given.  Returns [] for a single bucket."""
     k = MAX_BUCKETS * SAMPLE_PER_BUCKET
     h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
-    rows = cells.select(*cols, h.alias("_h")).orderBy("_h").limit(k).collect()
+    rows = cells.select(*cols, h.alias("__kmv_hash")).orderBy("__kmv_hash").limit(k).collect()
     if len(rows) < k:
         n_est = len(rows)
     else:
-        frac = (rows[-1]["_h"] + 2 ** 63) / 2 ** 64
+        frac = (rows[-1]["__kmv_hash"] + 2 ** 63) / 2 ** 64
         n_est = (k - 1) / max(frac, 1e-18)
     b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
     if b <= 1 or len(rows) < b:

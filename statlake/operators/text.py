@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.operators.ranks import keyed_prefix
@@ -33,9 +33,10 @@ def tfidf(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -
     idf = dfreq.crossJoin(F.broadcast(n_docs)).withColumn(
         "idf", F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).drop("_n")
     w = tf.join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return (w.join(norms, doc_id).withColumn("tfidf", F.col("_w") / F.col("_norm"))
-             .select(doc_id, "term", "tf", "df", "tfidf"))
+    # L2 norm per document: a window over one document's distinct terms
+    # (bounded by the document, never by the corpus)
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc_id)))
+    return w.withColumn("tfidf", F.col("_w") / norm).select(doc_id, "term", "tf", "df", "tfidf")
 
 
 def zipf_table(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -> DataFrame:

@@ -63,7 +63,7 @@ def blobs(spark: SparkSession, centers: Sequence[Sequence[float]], n_per: int, s
     sds = list(sd) if isinstance(sd, (list, tuple)) else [sd] * len(centers)
     c = spark.createDataFrame([(i, *map(float, cc), float(s)) for i, (cc, s) in enumerate(zip(centers, sds))],
                               ["label"] + [f"c{j}" for j in range(len(centers[0]))] + ["sd"])
-    d = c.join(spark.range(n_per).withColumnRenamed("id", "k"), how="cross")  # centres × n_per, sized by the caller
+    d = c.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n_per - 1))))
     cols = [(F.col(f"c{j}") + F.col("sd") * F.randn(seed + j)).alias(f"x{j}") for j in range(len(centers[0]))]
     return d.select("label", *cols)
 
