@@ -41,6 +41,7 @@ def get_spark(app: str = "statlake", master: str | None = None,
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="statlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``statlake`` importable in Python workers (``mapInPandas``,
+    ``applyInPandas`` and Pandas UDFs import it there): zip the package and
+    hand it to ``SparkContext.addPyFile``, which distributes it to every
+    executor.  Done once per application."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="statlake-pkg-"), "statlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(pkg):
+            for nm in names:
+                if nm.endswith(".py"):
+                    full = os.path.join(base, nm)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
