@@ -103,10 +103,11 @@ def anfis_lineitem(spark, sf):
     """M19 + M20: two-input first-order neuro-fuzzy regression (2 Gaussian
     memberships per input, 4 rules) of scaled quantity on scaled discount and
     tax; loss per epoch and held-out RMSE."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    sc = minmax_scale(li, ["l_quantity", "l_discount", "l_tax"])
-    test = (F.xxhash64("l_orderkey", "l_linenumber") % 5) == 0
-    train, hold = sc.filter(~test), sc.filter(test)
+    from statlake.operators.learn import stratified_split
+    li = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+                                             "l_returnflag", "l_quantity", "l_discount", "l_tax")
+    sc = stratified_split(minmax_scale(li, ["l_quantity", "l_discount", "l_tax"]), "l_returnflag", "id", 0.2)
+    train, hold = sc.filter(~F.col("is_test")), sc.filter(F.col("is_test"))
     c, s, q, hist = fits.anfis_fit(train, "l_quantity", ["l_discount", "l_tax"], n_mf=2, epochs=8, lr=0.05)
     pred = hold.withColumn("yhat", fits.anfis_predict({k: F.col(k) for k in ["l_discount", "l_tax"]},
                                                       ["l_discount", "l_tax"], c, s, q))
