@@ -82,6 +82,9 @@ def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], we
     w_local = (Window.partitionBy(*part).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, -1))
     b = b.withColumn("_local", F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
+    if not bounds and not keys:
+        # one bucket, no key: nothing precedes it, the local sum is the answer
+        return b.withColumnRenamed("_local", out).drop("_bkt")
     totals = b.groupBy(*part).agg(F.sum(weight).alias("_tot"))
     w_off = (Window.partitionBy(*keys).orderBy("_bkt")
              .rowsBetween(Window.unboundedPreceding, -1)) if keys else \
@@ -133,7 +136,10 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
                        F.col("before").alias("_before"), F.col("cnt").alias("_cnt"))
     cond = [pos[k] == pre_r[f"_pk_{k}"] for k in keys] + [
         pre_r["_before"] <= pos["pos"], pos["pos"] < pre_r["_before"] + pre_r["_cnt"]]
-    hit = pos.join(pre_r, cond).select(*[pos[k] for k in keys], "q", "_frac", "side", "_v")
+    # without keys the target side has exactly 2·len(qs) rows: a size-proven
+    # broadcast turns the interval join into a nested-loop probe per cell
+    probe = pos if keys else F.broadcast(pos)
+    hit = probe.join(pre_r, cond).select(*[pos[k] for k in keys], "q", "_frac", "side", "_v")
     return (hit.groupBy(*keys, "q").agg(
         F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_vhi"),
