@@ -206,7 +206,6 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearm
         wide = df.groupBy(*keys).agg(*aggs)
     else:
         d = clean_numeric(df.select(*keys, *cols), cols)
-        d = d.withColumn("_rid", F.monotonically_increasing_id())
         ranked = d
         for c in cols:
             rk = average_ranks(d, c, keys, out=f"_rk_{c}").drop("cnt")
