@@ -48,34 +48,6 @@ def gram_from_row(row, cols: Sequence[str]):
     return float(row["n"]), s, q
 
 
-def design_blocks(n: float, s: np.ndarray, q: np.ndarray, x_idx: Sequence[int], y_idx: int,
-                  intercept: bool = True):
-    """XᵀX, Xᵀy, yᵀy for regressors ``x_idx`` (+ constant) and target ``y_idx``."""
-    xi = list(x_idx)
-    xtx = q[np.ix_(xi, xi)]
-    xty = q[xi, y_idx]
-    if intercept:
-        k = len(xi) + 1
-        a = np.empty((k, k))
-        a[0, 0] = n
-        a[0, 1:] = a[1:, 0] = s[xi]
-        a[1:, 1:] = xtx
-        b = np.concatenate([[s[y_idx]], xty])
-        return a, b, q[y_idx, y_idx]
-    return xtx, xty, q[y_idx, y_idx]
-
-
-def ls_solve(a: np.ndarray, b: np.ndarray, yy: float, n: float):
-    """Least squares from normal equations: (beta, ssr, cov_unscaled)."""
-    try:
-        inv = np.linalg.inv(a)
-    except np.linalg.LinAlgError:
-        inv = np.linalg.pinv(a)
-    beta = inv @ b
-    ssr = float(yy - 2 * beta @ b + beta @ a @ beta)
-    return beta, max(ssr, 0.0), inv
-
-
 def map_gram_rows(gram: DataFrame, fn: Callable[[pd.Series], list[dict]], schema: str) -> DataFrame:
     """Apply ``fn`` (one Gram row → result rows) inside ``mapInPandas``."""
     cols = [f.name for f in _schema_fields(gram.sparkSession, schema)]

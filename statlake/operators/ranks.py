@@ -156,7 +156,7 @@ def cumulative_share(df: DataFrame, weight: str, order: Sequence[str], keys: Seq
     pre = keyed_prefix(df, keys, order, weight, buckets=buckets)
     tot = df.groupBy(*keys).agg(F.sum(weight).alias("_total"))
     j = pre.join(tot, keys) if keys else pre.crossJoin(F.broadcast(tot))
-    hi = (F.col("before") + F.col(weight)) / F.col("_total")
-    return (j.withColumn("cum_lo", F.col("before") / F.col("_total"))
+    hi = F.when(F.col("_total") != 0, (F.col("before") + F.col(weight)) / F.col("_total"))
+    return (j.withColumn("cum_lo", F.when(F.col("_total") != 0, F.col("before") / F.col("_total")))
              .withColumn("cum_hi", F.when(F.col("before") + F.col(weight) >= F.col("_total"), F.lit(1.0)).otherwise(hi))
              .drop("before", "_total"))

@@ -41,7 +41,7 @@ def proportional(df: DataFrame, fitness: str, keys=(), shift_min: bool = False)
         den = F.col("_sum") - F.col("_N") * F.col("_min") + F.col("_N") * F.lit(1e-12)
     else:
         num, den = F.col(fitness), F.col("_sum")
-    return d.withColumn("p", num / den).drop("_N", "_sum", "_min", "_max")
+    return d.withColumn("p", F.when(den != 0, num / den)).drop("_N", "_sum", "_min", "_max")
 
 
 def rank_linear(df: DataFrame, fitness: str, id_col: str, keys=(), s: float = 1.5) -> DataFrame:

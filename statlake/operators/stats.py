@@ -19,6 +19,12 @@ from statlake.functions.safe import div, sqrt_pos
 from statlake.operators.ranks import average_ranks, exact_quantiles
 
 
+def safe_corr(a: str, b: str) -> Column:
+    """Pearson r as an aggregate that is null (not an ANSI divide-by-zero
+    error, as ``corr`` raises) when either column is constant."""
+    return div(F.covar_pop(a, b), F.sqrt(F.var_pop(a) * F.var_pop(b)))
+
+
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys or [])
 
@@ -116,7 +122,7 @@ def pearson(df: DataFrame, x: str, y: str, keys=()) -> DataFrame:
     """``(keys, n, r, p_value)``; p from Student t with n−2 df."""
     keys = _keys(keys)
     d = _pair_clean(df, x, y, keys)
-    out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
+    out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), safe_corr(x, y).alias("r"))
     return with_r_pvalue(out)
 
 
@@ -170,7 +176,7 @@ def auto_correlation(df: DataFrame, x: str, y: str, keys=(), alpha: float = 0.05
     d = _pair_clean(df, x, y, keys)
     # one aggregate for both margins' moments and Pearson r (pairwise-clean rows)
     m = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.skewness(x).alias("_sx"), (F.kurtosis(x) + 3.0).alias("_kx"),
-                             F.skewness(y).alias("_sy"), (F.kurtosis(y) + 3.0).alias("_ky"), F.corr(x, y).alias("r_p"))
+                             F.skewness(y).alias("_sy"), (F.kurtosis(y) + 3.0).alias("_ky"), safe_corr(x, y).alias("r_p"))
     small = F.col("n") < 8
     for tag in ("x", "y"):
         z = k2_columns(F.col("n"), F.col(f"_s{tag}"), F.col(f"_k{tag}"))
@@ -202,7 +208,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearm
     keys = _keys(keys)
     cols = list(cols)
     if method == "pearson":
-        aggs = [F.corr(a, b).alias(f"_r_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
+        aggs = [safe_corr(a, b).alias(f"_r_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
         wide = df.groupBy(*keys).agg(*aggs)
     else:
         d = clean_numeric(df.select(*keys, *cols), cols)
@@ -211,7 +217,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearm
             rk = average_ranks(d, c, keys, out=f"_rk_{c}").drop("cnt")
             ranked = ranked.join(rk, keys + [c])
         ranked = ranked.select(*keys, *[F.col(f"_rk_{c}").alias(c) for c in cols])
-        aggs = [F.corr(a, b).alias(f"_r_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
+        aggs = [safe_corr(a, b).alias(f"_r_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
         wide = ranked.groupBy(*keys).agg(*aggs)
     entries = []
     for i, a in enumerate(cols):
