@@ -42,13 +42,15 @@ def _bucket_expr(cols: list[str], bounds: list[tuple]) -> Column:
     return build(0, len(bounds))
 
 
-def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, seed: int = 17) -> list[tuple]:
+def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, seed: int = 17,
+                with_estimate: bool = False):
     """Range-bucket boundaries over ``cols`` (lexicographic) from ONE job.
 
     The K rows with the smallest hash form a uniform, deterministic sample
     (each task keeps at most K rows); when the sample is full its K-th hash
     also estimates the number of distinct rows (KMV), which sets the bucket
-    count unless ``buckets`` is given.  Returns [] for a single bucket."""
+    count unless ``buckets`` is given.  Returns [] for a single bucket
+    (and the estimate when ``with_estimate``)."""
     k = MAX_BUCKETS * SAMPLE_PER_BUCKET
     h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
     rows = cells.select(*cols, h.alias("__kmv_hash")).orderBy("__kmv_hash").limit(k).collect()
@@ -58,26 +60,47 @@ def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, s
         frac = (rows[-1]["__kmv_hash"] + 2 ** 63) / 2 ** 64
         n_est = (k - 1) / max(frac, 1e-18)
     b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
-    if b <= 1 or len(rows) < b:
-        return []
-    pts = sorted(tuple(r[c] for c in cols) for r in rows)
     bounds = []
-    for i in range(1, b):
-        bd = pts[(i * len(pts)) // b]
-        if not bounds or bd > bounds[-1]:
-            bounds.append(bd)
-    return bounds
+    if b > 1 and len(rows) >= b:
+        pts = sorted(tuple(r[c] for c in cols) for r in rows)
+        for i in range(1, b):
+            bd = pts[(i * len(pts)) // b]
+            if not bounds or bd > bounds[-1]:
+                bounds.append(bd)
+    return (bounds, n_est) if with_estimate else bounds
+
+
+def _range_buckets(cells: DataFrame, cols: list[str], n_buckets: int) -> DataFrame:
+    """Bucket ids for inputs too large for a literal boundary tree: Spark's
+    range partitioner (sampled bounds, binary search, any partition count)
+    assigns them, and a reliable checkpoint in the shared checkpoint folder
+    freezes them, so every later consumer and any recomputation after an
+    executor loss sees the same buckets."""
+    from statlake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(cells.sparkSession)
+    r = cells.repartitionByRange(n_buckets, *[F.col(c) for c in cols]).withColumn("_bkt", F.spark_partition_id())
+    return r.checkpoint(eager=True)
 
 
 def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
                  out: str = "before", buckets: int | None = None, seed: int = 17) -> DataFrame:
     """Add ``out`` = Σ ``weight`` over rows with the same ``keys`` and a
     strictly smaller ``order`` tuple.  ``(keys, order)`` must be unique and
-    non-null in ``cells`` (collapse duplicates with a groupBy first)."""
+    non-null in ``cells`` (collapse duplicates with a groupBy first).
+
+    ``buckets``: None = automatic (≤ MAX_BUCKETS boundary tree, range
+    partitioner + checkpoint beyond), n = that many tree buckets, -1 = force
+    the range-partitioner path."""
     keys, order = list(keys), list(order)
     cols = keys + order
-    bounds = [] if buckets == 1 else plan_bounds(cells, cols, buckets, seed)
-    b = cells.withColumn("_bkt", _bucket_expr(cols, bounds) if bounds else F.lit(0))
+    bounds, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, cols, buckets, seed, with_estimate=True)
+    want = buckets or math.ceil(n_est / ROWS_PER_BUCKET)
+    if buckets == -1 or want > MAX_BUCKETS:
+        # beyond a literal boundary tree: range partitioner + checkpoint
+        b = _range_buckets(cells, cols, max(2, want if want > 0 else 2))
+        bounds = [None]
+    else:
+        b = cells.withColumn("_bkt", _bucket_expr(cols, bounds) if bounds else F.lit(0))
     part = ["_bkt"] + keys
     w_local = (Window.partitionBy(*part).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, -1))

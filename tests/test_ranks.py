@@ -54,3 +54,13 @@ def test_partition_invariance(spark):
     a = average_ranks(df.repartition(1), "v", ["k"]).orderBy("k", "v").toPandas()
     b = average_ranks(df.repartition(8), "v", ["k"], buckets=3).orderBy("k", "v").toPandas()
     assert a.equals(b)
+
+
+def test_range_partitioner_path_matches(spark):
+    df, pdf = _frame(spark)
+    cells = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    got = keyed_prefix(cells, ["k"], ["v"], "w", buckets=-1).toPandas()
+    c = pdf.groupby(["k", "v"]).size().rename("w").reset_index().sort_values(["k", "v"])
+    c["exp"] = c.groupby("k")["w"].cumsum() - c["w"]
+    m = got.merge(c, on=["k", "v"])
+    assert len(m) == len(c) and (m["before"] == m["exp"]).all()
