@@ -392,43 +392,17 @@ def weighted_inversions(y, w) -> int:
     return total
 
 
-def _dominance_cross(hist) -> int:
-    """Σ over entries (i, j), (i', j') with i < i' and j > j' of h·h'
-    (bucket histogram of one key; at most buckets² entries)."""
-    nx, ny = int(hist["_xb"].max()) + 1, int(hist["_yb"].max()) + 1
-    mat = [[0] * ny for _ in range(nx)]
-    for a, b, v in zip(hist["_xb"], hist["_yb"], hist["h"]):
-        mat[int(a)][int(b)] += int(v)
-    total = 0
-    below = [0] * ny  # per column: weight in rows after the current one
-    for i in range(nx - 1, -1, -1):
-        acc = 0
-        for j in range(ny):
-            total += mat[i][j] * acc  # acc = Σ below[j'] for j' < j
-            acc += below[j]
-        for j in range(ny):
-            below[j] += mat[i][j]
-    return total
-
-
-def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None = None) -> DataFrame:
-    """``(keys, n, concordant, discordant, tau_b)``.
-
-    Pairs are never formed.  Rows collapse to weighted (x, y) cells; tie
-    counts come from the margins; discordant pairs are the weighted strict
-    inversions of y in (x, y) order, split three ways over range buckets
-    taken from a bounded sample: inside one x-block (local merge count),
-    across x-blocks inside one y-bucket (local merge count) and across
-    both (a buckets² histogram).  Every group is bounded by the bucket
-    size, so a hot key or value never lands whole in one task."""
-    from statlake.operators.ranks import _bucket_expr, plan_bounds
-    keys = _keys(keys)
-    d = _pair_clean(df, x, y, keys)
-    cells = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
-    bx = [] if buckets == 1 else plan_bounds(cells, keys + [x, y], buckets, 17)
-    cells = cells.withColumn("_xb", _bucket_expr(keys + [x, y], bx) if bx else F.lit(0))
-    by = [] if buckets == 1 else plan_bounds(cells, keys + [y, "_xb"], buckets or (len(bx) + 1), 29)
-    cells = cells.withColumn("_yb", _bucket_expr(keys + [y, "_xb"], by) if by else F.lit(0))
+def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, buckets: int | None,
+                depth: int = 0) -> DataFrame:
+    """``(keys, d)`` = Σ w_a·w_b over cell pairs with (x_a, y_a) < (x_b, y_b)
+    lexicographically and y_a > y_b, per key (cells unique per key).
+
+    Cells are cut into x-blocks (ranges of (x, y)) and y-buckets (ranges of
+    (y, x-block)); pairs inside a block or a bucket are counted locally by a
+    merge count, and pairs across both are exactly the same problem on the
+    (x-block, y-bucket) histogram, which is solved by recursion."""
+    from statlake.operators.ranks import MAX_BUCKETS, ROWS_PER_BUCKET, _bucket_expr, _range_buckets, plan_bounds
+    import math as _m
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields if f.name in keys)
     ks = (kschema + ", " if kschema else "")
 
@@ -436,25 +410,49 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None =
         def fn(pdf):
             import pandas as pd
             pdf = pdf.sort_values(sort_cols, kind="mergesort")
-            v = weighted_inversions(pdf[y].to_numpy(), pdf["w"].to_numpy())
-            out = {k: [pdf.iloc[0][k]] for k in keys}
+            v = weighted_inversions(pdf[y].to_numpy(), pdf[w].to_numpy())
+            out = {kk: [pdf.iloc[0][kk]] for kk in keys}
             out["d"] = [float(v)]
             return pd.DataFrame(out)
         return fn
 
-    d1 = cells.groupBy(*keys, "_xb").applyInPandas(local([x, y]), ks + "d double")
-    d2 = cells.groupBy(*keys, "_yb").applyInPandas(local(["_xb", y]), ks + "d double")
-    hist = cells.groupBy(*keys, "_xb", "_yb").agg(F.sum("w").alias("h"))
+    bx, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, keys + [x, y], buckets, 17 + depth, with_estimate=True)
+    want = buckets or _m.ceil(n_est / ROWS_PER_BUCKET)
+    if want <= 1:
+        grp = cells.groupBy(*keys) if keys else cells.groupBy()
+        return grp.applyInPandas(local([x, y]), ks + "d double")
+    if buckets == -1 or want > MAX_BUCKETS:
+        c = _range_buckets(cells, keys + [x, y], max(2, want)).withColumnRenamed("_bkt", "_xb")
+        c = _range_buckets(c, keys + [y, "_xb"], max(2, want)).withColumnRenamed("_bkt", "_yb")
+    else:
+        c = cells.withColumn("_xb", _bucket_expr(keys + [x, y], bx) if bx else F.lit(0))
+        by = plan_bounds(c, keys + [y, "_xb"], len(bx) + 1, 29 + depth) if bx else []
+        c = c.withColumn("_yb", _bucket_expr(keys + [y, "_xb"], by) if by else F.lit(0))
+    d1 = c.groupBy(*keys, "_xb").applyInPandas(local([x, y]), ks + "d double")
+    d2 = c.groupBy(*keys, "_yb").applyInPandas(local(["_xb", y]), ks + "d double")
+    hist = c.groupBy(*keys, "_xb", "_yb").agg(F.sum(w).alias("h"))
+    # pairs in different x-blocks and different y-buckets: same problem on the histogram
+    d3 = _discordant(hist.withColumnRenamed("_xb", "hx").withColumnRenamed("_yb", "hy"), keys, "hx", "hy", "h",
+                     None if buckets in (None, -1) else 1, depth + 1)
+    return d1.unionByName(d2).unionByName(d3).groupBy(*keys).agg(F.sum("d").alias("d"))
 
-    def cross(pdf):
-        import pandas as pd
-        out = {k: [pdf.iloc[0][k]] for k in keys}
-        out["d"] = [float(_dominance_cross(pdf))]
-        return pd.DataFrame(out)
 
-    hist_g = hist.groupBy(*keys) if keys else hist.groupBy()
-    d3 = hist_g.applyInPandas(cross, ks + "d double")
-    disc = d1.unionByName(d2).unionByName(d3).groupBy(*keys).agg(F.sum("d").alias("discordant"))
+def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None = None) -> DataFrame:
+    """``(keys, n, concordant, discordant, tau_b)``.
+
+    Pairs are never formed.  Rows collapse to weighted (x, y) cells; tie
+    counts come from the margins; discordant pairs are the weighted strict
+    inversions of y in (x, y) order, split three ways over range buckets
+    taken from a bounded sample: inside one x-block (local merge count),
+    across x-blocks inside one y-bucket (local merge count) and across
+    both (the same problem on the block × bucket histogram, recursively).
+    Every group is bounded by the bucket size, so a hot key or value never
+    lands whole in one task.  ``buckets=-1`` forces the range-partitioner
+    path used for very large inputs."""
+    keys = _keys(keys)
+    d = _pair_clean(df, x, y, keys)
+    cells = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
+    disc = _discordant(cells, keys, x, y, "w", buckets).withColumnRenamed("d", "discordant")
     tx = cells.groupBy(*keys, x).agg(F.sum("w").alias("t")).groupBy(*keys).agg(
         F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
     ty = cells.groupBy(*keys, y).agg(F.sum("w").alias("t")).groupBy(*keys).agg(

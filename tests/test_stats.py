@@ -47,7 +47,9 @@ def test_kendall_matches_bruteforce(spark):
     k = rng.choice(["p", "q"], n)
     pdf = pd.DataFrame({"k": k, "x": x, "y": y})
     got = stats.kendall_tau_b(spark.createDataFrame(pdf), "x", "y", keys=["k"], buckets=4).toPandas().set_index("k")
+    big = stats.kendall_tau_b(spark.createDataFrame(pdf), "x", "y", keys=["k"], buckets=-1).toPandas().set_index("k")
     for key, g in pdf.groupby("k"):
+        assert big.loc[key, "discordant"] == got.loc[key, "discordant"]
         a, b = g["x"].to_numpy(), g["y"].to_numpy()
         sx = np.sign(a[:, None] - a[None, :])
         sy = np.sign(b[:, None] - b[None, :])
