@@ -91,7 +91,20 @@ def ljung_box_orders(spark, sf):
                     rnd("lb_stat").alias("lb_stat"))
 
 
-@register("pacf_orders")
+@register("pacf_orders", ACF_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+l AS (SELECT series_key, list(acf ORDER BY lag) AS r, max(lag) AS kmax FROM a GROUP BY series_key),
+dl(series_key, k, phi) AS (
+  SELECT series_key, 1, [r[2]] FROM l
+  UNION ALL
+  SELECT dl.series_key, dl.k + 1,
+         list_append(list_transform(range(1, dl.k + 1),
+                       lambda j: dl.phi[j] - ((l.r[dl.k + 2] - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.phi[i] * l.r[dl.k + 2 - i])))
+                                              / (1.0 - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.phi[i] * l.r[i + 1])))) * dl.phi[dl.k + 1 - j]),
+                     (l.r[dl.k + 2] - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.phi[i] * l.r[dl.k + 2 - i])))
+                       / (1.0 - list_sum(list_transform(range(1, dl.k + 1), lambda i: dl.phi[i] * l.r[i + 1]))))
+  FROM dl JOIN l USING (series_key) WHERE dl.k < l.kmax)
+SELECT series_key, k::BIGINT AS lag, round(phi[k], 6) AS pacf FROM dl
+UNION ALL SELECT series_key, 0::BIGINT, 1.0 FROM l""")
 def pacf_orders(spark, sf):
     """T4: Yule–Walker PACF (Durbin–Levinson) per priority."""
     a = tstests.acf(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
