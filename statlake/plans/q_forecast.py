@@ -80,12 +80,43 @@ def arima111_orders(spark, sf):
                        F.transform("params", lambda v: F.round(v, 6)).alias("params"))
 
 
-@register("holt_winters_orders")
+HW_GRID = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
+HW_SQL = f"""
+WITH RECURSIVE s AS (SELECT o_orderpriority AS series_key, date_trunc('month', o_orderdate)::DATE AS ts,
+                            sum(o_totalprice) AS value FROM orders GROUP BY 1, 2),
+y AS (SELECT series_key, value, row_number() OVER (PARTITION BY series_key ORDER BY ts) - 1 AS t,
+             count(*) OVER (PARTITION BY series_key) AS n FROM s),
+init AS (SELECT series_key, any_value(n) AS n, avg(value) FILTER (WHERE t < 12) AS l0,
+                (avg(value) FILTER (WHERE t >= 12 AND t < 24) - avg(value) FILTER (WHERE t < 12)) / 12 AS b0,
+                list(value ORDER BY t) FILTER (WHERE t < 12) AS first12
+         FROM y GROUP BY series_key HAVING count(*) >= 24 AND min(value) > 0),
+g AS (SELECT unnest({list(HW_GRID)})::DOUBLE AS v),
+p AS (SELECT a.v AS alpha, b.v AS beta, c.v AS gamma FROM g a, g b, g c),
+hw(series_key, alpha, beta, gamma, t, lvl, trd, sea, sse) AS (
+  SELECT i.series_key, alpha, beta, gamma, 0::BIGINT, l0, b0, list_transform(first12, lambda x: x / l0), 0.0::DOUBLE FROM init i, p
+  UNION ALL
+  SELECT hw.series_key, alpha, beta, gamma, hw.t + 1,
+         alpha * y.value / hw.sea[hw.t % 12 + 1] + (1 - alpha) * (hw.lvl + hw.trd),
+         beta * ((alpha * y.value / hw.sea[hw.t % 12 + 1] + (1 - alpha) * (hw.lvl + hw.trd)) - hw.lvl) + (1 - beta) * hw.trd,
+         list_transform(range(1, 13), lambda i: CASE WHEN i = hw.t % 12 + 1 THEN
+              gamma * y.value / (alpha * y.value / hw.sea[hw.t % 12 + 1] + (1 - alpha) * (hw.lvl + hw.trd))
+              + (1 - gamma) * hw.sea[hw.t % 12 + 1] ELSE hw.sea[i] END),
+         hw.sse + (y.value - (hw.lvl + hw.trd) * hw.sea[hw.t % 12 + 1]) * (y.value - (hw.lvl + hw.trd) * hw.sea[hw.t % 12 + 1])
+  FROM hw JOIN y ON y.series_key = hw.series_key AND y.t = hw.t),
+fin AS (SELECT hw.* FROM hw JOIN init USING (series_key) WHERE hw.t = init.n),
+best AS (SELECT series_key, min({{'sse': sse, 'a': alpha, 'b': beta, 'g': gamma}}) AS k FROM fin GROUP BY 1),
+bs AS (SELECT fin.*, init.n FROM fin JOIN best ON fin.series_key = best.series_key AND fin.alpha = best.k.a
+         AND fin.beta = best.k.b AND fin.gamma = best.k.g JOIN init ON init.series_key = fin.series_key)
+SELECT series_key, alpha, beta, gamma, h::BIGINT AS h_step, round((lvl + h * trd) * sea[(n + h - 1) % 12 + 1], 2) AS forecast
+FROM bs, range(1, 11) r(h)"""
+
+
+@register("holt_winters_orders", HW_SQL)
 def holt_winters_orders(spark, sf):
     """additive-trend, multiplicative-season smoothing (period 12) with
     weights chosen by SSE over a grid; 10-month forecast."""
     packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
-    hw = fc.holt_winters(packed, KEY, s=12, h=10)
+    hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID)
     return hw.select(*KEY, "alpha", "beta", "gamma", "h_step", rnd("forecast", 2).alias("forecast"))
 
 
