@@ -49,8 +49,9 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, max_ite
     wins.  Returns (centres as list, cost)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
+    from statlake.operators.learn import training_frame
     data = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df.select(*cols)).select("_features")
-    data = data.cache()
+    data = training_frame(data).cache()
     best = None
     try:
         for i in range(n_init):
@@ -126,8 +127,9 @@ def som_fit(df: DataFrame, cols: Sequence[str], m: int, n: int, epochs: int = 20
     (literal weight array), aggregate Σx and counts per unit in Spark, then
     smooth the m·n unit sums with a Gaussian neighbourhood whose width decays
     σ0·e^{−t/T}.  Returns (weights [m·n, p], quantisation error per epoch)."""
+    from statlake.operators.learn import training_frame
     cols = list(cols)
-    data = df.select(*cols).cache()
+    data = training_frame(df.select(*cols)).cache()
     try:
         rng = np.random.default_rng(seed)
         sample = data.limit(max(m * n * 4, 64)).collect()

@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 Model = Callable[[Sequence[Column], dict], Column]
 
 
+def _train(df: DataFrame) -> DataFrame:
+    from statlake.operators.learn import training_frame
+    return training_frame(df)
+
+
 def _lits(theta) -> list[Column]:
     return [F.lit(float(t)) for t in theta]
 
@@ -113,7 +118,7 @@ def levenberg_marquardt(df: DataFrame, model: Model, y: str, cols: Sequence[str]
     grows ×3 on a rejected one; stops when |Δθ| < ``step_tol`` or
     |Jᵀr| < ``grad_tol``.  Steps are projected onto [lower, upper].
     Returns dict(theta, stderr, sse, n, rmse, r2, iterations, converged)."""
-    data = df.select(y, *cols).cache()
+    data = _train(df.select(y, *cols)).cache()
     try:
         theta = np.array(theta0, dtype=float)
         lo = np.array(lower if lower is not None else [-np.inf] * len(theta), dtype=float)
@@ -193,7 +198,7 @@ def gradient_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta
     run stops when its gradient norm < ``tol``.
     Returns {name: (theta, loss history)}."""
     methods = methods or {"adam": ("adam", 0.01)}
-    data = df.select(y, *cols).cache()
+    data = _train(df.select(y, *cols)).cache()
     try:
         st = {k: [np.array(theta0, float), np.zeros(len(theta0)), np.zeros(len(theta0)), np.zeros(len(theta0)), [], False]
               for k in methods}
@@ -227,7 +232,7 @@ def cg_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta0: Seq
     ('dy') β and Powell restarts.  The Armijo search scores every trial step
     α·τ^j of every rule in ONE aggregate; new gradients take a second.
     Returns {rule: (theta, loss history)}."""
-    data = df.select(y, *cols).cache()
+    data = _train(df.select(y, *cols)).cache()
     try:
         n = data.count()
         g0, l0 = _grad_many(data, model, [np.array(theta0, float)], y, cols)[0]
@@ -338,7 +343,7 @@ def anfis_fit(df: DataFrame, y: str, cols: Sequence[str], n_mf: int = 2, epochs:
     Returns (centers, sigmas, consequents, loss history)."""
     import itertools
     cols = list(cols)
-    data = df.select(y, *cols).cache()
+    data = _train(df.select(y, *cols)).cache()
     try:
         n_in = len(cols)
         centers = np.tile(np.linspace(0, 1, n_mf), (n_in, 1))

@@ -19,6 +19,15 @@ from pyspark.sql import functions as F
 from statlake.operators.ranks import keyed_prefix
 
 
+def training_frame(df: DataFrame) -> DataFrame:
+    """Input for iterative / MLlib fits: at most one partition per core
+    (a narrow ``coalesce``, no shuffle).  Each fit step schedules one task
+    per partition, so hundreds of near-empty shuffle partitions would cost
+    more than the work itself; at scale the cores are the bound anyway."""
+    target = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+
+
 def _k(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys or [])
 
@@ -233,7 +242,7 @@ def decision_tree(train: DataFrame, features: str = "features", label: str = "la
                   min_leaf: int = 20, impurity: str = "gini", seed: int = 42):
     from pyspark.ml.classification import DecisionTreeClassifier
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth,
-                                  minInstancesPerNode=min_leaf, impurity=impurity, seed=seed).fit(train)
+                                  minInstancesPerNode=min_leaf, impurity=impurity, seed=seed).fit(training_frame(train))
 
 
 def random_forest(train: DataFrame, features: str = "features", label: str = "label_idx", n_trees: int = 400,
@@ -242,7 +251,7 @@ def random_forest(train: DataFrame, features: str = "features", label: str = "la
     rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_trees, seed=seed, maxDepth=max_depth)
     if weight:
         rf = rf.setWeightCol(weight)
-    return rf.fit(train)
+    return rf.fit(training_frame(train))
 
 
 def logistic(train: DataFrame, n_rows: int, c: float = 1.0, penalty: str = "l2", features: str = "features",
@@ -252,7 +261,7 @@ def logistic(train: DataFrame, n_rows: int, c: float = 1.0, penalty: str = "l2",
     from pyspark.ml.classification import LogisticRegression
     en = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}[penalty]
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (c * n_rows), elasticNetParam=en,
-                              standardization=False, maxIter=max_iter).fit(train)
+                              standardization=False, maxIter=max_iter).fit(training_frame(train))
 
 
 def feature_importances(model, names: Sequence[str], spark) -> DataFrame:
@@ -274,6 +283,7 @@ def cross_val_score(df: DataFrame, fit_fn, label: str = "label_idx", fold_col: s
                     metric: str = "accuracy"):
     """M3: fit on k−1 folds, score the held-out fold; mean and σ (ddof 0)."""
     scores = []
+    df = training_frame(df)
     for f in range(k):
         model = fit_fn(df.filter(F.col(fold_col) != f))
         pred = model.transform(df.filter(F.col(fold_col) == f))
@@ -305,4 +315,4 @@ def grid_search(df: DataFrame, features: str = "features", label: str = "label_i
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col,
                         numFolds=folds, parallelism=parallelism)
-    return cv.fit(df)
+    return cv.fit(training_frame(df))

@@ -167,7 +167,9 @@ def sequential_select(df: DataFrame, cols: Sequence[str], label: str, k: int, fo
                       direction: str = "forward") -> list[str]:
     """Greedy forward or backward selection to ``k`` features by
     cross-validated accuracy; one data pass per step."""
+    from statlake.operators.learn import training_frame
     cols = list(cols)
+    df = training_frame(df)
     stats, classes, folds = _fold_models(df, cols, label, fold_col, None)
     chosen = [] if direction == "forward" else list(range(len(cols)))
     while (len(chosen) < k) if direction == "forward" else (len(chosen) > k):
@@ -185,8 +187,9 @@ def rfe(df: DataFrame, cols: Sequence[str], label_idx: str, k: int, step: int =
     """Recursive elimination — refit an L2 logistic regression and drop
     the feature with the smallest Σ coef² each round."""
     from statlake.operators.learn import assemble, logistic
+    from statlake.operators.learn import training_frame
     keep = list(cols)
-    data = df.select(*cols, label_idx).cache()
+    data = training_frame(df.select(*cols, label_idx)).cache()
     n = data.count()
     try:
         while len(keep) > k:
