@@ -46,6 +46,10 @@ def exp_curve(params, x):
     return a * F.exp(b * x["t"]) + c
 
 
+saturating.np = lambda p, x: p[0] * (1.0 - np.exp(-p[1] * x["g"])) + p[2]
+exp_curve.np = lambda p, x: p[0] * np.exp(p[1] * x["t"]) + p[2]
+
+
 def linear(params, x):
     out = params[0]
     for i, c in enumerate(sorted(k for k in x if k.startswith("x"))):
@@ -59,6 +63,8 @@ def _normal_eq_many(df: DataFrame, model: Model, thetas: Sequence[np.ndarray], y
     (forward-difference Jacobian).  Parameter values travel in a one-row
     broadcast frame, not as literals, so the generated code is identical
     from one iteration to the next and Spark reuses the compiled class."""
+    if hasattr(model, "np"):
+        return _normal_eq_many_np(df, model.np, thetas, y, cols, h, sse_only)
     x = _xmap(cols)
     p = len(thetas[0])
     vals, names = [], []
@@ -107,6 +113,68 @@ def _normal_eq_many(df: DataFrame, model: Model, thetas: Sequence[np.ndarray], y
     return out
 
 
+def _normal_eq_many_np(df: DataFrame, fn, thetas, y: str, cols: Sequence[str], h: float, sse_only: bool):
+    """Same sums as the column path, for models that also carry a numpy form
+    (``model.np``): one ``mapInPandas`` pass emits one partial-sum row per
+    partition (bounded by the partition count), summed on the driver.  The
+    plan is tiny, so a step costs one short job instead of planning a large
+    expression tree."""
+    import pandas as pd
+    thetas = [np.asarray(t, dtype=float) for t in thetas]
+    p = len(thetas[0])
+    per = 1 if sse_only else 1 + p + p * (p + 1) // 2
+
+    def run(it):
+        acc = np.zeros(len(thetas) * per)
+        n = 0
+        for pdf in it:
+            xs = {c: pdf[c].to_numpy(dtype=float) for c in cols}
+            yy = pdf[y].to_numpy(dtype=float)
+            n += len(yy)
+            off = 0
+            for theta in thetas:
+                base = fn(theta, xs)
+                r = yy - base
+                acc[off] += r @ r
+                off += 1
+                if sse_only:
+                    continue
+                jac = []
+                for i in range(p):
+                    tp = theta.copy()
+                    step = h * max(1.0, abs(tp[i]))
+                    tp[i] += step
+                    jac.append((fn(tp, xs) - base) / step)
+                for i in range(p):
+                    acc[off] += jac[i] @ r
+                    off += 1
+                for i in range(p):
+                    for k in range(i, p):
+                        acc[off] += jac[i] @ jac[k]
+                        off += 1
+        yield pd.DataFrame({"n": [n], "v": [acc.tolist()]})
+
+    rows = df.mapInPandas(run, "n long, v array<double>").collect()
+    n = int(sum(r["n"] for r in rows))
+    tot = np.sum([np.asarray(r["v"], dtype=float) for r in rows], axis=0) if rows else np.zeros(len(thetas) * per)
+    out = []
+    for t in range(len(thetas)):
+        blk = tot[t * per:(t + 1) * per]
+        rr = float(blk[0]) if np.isfinite(blk[0]) else math.inf
+        if sse_only:
+            out.append((None, None, rr, n))
+            continue
+        jtr = blk[1:1 + p].copy()
+        jtj = np.zeros((p, p))
+        off = 1 + p
+        for i in range(p):
+            for k in range(i, p):
+                jtj[i, k] = jtj[k, i] = blk[off]
+                off += 1
+        out.append((jtj, jtr, rr, n))
+    return out
+
+
 def _normal_eq(df, model, theta, y, cols, h: float = 1e-6):
     return _normal_eq_many(df, model, [theta], y, cols, h)[0]
 
