@@ -110,3 +110,20 @@ def selection_shares(draws: DataFrame, probs: DataFrame, id_col: str, n_draws: i
     """Observed share of draws per row next to its probability."""
     c = draws.groupBy(F.col("id").alias(id_col)).agg(F.count(F.lit(1)).alias("hits"))
     return probs.join(c, id_col, "left").fillna(0, ["hits"]).withColumn("share", F.col("hits") / F.lit(float(n_draws)))
+
+
+def tournament_draws(df: DataFrame, fitness: str, id_col: str, k: int, n_draws: int, seed: int = 7) -> DataFrame:
+    """R3 draws: ``n_draws`` tournaments of size k with replacement; each
+    pick is a hash of (draw, slot, seed) mapped onto a dense row position
+    (bucketed prefix counts), joined on that unique position — no cross
+    join — and the fittest pick wins (ties by id).  ``(draw, id)``."""
+    spark = df.sparkSession
+    base = df.select(id_col, fitness).withColumn("_one", F.lit(1))
+    pos = keyed_prefix(base, [], [id_col], "_one", out="_pos").drop("_one")
+    n = df.count()
+    picks = (spark.range(n_draws).withColumnRenamed("id", "draw")
+                  .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+                  .withColumn("_pos", F.pmod(F.xxhash64("draw", "_slot", F.lit(seed)), F.lit(n))))
+    won = picks.join(pos, "_pos").groupBy("draw").agg(
+        F.max_by(F.col(id_col), F.struct(F.col(fitness), F.col(id_col))).alias("id"))
+    return won

@@ -153,3 +153,17 @@ def weighted_sample_part(spark, sf):
     probs = sampling.proportional(p, "p_retailprice")
     rep = sampling.selection_shares(draws, probs, "p_partkey", n)
     return rep.select("p_partkey", rnd("p", 9).alias("p"), F.col("hits").cast("long").alias("hits"), rnd("share", 9).alias("share"))
+
+
+@register("tournament_shares_part")
+def tournament_shares_part(spark, sf):
+    """R3 + R6: 20 draws per part of size-3 tournaments with replacement
+    (fitness = retail price, whole table); observed win share next to the
+    closed-form probability (r³ − (r−1)³)/N³."""
+    p = table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    n_draws = 20 * p.count()
+    draws = sampling.tournament_draws(p, "p_retailprice", "p_partkey", 3, n_draws, seed=5)
+    probs = sampling.tournament(p, "p_retailprice", "p_partkey", 3, replacement=True).select("p_partkey", "p")
+    rep = sampling.selection_shares(draws, probs, "p_partkey", n_draws)
+    return rep.select("p_partkey", rnd("p", 9).alias("p"), F.col("hits").cast("long").alias("hits"),
+                      rnd("share", 9).alias("share"))

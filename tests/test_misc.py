@@ -102,3 +102,12 @@ def test_som_quantisation_error_falls(spark):
     df = synthetic.blobs(spark, [[0, 0], [5, 5]], 100, 0.5, seed=2)
     _, hist = cluster.som_fit(df, ["x0", "x1"], 3, 3, epochs=6)
     assert hist[-1] < hist[0]
+
+
+def test_tournament_draws_follow_closed_form(spark):
+    df = spark.range(10).select("id", (F.col("id") * 1.0).alias("f"))
+    draws = sampling.tournament_draws(df, "f", "id", 3, 30000, seed=1)
+    share = {r["id"]: r["count"] / 30000 for r in draws.groupBy("id").count().collect()}
+    for r in range(1, 11):
+        expect = (r ** 3 - (r - 1) ** 3) / 1000
+        assert abs(share.get(r - 1, 0.0) - expect) < 0.01
