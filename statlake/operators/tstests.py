@@ -367,30 +367,33 @@ def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
 # ---- T7, T8: STL and Hodrick-Prescott (per series, bounded length) --------------------
 
 def _loess(y, w_rob, span, deg=1, xs=None):
-    """Local polynomial (tricube) smoother of y at integer positions xs
-    (default the sample positions); robustness weights multiply in."""
+    """Local polynomial (tricube) smoother of y at positions xs (default the
+    sample positions); robustness weights multiply in.  On a regular grid
+    the ``span`` nearest points are a contiguous window, so each fit costs
+    O(span) rather than a sort of all distances."""
     n = len(y)
     xs = np.arange(n) if xs is None else xs
-    t = np.arange(n, dtype=float)
     q = min(span, n)
+    scale = max(span, n) / n if span > n else 1.0
     out = np.empty(len(xs))
     for i, x0 in enumerate(xs):
-        d = np.abs(t - x0)
-        h = np.sort(d)[q - 1] * (max(span, n) / n if span > n else 1.0)
-        h = max(h, 1e-12)
-        u = np.clip(d / h, 0, 1)
-        w = (1 - u ** 3) ** 3 * w_rob
-        if w.sum() <= 0:
+        lo = int(min(max(int(round(x0)) - (q - 1) // 2, 0), n - q))
+        t = np.arange(lo, lo + q, dtype=float)
+        h = max(x0 - lo, lo + q - 1 - x0, 1e-12) * scale
+        u = np.clip(np.abs(t - x0) / h, 0, 1)
+        w = (1 - u ** 3) ** 3 * w_rob[lo:lo + q]
+        yy = y[lo:lo + q]
+        sw = w.sum()
+        if sw <= 0:
             out[i] = y[int(np.clip(round(x0), 0, n - 1))]
             continue
         if deg == 0:
-            out[i] = (w * y).sum() / w.sum()
+            out[i] = (w * yy).sum() / sw
             continue
-        sw, swx = w.sum(), (w * t).sum()
-        mx = swx / sw
+        mx = (w * t).sum() / sw
         sxx = (w * (t - mx) ** 2).sum()
-        b = (w * (t - mx) * y).sum() / sxx if sxx > 0 else 0.0
-        out[i] = (w * y).sum() / sw + b * (x0 - mx)
+        b = (w * (t - mx) * yy).sum() / sxx if sxx > 0 else 0.0
+        out[i] = (w * yy).sum() / sw + b * (x0 - mx)
     return out
 
 
@@ -436,15 +439,44 @@ def stl_numpy(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True
 
 def hp_numpy(y: np.ndarray, lamb: float) -> np.ndarray:
     """Hodrick–Prescott trend: solve (I + λ KᵀK) τ = y, K the second-
-    difference operator (dense solve on one bounded series)."""
+    difference operator.  The matrix is symmetric pentadiagonal, so a banded
+    Cholesky factorisation solves it in O(n)."""
     y = np.asarray(y, float)
     n = len(y)
     if n < 3:
         return y.copy()
-    k = np.zeros((n - 2, n))
-    for i in range(n - 2):
-        k[i, i:i + 3] = (1.0, -2.0, 1.0)
-    return np.linalg.solve(np.eye(n) + lamb * k.T @ k, y)
+    # bands of KᵀK: main, first and second off-diagonals
+    d0 = np.full(n, 6.0)
+    d0[[0, -1]] = 1.0
+    d0[[1, -2]] = 5.0
+    d1 = np.full(n - 1, -4.0)
+    d1[[0, -1]] = -2.0
+    d2 = np.ones(n - 2)
+    a0, a1, a2 = 1.0 + lamb * d0, lamb * d1, lamb * d2
+    l0, l1, l2 = np.zeros(n), np.zeros(n), np.zeros(n)  # L[i,i], L[i,i-1], L[i,i-2]
+    for i in range(n):
+        if i >= 2:
+            l2[i] = a2[i - 2] / l0[i - 2]
+        if i >= 1:
+            l1[i] = (a1[i - 1] - l2[i] * l1[i - 1]) / l0[i - 1]
+        l0[i] = math.sqrt(a0[i] - l1[i] ** 2 - l2[i] ** 2)
+    z = np.zeros(n)
+    for i in range(n):
+        acc = y[i]
+        if i >= 1:
+            acc -= l1[i] * z[i - 1]
+        if i >= 2:
+            acc -= l2[i] * z[i - 2]
+        z[i] = acc / l0[i]
+    x = np.zeros(n)
+    for i in range(n - 1, -1, -1):
+        acc = z[i]
+        if i + 1 < n:
+            acc -= l1[i + 1] * x[i + 1]
+        if i + 2 < n:
+            acc -= l2[i + 2] * x[i + 2]
+        x[i] = acc / l0[i]
+    return x
 
 
 def _per_series(df, keys, order, value, fn, out_cols, schema_tail):
