@@ -169,10 +169,19 @@ def fit_css(y: np.ndarray, o: dict, x: np.ndarray | None = None) -> dict:
     n_eff = len(e)
     ssr = float(e @ e)
     sigma2 = ssr / n_eff
+    stderr = np.zeros(0)
+    if npar:
+        jac = np.empty((n_eff, npar))
+        for i in range(npar):
+            tp = theta.copy()
+            step = 1e-6 * max(1.0, abs(tp[i]))
+            tp[i] += step
+            jac[:, i] = (_residuals(tp, w, o, xw)[0] - e) / step
+        stderr = np.sqrt(np.maximum(np.diag(sigma2 * np.linalg.pinv(jac.T @ jac)), 0.0))
     llf = -n_eff / 2.0 * (math.log(2 * math.pi * sigma2) + 1.0)
     k = npar + 1
-    return {"theta": theta, "sigma2": sigma2, "n_eff": n_eff, "aic": -2 * llf + 2 * k, "llf": llf,
-            "resid": e, "start": start + nd}
+    return {"theta": theta, "stderr": stderr, "sigma2": sigma2, "n_eff": n_eff, "aic": -2 * llf + 2 * k,
+            "llf": llf, "resid": e, "start": start + nd}
 
 
 def param_names(o: dict, exog: Sequence[str] = ()) -> list[str]:
@@ -223,7 +232,7 @@ def forecast_path(y: np.ndarray, o: dict, theta: np.ndarray, sigma2: float, resi
 # ---- Spark operators -------------------------------------------------------------
 
 _FIT_SCHEMA = ("p long, d long, q long, sp long, sd long, sq long, s long, ok boolean, aic double, "
-               "sigma2 double, n_eff long, params array<double>, error string")
+               "sigma2 double, n_eff long, params array<double>, stderr array<double>, error string")
 
 
 def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: bool = False) -> DataFrame:
@@ -252,11 +261,13 @@ def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: boo
                 try:
                     fit = fit_css(np.asarray(r.y, dtype=float), o)
                     rec.update(ok=True, aic=fit["aic"], sigma2=fit["sigma2"], n_eff=fit["n_eff"],
-                               params=[float(v) for v in fit["theta"]], error=None)
+                               params=[float(v) for v in fit["theta"]], stderr=[float(v) for v in fit["stderr"]],
+                               error=None)
                 except Exception as ex:  # noqa: BLE001 - a failed fit is a result row
-                    rec.update(ok=False, aic=None, sigma2=None, n_eff=None, params=None, error=str(ex)[:200])
+                    rec.update(ok=False, aic=None, sigma2=None, n_eff=None, params=None, stderr=None, error=str(ex)[:200])
                 out.append(rec)
-            yield pd.DataFrame(out, columns=keys + ORDER_FIELDS + ["ok", "aic", "sigma2", "n_eff", "params", "error"])
+            yield pd.DataFrame(out, columns=keys + ORDER_FIELDS + ["ok", "aic", "sigma2", "n_eff", "params", "stderr",
+                                                                   "error"])
 
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema.fields if f.name in keys)
     return work.mapInPandas(run, (kschema + ", " if kschema else "") + _FIT_SCHEMA)
@@ -329,7 +340,7 @@ def residual_frame(packed: DataFrame, models: DataFrame, keys, drop_startup: boo
 
 
 def param_table(models: DataFrame, keys) -> DataFrame:
-    """long ``(keys, param, estimate)`` including σ²."""
+    """long ``(keys, param, estimate, stderr)`` including σ² (no stderr)."""
     keys = _k(keys)
 
     def run(it):
@@ -339,14 +350,16 @@ def param_table(models: DataFrame, keys) -> DataFrame:
                 o = {f: int(getattr(r, f)) for f in ORDER_FIELDS}
                 names = param_names(o)
                 vals = list(r.params) + [r.sigma2]
-                for nme, v in zip(names, vals):
+                ses = list(r.stderr if r.stderr is not None else []) + [None]
+                ses += [None] * (len(vals) - len(ses))
+                for nme, v, se in zip(names, vals, ses):
                     rec = {k: getattr(r, k) for k in keys}
-                    rec.update(param=nme, estimate=float(v))
+                    rec.update(param=nme, estimate=float(v), stderr=None if se is None else float(se))
                     out.append(rec)
-            yield pd.DataFrame(out, columns=keys + ["param", "estimate"])
+            yield pd.DataFrame(out, columns=keys + ["param", "estimate", "stderr"])
 
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in models.schema.fields if f.name in keys)
-    return models.mapInPandas(run, (kschema + ", " if kschema else "") + "param string, estimate double")
+    return models.mapInPandas(run, (kschema + ", " if kschema else "") + "param string, estimate double, stderr double")
 
 
 # ---- F5: Holt-Winters (additive trend, multiplicative season) ----------------------

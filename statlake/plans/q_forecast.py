@@ -50,9 +50,10 @@ def sarima_forecast_orders(spark, sf):
 
 @register("sarima_params_orders")
 def sarima_params_orders(spark, sf):
-    """parameter table of each chosen model (incl. σ²)."""
+    """parameter table of each chosen model with standard errors (incl. σ²)."""
     _, best = _best(spark, sf)
-    return fc.param_table(best, KEY).select(*KEY, "param", rnd("estimate", 8).alias("estimate"))
+    return fc.param_table(best, KEY).select(*KEY, "param", rnd("estimate", 8).alias("estimate"),
+                                            rnd("stderr", 8).alias("stderr"))
 
 
 @register("sarima_diagnostics_orders")

@@ -34,6 +34,7 @@ def test_sarima_css_and_forecast_golden():
     assert math.isclose(f["theta"][0], AR_S_L12_CSS, abs_tol=1e-6)
     assert math.isclose(f["theta"][1], AR_S_L24_CSS, abs_tol=1e-6)
     assert f["n_eff"] == 73
+    assert f["stderr"].shape == (2,) and np.all(f["stderr"] > 0)
     mean, lo, hi = fc.forecast_path(y, o, f["theta"], f["sigma2"], f["resid"], 10)
     assert math.isclose(math.exp(mean[0]), FORECAST_FIRST, rel_tol=1e-5)
     assert math.isclose(math.exp(mean[-1]), FORECAST_LAST, rel_tol=1e-5)
