@@ -70,6 +70,33 @@ def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, s
     return (bounds, n_est) if with_estimate else bounds
 
 
+def plan_bounds_multi(rows: DataFrame, col_sets: Sequence[Sequence[str]], seed: int = 17):
+    """Bucket plans for several sort orders from ONE bottom-K sample of the
+    raw rows.  Quantiles over rows bound the cells per bucket too (a cell
+    holds at least one row), and the row-count estimate is an upper bound
+    on the cell count.  Returns [(bounds, n_est)] per column set."""
+    allc = list(dict.fromkeys(c for cs in col_sets for c in cs))
+    k = MAX_BUCKETS * SAMPLE_PER_BUCKET
+    h = F.xxhash64(*[F.col(c) for c in allc], F.lit(seed))
+    sample = rows.select(*allc, h.alias("__kmv_hash")).orderBy("__kmv_hash").limit(k).collect()
+    if len(sample) < k:
+        n_est = len(sample)
+    else:
+        n_est = (k - 1) / max((sample[-1]["__kmv_hash"] + 2 ** 63) / 2 ** 64, 1e-18)
+    b = max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
+    out = []
+    for cs in col_sets:
+        bounds = []
+        if b > 1 and len(sample) >= b:
+            pts = sorted({tuple(r[c] for c in cs) for r in sample})
+            for i in range(1, b):
+                bd = pts[min((i * len(pts)) // b, len(pts) - 1)]
+                if not bounds or bd > bounds[-1]:
+                    bounds.append(bd)
+        out.append((bounds, n_est))
+    return out
+
+
 def _range_buckets(cells: DataFrame, cols: list[str], n_buckets: int) -> DataFrame:
     """Bucket ids for inputs too large for a literal boundary tree: Spark's
     range partitioner (sampled bounds, binary search, any partition count)
@@ -83,7 +110,8 @@ def _range_buckets(cells: DataFrame, cols: list[str], n_buckets: int) -> DataFra
 
 
 def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
-                 out: str = "before", buckets: int | None = None, seed: int = 17) -> DataFrame:
+                 out: str = "before", buckets: int | None = None, seed: int = 17,
+                 plan: tuple[list, float] | None = None) -> DataFrame:
     """Add ``out`` = Σ ``weight`` over rows with the same ``keys`` and a
     strictly smaller ``order`` tuple.  ``(keys, order)`` must be unique and
     non-null in ``cells`` (collapse duplicates with a groupBy first).
@@ -93,7 +121,10 @@ def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], we
     the range-partitioner path."""
     keys, order = list(keys), list(order)
     cols = keys + order
-    bounds, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, cols, buckets, seed, with_estimate=True)
+    if plan is not None:
+        bounds, n_est = plan
+    else:
+        bounds, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, cols, buckets, seed, with_estimate=True)
     want = buckets or math.ceil(n_est / ROWS_PER_BUCKET)
     if buckets == -1 or want > MAX_BUCKETS:
         # beyond a literal boundary tree: range partitioner + checkpoint
@@ -125,11 +156,11 @@ def value_cells(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFram
 
 
 def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), out: str = "rank",
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, plan: tuple[list, float] | None = None) -> DataFrame:
     """Distinct ``(keys, value)`` with the average (mid) rank of the value:
     rows below + (ties + 1)/2.  Join back on ``(keys, value)`` for per-row ranks."""
     cells = value_cells(df, value, keys)
-    pre = keyed_prefix(cells, keys, [value], "cnt", buckets=buckets)
+    pre = keyed_prefix(cells, keys, [value], "cnt", buckets=buckets, plan=plan)
     return pre.withColumn(out, F.col("before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0)).drop("before")
 
 

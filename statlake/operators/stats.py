@@ -138,8 +138,13 @@ def rank_pairs(df: DataFrame, x: str, y: str, keys=(), buckets=None) -> DataFram
     keys = _keys(keys)
     d = _pair_clean(df, x, y, keys)
     joint = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
-    rx = average_ranks(d, x, keys, out="rx", buckets=buckets).drop("cnt")
-    ry = average_ranks(d, y, keys, out="ry", buckets=buckets).drop("cnt")
+    plans = [None, None]
+    if buckets is None:
+        # one sampling pass plans the buckets of both margins
+        from statlake.operators.ranks import plan_bounds_multi
+        plans = plan_bounds_multi(d, [keys + [x], keys + [y]])
+    rx = average_ranks(d, x, keys, out="rx", buckets=buckets, plan=plans[0]).drop("cnt")
+    ry = average_ranks(d, y, keys, out="ry", buckets=buckets, plan=plans[1]).drop("cnt")
     return joint.join(rx, keys + [x]).join(ry, keys + [y]).select(*keys, "rx", "ry", "w")
 
 

@@ -84,3 +84,16 @@ def test_ols_recovers_plane(spark):
     got = {r.term: r.coef for r in stats.ols(df, "y", ["x1", "x2"]).collect()}
     assert math.isclose(got["const"], 3.0, abs_tol=1e-9) and math.isclose(got["x1"], 2.0, abs_tol=1e-9)
     assert math.isclose(got["x2"], -1.5, abs_tol=1e-9)
+
+
+def test_spearman_shared_plan_many_buckets(spark, monkeypatch):
+    from statlake.operators import ranks
+    monkeypatch.setattr(ranks, "ROWS_PER_BUCKET", 40)
+    rng = np.random.default_rng(9)
+    n = 2000
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b"], n, p=[0.8, 0.2]),
+                        "x": rng.integers(0, 60, n).astype(float), "y": rng.normal(size=n).round(2)})
+    got = stats.spearman(spark.createDataFrame(pdf), "x", "y", ["k"]).toPandas().set_index("k")
+    for key, g in pdf.groupby("k"):
+        exp = g["x"].rank().corr(g["y"].rank())
+        assert math.isclose(got.loc[key, "r"], exp, abs_tol=1e-10)
