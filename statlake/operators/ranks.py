@@ -42,6 +42,25 @@ def _bucket_expr(cols: list[str], bounds: list[tuple]) -> Column:
     return build(0, len(bounds))
 
 
+def _sort_key(t: tuple) -> tuple:
+    """Python order matching Spark's ascending order with nulls first."""
+    return tuple((v is not None, v) for v in t)
+
+
+def _pick(pts: list[tuple], b: int) -> list[tuple]:
+    """b−1 increasing boundaries at even ranks of the sorted sample; tuples
+    holding a null are skipped (two buckets merge, results stay exact)."""
+    pts = sorted(pts, key=_sort_key)
+    bounds: list[tuple] = []
+    for i in range(1, b):
+        bd = pts[min((i * len(pts)) // b, len(pts) - 1)]
+        if any(v is None for v in bd):
+            continue
+        if not bounds or _sort_key(bd) > _sort_key(bounds[-1]):
+            bounds.append(bd)
+    return bounds
+
+
 def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, seed: int = 17,
                 with_estimate: bool = False):
     """Range-bucket boundaries over ``cols`` (lexicographic) from ONE job.
@@ -62,11 +81,7 @@ def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, s
     b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
     bounds = []
     if b > 1 and len(rows) >= b:
-        pts = sorted(tuple(r[c] for c in cols) for r in rows)
-        for i in range(1, b):
-            bd = pts[(i * len(pts)) // b]
-            if not bounds or bd > bounds[-1]:
-                bounds.append(bd)
+        bounds = _pick([tuple(r[c] for c in cols) for r in rows], b)
     return (bounds, n_est) if with_estimate else bounds
 
 
@@ -88,11 +103,7 @@ def plan_bounds_multi(rows: DataFrame, col_sets: Sequence[Sequence[str]], seed:
     for cs in col_sets:
         bounds = []
         if b > 1 and len(sample) >= b:
-            pts = sorted({tuple(r[c] for c in cs) for r in sample})
-            for i in range(1, b):
-                bd = pts[min((i * len(pts)) // b, len(pts) - 1)]
-                if not bounds or bd > bounds[-1]:
-                    bounds.append(bd)
+            bounds = _pick(list({tuple(r[c] for c in cs) for r in sample}), b)
         out.append((bounds, n_est))
     return out
 
@@ -145,8 +156,11 @@ def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], we
         Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     # totals has at most (#buckets + #keys) rows, so this window is small
     offs = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
-    return (b.join(offs, part).withColumn(out, F.col("_off") + F.col("_local"))
-             .drop("_off", "_local", "_bkt"))
+    # null-safe on the keys: a null key is a group like any other
+    offs = offs.select(*[F.col(c).alias(f"_o_{c}") for c in part], "_off")
+    cond = [b[c].eqNullSafe(offs[f"_o_{c}"]) for c in part]
+    return (b.join(offs, cond).withColumn(out, F.col("_off") + F.col("_local"))
+             .drop("_off", "_local", "_bkt", *[f"_o_{c}" for c in part]))
 
 
 def value_cells(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -64,3 +64,20 @@ def test_range_partitioner_path_matches(spark):
     c["exp"] = c.groupby("k")["w"].cumsum() - c["w"]
     m = got.merge(c, on=["k", "v"])
     assert len(m) == len(c) and (m["before"] == m["exp"]).all()
+
+
+def test_null_keys_rank_without_error(spark):
+    rows = [(None if i % 7 == 0 else ("a" if i % 2 else "b"), float(i % 13)) for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = average_ranks(df, "v", ["k"], buckets=6).toPandas()
+    pdf = pd.DataFrame(rows, columns=["k", "v"]).dropna(subset=["k"])
+    pdf["r"] = pdf.groupby("k")["v"].rank(method="average")
+    exp = pdf.groupby(["k", "v"])["r"].first().reset_index()
+    m = got.dropna(subset=["k"]).merge(exp, on=["k", "v"])
+    assert len(m) == len(exp) and np.allclose(m["rank"], m["r"])
+    nulls = got[got["k"].isna()].sort_values("v")
+    raw = pd.DataFrame(rows, columns=["k", "v"])
+    nv = raw[raw["k"].isna()]["v"]
+    assert len(nulls) == nv.nunique()
+    exp_null = nv.rank(method="average").groupby(nv).first()
+    assert np.allclose(nulls.set_index("v")["rank"].sort_index(), exp_null.sort_index())
