@@ -223,7 +223,11 @@ def cumulative_share(df: DataFrame, weight: str, order: Sequence[str], keys: Seq
     keys = list(keys)
     pre = keyed_prefix(df, keys, order, weight, buckets=buckets)
     tot = df.groupBy(*keys).agg(F.sum(weight).alias("_total"))
-    j = pre.join(tot, keys) if keys else pre.crossJoin(F.broadcast(tot))
+    if keys:
+        tot = tot.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_total")
+        j = pre.join(tot, [pre[k].eqNullSafe(tot[f"_t_{k}"]) for k in keys]).drop(*[f"_t_{k}" for k in keys])
+    else:
+        j = pre.crossJoin(F.broadcast(tot))  # one-row frame
     hi = F.when(F.col("_total") != 0, (F.col("before") + F.col(weight)) / F.col("_total"))
     return (j.withColumn("cum_lo", F.when(F.col("_total") != 0, F.col("before") / F.col("_total")))
              .withColumn("cum_hi", F.when(F.col("before") + F.col(weight) >= F.col("_total"), F.lit(1.0)).otherwise(hi))

@@ -81,3 +81,11 @@ def test_null_keys_rank_without_error(spark):
     assert len(nulls) == nv.nunique()
     exp_null = nv.rank(method="average").groupby(nv).first()
     assert np.allclose(nulls.set_index("v")["rank"].sort_index(), exp_null.sort_index())
+
+
+def test_cumulative_share_null_key_group(spark):
+    rows = [(None if i < 5 else "a", i, 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "k string, id long, w double")
+    out = cumulative_share(df, "w", ["id"], ["k"], buckets=2).toPandas()
+    assert len(out) == 10
+    assert sorted(out[out["k"].isna()]["cum_hi"].round(9)) == [0.2, 0.4, 0.6, 0.8, 1.0]
