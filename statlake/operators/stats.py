@@ -443,7 +443,8 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
 
 
 def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None = None) -> DataFrame:
-    """``(keys, n, concordant, discordant, tau_b)``.
+    """``(keys, n, concordant, discordant, tau_b, z, p_value)`` (z and p from
+    the tie-corrected normal approximation of S = C − D).
 
     Pairs are never formed.  Rows collapse to weighted (x, y) cells; tie
     counts come from the margins; discordant pairs are the weighted strict
@@ -458,15 +459,25 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None =
     d = _pair_clean(df, x, y, keys)
     cells = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
     disc = _discordant(cells, keys, x, y, "w", buckets).withColumnRenamed("d", "discordant")
-    tx = cells.groupBy(*keys, x).agg(F.sum("w").alias("t")).groupBy(*keys).agg(
-        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n1"))
-    ty = cells.groupBy(*keys, y).agg(F.sum("w").alias("t")).groupBy(*keys).agg(
-        F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("n2"))
+    def ties(col, tag):
+        t = F.col("t").cast("double")
+        return cells.groupBy(*keys, col).agg(F.sum("w").alias("t")).groupBy(*keys).agg(
+            F.sum(t * (t - 1) / 2).alias(f"n{tag}"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"_v{tag}"),
+            F.sum(t * (t - 1)).alias(f"_a{tag}"), F.sum(t * (t - 1) * (t - 2)).alias(f"_b{tag}"))
+    tx = ties(x, "1")
+    ty = ties(y, "2")
     tot = cells.groupBy(*keys).agg(F.sum("w").alias("n"), F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("n3"))
     j = _join_all([tot, tx, ty, disc], keys)
     n0 = F.col("n") * (F.col("n") - 1) / 2
     conc = n0 - F.col("n1") - F.col("n2") + F.col("n3") - F.col("discordant")
     j = j.withColumn("concordant", conc)
     tau = div(F.col("concordant") - F.col("discordant"), F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2"))))
+    # tie-corrected variance of S = C − D (normal approximation)
+    n = F.col("n").cast("double")
+    var = ((n * (n - 1) * (2 * n + 5) - F.col("_v1") - F.col("_v2")) / 18.0
+           + F.col("_a1") * F.col("_a2") / (2.0 * n * (n - 1))
+           + F.col("_b1") * F.col("_b2") / (9.0 * n * (n - 1) * (n - 2)))
+    z = F.when((n > 2) & (var > 0), (F.col("concordant") - F.col("discordant")) / F.sqrt(var))
+    j = j.withColumn("z", z).withColumn("p_value", 2.0 * special.norm_cdf_udf(-F.abs(F.col("z"))))
     return j.select(*keys, F.col("n").cast("long").alias("n"), F.col("concordant").cast("long").alias("concordant"),
-                    F.col("discordant").cast("long").alias("discordant"), tau.alias("tau_b"))
+                    F.col("discordant").cast("long").alias("discordant"), tau.alias("tau_b"), "z", "p_value")

@@ -287,18 +287,21 @@ WITH c AS (SELECT {key} AS k, {x}::DOUBLE AS x, {y}::DOUBLE AS y, count(*) AS w
 p AS (SELECT a.k, sum(CASE WHEN a.y < b.y THEN a.w*b.w ELSE 0 END) AS conc,
              sum(CASE WHEN a.y > b.y THEN a.w*b.w ELSE 0 END) AS disc
       FROM c a JOIN c b ON a.k = b.k AND a.x < b.x GROUP BY a.k),
-tx AS (SELECT k, sum(t*(t-1)/2) AS n1 FROM (SELECT k, x, sum(w) AS t FROM c GROUP BY 1, 2) GROUP BY k),
-ty AS (SELECT k, sum(t*(t-1)/2) AS n2 FROM (SELECT k, y, sum(w) AS t FROM c GROUP BY 1, 2) GROUP BY k),
-t AS (SELECT k, sum(w) AS n FROM c GROUP BY k)
+tx AS (SELECT k, sum(t*(t-1)/2) AS n1, sum(t*(t-1)*(2*t+5)) AS v1, sum(t*(t-1)) AS a1, sum(t*(t-1)*(t-2)) AS b1
+       FROM (SELECT k, x, sum(w)::DOUBLE AS t FROM c GROUP BY 1, 2) GROUP BY k),
+ty AS (SELECT k, sum(t*(t-1)/2) AS n2, sum(t*(t-1)*(2*t+5)) AS v2, sum(t*(t-1)) AS a2, sum(t*(t-1)*(t-2)) AS b2
+       FROM (SELECT k, y, sum(w)::DOUBLE AS t FROM c GROUP BY 1, 2) GROUP BY k),
+t AS (SELECT k, sum(w)::DOUBLE AS n FROM c GROUP BY k)
 SELECT t.k AS {key}, n::BIGINT AS n, conc::BIGINT AS concordant, disc::BIGINT AS discordant,
-       round((conc - disc) / sqrt((n*(n-1)/2 - n1) * (n*(n-1)/2 - n2)), 6) AS tau_b
+       round((conc - disc) / sqrt((n*(n-1)/2 - n1) * (n*(n-1)/2 - n2)), 6) AS tau_b,
+       round((conc - disc) / sqrt((n*(n-1)*(2*n+5) - v1 - v2)/18.0 + a1*a2/(2.0*n*(n-1)) + b1*b2/(9.0*n*(n-1)*(n-2))), 6) AS z
 FROM t JOIN p USING (k) JOIN tx USING (k) JOIN ty USING (k)"""
 
 
 def _kendall(spark, sf, tbl, key, x, y):
     d = table(spark, sf, tbl).select(key, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
     k = stats.kendall_tau_b(d, x, y, keys=[key])
-    return k.select(key, "n", "concordant", "discordant", rnd("tau_b").alias("tau_b"))
+    return k.select(key, "n", "concordant", "discordant", rnd("tau_b").alias("tau_b"), rnd("z").alias("z"))
 
 
 @register("kendall_lineitem", _kendall_sql("lineitem", "l_linestatus", "l_quantity", "l_discount"))
