@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from statlake.llm import mixing, secrets, store
+from statlake.llm import mixing, secrets, store, toxicity
 from statlake.session import ship_package
 
+
+
+def _toxicity(spark, docs, sf_dir):
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
 STAGES = [
+    ("toxicity", _toxicity),
     ("secrets", lambda spark, docs, sf_dir: secrets.redact(docs)),
     ("mix", lambda spark, docs, sf_dir: mixing.systematic_mix(docs)),
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import mixing, secrets
+from statlake.llm import extract, mixing, secrets, toxicity
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -10,10 +10,10 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def _op(name, source, fn, sql=None):
+def _op(name, sources, fn, sql=None):
     def run(spark, sf_dir):
         ship_package(spark)
-        return fn(table(spark, sf_dir, source))
+        return fn(*[table(spark, sf_dir, t) for t in sources.split()])
     run.__name__ = name
     QUERIES[name] = run
     if sql:
@@ -22,3 +22,5 @@ def _op(name, source, fn, sql=None):
 
 _op("op2_secret_scan", "documents", secrets.op2_query)
 _op("op3_systematic_mix", "documents", mixing.op3_query, mixing.ORACLE)
+_op("op8_toxicity", "documents labels", toxicity.op8_query)
+_op("op9_block_labeller", "pages", extract.op9_query)
