@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import extract, mixing, secrets, toxicity
+from statlake.llm import extract, mixing, secrets, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -22,5 +22,6 @@ def _op(name, sources, fn, sql=None):
 
 _op("op2_secret_scan", "documents", secrets.op2_query)
 _op("op3_systematic_mix", "documents", mixing.op3_query, mixing.ORACLE)
+_op("op4_zip_warc", "pages", warc.op4_query, warc.ORACLE)
 _op("op8_toxicity", "documents labels", toxicity.op8_query)
 _op("op9_block_labeller", "pages", extract.op9_query)
