@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, mixing, secrets, toxicity, warc
+from statlake.llm import decontaminate, extract, minhash, mixing, secrets, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -23,6 +23,7 @@ def _op(name, sources, fn, sql=None):
 _op("op2_secret_scan", "documents", secrets.op2_query)
 _op("op3_systematic_mix", "documents", mixing.op3_query, mixing.ORACLE)
 _op("op4_zip_warc", "pages", warc.op4_query, warc.ORACLE)
+_op("op5_circulant_minhash", "documents", minhash.op5_query)
 _op("op8_toxicity", "documents labels", toxicity.op8_query)
 _op("op9_block_labeller", "pages", extract.op9_query)
 _op("op10_decontaminate", "documents benchmark", decontaminate.op10_query)

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -38,3 +39,9 @@ def table(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """``df``, a slim written table, with a broadcast hint if it has at most
+    ``rows`` rows; beyond that Spark shuffles both sides of the join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
