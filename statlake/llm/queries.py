@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, minhash, mixing, secrets, toxicity, warc
+from statlake.llm import decontaminate, extract, minhash, mixing, mtree, secrets, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -20,6 +20,7 @@ def _op(name, sources, fn, sql=None):
         ORACLE[name] = sql
 
 
+_op("op1_mtree_topk", "embeddings", mtree.op1_query, mtree.ORACLE)
 _op("op2_secret_scan", "documents", secrets.op2_query)
 _op("op3_systematic_mix", "documents", mixing.op3_query, mixing.ORACLE)
 _op("op4_zip_warc", "pages", warc.op4_query, warc.ORACLE)
