@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, toxicity, warc
+from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, suffix_dedup, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -25,6 +25,7 @@ _op("op2_secret_scan", "documents", secrets.op2_query)
 _op("op3_systematic_mix", "documents", mixing.op3_query, mixing.ORACLE)
 _op("op4_zip_warc", "pages", warc.op4_query, warc.ORACLE)
 _op("op5_circulant_minhash", "documents", minhash.op5_query)
+_op("op6_suffix_dedup", "documents", suffix_dedup.op6_query)
 _op("op7_kneser_ney", "documents", kneser_ney.op7_query)
 _op("op8_toxicity", "documents labels", toxicity.op8_query)
 _op("op9_block_labeller", "pages", extract.op9_query)
