@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statlake.functions.safe import same_keys
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -127,7 +128,7 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], eps: float = 1e-6,
         aggs += [F.min(c).alias(f"_mn_{c}"), F.max(c).alias(f"_mx_{c}")]
     if key:
         bounds = df.groupBy(*key).agg(*aggs)
-        out = df.join(bounds, key)
+        out = same_keys(df, bounds, key)
     else:
         # one-row frame: a broadcast of known size 1
         out = df.crossJoin(F.broadcast(df.agg(*aggs)))
@@ -140,17 +141,18 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], eps: float = 1e-6,
 
 def standardize(df: DataFrame, cols: Sequence[str], key: Sequence[str] | None = None,
                 suffix: str = "") -> DataFrame:
-    """(x − mean)/σ with the population σ (ddof = 0)."""
+    """(x − mean)/σ with the population σ (ddof = 0); a constant column gives 0."""
     key = list(key or [])
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"_mu_{c}"), F.stddev_pop(c).alias(f"_sd_{c}")]
     if key:
-        out = df.join(df.groupBy(*key).agg(*aggs), key)
+        out = same_keys(df, df.groupBy(*key).agg(*aggs), key)
     else:
         out = df.crossJoin(F.broadcast(df.agg(*aggs)))
     for c in cols:
-        out = out.withColumn(c + suffix, (F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}"))
+        off = F.col(c) - F.col(f"_mu_{c}")
+        out = out.withColumn(c + suffix, F.when(F.col(f"_sd_{c}") != 0, off / F.col(f"_sd_{c}")).otherwise(off * 0.0))
     return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
 
 

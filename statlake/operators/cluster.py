@@ -12,14 +12,18 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statlake.functions.exprs import clean_numeric
+
 
 def nearest_center(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]],
                    out: str = "cluster", dist_out: str = "sqdist") -> DataFrame:
     """Index of the nearest centre (squared Euclidean; ties → lowest
     index) and that squared distance."""
+    if len(cols) * len(centers) > 256:
+        return _nearest_wide(df, list(cols), centers, out, dist_out)
     cand = []
     for i, c in enumerate(centers):
         d = F.lit(0.0)
@@ -31,6 +35,26 @@ def nearest_center(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequenc
         dist_out, F.col("_best.d")).drop("_best")
 
 
+def _nearest_wide(df: DataFrame, cols: list[str], centers, out: str, dist_out: str) -> DataFrame:
+    """The same for many dimensions and centres: numpy on Arrow batches, as
+    the expression would outgrow a generated method."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    cs = np.asarray(centers, float)
+
+    def run(batches):
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            best = np.zeros(len(x), np.int64)
+            dist = np.full(len(x), np.inf)
+            for i, c in enumerate(cs):
+                d = ((x - c) ** 2).sum(1)
+                less = d < dist
+                best[less], dist[less] = i, d[less]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(best), pa.array(dist)], [*b.schema.names, out, dist_out])
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.LongType()), T.StructField(dist_out, T.DoubleType())]))
+
+
 def inertia(df: DataFrame, cols: Sequence[str], centers) -> DataFrame:
     """K2: Σ squared distance to the nearest centre, with cluster sizes."""
     a = nearest_center(df, cols, centers)
@@ -49,9 +73,9 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, max_ite
     wins.  Returns (centres as list, cost)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    from statlake.operators.learn import training_frame
+    df = clean_numeric(df.select(*cols), cols)
     data = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df.select(*cols)).select("_features")
-    data = training_frame(data).cache()
+    data = data.cache()
     best = None
     try:
         for i in range(n_init):
@@ -66,32 +90,38 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, max_ite
 
 def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """K3 (squared Euclidean): per-row silhouette from per-cluster sufficient
-    statistics (n, Σx, Σ|x|²): mean squared distance of x to cluster C is
-    |x|² − 2 x·Σx/n + Σ|x|²/n, so no pairs are formed.  Own-cluster mean
-    excludes the point itself; singletons score 0.  ``(label, n, silhouette)``
+    statistics (size, mean, variances): the mean squared distance of x to a
+    cluster is that to its mean plus the cluster's spread, so no pairs are
+    formed.  Own-cluster mean excludes the point itself; singletons, points
+    that coincide with all others and a lone cluster score 0.  ``(label, n, silhouette)``
     per cluster plus an ``__all__`` row."""
-    sq = sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))
-    stats = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.sum(sq).alias("_q"),
-                                  *[F.sum(c).alias(f"_s_{c}") for c in cols]).collect()
-    # k rows (bounded by the number of clusters) become literals
-    per = []
-    for r in stats:
-        n = r["_n"]
-        dot = sum((F.col(c) * F.lit(float(r[f"_s_{c}"])) for c in cols), F.lit(0.0))
-        mean_d = (sq - 2.0 * dot / n + F.lit(float(r["_q"])) / n)
-        per.append((r[label], n, mean_d))
-    a_expr = F.lit(None).cast("double")
-    own_n = F.lit(None).cast("long")
-    others = []
-    for lab, n, md in per:
-        is_own = F.col(label) == F.lit(lab)
-        a_expr = F.when(is_own, F.when(F.lit(n) > 1, md * n / (n - 1))).otherwise(a_expr)
-        own_n = F.when(is_own, F.lit(n)).otherwise(own_n)
-        others.append(F.when(~is_own, md))
-    # least() skips nulls, so this is the nearest other cluster
-    b_expr = F.least(*others) if len(others) > 1 else others[0]
-    s = F.when(own_n <= 1, F.lit(0.0)).otherwise((b_expr - a_expr) / F.greatest(a_expr, b_expr))
-    rows = df.withColumn("silhouette", s)
+    import pyarrow as pa
+    cols = list(cols)
+    df = clean_numeric(df.select(label, *cols), cols)
+    # k rows (bounded by the number of clusters): size, mean and mean squared distance to the mean
+    stats = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)],
+                                  *[F.var_pop(c).alias(f"_v{i}") for i, c in enumerate(cols)]).collect()
+    place = {r[label]: i for i, r in enumerate(stats)}
+    size = np.array([float(r["_n"]) for r in stats])
+    mean = np.array([[r[f"_m{i}"] for i in range(len(cols))] for r in stats], float).reshape(len(stats), len(cols))
+    spread = np.array([sum(r[f"_v{i}"] for i in range(len(cols))) for r in stats], float)
+
+    def score(batches):
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            own = np.array([place[v] for v in b.column(label).to_pylist()], np.int64)
+            at = np.arange(len(x))
+            # mean squared distance to a cluster = squared distance to its mean + its spread
+            d = np.column_stack([((x - m) ** 2).sum(1) + v for m, v in zip(mean, spread)]) if len(x) else np.zeros((0, len(size)))
+            n = size[own]
+            a = d[at, own] * n / np.maximum(1, n - 1)
+            d[at, own] = np.inf
+            near = d.min(1) if len(x) else np.zeros(0)
+            top = np.maximum(a, near)
+            s = np.where((n > 1) & (top > 0) & np.isfinite(near), (near - a) / np.where(top > 0, top, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([b.column(label), pa.array(s)], [label, "silhouette"])
+    kind = df.schema[label].dataType.simpleString()
+    rows = df.mapInArrow(score, f"`{label}` {kind}, silhouette double")
     by = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
     allr = rows.agg(F.lit("__all__").alias(label), F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
     return by.withColumn(label, F.col(label).cast("string")).unionByName(allr)
@@ -127,12 +157,12 @@ def som_fit(df: DataFrame, cols: Sequence[str], m: int, n: int, epochs: int = 20
     (literal weight array), aggregate Σx and counts per unit in Spark, then
     smooth the m·n unit sums with a Gaussian neighbourhood whose width decays
     σ0·e^{−t/T}.  Returns (weights [m·n, p], quantisation error per epoch)."""
-    from statlake.operators.learn import training_frame
     cols = list(cols)
-    data = training_frame(df.select(*cols)).cache()
+    data = clean_numeric(df.select(*cols), cols).cache()
     try:
         rng = np.random.default_rng(seed)
-        sample = data.limit(max(m * n * 4, 64)).collect()
+        # start weights: the rows with the smallest hash, whatever the partitioning
+        sample = data.orderBy(F.xxhash64(*cols, F.lit(seed)), *cols).limit(max(m * n * 4, 64)).collect()
         pts = np.array([[r[c] for c in cols] for r in sample], dtype=float)
         w = pts[rng.choice(len(pts), size=m * n, replace=len(pts) < m * n)]
         grid = np.array(som_grid(m, n), dtype=float)

@@ -18,12 +18,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Model = Callable[[Sequence[Column], dict], Column]
-
+from statlake.functions.exprs import clean_numeric
 
-def _train(df: DataFrame) -> DataFrame:
-    from statlake.operators.learn import training_frame
-    return training_frame(df)
+Model = Callable[[Sequence[Column], dict], Column]
 
 
 def _lits(theta) -> list[Column]:
@@ -186,7 +183,7 @@ def levenberg_marquardt(df: DataFrame, model: Model, y: str, cols: Sequence[str]
     grows ×3 on a rejected one; stops when |Δθ| < ``step_tol`` or
     |Jᵀr| < ``grad_tol``.  Steps are projected onto [lower, upper].
     Returns dict(theta, stderr, sse, n, rmse, r2, iterations, converged)."""
-    data = _train(df.select(y, *cols)).cache()
+    data = clean_numeric(df.select(y, *cols), [y, *cols]).cache()
     try:
         theta = np.array(theta0, dtype=float)
         lo = np.array(lower if lower is not None else [-np.inf] * len(theta), dtype=float)
@@ -266,7 +263,7 @@ def gradient_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta
     run stops when its gradient norm < ``tol``.
     Returns {name: (theta, loss history)}."""
     methods = methods or {"adam": ("adam", 0.01)}
-    data = _train(df.select(y, *cols)).cache()
+    data = clean_numeric(df.select(y, *cols), [y, *cols]).cache()
     try:
         st = {k: [np.array(theta0, float), np.zeros(len(theta0)), np.zeros(len(theta0)), np.zeros(len(theta0)), [], False]
               for k in methods}
@@ -294,13 +291,15 @@ def gradient_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta
 
 def cg_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta0: Sequence[float],
            rules: Sequence[str] = ("pr+",), max_iter: int = 200, tol: float = 1e-6, c1: float = 1e-4,
-           alpha0: float = 1.0, shrink: float = 0.5, n_steps: int = 20):
+           alpha0: float = 1.0, shrink: float = 0.5, n_steps: int = 30,
+           powell: float | None = None):
     """Nonlinear conjugate gradients on the MSE with Fletcher–Reeves
     ('fr'), Polak–Ribière+ ('pr+'), Hestenes–Stiefel+ ('hs+') or Dai–Yuan
-    ('dy') β and Powell restarts.  The Armijo search scores every trial step
+    ('dy') β; ``powell`` (0.2 is usual) adds restarts when gradients stay that
+    far from orthogonal.  The Armijo search scores every trial step
     α·τ^j of every rule in ONE aggregate; new gradients take a second.
     Returns {rule: (theta, loss history)}."""
-    data = _train(df.select(y, *cols)).cache()
+    data = clean_numeric(df.select(y, *cols), [y, *cols]).cache()
     try:
         n = data.count()
         g0, l0 = _grad_many(data, model, [np.array(theta0, float)], y, cols)[0]
@@ -343,7 +342,7 @@ def cg_fit(df: DataFrame, model: Model, y: str, cols: Sequence[str], theta0: Seq
                     beta = (g_new @ g_new) / (d @ yv) if d @ yv != 0 else 0.0
                 else:
                     beta = max(0.0, (g_new @ yv) / (g @ g))
-                if abs(g_new @ g) >= 0.2 * (g_new @ g_new):  # Powell restart
+                if powell is not None and abs(g_new @ g) >= powell * (g_new @ g_new):  # Powell restart
                     beta = 0.0
                 s_["d"] = -g_new + beta * d
                 s_["g"], s_["loss"] = g_new, loss
@@ -411,7 +410,7 @@ def anfis_fit(df: DataFrame, y: str, cols: Sequence[str], n_mf: int = 2, epochs:
     Returns (centers, sigmas, consequents, loss history)."""
     import itertools
     cols = list(cols)
-    data = _train(df.select(y, *cols)).cache()
+    data = clean_numeric(df.select(y, *cols), [y, *cols]).cache()
     try:
         n_in = len(cols)
         centers = np.tile(np.linspace(0, 1, n_mf), (n_in, 1))

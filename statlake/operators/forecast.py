@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.functions import special
+from statlake.functions.exprs import clean_numeric
+from statlake.functions.safe import same_keys
 
 ORDER_FIELDS = ["p", "d", "q", "sp", "sd", "sq", "s"]
 
@@ -107,9 +109,32 @@ def _residuals(theta, w, o, xw=None):
     return buf[lm:], start
 
 
-def _lm(theta0, fun, max_iter=40, tol=1e-9):
-    """Levenberg–Marquardt on a residual vector function (numeric Jacobian)."""
+def _residuals_many(thetas, w, o, xw=None):
+    """Residual rows of several parameter vectors: one recursion over the
+    series moves all of them."""
+    us, ms = [], []
+    for theta in thetas:
+        ar, sar, ma, sma, beta = _split(theta, o)
+        a = np.convolve(_poly_ar(ar, 1), _poly_ar(sar, o["s"]))
+        ms.append(np.convolve(_poly_ma(ma, 1), _poly_ma(sma, o["s"]))[1:])
+        z = w - (xw @ beta if xw is not None and len(beta) else 0.0)
+        us.append(np.convolve(z, a)[len(a) - 1:len(z)])
+    u, mm = np.array(us), np.array(ms)
+    lm = mm.shape[1]
+    if not lm:
+        return u
+    back = mm[:, ::-1]
+    buf = np.zeros((len(u), lm + u.shape[1]))
+    for t in range(u.shape[1]):
+        buf[:, t + lm] = u[:, t] - (back * buf[:, t:t + lm]).sum(1)
+    return buf[:, lm:]
+
+
+def _lm(theta0, many, max_iter=40, tol=1e-9):
+    """Levenberg–Marquardt on a residual function of several parameter
+    vectors; the numeric Jacobian takes one call."""
     theta = np.array(theta0, dtype=float)
+    fun = lambda th: many([th])[0]
     r = fun(theta)
     cost = float(r @ r)
     lam = 1e-3
@@ -117,11 +142,7 @@ def _lm(theta0, fun, max_iter=40, tol=1e-9):
         if theta.size == 0:
             break
         h = 1e-6
-        jac = np.empty((r.size, theta.size))
-        for i in range(theta.size):
-            tp = theta.copy()
-            tp[i] += h
-            jac[:, i] = (fun(tp) - r) / h
+        jac = (many(theta + h * np.eye(theta.size)) - r).T / h
         g = jac.T @ r
         a = jac.T @ jac
         improved = False
@@ -164,19 +185,15 @@ def fit_css(y: np.ndarray, o: dict, x: np.ndarray | None = None) -> dict:
     theta0 = np.zeros(npar)
     if xw is not None:
         theta0[npar - xw.shape[1]:] = np.linalg.lstsq(xw, w, rcond=None)[0]
-    theta, _, _ = _lm(theta0, lambda th: _residuals(th, w, o, xw)[0])
+    theta, _, _ = _lm(theta0, lambda ths: _residuals_many(ths, w, o, xw))
     e, start = _residuals(theta, w, o, xw)
     n_eff = len(e)
     ssr = float(e @ e)
     sigma2 = ssr / n_eff
     stderr = np.zeros(0)
     if npar:
-        jac = np.empty((n_eff, npar))
-        for i in range(npar):
-            tp = theta.copy()
-            step = 1e-6 * max(1.0, abs(tp[i]))
-            tp[i] += step
-            jac[:, i] = (_residuals(tp, w, o, xw)[0] - e) / step
+        step = 1e-6 * np.maximum(1.0, np.abs(theta))
+        jac = (_residuals_many(theta + np.diag(step), w, o, xw) - e).T / step
         stderr = np.sqrt(np.maximum(np.diag(sigma2 * np.linalg.pinv(jac.T @ jac)), 0.0))
     llf = -n_eff / 2.0 * (math.log(2 * math.pi * sigma2) + 1.0)
     k = npar + 1
@@ -287,7 +304,7 @@ def forecast(packed: DataFrame, models: DataFrame, keys, h: int = 10, alpha: flo
     """F4 + F8 inputs: ``(keys, h_step, forecast, lower, upper)`` from each
     series' chosen model; ``exp_back`` maps log-scale results back."""
     keys = _k(keys)
-    j = packed.join(models, keys)
+    j = same_keys(packed, models, keys)
     if isinstance(exp_back, str):
         j = j.withColumn("exp_flag", F.col(exp_back))
     else:
@@ -318,7 +335,7 @@ def residual_frame(packed: DataFrame, models: DataFrame, keys, drop_startup: boo
     """``(keys, t, resid)`` of each chosen model, for Spark-side diagnostics
     (Ljung–Box, Jarque–Bera).  Start-up residuals are conditioned away."""
     keys = _k(keys)
-    j = packed.join(models, keys)
+    j = same_keys(packed, models, keys)
 
     def run(it):
         for pdf in it:
@@ -384,15 +401,34 @@ def _hw_sse(y, alpha, beta, gamma, s):
     return sse, (level, trend, season.copy(), n)
 
 
+def _hw_refine(y, start, s, step=0.05, least=1e-4):
+    """Pattern search on the SSE: the best of the steps along each weight,
+    the step halved when none is better."""
+    best = tuple(float(v) for v in start)
+    sse = _hw_sse(y, *best, s)[0]
+    while step >= least:
+        tries = [tuple(min(max(v + (d if i == j else 0.0), 1e-4), 1 - 1e-4) for j, v in enumerate(best)) for i in range(3) for d in (-step, step)]
+        scored = min((_hw_sse(y, *t, s)[0], t) for t in tries)
+        if scored[0] < sse:
+            sse, best = scored
+        else:
+            step /= 2
+    return best
+
+
 def holt_winters(packed: DataFrame, keys, s: int = 12, h: int = 10,
-                 grid: Sequence[float] = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)) -> DataFrame:
-    """Smoothing weights chosen by SSE over an (α, β, γ) grid that Spark
-    fans out as rows; the best per series produces an h-step forecast.
-    ``(keys, alpha, beta, gamma, sse, h_step, forecast)``."""
+                 grid: Sequence[float] = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9), refine: bool = True) -> DataFrame:
+    """Smoothing weights by least SSE: an (α, β, γ) grid that Spark fans out
+    as rows gives the start, a pattern search with shrinking steps then
+    refines it per series within (0, 1) (``refine``); an h-step forecast
+    follows.  ``(keys, alpha, beta, gamma, sse, h_step, forecast)``."""
     keys = _k(keys)
     params = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(g).alias("gamma"))
                        for a in grid for b in grid for g in grid])
     work = packed.select(*keys, "y", F.explode(params).alias("pr")).select(*keys, "y", "pr.*")
+    # every setting of a series is work of its own
+    parts = max(1, packed.sparkSession.sparkContext.defaultParallelism * 2)
+    work = work.repartition(parts, *keys, "alpha", "beta", "gamma")
 
     def sse_run(it):
         for pdf in it:
@@ -404,17 +440,19 @@ def holt_winters(packed: DataFrame, keys, s: int = 12, h: int = 10,
     scored = work.mapInPandas(sse_run, ks + "alpha double, beta double, gamma double, sse double")
     best = scored.filter(F.col("sse").isNotNull()).groupBy(*keys).agg(
         F.min_by(F.struct("alpha", "beta", "gamma", "sse"), F.struct("sse", "alpha", "beta", "gamma")).alias("b"))
-    best = best.select(*keys, "b.*").join(packed, keys)
+    best = same_keys(best.select(*keys, "b.*"), packed, keys)
 
     def fc_run(it):
         for pdf in it:
             out = []
             for r in pdf.itertuples(index=False):
-                _, st = _hw_sse(np.asarray(r.y, float), r.alpha, r.beta, r.gamma, s)
+                y = np.asarray(r.y, float)
+                a, b, g = (r.alpha, r.beta, r.gamma) if not refine else _hw_refine(y, (r.alpha, r.beta, r.gamma), s)
+                sse, st = _hw_sse(y, a, b, g, s)
                 level, trend, season, n = st
                 for i in range(1, h + 1):
                     rec = {k: getattr(r, k) for k in keys}
-                    rec.update(alpha=r.alpha, beta=r.beta, gamma=r.gamma, sse=r.sse, h_step=i,
+                    rec.update(alpha=a, beta=b, gamma=g, sse=sse, h_step=i,
                                forecast=float((level + i * trend) * season[(n + i - 1) % s]))
                     out.append(rec)
             yield pd.DataFrame(out, columns=keys + ["alpha", "beta", "gamma", "sse", "h_step", "forecast"])
@@ -423,15 +461,29 @@ def holt_winters(packed: DataFrame, keys, s: int = 12, h: int = 10,
 
 
 def sarimax_fit(df: DataFrame, keys, order_col: str, y: str, exog: Sequence[str], o: dict,
-                h: int = 0, future: DataFrame | None = None) -> DataFrame:
+                h: int = 0, future: DataFrame | None = None, alpha: float = 0.05) -> DataFrame:
     """regression with SARIMA errors by conditional least squares; the
     exogenous columns are differenced like the target.  One row per series
-    with ``params`` (AR, seasonal AR, MA, seasonal MA, exog betas), σ², AIC."""
+    with ``params`` (AR, seasonal AR, MA, seasonal MA, exog betas), σ², AIC.
+
+    With ``h`` > 0 also ``forecast``, ``lower`` and ``upper``, arrays of h
+    steps at level 1−α (F4).  ``future`` holds the exogenous columns known
+    ahead: the first h rows of each series by ``order_col``; a series with
+    fewer future rows fails with an error text."""
     keys = _k(keys)
     exog = list(exog)
+    if h and future is None:
+        raise ValueError("a forecast with exogenous columns needs their future values")
+    df = clean_numeric(df.select(*keys, order_col, y, *exog), [y, *exog])
     packed = (df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("ts"), F.col(y).alias("y"),
                                                                          *[F.col(c).alias(c) for c in exog]))).alias("_s")))
     packed = packed.select(*keys, F.col("_s.y").alias("y"), *[F.col(f"_s.{c}").alias(c) for c in exog])
+    if h:
+        ahead = clean_numeric(future.select(*keys, order_col, *exog), exog).groupBy(*keys).agg(
+            F.slice(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("ts"), *[F.col(c).alias(c) for c in exog]))), 1, h).alias("_f"))
+        packed = same_keys(packed, ahead.select(*keys, *[F.col(f"_f.{c}").alias(f"_f_{c}") for c in exog]), keys, "left")
+
+    tail = ["forecast", "lower", "upper"] if h else []
 
     def run(it):
         for pdf in it:
@@ -443,11 +495,21 @@ def sarimax_fit(df: DataFrame, keys, order_col: str, y: str, exog: Sequence[str]
                     fit = fit_css(np.asarray(r["y"], float), o, x)
                     rec.update(ok=True, aic=fit["aic"], sigma2=fit["sigma2"], n_eff=fit["n_eff"],
                                params=[float(v) for v in fit["theta"]], names=param_names(o, exog)[:-1], error=None)
+                    if h:
+                        ahead = [r[f"_f_{c}"] for c in exog]
+                        if any(a is None or len(a) < h for a in ahead):
+                            raise ValueError("fewer future rows than steps")
+                        mean, lo, hi = forecast_path(np.asarray(r["y"], float), o, fit["theta"], fit["sigma2"], fit["resid"], h, alpha,
+                                                     x, np.column_stack([np.asarray(a, float) for a in ahead]))
+                        rec.update(forecast=mean.tolist(), lower=lo.tolist(), upper=hi.tolist())
                 except Exception as ex:  # noqa: BLE001
                     rec.update(ok=False, aic=None, sigma2=None, n_eff=None, params=None, names=None, error=str(ex)[:200])
+                    if h:
+                        rec.update(forecast=None, lower=None, upper=None)
                 out.append(rec)
-            yield pd.DataFrame(out, columns=keys + ["ok", "aic", "sigma2", "n_eff", "params", "names", "error"])
+            yield pd.DataFrame(out, columns=keys + ["ok", "aic", "sigma2", "n_eff", "params", "names", "error"] + tail)
 
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema.fields if f.name in keys)
     return packed.mapInPandas(run, (kschema + ", " if kschema else "") + (
-        "ok boolean, aic double, sigma2 double, n_eff long, params array<double>, names array<string>, error string"))
+        "ok boolean, aic double, sigma2 double, n_eff long, params array<double>, names array<string>, error string"
+        + "".join(f", {c} array<double>" for c in tail)))

@@ -16,16 +16,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statlake.functions.exprs import clean_numeric
+from statlake.functions.safe import same_keys
 from statlake.operators.ranks import keyed_prefix
 
-
-def training_frame(df: DataFrame) -> DataFrame:
-    """Input for iterative / MLlib fits: at most one partition per core
-    (a narrow ``coalesce``, no shuffle).  Each fit step schedules one task
-    per partition, so hundreds of near-empty shuffle partitions would cost
-    more than the work itself; at scale the cores are the bound anyway."""
-    target = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+WIDE = 16  # columns beyond which per-pair aggregates give way to numpy partials
 
 
 def _k(keys) -> list[str]:
@@ -35,10 +30,11 @@ def _k(keys) -> list[str]:
 # ---- M1, M2: stratified split and folds ---------------------------------------------
 
 def _class_rank(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
-    d = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("_one", F.lit(1))
+    """Rank of each row within its class (a null class is one too) by the MD5 of id and seed."""
+    d = df.withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))).withColumn("_one", F.lit(1))
     r = keyed_prefix(d, [label], ["_h", id_col], "_one", out="_r")
     n = d.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    return r.join(n, label).drop("_one")
+    return same_keys(r, n, [label]).drop("_one")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.25, seed: int = 42) -> DataFrame:
@@ -107,21 +103,51 @@ def f1_macro(df: DataFrame, label: str, pred: str) -> float:
 # ---- M10-M12: discriminant analysis ---------------------------------------------------
 
 def class_moments(df: DataFrame, label: str, cols: Sequence[str]):
-    """Per class n, mean and centred scatter (p x p), from one aggregate.
-    Returns ``{class: (n, mean, scatter)}`` — bounded by classes × p²."""
+    """Per class n, mean and centred scatter (p x p) over rows whose columns
+    are finite.  Returns ``{class: (n, mean, scatter)}`` — bounded by classes × p²."""
     cols = list(cols)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"_q{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
+    df = clean_numeric(df.select(label, *cols), cols).filter(F.col(label).isNotNull())
+    p = len(cols)
+    if p > WIDE:
+        return _wide_moments(df, label, cols)
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(a, b).alias(f"_c{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
     out = {}
     for r in df.groupBy(label).agg(*aggs).collect():
         n = float(r["_n"])
-        s = np.array([r[f"_s{i}"] for i in range(len(cols))], dtype=float)
-        q = np.zeros((len(cols), len(cols)))
-        for i in range(len(cols)):
-            for j in range(i, len(cols)):
-                q[i, j] = q[j, i] = r[f"_q{i}_{j}"]
-        mu = s / n
-        out[r[label]] = (n, mu, q - n * np.outer(mu, mu))
+        c = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                c[i, j] = c[j, i] = n * r[f"_c{i}_{j}"]
+        out[r[label]] = (n, np.array([r[f"_m{i}"] for i in range(p)], dtype=float), c)
+    return out
+
+
+def _wide_moments(df: DataFrame, label: str, cols: list[str]):
+    """The same for many columns: means by one aggregate, then per-partition
+    scatters about them (numpy products), summed in two steps."""
+    import pandas as pd
+    p = len(cols)
+    means = {r[label]: (float(r["_n"]), np.array([r[f"_m{i}"] for i in range(p)], dtype=float)) for r in
+             df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]).collect()}
+
+    def partial(it):
+        acc: dict = {}
+        for pdf in it:
+            for lab, part in pdf.groupby(label):
+                x = part[cols].to_numpy(float) - means[lab][1]
+                acc[lab] = acc.get(lab, 0) + x.T @ x
+        yield pd.DataFrame({"label": list(acc), "scatter": [a.ravel().tolist() for a in acc.values()]})
+
+    def add(pdf):
+        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "scatter": [np.sum(np.stack(pdf["scatter"].to_numpy()), axis=0).tolist()]})
+    kind = df.schema[label].dataType.simpleString()
+    schema = f"label {kind}, scatter array<double>"
+    parts = df.mapInPandas(partial, schema).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(32)))
+    rows = parts.groupBy("label", "part").applyInPandas(add, schema).collect()  # at most 32 a class
+    out = {}
+    for lab, (n, m) in means.items():
+        out[lab] = (n, m, sum(np.array(r["scatter"]).reshape(p, p) for r in rows if r["label"] == lab))
     return out
 
 
@@ -168,29 +194,48 @@ def lda_fit(df: DataFrame, label: str, cols: Sequence[str], shrinkage: float | s
 
 def _ledoit_wolf(df, label, cols, mom, n):
     """Ledoit–Wolf shrinkage of the pooled within-class covariance; the
-    fourth-moment term Σ over rows of (x−μ_c)²(x−μ_c)²ᵀ is one more aggregate."""
+    fourth-moment term, the sum of |x−μ_c|⁴ over rows, is one more aggregate."""
     p = len(cols)
     mus = {c: mom[c][1] for c in mom}
     mu_map = F.create_map(*[x for c in mus for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in mus[c]]))])
     d = df.withColumn("_mu", mu_map[F.col(label)])
-    cen = [(F.col(c) - F.col("_mu")[i]) for i, c in enumerate(cols)]
-    aggs = [F.sum(cen[i] * cen[i] * cen[j] * cen[j]).alias(f"_f{i}_{j}") for i in range(p) for j in range(p)]
-    r = d.agg(*aggs).first()
+    # Σ_ij (x−μ)_i² (x−μ)_j² of a row is the square of its squared distance to the class mean
+    row = F.aggregate(F.zip_with(F.array(*[F.col(c).cast("double") for c in cols]), "_mu", lambda a, b: (a - b) * (a - b)),
+                      F.lit(0.0), lambda a, b: a + b)
+    x2 = (d.agg(F.sum(row * row)).first()[0] or 0.0) / n
     s = sum(mom[c][2] for c in mom) / n
-    x2 = np.array([[r[f"_f{i}_{j}"] for j in range(p)] for i in range(p)]) / n
     mu_t = np.trace(s) / p
     delta = ((s - mu_t * np.eye(p)) ** 2).sum() / p
-    beta = (x2.sum() / n - (s ** 2).sum() / n) / p
+    beta = (x2 / n - (s ** 2).sum() / n) / p
     beta = min(beta, delta)
     lam = 0.0 if delta == 0 else beta / delta
     return (1 - lam) * s + lam * mu_t * np.eye(p), lam
 
 
 def lda_predict(df: DataFrame, model, cols: Sequence[str], out: str = "pred") -> DataFrame:
+    if len(cols) * len(model["coef"]) > WIDE * WIDE:
+        return _wide_predict(df, model, list(cols), out)
     scores = {c: _lin(cols, w, b) for c, (w, b) in model["coef"].items()}
     return _argmax(scores, out, df)
 
 
+def _wide_predict(df: DataFrame, model, cols: list[str], out: str) -> DataFrame:
+    """The same as one matrix product per Arrow batch."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    labels = list(model["coef"])
+    w = np.array([model["coef"][c][0] for c in labels]).T
+    b = np.array([model["coef"][c][1] for c in labels])
+    kind = T._infer_type(labels[0])
+
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols])
+            best = (x @ w + b).argmax(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([labels[i] for i in best])], [*batch.schema.names, out])
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, kind)]))
+
+
 def qda_fit(df: DataFrame, label: str, cols: Sequence[str]):
     """Quadratic discriminant: per-class covariance (n_c − 1), priors n_c/n."""
     mom = class_moments(df, label, cols)
@@ -235,14 +280,14 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = c.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     c = c.crossJoin(F.broadcast(tot)).withColumn(out, F.col("_n") / (F.col("_k") * F.col("_nc")))
-    return df.join(c.select(label, out), label)
+    return same_keys(df, c.select(label, out), [label])
 
 
 def decision_tree(train: DataFrame, features: str = "features", label: str = "label_idx", max_depth: int = 5,
                   min_leaf: int = 20, impurity: str = "gini", seed: int = 42):
     from pyspark.ml.classification import DecisionTreeClassifier
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth,
-                                  minInstancesPerNode=min_leaf, impurity=impurity, seed=seed).fit(training_frame(train))
+                                  minInstancesPerNode=min_leaf, impurity=impurity, seed=seed).fit(train)
 
 
 def random_forest(train: DataFrame, features: str = "features", label: str = "label_idx", n_trees: int = 400,
@@ -251,7 +296,7 @@ def random_forest(train: DataFrame, features: str = "features", label: str = "la
     rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_trees, seed=seed, maxDepth=max_depth)
     if weight:
         rf = rf.setWeightCol(weight)
-    return rf.fit(training_frame(train))
+    return rf.fit(train)
 
 
 def logistic(train: DataFrame, n_rows: int, c: float = 1.0, penalty: str = "l2", features: str = "features",
@@ -261,7 +306,7 @@ def logistic(train: DataFrame, n_rows: int, c: float = 1.0, penalty: str = "l2",
     from pyspark.ml.classification import LogisticRegression
     en = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}[penalty]
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (c * n_rows), elasticNetParam=en,
-                              standardization=False, maxIter=max_iter).fit(training_frame(train))
+                              standardization=False, maxIter=max_iter).fit(train)
 
 
 def feature_importances(model, names: Sequence[str], spark) -> DataFrame:
@@ -283,7 +328,6 @@ def cross_val_score(df: DataFrame, fit_fn, label: str = "label_idx", fold_col: s
                     metric: str = "accuracy"):
     """M3: fit on k−1 folds, score the held-out fold; mean and σ (ddof 0)."""
     scores = []
-    df = training_frame(df)
     for f in range(k):
         model = fit_fn(df.filter(F.col(fold_col) != f))
         pred = model.transform(df.filter(F.col(fold_col) == f))
@@ -315,4 +359,4 @@ def grid_search(df: DataFrame, features: str = "features", label: str = "label_i
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col,
                         numFolds=folds, parallelism=parallelism)
-    return cv.fit(training_frame(df))
+    return cv.fit(df)

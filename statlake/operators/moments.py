@@ -1,9 +1,11 @@
-"""Sufficient statistics in one aggregate: counts, sums and cross products.
+"""Sufficient statistics in one aggregate: counts, means and centred products.
 
 ``gram_agg`` is the shared primitive behind OLS, ADF, Granger, AR fits,
 discriminant analysis and Gauss–Newton steps.  It is a single hash
 aggregate with partial (map-side) aggregation, so a hot key costs no more
-than any other: each task folds its rows into p(p+1)/2 + p + 1 numbers.
+than any other: each task folds its rows into O(p²) numbers.  Products are
+centred (Spark merges means and co-moments stably), so a column with a large
+mean and a small spread keeps its digits.
 The p x p solves that follow run per key inside ``mapInPandas`` over the
 Gram rows (one row per key), never over data rows.
 """
@@ -23,29 +25,40 @@ def _col(c) -> Column:
 
 
 def gram_agg(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
-             weight: str | None = None, extra: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: ``n``, ``s__a`` = Σa, ``q__a__b`` = Σab (a ≤ b)."""
+             extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per key over null-free ``cols``: ``n``, ``m__a`` = mean of a,
+    ``c__a__b`` = population covariance of a and b (a ≤ b)."""
     cols = list(cols)
-    w = F.col(weight) if weight else F.lit(1.0)
-    aggs = [F.sum(w).alias("n")]
-    aggs += [F.sum(w * F.col(c)).alias(f"s__{c}") for c in cols]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.avg(c).alias(f"m__{c}") for c in cols]
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            aggs.append(F.sum(w * F.col(a) * F.col(b)).alias(f"q__{a}__{b}"))
+            aggs.append((F.var_pop(a) if a == b else F.covar_pop(a, b)).alias(f"c__{a}__{b}"))
     aggs += list(extra)
     return df.groupBy(*keys).agg(*aggs)
 
 
 def gram_from_row(row, cols: Sequence[str]):
-    """(n, sums[p], cross[p,p]) from a pandas row / dict of ``gram_agg``."""
+    """(n, means[p], Σ(a−ā)(b−b̄) [p,p]) from a pandas row / dict of ``gram_agg``."""
     p = len(cols)
-    s = np.array([row[f"s__{c}"] for c in cols], dtype=float)
-    q = np.zeros((p, p))
+    n = float(row["n"])
+    m = np.array([row[f"m__{c}"] for c in cols], dtype=float)
+    c = np.zeros((p, p))
     for i, a in enumerate(cols):
         for j in range(i, p):
-            v = row[f"q__{a}__{cols[j]}"]
-            q[i, j] = q[j, i] = v
-    return float(row["n"]), s, q
+            c[i, j] = c[j, i] = n * row[f"c__{a}__{cols[j]}"]
+    return n, m, c
+
+
+def merge_rows(n: float, m: np.ndarray, c: np.ndarray, x: np.ndarray):
+    """(n, means, centred products) after the rows of ``x`` join them."""
+    if not len(x):
+        return n, m, c
+    mx = x.mean(0)
+    cx = (x - mx).T @ (x - mx)
+    total = n + len(x)
+    d = mx - m
+    return total, m + d * len(x) / total, c + cx + np.outer(d, d) * n * len(x) / total
 
 
 def map_gram_rows(gram: DataFrame, fn: Callable[[pd.Series], list[dict]], schema: str) -> DataFrame:
@@ -67,20 +80,19 @@ def _schema_fields(spark, ddl: str):
     return spark.createDataFrame([], ddl).schema.fields
 
 
-def ols_gram(n: float, s: np.ndarray, q: np.ndarray, xi: Sequence[int], yi: int):
-    """OLS with intercept from raw sums, solved on centred, equilibrated
-    cross products (stable when columns differ in scale by many orders).
+def ols_gram(n: float, mean: np.ndarray, c: np.ndarray, xi: Sequence[int], yi: int):
+    """OLS with intercept from means and centred products, equilibrated
+    (stable when columns differ in scale by many orders).
 
     Returns (beta [const, x...], ssr, inv of the full XᵀX, k)."""
     xi = list(xi)
     k = len(xi) + 1
-    mean = s / n
     if not xi:
-        ssr = float(q[yi, yi] - s[yi] ** 2 / n)
+        ssr = float(c[yi, yi])
         return np.array([mean[yi]]), max(ssr, 1e-300), np.array([[1.0 / n]]), 1
-    cxx = q[np.ix_(xi, xi)] - np.outer(s[xi], s[xi]) / n
-    cxy = q[xi, yi] - s[xi] * s[yi] / n
-    cyy = q[yi, yi] - s[yi] ** 2 / n
+    cxx = c[np.ix_(xi, xi)]
+    cxy = c[xi, yi]
+    cyy = c[yi, yi]
     dg = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
     scaled = cxx / np.outer(dg, dg)
     try:

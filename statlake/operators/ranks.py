@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlake.functions.safe import same_keys
+
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 512
 SAMPLE_PER_BUCKET = 64
@@ -202,7 +204,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
     pos = pos.select(*keys, "q", "_frac", "p.side", "p.pos")
     pre_r = pre.select(*[F.col(k).alias(f"_pk_{k}") for k in keys], F.col(value).alias("_v"),
                        F.col("before").alias("_before"), F.col("cnt").alias("_cnt"))
-    cond = [pos[k] == pre_r[f"_pk_{k}"] for k in keys] + [
+    cond = [pos[k].eqNullSafe(pre_r[f"_pk_{k}"]) for k in keys] + [
         pre_r["_before"] <= pos["pos"], pos["pos"] < pre_r["_before"] + pre_r["_cnt"]]
     # without keys the target side has exactly 2·len(qs) rows: a size-proven
     # broadcast turns the interval join into a nested-loop probe per cell
@@ -219,16 +221,15 @@ def cumulative_share(df: DataFrame, weight: str, order: Sequence[str], keys: Seq
                      buckets: int | None = None) -> DataFrame:
     """Per row: ``cum_lo``/``cum_hi`` = normalised prefix sums of ``weight``
     in ``order`` (``order`` unique within key), i.e. the inverse-CDF
-    interval of each row; the last interval is closed at exactly 1."""
+    interval of each row.  The last row of a key, told by its position and
+    not by float sums, closes at exactly 1; a bound never passes 1."""
     keys = list(keys)
     pre = keyed_prefix(df, keys, order, weight, buckets=buckets)
+    last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
     tot = df.groupBy(*keys).agg(F.sum(weight).alias("_total"))
-    if keys:
-        tot = tot.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_total")
-        j = pre.join(tot, [pre[k].eqNullSafe(tot[f"_t_{k}"]) for k in keys]).drop(*[f"_t_{k}" for k in keys])
-    else:
-        j = pre.crossJoin(F.broadcast(tot))  # one-row frame
-    hi = F.when(F.col("_total") != 0, (F.col("before") + F.col(weight)) / F.col("_total"))
-    return (j.withColumn("cum_lo", F.when(F.col("_total") != 0, F.col("before") / F.col("_total")))
-             .withColumn("cum_hi", F.when(F.col("before") + F.col(weight) >= F.col("_total"), F.lit(1.0)).otherwise(hi))
-             .drop("before", "_total"))
+    j = same_keys(pre, same_keys(tot, last, keys), keys)
+    share = lambda x: F.when(F.col("_total") != 0, F.least(x / F.col("_total"), F.lit(1.0)))
+    is_last = F.struct(*order) == F.col("_last")
+    return (j.withColumn("cum_lo", share(F.col("before")))
+             .withColumn("cum_hi", F.when(is_last, F.lit(1.0)).otherwise(share(F.col("before") + F.col(weight))))
+             .drop("before", "_total", "_last"))

@@ -3,16 +3,18 @@
 The selection schemes of evolutionary search are re-aimed at rows of a
 table: each row has a fitness, each scheme gives every row a probability
 (closed forms, no simulation), and ``weighted_sample`` draws rows by
-inverse CDF with a bucketed range join.
+inverse CDF in one sort of draws and interval starts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlake.functions.exprs import clean_numeric
+from statlake.functions.safe import div, same_keys
 from statlake.operators.ranks import cumulative_share, exact_quantiles, keyed_prefix
 
 
@@ -24,7 +26,7 @@ def _with_stats(df, fitness, keys):
     keys = _k(keys)
     st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_N"), F.sum(fitness).alias("_sum"),
                                F.min(fitness).alias("_min"), F.max(fitness).alias("_max"))
-    return df.join(st, keys) if keys else df.crossJoin(F.broadcast(st))
+    return same_keys(df, st, keys)
 
 
 def worst_rank(df: DataFrame, fitness: str, id_col: str, keys=(), out: str = "wrank") -> DataFrame:
@@ -45,10 +47,10 @@ def proportional(df: DataFrame, fitness: str, keys=(), shift_min: bool = False)
 
 
 def rank_linear(df: DataFrame, fitness: str, id_col: str, keys=(), s: float = 1.5) -> DataFrame:
-    """R2: (2−s)/N + 2i(s−1)/(N(N−1)), i = 0 for the worst row."""
+    """R2: (2−s)/N + 2i(s−1)/(N(N−1)), i = 0 for the worst row; a lone row has 1."""
     d = _with_stats(worst_rank(df, fitness, id_col, keys), fitness, keys)
     n = F.col("_N").cast("double")
-    p = (2.0 - s) / n + 2.0 * F.col("wrank") * (s - 1.0) / (n * (n - 1.0))
+    p = F.when(n > 1, (2.0 - s) / n + 2.0 * F.col("wrank") * (s - 1.0) / (n * F.greatest(n - 1.0, F.lit(1.0)))).otherwise(F.lit(1.0))
     return d.withColumn("p", p).drop("_N", "_sum", "_min", "_max")
 
 
@@ -68,7 +70,7 @@ def tournament(df: DataFrame, fitness: str, id_col: str, k: int, keys=(), replac
         den: Column = F.lit(1.0)
         for i in range(k):
             den = den * (n - i) / (i + 1)
-        p = F.when(r >= k, num / den).otherwise(F.lit(0.0))
+        p = F.when(den != 0, F.when(r >= k, num / den).otherwise(F.lit(0.0)))
     return d.withColumn("p", p).drop("_N", "_sum", "_min", "_max")
 
 
@@ -77,33 +79,75 @@ def threshold(df: DataFrame, fitness: str, q: float, keys=()) -> DataFrame:
     interpolation, exact); the best row alone if none qualifies."""
     keys = _k(keys)
     qt = exact_quantiles(df, fitness, [q], keys).select(*keys, F.col("quantile").alias("_thr"))
-    d = df.join(qt, keys) if keys else df.crossJoin(F.broadcast(qt))
+    d = same_keys(df, qt, keys)
     d = _with_stats(d, fitness, keys)
     ok = F.col(fitness) >= F.col("_thr")
     m = d.groupBy(*keys).agg(F.sum(ok.cast("long")).alias("_m"))
-    d = d.join(m, keys) if keys else d.crossJoin(F.broadcast(m))
+    d = same_keys(d, m, keys)
     p = F.when(F.col("_m") > 0, F.when(ok, 1.0 / F.col("_m")).otherwise(0.0)).otherwise(
         F.when(F.col(fitness) == F.col("_max"), 1.0).otherwise(0.0))
     return d.withColumn("p", p).drop("_thr", "_m", "_N", "_sum", "_min", "_max")
 
 
+def uniform(seed: int, *parts) -> Column:
+    """A number in [0, 1) from the MD5 of the parts and a seed: the same for
+    any partitioning (28 bits, exact in a double)."""
+    text = F.concat_ws(":", *[F.col(p).cast("string") if isinstance(p, str) else p.cast("string") for p in parts], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("double") / F.lit(float(1 << 28))
+
+
 def weighted_sample(df: DataFrame, weight: str, id_col: str, n_draws: int, seed: int = 7,
-                    buckets: int = 1024) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """``n_draws`` draws with replacement, P(row) ∝ weight, by inverse
-    CDF.  Draw u_j = rand(seed); the row whose interval [lo, hi) holds u_j
-    is found by an equi-join on a [0,1) bucket id (each interval is listed
-    in the buckets it overlaps) plus the interval test — no cross join.
-    ``(draw, id)``."""
+    CDF: draw j has u_j from the MD5 of (j, seed) and takes the row whose
+    interval [lo, hi) holds it.  ``(draw, id)``.
+
+    Draws and interval starts are sorted together by range buckets, so the
+    work grows with rows plus draws: inside a bucket a draw takes the last
+    start before it; draws before a bucket's first start take the last start
+    of the buckets before, one row per bucket."""
     spark = df.sparkSession
-    iv = cumulative_share(df.select(id_col, weight).filter(F.col(weight) > 0), weight, [id_col])
-    b_lo = F.floor(F.col("cum_lo") * buckets).cast("long")
-    b_hi = F.least(F.floor(F.col("cum_hi") * buckets), F.lit(buckets - 1)).cast("long")
-    ivb = iv.withColumn("bkt", F.explode(F.sequence(b_lo, F.greatest(b_lo, b_hi))))
-    draws = spark.range(n_draws).withColumnRenamed("id", "draw").withColumn("u", F.rand(seed))
-    draws = draws.withColumn("bkt", F.least(F.floor(F.col("u") * buckets), F.lit(buckets - 1)).cast("long"))
-    j = draws.join(ivb, "bkt").filter((F.col("u") >= F.col("cum_lo")) & (
-        (F.col("u") < F.col("cum_hi")) | (F.col("cum_hi") >= 1.0)))
-    return j.select("draw", F.col(id_col).alias("id"))
+    iv = cumulative_share(clean_numeric(df.select(id_col, weight), [weight]).filter(F.col(weight) > 0), weight, [id_col])
+    starts = iv.select(F.col("cum_lo").alias("u"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("draw"), F.col(id_col).alias("id"))
+    draws = (spark.range(n_draws).withColumnRenamed("id", "draw").withColumn("u", uniform(seed, "draw"))
+             .select("u", F.lit(1).alias("kind"), "draw", F.lit(None).cast(starts.schema["id"].dataType).alias("id")))
+    n = buckets or max(1, min(4096, n_draws // 4096))
+    both = starts.unionByName(draws).withColumn("b", F.least(F.floor(F.col("u") * n), F.lit(n - 1)).cast("long"))
+    # of starts at one place (rows of no visible width) the last by id holds it
+    own = Window.partitionBy("b").orderBy("u", "kind", "id").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("at", F.last(F.when(F.col("kind") == 0, F.struct("id")), ignorenulls=True).over(own))
+    tops = both.filter("kind = 0").groupBy("b").agg(F.max_by("id", F.struct("u", "id")).alias("top"))
+    every = spark.range(n).withColumnRenamed("id", "b").join(tops, "b", "left")
+    carry = every.withColumn("top", F.last(F.when(F.col("top").isNotNull(), F.struct("top")), ignorenulls=True).over(
+        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))  # at most 4,096 rows
+    hit = both.filter("kind = 1").join(F.broadcast(carry), "b")
+    return hit.select("draw", F.coalesce(F.col("at.id"), F.col("top.top")).alias("id")).filter(F.col("id").isNotNull())
+
+
+def selection_probabilities(df: DataFrame, fitness: str, id_col: str, keys=(), s: float = 1.5, k: int = 3,
+                            q: float = 0.5) -> DataFrame:
+    """R1–R4 side by side: ``p_prop, p_prop_ga, p_rank, p_tour_w, p_tour_wo,
+    p_thr`` from one rank, one set of totals and one quantile per key."""
+    keys = _k(keys)
+    d = _with_stats(worst_rank(df, fitness, id_col, keys), fitness, keys)
+    thr = exact_quantiles(df, fitness, [q], keys).select(*keys, F.col("quantile").alias("_thr"))
+    d = same_keys(d, thr, keys)
+    f, n, r = F.col(fitness), F.col("_N").cast("double"), F.col("wrank").cast("double") + 1.0
+    ok = f >= F.col("_thr")
+    m = d.groupBy(*keys).agg(F.sum(ok.cast("long")).alias("_m"))
+    d = same_keys(d, m, keys)
+    num, den = F.lit(1.0), F.lit(1.0)
+    for i in range(k):
+        num = num * (r - i) / i if i else num
+        den = den * (n - i) / (i + 1)
+    ga = F.col("_sum") - F.col("_N") * F.col("_min") + F.col("_N") * F.lit(1e-12)
+    out = {"p_prop": div(f, F.col("_sum")), "p_prop_ga": div(f - F.col("_min") + F.lit(1e-12), ga),
+           "p_rank": F.when(n > 1, (2.0 - s) / n + 2.0 * F.col("wrank") * (s - 1.0) / (n * F.greatest(n - 1.0, F.lit(1.0)))).otherwise(F.lit(1.0)),
+           "p_tour_w": (F.pow(r, k) - F.pow(r - 1.0, k)) / F.pow(n, k),
+           "p_tour_wo": F.when(den != 0, F.when(r >= k, num / den).otherwise(F.lit(0.0))),
+           "p_thr": F.when(F.col("_m") > 0, F.when(ok, 1.0 / F.col("_m")).otherwise(F.lit(0.0))).otherwise(
+               F.when(f == F.col("_max"), F.lit(1.0)).otherwise(F.lit(0.0)))}
+    return d.select(*[F.col(c) for c in df.columns], *[v.alias(c) for c, v in out.items()])
 
 
 def selection_shares(draws: DataFrame, probs: DataFrame, id_col: str, n_draws: int) -> DataFrame:
@@ -114,7 +158,7 @@ def selection_shares(draws: DataFrame, probs: DataFrame, id_col: str, n_draws: i
 
 def tournament_draws(df: DataFrame, fitness: str, id_col: str, k: int, n_draws: int, seed: int = 7) -> DataFrame:
     """R3 draws: ``n_draws`` tournaments of size k with replacement; each
-    pick is a hash of (draw, slot, seed) mapped onto a dense row position
+    pick is an MD5 of (draw, slot, seed) mapped onto a dense row position
     (bucketed prefix counts), joined on that unique position — no cross
     join — and the fittest pick wins (ties by id).  ``(draw, id)``."""
     spark = df.sparkSession
@@ -123,7 +167,7 @@ def tournament_draws(df: DataFrame, fitness: str, id_col: str, k: int, n_draws:
     n = df.count()
     picks = (spark.range(n_draws).withColumnRenamed("id", "draw")
                   .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-                  .withColumn("_pos", F.pmod(F.xxhash64("draw", "_slot", F.lit(seed)), F.lit(n))))
+                  .withColumn("_pos", F.floor(uniform(seed, "draw", "_slot") * F.lit(float(n))).cast("long")))
     won = picks.join(pos, "_pos").groupBy("draw").agg(
         F.max_by(F.col(id_col), F.struct(F.col(fitness), F.col(id_col))).alias("id"))
     return won

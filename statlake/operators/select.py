@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.functions.exprs import minmax_scale
+from statlake.functions.exprs import is_finite, minmax_scale
+from statlake.functions.safe import div
 from statlake.operators.ranks import keyed_prefix
 
 
@@ -50,21 +51,20 @@ def chi2_scores(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def f_scores(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """S3: one-way ANOVA F of every feature across classes."""
-    g = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in cols],
-                              *[F.sum(F.col(c) * F.col(c)).alias(f"_q_{c}") for c in cols])
-    aggs = [F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")]
-    for c in cols:
-        aggs += [F.sum(F.col(f"_s_{c}") ** 2 / F.col("_n")).alias(f"_b_{c}"), F.sum(f"_s_{c}").alias(f"_s_{c}"),
-                 F.sum(f"_q_{c}").alias(f"_q_{c}")]
-    t = g.agg(*aggs)
-    out = []
-    for c in cols:
-        ssb = F.col(f"_b_{c}") - F.col(f"_s_{c}") ** 2 / F.col("n")
-        ssw = F.col(f"_q_{c}") - F.col(f"_b_{c}")
-        out.append(F.struct(F.lit(c).alias("feature"),
-                            F.when(ssw > 0, (ssb / (F.col("k") - 1)) / (ssw / (F.col("n") - F.col("k")))).alias("f_stat")))
-    return t.select(F.explode(F.array(*out)).alias("e")).select("e.*")
+    """S3: one-way ANOVA F of every feature across classes, from per-class
+    counts, means and variances (centred: a large common mean costs no
+    digits).  Null and non-finite values of a feature take no part."""
+    ok = {c: F.when(is_finite(c), F.col(c).cast("double")) for c in cols}
+    g = df.groupBy(label).agg(*[F.struct(F.lit(c).alias("feature"), F.count(ok[c]).alias("n"), F.avg(ok[c]).alias("m"),
+                                         F.var_pop(ok[c]).alias("v")).alias(f"_{i}") for i, c in enumerate(cols)])
+    g = g.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(cols))])).alias("e")).select("e.*").filter("n > 0")
+    # one row per class and feature
+    g = g.join(g.groupBy("feature").agg(F.avg("m").alias("c")), "feature")
+    off = F.col("m") - F.col("c")
+    t = g.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("v")).alias("w"),
+                                 F.sum(F.col("n") * off).alias("a"), F.sum(F.col("n") * off * off).alias("b"))
+    ssb = F.col("b") - F.col("a") * F.col("a") / F.col("n")
+    return t.select("feature", div(div(ssb, F.col("k") - 1), div(F.col("w"), F.col("n") - F.col("k"))).alias("f_stat"))
 
 
 def mutual_info_binned(df: DataFrame, cols: Sequence[str], label: str, id_col: str, bins: int = 10) -> DataFrame:
@@ -167,9 +167,7 @@ def sequential_select(df: DataFrame, cols: Sequence[str], label: str, k: int, fo
                       direction: str = "forward") -> list[str]:
     """Greedy forward or backward selection to ``k`` features by
     cross-validated accuracy; one data pass per step."""
-    from statlake.operators.learn import training_frame
     cols = list(cols)
-    df = training_frame(df)
     stats, classes, folds = _fold_models(df, cols, label, fold_col, None)
     chosen = [] if direction == "forward" else list(range(len(cols)))
     while (len(chosen) < k) if direction == "forward" else (len(chosen) > k):
@@ -187,9 +185,8 @@ def rfe(df: DataFrame, cols: Sequence[str], label_idx: str, k: int, step: int =
     """Recursive elimination — refit an L2 logistic regression and drop
     the feature with the smallest Σ coef² each round."""
     from statlake.operators.learn import assemble, logistic
-    from statlake.operators.learn import training_frame
     keep = list(cols)
-    data = training_frame(df.select(*cols, label_idx)).cache()
+    data = df.select(*cols, label_idx).cache()
     n = data.count()
     try:
         while len(keep) > k:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions import special
 from statlake.functions.exprs import clean_numeric, fisher_ci, correlation_strength
-from statlake.functions.safe import div, sqrt_pos
+from statlake.functions.safe import div, norm_cdf, same_keys, sqrt_pos
 from statlake.operators.ranks import average_ranks, exact_quantiles
 
 
@@ -92,7 +92,7 @@ def k2_columns(n: Column, skew: Column, kurt_pearson: Column) -> dict[str, Colum
     term1 = 1.0 - 2.0 / (9.0 * a)
     term2 = F.signum(d) * F.cbrt((1.0 - 2.0 / a) / F.abs(d))
     zk = F.when(d != 0, (term1 - term2) / F.sqrt(2.0 / (9.0 * a)))
-    k2 = zs * zs + zk * zk
+    k2 = F.pow(zs, F.lit(2.0)) + F.pow(zk, F.lit(2.0))
     return {"z_skew": zs, "z_kurt": zk, "k2": k2}
 
 
@@ -145,7 +145,8 @@ def rank_pairs(df: DataFrame, x: str, y: str, keys=(), buckets=None) -> DataFram
         plans = plan_bounds_multi(d, [keys + [x], keys + [y]])
     rx = average_ranks(d, x, keys, out="rx", buckets=buckets, plan=plans[0]).drop("cnt")
     ry = average_ranks(d, y, keys, out="ry", buckets=buckets, plan=plans[1]).drop("cnt")
-    return joint.join(rx, keys + [x]).join(ry, keys + [y]).select(*keys, "rx", "ry", "w")
+    j = same_keys(same_keys(joint, rx, keys + [x]), ry, keys + [y])
+    return j.select(*keys, "rx", "ry", "w")
 
 
 def weighted_corr(df: DataFrame, a: str, b: str, w: str, keys=()) -> DataFrame:
@@ -204,7 +205,7 @@ def auto_correlation(df: DataFrame, x: str, y: str, keys=(), alpha: float = 0.05
 def _join_all(frames, keys):
     out = frames[0]
     for f in frames[1:]:
-        out = out.join(f, keys) if keys else out.crossJoin(f)
+        out = same_keys(out, f, keys)
     return out
 
 
@@ -220,7 +221,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearm
         ranked = d
         for c in cols:
             rk = average_ranks(d, c, keys, out=f"_rk_{c}").drop("cnt")
-            ranked = ranked.join(rk, keys + [c])
+            ranked = same_keys(ranked, rk, keys + [c])
         ranked = ranked.select(*keys, *[F.col(f"_rk_{c}").alias(c) for c in cols])
         aggs = [safe_corr(a, b).alias(f"_r_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
         wide = ranked.groupBy(*keys).agg(*aggs)
@@ -247,9 +248,9 @@ def ks_test_norm(df: DataFrame, col: str, keys=(), mu: float | None = None,
                                (F.avg(col) if mu is None else F.lit(float(mu))).alias("mu"),
                                (F.stddev_pop(col) if sigma is None else F.lit(float(sigma))).alias("sigma"))
     cells = keyed_prefix(value_cells(d, col, keys), keys, [col], "cnt")
-    j = cells.join(fit, keys) if keys else cells.crossJoin(F.broadcast(fit))
-    cdf = special.norm_cdf_udf((F.col(col) - F.col("mu")) / F.col("sigma"))
-    j = j.withColumn("_f", cdf)
+    j = same_keys(cells, fit, keys)
+    # a constant group has no spread: its D stays null
+    j = j.withColumn("_f", norm_cdf(div(F.col(col) - F.col("mu"), F.col("sigma"))))
     dd = j.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("mu").alias("mu"), F.first("sigma").alias("sigma"),
         F.max(F.greatest((F.col("before") + F.col("cnt")) / F.col("n") - F.col("_f"),
@@ -274,9 +275,9 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], keys=()) -> DataFrame:
     p = len(xs)
 
     def fit(row):
-        n, s, q = gram_from_row(row, cols)
-        beta, ssr, inv, _ = ols_gram(n, s, q, range(p), p)
-        sst = q[p, p] - s[p] ** 2 / n
+        n, m, c = gram_from_row(row, cols)
+        beta, ssr, inv, _ = ols_gram(n, m, c, range(p), p)
+        sst = c[p, p]
         dof = n - (p + 1)
         s2 = ssr / dof if dof > 0 else float("nan")
         se = np.sqrt(np.maximum(np.diag(inv) * s2, 0))
@@ -300,6 +301,7 @@ def linear_fit(df: DataFrame, x: str, y: str, keys=()) -> DataFrame:
 def fit_metrics(df: DataFrame, y: str, yhat: str, keys=()) -> DataFrame:
     """RMSE and R² (R² null when the target is constant)."""
     keys = _keys(keys)
+    df = clean_numeric(df.select(*keys, y, yhat), [y, yhat])
     m = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
                               F.sum((F.col(y) - F.col(yhat)) ** 2).alias("sse"),
                               F.var_pop(y).alias("_vp"))
@@ -311,16 +313,20 @@ def fit_metrics(df: DataFrame, y: str, yhat: str, keys=()) -> DataFrame:
 
 def anova_oneway(df: DataFrame, group: str, value: str, keys=()) -> DataFrame:
     """``(keys, k, n, ss_between, ss_within, f_stat, p_value)`` from per-group
-    (n, Σ, Σ²) — two small aggregates, no per-row work beyond the first."""
+    (n, mean, variance), centred at both steps: group means are taken about
+    their average, so a large common mean costs no digits.  Null, NaN and
+    infinite values take no part; F is null where a divisor is 0."""
     keys = _keys(keys)
-    g = df.groupBy(*keys, group).agg(F.count(value).alias("_n"), F.sum(value).alias("_s"),
-                                     F.sum(F.col(value) * F.col(value)).alias("_q"))
+    d = clean_numeric(df.select(*keys, group, value), [value])
+    g = d.groupBy(*keys, group).agg(F.count(value).alias("_n"), F.avg(value).alias("_m"), F.var_pop(value).alias("_v"))
+    g = same_keys(g, g.groupBy(*keys).agg(F.avg("_m").alias("_c")), keys)
+    off = F.col("_m") - F.col("_c")
     t = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n"),
-                             F.sum(F.col("_s") * F.col("_s") / F.col("_n")).alias("_bs"),
-                             F.sum("_s").alias("_s"), F.sum("_q").alias("_q"))
-    ssb = F.col("_bs") - F.col("_s") * F.col("_s") / F.col("n")
-    ssw = F.col("_q") - F.col("_bs")
-    f = div(ssb / (F.col("k") - 1), ssw / (F.col("n") - F.col("k")))
+                             F.sum(F.col("_n") * F.col("_v")).alias("_w"), F.sum(F.col("_n") * off).alias("_1"),
+                             F.sum(F.col("_n") * off * off).alias("_2"))
+    ssb = F.col("_2") - F.col("_1") * F.col("_1") / F.col("n")
+    ssw = F.col("_w")
+    f = div(div(ssb, F.col("k") - 1), div(ssw, F.col("n") - F.col("k")))
     out = t.select(*keys, "k", "n", ssb.alias("ss_between"), ssw.alias("ss_within"), f.alias("f_stat"))
     return out.withColumn("p_value", special.f_sf_udf(F.col("f_stat"), F.col("k") - 1.0, F.col("n") - F.col("k") * 1.0))
 
@@ -407,6 +413,7 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
     merge count, and pairs across both are exactly the same problem on the
     (x-block, y-bucket) histogram, which is solved by recursion."""
     from statlake.operators.ranks import MAX_BUCKETS, ROWS_PER_BUCKET, _bucket_expr, _range_buckets, plan_bounds
+    import decimal
     import math as _m
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields if f.name in keys)
     ks = (kschema + ", " if kschema else "")
@@ -417,7 +424,7 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
             pdf = pdf.sort_values(sort_cols, kind="mergesort")
             v = weighted_inversions(pdf[y].to_numpy(), pdf[w].to_numpy())
             out = {kk: [pdf.iloc[0][kk]] for kk in keys}
-            out["d"] = [float(v)]
+            out["d"] = [decimal.Decimal(int(v))]
             return pd.DataFrame(out)
         return fn
 
@@ -425,7 +432,7 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
     want = buckets or _m.ceil(n_est / ROWS_PER_BUCKET)
     if want <= 1:
         grp = cells.groupBy(*keys) if keys else cells.groupBy()
-        return grp.applyInPandas(local([x, y]), ks + "d double")
+        return grp.applyInPandas(local([x, y]), ks + "d decimal(38,0)")
     if buckets == -1 or want > MAX_BUCKETS:
         c = _range_buckets(cells, keys + [x, y], max(2, want)).withColumnRenamed("_bkt", "_xb")
         c = _range_buckets(c, keys + [y, "_xb"], max(2, want)).withColumnRenamed("_bkt", "_yb")
@@ -433,13 +440,13 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
         c = cells.withColumn("_xb", _bucket_expr(keys + [x, y], bx) if bx else F.lit(0))
         by = plan_bounds(c, keys + [y, "_xb"], len(bx) + 1, 29 + depth) if bx else []
         c = c.withColumn("_yb", _bucket_expr(keys + [y, "_xb"], by) if by else F.lit(0))
-    d1 = c.groupBy(*keys, "_xb").applyInPandas(local([x, y]), ks + "d double")
-    d2 = c.groupBy(*keys, "_yb").applyInPandas(local(["_xb", y]), ks + "d double")
+    d1 = c.groupBy(*keys, "_xb").applyInPandas(local([x, y]), ks + "d decimal(38,0)")
+    d2 = c.groupBy(*keys, "_yb").applyInPandas(local(["_xb", y]), ks + "d decimal(38,0)")
     hist = c.groupBy(*keys, "_xb", "_yb").agg(F.sum(w).alias("h"))
     # pairs in different x-blocks and different y-buckets: same problem on the histogram
     d3 = _discordant(hist.withColumnRenamed("_xb", "hx").withColumnRenamed("_yb", "hy"), keys, "hx", "hy", "h",
                      None if buckets in (None, -1) else 1, depth + 1)
-    return d1.unionByName(d2).unionByName(d3).groupBy(*keys).agg(F.sum("d").alias("d"))
+    return d1.unionByName(d2).unionByName(d3).groupBy(*keys).agg(F.sum("d").cast("decimal(38,0)").alias("d"))
 
 
 def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None = None) -> DataFrame:
@@ -459,25 +466,32 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, keys=(), buckets: int | None =
     d = _pair_clean(df, x, y, keys)
     cells = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("w"))
     disc = _discordant(cells, keys, x, y, "w", buckets).withColumnRenamed("d", "discordant")
+
+    def pairs(w):  # w(w−1)/2 exactly; a decimal holds the pairs of more than 3e9 rows
+        half = w % 2 == 0
+        a = F.when(half, F.shiftright(w, 1)).otherwise(w).cast("decimal(19,0)")
+        b = F.when(half, w - 1).otherwise(F.shiftright(w - 1, 1)).cast("decimal(19,0)")
+        return (a * b).cast("decimal(38,0)")
+
     def ties(col, tag):
         t = F.col("t").cast("double")
         return cells.groupBy(*keys, col).agg(F.sum("w").alias("t")).groupBy(*keys).agg(
-            F.sum(t * (t - 1) / 2).alias(f"n{tag}"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"_v{tag}"),
+            F.sum(pairs(F.col("t"))).cast("decimal(38,0)").alias(f"n{tag}"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"_v{tag}"),
             F.sum(t * (t - 1)).alias(f"_a{tag}"), F.sum(t * (t - 1) * (t - 2)).alias(f"_b{tag}"))
     tx = ties(x, "1")
     ty = ties(y, "2")
-    tot = cells.groupBy(*keys).agg(F.sum("w").alias("n"), F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("n3"))
+    tot = cells.groupBy(*keys).agg(F.sum("w").alias("n"), F.sum(pairs(F.col("w"))).cast("decimal(38,0)").alias("n3"))
     j = _join_all([tot, tx, ty, disc], keys)
-    n0 = F.col("n") * (F.col("n") - 1) / 2
+    n0 = pairs(F.col("n"))
     conc = n0 - F.col("n1") - F.col("n2") + F.col("n3") - F.col("discordant")
-    j = j.withColumn("concordant", conc)
-    tau = div(F.col("concordant") - F.col("discordant"), F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2"))))
+    j = j.withColumn("concordant", conc.cast("decimal(38,0)"))
+    s = (F.col("concordant") - F.col("discordant")).cast("double")
+    tau = div(s, F.sqrt((n0 - F.col("n1")).cast("double") * (n0 - F.col("n2")).cast("double")))
     # tie-corrected variance of S = C − D (normal approximation)
     n = F.col("n").cast("double")
     var = ((n * (n - 1) * (2 * n + 5) - F.col("_v1") - F.col("_v2")) / 18.0
-           + F.col("_a1") * F.col("_a2") / (2.0 * n * (n - 1))
-           + F.col("_b1") * F.col("_b2") / (9.0 * n * (n - 1) * (n - 2)))
-    z = F.when((n > 2) & (var > 0), (F.col("concordant") - F.col("discordant")) / F.sqrt(var))
-    j = j.withColumn("z", z).withColumn("p_value", 2.0 * special.norm_cdf_udf(-F.abs(F.col("z"))))
-    return j.select(*keys, F.col("n").cast("long").alias("n"), F.col("concordant").cast("long").alias("concordant"),
-                    F.col("discordant").cast("long").alias("discordant"), tau.alias("tau_b"), "z", "p_value")
+           + div(F.col("_a1") * F.col("_a2"), 2.0 * n * (n - 1))
+           + div(F.col("_b1") * F.col("_b2"), 9.0 * n * (n - 1) * (n - 2)))
+    z = F.when((n > 2) & (var > 0), s / F.sqrt(var))
+    j = j.withColumn("z", z).withColumn("p_value", F.when(F.col("z").isNotNull(), 2.0 * norm_cdf(-F.abs(F.col("z")))))
+    return j.select(*keys, F.col("n").cast("long").alias("n"), "concordant", "discordant", tau.alias("tau_b"), "z", "p_value")

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.functions import special
-from statlake.operators.moments import gram_agg, gram_from_row, ols_gram
+from statlake.functions.exprs import clean_numeric
+from statlake.functions.safe import div, same_keys
+from statlake.operators.moments import gram_agg, gram_from_row, merge_rows, ols_gram
 
 # MacKinnon (1994/2010) response-surface constants for the
 # ADF test with a constant and one series (p-value and critical values).
@@ -68,7 +70,7 @@ def _series_w(keys, order):
 
 
 ADF_SCHEMA_FIELDS = ("adf_stat double, p_value double, used_lag long, nobs long, crit_1 double, "
-                     "crit_5 double, crit_10 double, is_stationary boolean")
+                     "crit_5 double, crit_10 double, is_stationary boolean, error string")
 
 
 def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> DataFrame:
@@ -76,11 +78,13 @@ def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> Dat
 
     maxlag = min(⌈12 (n/100)^¼⌉, n//2 − 2); AIC compared on the common
     sample, the chosen lag refitted on its longest sample.  One Gram row per
-    (series, variant) where variant −1 is the common sample and L ≥ 0 the
-    refit sample of lag L."""
+    series covers the common sample; the at most maxlag earlier rows come
+    beside it, and the refit sample of a lag is the common one plus its own
+    earlier rows.  A constant or too short series has null results and an
+    ``error``; null, NaN and infinite values are left out first."""
     keys = _k(keys)
-    d = df.select(*keys, order, value).filter(F.col(value).isNotNull())
-    lmax = max(0, min(math.ceil(12 * (max(_max_n(d, keys), 1) / 100) ** 0.25), 60))
+    d = clean_numeric(df.select(*keys, order, value), [value])
+    lmax = max(0, math.ceil(12 * (max(_max_n(d, keys), 1) / 100) ** 0.25))
     w = _series_w(keys, order)
     d = (d.withColumn("_t", F.row_number().over(w) - 1)
           .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys) if keys else Window.partitionBy()))
@@ -90,60 +94,62 @@ def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> Dat
         d = d.withColumn(f"_dl{j}", F.coalesce(F.lag("_dy", j).over(w), F.lit(0.0)))
     ml = F.least(F.ceil(12 * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2).cast("long")
     d = d.withColumn("_ml", F.greatest(F.least(ml, F.lit(lmax)), F.lit(0)))
-    d = d.withColumn("variant", F.explode(F.sequence(F.lit(-1), F.col("_ml"))))
-    start = F.when(F.col("variant") < 0, F.col("_ml")).otherwise(F.col("variant")) + 1
-    d = d.filter((F.col("_t") >= start) & F.col("_dy").isNotNull())
+    d = d.filter((F.col("_t") >= 1) & F.col("_dy").isNotNull())
     cols = ["_ylag"] + [f"_dl{j}" for j in range(1, lmax + 1)] + ["_dy"]
-    g = gram_agg(d, cols, keys + ["variant"], extra=[F.first("_ml").alias("_ml")])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = {int(r["variant"]): r for _, r in pdf.iterrows()}
-        base = next(iter(rows.values()))
-        ml = int(base["_ml"])
-        out = {k: base[k] for k in keys}
-        res = _adf_from_grams(rows, ml, cols)
-        out.update(res)
-        out["is_stationary"] = bool(res["p_value"] < alpha) if np.isfinite(res["p_value"]) else False
-        return pd.DataFrame([out])
-
-    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in g.schema.fields if f.name in keys)
-    schema = (kschema + ", " if kschema else "") + ADF_SCHEMA_FIELDS
-    if keys:
-        return g.groupBy(*keys).applyInPandas(solve, schema)
-    return g.groupBy().applyInPandas(solve, schema)
-
-
-def _ols_from_gram(n, s, q, xi, yi):
-    return ols_gram(n, s, q, xi, yi)
+    common = gram_agg(d.filter(F.col("_t") > F.col("_ml")), cols, keys, extra=[F.first("_ml").alias("_ml")])
+    early = d.filter(F.col("_t") <= F.col("_ml")).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("_t", F.array(*cols).alias("x")))).alias("_early"))
+    g = same_keys(common, early, keys, "left") if keys else common.join(F.broadcast(early), how="left")
+    names = keys + [f.split()[0] for f in ADF_SCHEMA_FIELDS.split(", ")]
 
+    def solve(it):
+        for pdf in it:
+            out = []
+            for _, row in pdf.iterrows():
+                res = _adf_from_gram(row, cols)
+                out.append({**{k: row[k] for k in keys}, **res,
+                            "is_stationary": None if res["p_value"] is None else bool(res["p_value"] < alpha)})
+            yield pd.DataFrame(out, columns=names)
 
-def _adf_from_grams(rows: dict, ml: int, cols: list[str]) -> dict:
-    nan = float("nan")
-    empty = {"adf_stat": nan, "p_value": nan, "used_lag": -1, "nobs": 0,
-             "crit_1": nan, "crit_5": nan, "crit_10": nan}
-    if -1 not in rows:
-        return empty
-    n, s, q = gram_from_row(rows[-1], cols)
-    yi = len(cols) - 1
+    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in g.schema.fields if f.name in keys)
+    fitted = g.mapInPandas(solve, (kschema + ", " if kschema else "") + ADF_SCHEMA_FIELDS)
+    if not keys:
+        return fitted
+    # series too short for one common row keep a row that says so
+    every = df.select(*keys).distinct()
+    out = same_keys(every, fitted.withColumn("_found", F.lit(True)), keys, "left")
+    return out.withColumn("error", F.when(F.col("_found").isNull(), F.lit("too few rows")).otherwise(F.col("error"))).select(*names)
+
+
+def _adf_from_gram(row, cols: list[str]) -> dict:
+    """One series: lag by AIC on the common sample, then the refit."""
+    none = {"adf_stat": None, "p_value": None, "used_lag": None, "nobs": None, "crit_1": None, "crit_5": None, "crit_10": None}
+    n, m, c = gram_from_row(row, cols)
+    ml, yi = int(row["_ml"]), len(cols) - 1
+    early = row["_early"]
+    early = [] if early is None or isinstance(early, float) else [(int(r["_t"]), list(r["x"])) for r in early]
+    if c[0, 0] <= 1e-14 * max(1.0, m[0] ** 2) * n:
+        return {**none, "error": "constant series"}
     best = None
     for lag in range(0, ml + 1):
         xi = list(range(0, lag + 1))
-        _, ssr, _, k = _ols_from_gram(n, s, q, xi, yi)
+        if n <= len(xi) + 1:
+            break
+        _, ssr, _, k = ols_gram(n, m, c, xi, yi)
         llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
         aic = -2 * llf + 2 * k
         if best is None or aic < best[0]:
             best = (aic, lag)
+    if best is None:
+        return {**none, "error": "too few rows"}
     lag = best[1]
-    if lag not in rows:
-        return empty
-    n, s, q = gram_from_row(rows[lag], cols)
-    xi = list(range(0, lag + 1))
-    beta, ssr, inv, k = _ols_from_gram(n, s, q, xi, yi)
+    n, m, c = merge_rows(n, m, c, np.array([x for t, x in early if t > lag], dtype=float).reshape(-1, len(cols)))
+    beta, ssr, inv, k = ols_gram(n, m, c, list(range(0, lag + 1)), yi)
+    if n <= k:
+        return {**none, "error": "too few rows"}
     s2 = ssr / (n - k)
     tau = float(beta[1] / math.sqrt(max(inv[1, 1] * s2, 1e-300)))
-    out = {"adf_stat": tau, "p_value": mackinnon_p(tau), "used_lag": lag, "nobs": int(n)}
-    out.update(mackinnon_crit(n))
-    return out
+    return {"adf_stat": tau, "p_value": mackinnon_p(tau), "used_lag": lag, "nobs": int(n), "error": None, **mackinnon_crit(n)}
 
 
 def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12) -> DataFrame:
@@ -178,7 +184,7 @@ def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12)
     res = adf(v.select(*vk, order, "_yds"), vk, order, "_yds")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = {(r.tr, int(r.d), int(r.big_d)): r.p_value for r in pdf.itertuples()}
+        p = {(r.tr, int(r.d), int(r.big_d)): float("nan") if r.p_value is None else r.p_value for r in pdf.itertuples()}
         p_raw = p.get(("raw", 0, 0), np.nan)
         tr = "raw"
         lp = p.get(("log", 0, 0), np.nan)
@@ -209,23 +215,24 @@ def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12)
 
 def acf(df: DataFrame, keys, order: str, value: str, nlags: int | None = None) -> DataFrame:
     """Biased ACF per series as long ``(keys, lag, acf)`` for lag 0..nlags;
-    default nlags = min(36, max(10, n−1)) per series."""
+    default nlags = min(36, max(10, n−1)) per series.  A constant series has
+    autocorrelation 1 at lag 0 and null beyond."""
     keys = _k(keys)
     kmax = nlags if nlags is not None else 36
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
     w = _series_w(keys, order)
-    d = df.select(*keys, order, value).filter(F.col(value).isNotNull())
+    d = clean_numeric(df.select(*keys, order, value), [value])
     d = d.withColumn("_c", F.col(value) - F.avg(value).over(wk))
     lagged = d.select(*keys, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, kmax + 1)])
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_c") * F.col("_c")).alias("_s0")]
     aggs += [F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, kmax + 1)]
     g = lagged.groupBy(*keys).agg(*aggs)
     entries = [F.struct(F.lit(k).cast("long").alias("lag"),
-                        (F.col(f"_s{k}") / F.col("_s0")).alias("acf")) for k in range(0, kmax + 1)]
+                        F.when(F.col("_s0") != 0, F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.col("_s0")).alias("acf")) for k in range(0, kmax + 1)]
     out = g.select(*keys, "n", F.explode(F.array(*entries)).alias("e")).select(*keys, "n", "e.lag", "e.acf")
     if nlags is None:
         out = out.filter(F.col("lag") <= F.least(F.lit(36), F.greatest(F.lit(10), F.col("n") - 1)))
-    return out.withColumn("acf", F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(F.coalesce(F.col("acf"), F.lit(0.0))))
+    return out.withColumn("acf", F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(F.col("acf")))
 
 
 def pacf_yw(acf_df: DataFrame, keys) -> DataFrame:
@@ -269,7 +276,7 @@ def ljung_box(df: DataFrame, keys, order: str, value: str, lags: int | None = No
     lag_rule = F.lit(lags) if lags is not None else F.least(F.lit(24), F.greatest(F.lit(10), F.floor(F.col("n") / 5)))
     a = a.filter((F.col("lag") >= 1) & (F.col("lag") <= lag_rule))
     q = a.groupBy(*keys).agg(F.first("n").alias("n"), F.max("lag").alias("lags"),
-                             F.sum(F.col("acf") * F.col("acf") / (F.col("n") - F.col("lag"))).alias("_s"))
+                             F.sum(div(F.col("acf") * F.col("acf"), F.col("n") - F.col("lag"))).alias("_s"))
     q = q.withColumn("lb_stat", F.col("n") * (F.col("n") + 2) * F.col("_s")).drop("_s")
     return q.withColumn("lb_pvalue", special.chi2_sf_udf(F.col("lb_stat"), F.col("lags").cast("double")))
 
@@ -304,13 +311,13 @@ def seasonal_decompose(df: DataFrame, keys, order: str, value: str, period: int
         F.regr_intercept(F.when(lo, F.col("_ma")), F.when(lo, F.col("_t"))).alias("_a0"),
         F.regr_slope(F.when(hi, F.col("_ma")), F.when(hi, F.col("_t"))).alias("_b1"),
         F.regr_intercept(F.when(hi, F.col("_ma")), F.when(hi, F.col("_t"))).alias("_a1"))
-    d = d.join(fits, keys) if keys else d.crossJoin(F.broadcast(fits))
+    d = same_keys(d, fits, keys)
     trend = F.coalesce(F.col("_ma"), F.when(F.col("_t") < half, F.col("_a0") + F.col("_b0") * F.col("_t"))
                        .otherwise(F.col("_a1") + F.col("_b1") * F.col("_t")))
     d = d.withColumn("trend", trend).withColumn("_phase", F.col("_t") % period)
     ph = d.groupBy(*keys, "_phase").agg(F.avg(F.col(value) - F.col("trend")).alias("_pm"))
     ph = ph.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(wk)).drop("_pm")
-    d = d.join(ph, keys + ["_phase"])
+    d = same_keys(d, ph, keys + ["_phase"])
     return d.select(*keys, order, value, "trend", "seasonal",
                     (F.col(value) - F.col("trend") - F.col("seasonal")).alias("resid"))
 
@@ -321,7 +328,8 @@ def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
             difference: bool = True) -> DataFrame:
     """Does ``x`` help predict ``y``?  For L = 1..maxlag compare
     y ~ const + y lags and y ~ const + y lags + x lags on the rows where all
-    L lags exist.  One Gram aggregate per (series, L)."""
+    L lags exist.  One Gram aggregate per (series, L).  The F test that all
+    x coefficients are 0 (``params_f``) is the SSR F test for least squares."""
     keys = _k(keys)
     w = _series_w(keys, order)
     d = df.select(*keys, order, y, x)
@@ -342,10 +350,10 @@ def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
             out = []
             for _, row in pdf.iterrows():
                 L = int(row["lag"])
-                n, s, q = gram_from_row(row, cols)
+                n, m, c = gram_from_row(row, cols)
                 yi = len(cols) - 1
-                _, ssr_r, _, _ = _ols_from_gram(n, s, q, list(range(L)), yi)
-                _, ssr_u, _, ku = _ols_from_gram(n, s, q, list(range(L)) + [maxlag + j for j in range(L)], yi)
+                _, ssr_r, _, _ = ols_gram(n, m, c, list(range(L)), yi)
+                _, ssr_u, _, ku = ols_gram(n, m, c, list(range(L)) + [maxlag + j for j in range(L)], yi)
                 dfd = n - ku
                 f = ((ssr_r - ssr_u) / L) / (ssr_u / dfd) if dfd > 0 else np.nan
                 rec = {k: row[k] for k in keys}
@@ -353,14 +361,16 @@ def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
                             "ssr_chi2": n * (ssr_r - ssr_u) / ssr_u,
                             "ssr_chi2_p": float(special.chi2_sf(n * (ssr_r - ssr_u) / ssr_u, L)),
                             "lr": n * math.log(ssr_r / ssr_u),
-                            "lr_p": float(special.chi2_sf(n * math.log(ssr_r / ssr_u), L))})
+                            "lr_p": float(special.chi2_sf(n * math.log(ssr_r / ssr_u), L)),
+                            "params_f": f, "params_f_p": float(special.f_sf(f, L, dfd))})
                 out.append(rec)
             yield pd.DataFrame(out, columns=keys + ["lag", "nobs", "ssr_f", "ssr_f_p", "ssr_chi2", "ssr_chi2_p",
-                                                   "lr", "lr_p"])
+                                                   "lr", "lr_p", "params_f", "params_f_p"])
 
     kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in g.schema.fields if f.name in keys)
     schema = (kschema + ", " if kschema else "") + (
-        "lag long, nobs long, ssr_f double, ssr_f_p double, ssr_chi2 double, ssr_chi2_p double, lr double, lr_p double")
+        "lag long, nobs long, ssr_f double, ssr_f_p double, ssr_chi2 double, ssr_chi2_p double, lr double, lr_p double, "
+        "params_f double, params_f_p double")
     return g.mapInPandas(solve, schema)
 
 
@@ -374,12 +384,12 @@ def _loess(y, w_rob, span, deg=1, xs=None):
     n = len(y)
     xs = np.arange(n) if xs is None else xs
     q = min(span, n)
-    scale = max(span, n) / n if span > n else 1.0
+    wider = (span - n) // 2 if span > n else 0
     out = np.empty(len(xs))
     for i, x0 in enumerate(xs):
         lo = int(min(max(int(round(x0)) - (q - 1) // 2, 0), n - q))
         t = np.arange(lo, lo + q, dtype=float)
-        h = max(x0 - lo, lo + q - 1 - x0, 1e-12) * scale
+        h = max(x0 - lo, lo + q - 1 - x0, 1e-12) + wider
         u = np.clip(np.abs(t - x0) / h, 0, 1)
         w = (1 - u ** 3) ** 3 * w_rob[lo:lo + q]
         yy = y[lo:lo + q]
@@ -392,7 +402,8 @@ def _loess(y, w_rob, span, deg=1, xs=None):
             continue
         mx = (w * t).sum() / sw
         sxx = (w * (t - mx) ** 2).sum()
-        b = (w * (t - mx) * yy).sum() / sxx if sxx > 0 else 0.0
+        # a slope only where the weights spread over the axis: when robustness leaves one point, its mean
+        b = (w * (t - mx) * yy).sum() / sxx if math.sqrt(sxx / sw) > 0.001 * (n - 1) else 0.0
         out[i] = (w * yy).sum() / sw + b * (x0 - mx)
     return out
 

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlake.functions.safe import same_keys
 from statlake.operators.ranks import keyed_prefix
 
 
@@ -137,11 +138,11 @@ def path_length(points: DataFrame, route: str, seq: str, coords: Sequence[str],
     is unique per row, so a very long route does not land in one task."""
     pos = keyed_prefix(points.withColumn("_one", F.lit(1)), [route], [seq], "_one", out="_p").drop("_one")
     m = points.groupBy(route).agg(F.count(F.lit(1)).alias("_m"))
-    a = pos.join(m, route).withColumn("_nxt", F.col("_p") + 1)
+    a = same_keys(pos, m, [route]).withColumn("_nxt", F.col("_p") + 1)
     if closed:
         a = a.withColumn("_nxt", F.col("_nxt") % F.col("_m"))
     b = pos.select(F.col(route).alias("_r2"), F.col("_p").alias("_p2"), *[F.col(c).alias(f"_b_{c}") for c in coords])
-    legs = a.join(b, (a[route] == b["_r2"]) & (a["_nxt"] == b["_p2"]))
+    legs = a.join(b, a[route].eqNullSafe(b["_r2"]) & (a["_nxt"] == b["_p2"]))
     d = F.sqrt(sum(((F.col(c) - F.col(f"_b_{c}")) ** 2 for c in coords), F.lit(0.0)))
     return legs.groupBy(route).agg(F.sum(d).alias("length"), F.count(F.lit(1)).alias("legs"))
 

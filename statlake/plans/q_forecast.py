@@ -8,6 +8,7 @@ from statlake.operators import forecast as fc
 from statlake.operators import stats, tstests
 from statlake.plans.common import rnd
 from statlake.plans.registry import register
+from statlake.session import ensure_checkpoint_dir
 from statlake.sources.tables import monthly_order_totals
 
 KEY = ["series_key"]
@@ -25,17 +26,24 @@ def _prepared(spark, sf):
     return packed
 
 
-def _best(spark, sf):
+def _best(spark, sf, reuse: bool = True):
+    """Packed series and chosen models; ``reuse`` freezes both (one row per
+    series) in the checkpoint folder, so that several consumers of the plan
+    don't run the search again."""
     packed = _prepared(spark, sf)
     fits = fc.sarima_grid(packed, KEY, fc.order_grid(), fixed_diff=True)
-    return packed, fc.best_by_aic(fits, KEY)
+    best = fc.best_by_aic(fits, KEY)
+    if not reuse:
+        return packed, best
+    ensure_checkpoint_dir(spark)
+    return packed, best.checkpoint()
 
 
 @register("sarima_best_orders")
 def sarima_best_orders(spark, sf):
     """F1 + F2: SARIMA(p,d,q)x(P,D,Q,12) search by AIC per priority; d, D
     from the stationarity step, p, q, P, Q in 0..2 (81 fits per series)."""
-    _, best = _best(spark, sf)
+    _, best = _best(spark, sf, reuse=False)
     return best.select(*KEY, *fc.ORDER_FIELDS, rnd("aic", 4).alias("aic"), "n_eff")
 
 
@@ -51,7 +59,7 @@ def sarima_forecast_orders(spark, sf):
 @register("sarima_params_orders")
 def sarima_params_orders(spark, sf):
     """parameter table of each chosen model with standard errors (incl. σ²)."""
-    _, best = _best(spark, sf)
+    _, best = _best(spark, sf, reuse=False)
     return fc.param_table(best, KEY).select(*KEY, "param", rnd("estimate", 8).alias("estimate"),
                                             rnd("stderr", 8).alias("stderr"))
 
@@ -61,7 +69,7 @@ def sarima_diagnostics_orders(spark, sf):
     """F8: residual Ljung–Box, Jarque–Bera, skewness and kurtosis of each
     chosen model, computed by Spark aggregates over the residual rows."""
     packed, best = _best(spark, sf)
-    res = fc.residual_frame(packed.select(*KEY, "y"), best, KEY)
+    res = fc.residual_frame(packed.select(*KEY, "y"), best, KEY).checkpoint()
     lb = tstests.ljung_box(res, KEY, "t", "resid")
     jb = stats.jarque_bera(res, "resid", KEY)
     out = best.select(*KEY, *fc.ORDER_FIELDS, "aic").join(lb, KEY).join(
@@ -117,10 +125,36 @@ def holt_winters_orders(spark, sf):
     """additive-trend, multiplicative-season smoothing (period 12) with
     weights chosen by SSE over a grid; 10-month forecast."""
     packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
-    hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID)
+    hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID, refine=False)
     return hw.select(*KEY, "alpha", "beta", "gamma", "h_step", rnd("forecast", 2).alias("forecast"))
 
 
+@register("holt_winters_refined_orders")
+def holt_winters_refined_orders(spark, sf):
+    """F5 with weights optimised per series from the grid's best."""
+    packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
+    hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID)
+    return hw.select(*KEY, rnd("alpha", 3).alias("alpha"), rnd("beta", 3).alias("beta"), rnd("gamma", 3).alias("gamma"), "h_step",
+                     rnd("forecast", 0).alias("forecast"))
+
+
+@register("sarimax_forecast_lineitem")
+def sarimax_forecast_lineitem(spark, sf):
+    """F3 + F4: the last 6 months of log shipped revenue per return flag
+    forecast from the months before, with the known mean discount as
+    regressor; 80 % band."""
+    from pyspark.sql import Window
+    from statlake.sources.tables import monthly_lineitem
+    m = monthly_lineitem(spark, sf).withColumn("revenue", F.log("revenue"))
+    last = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("ts")))  # months of one flag
+    m = m.withColumn("_back", last)
+    o = dict(p=1, d=1, q=1, sp=0, sd=0, sq=0, s=12)
+    f = fc.sarimax_fit(m.filter("_back > 6"), KEY, "ts", "revenue", ["discount"], o, h=6, future=m.filter("_back <= 6"), alpha=0.2)
+    step = F.posexplode(F.arrays_zip("forecast", "lower", "upper")).alias("h_step", "f")
+    return f.select(*KEY, step).select(*KEY, (F.col("h_step") + 1).alias("h_step"), rnd("f.forecast", 4).alias("forecast"),
+                                       rnd("f.lower", 4).alias("lower"), rnd("f.upper", 4).alias("upper"))
+
+
 @register("stl_orders")
 def stl_orders(spark, sf):
     """Robust STL (period 12) of monthly order totals per priority."""
@@ -156,6 +190,8 @@ def sarima_search_orders(spark, sf):
     with the number of successful fits."""
     packed = _prepared(spark, sf)
     fits = fc.sarima_grid(packed.select(*KEY, "y"), KEY, fc.order_grid())
-    best = fc.best_by_aic(fits, KEY)
-    n_ok = fits.groupBy(*KEY).agg(F.count(F.lit(1)).alias("fits"), F.sum(F.col("ok").cast("long")).alias("fits_ok"))
-    return best.join(n_ok, KEY).select(*KEY, *fc.ORDER_FIELDS, rnd("aic", 4).alias("aic"), "fits", "fits_ok")
+    # one aggregate: the best successful fit and the counts
+    order = F.when(F.col("ok"), F.struct("aic", *fc.ORDER_FIELDS))
+    out = fits.groupBy(*KEY).agg(F.min_by(F.struct(*fc.ORDER_FIELDS, "aic"), order).alias("b"), F.count(F.lit(1)).alias("fits"),
+                                 F.sum(F.col("ok").cast("long")).alias("fits_ok")).filter("fits_ok > 0")
+    return out.select(*KEY, "b.*", "fits", "fits_ok").withColumn("aic", rnd("aic", 4))

@@ -9,84 +9,78 @@ from statlake.plans.common import rnd
 from statlake.plans.registry import register
 from statlake.sources.tables import embedding_points, table
 
-D4 = ["x0", "x1", "x2", "x3"]
-EMB_SQL = ("p AS (SELECT vec_id AS id, label AS grp, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, "
-           "embedding[3]::DOUBLE AS x2, embedding[4]::DOUBLE AS x3 FROM embeddings)")
+NDIM = 64  # all embedding dimensions
+DIMS = [f"x{i}" for i in range(NDIM)]
+EMB_SQL = f"""p AS (SELECT vec_id AS id, label AS grp, unnest(range({NDIM})) AS k, unnest(embedding)::DOUBLE AS v FROM embeddings),
+c AS (SELECT grp AS g, k, avg(v) AS m, var_pop(v) AS s, count(*) AS n FROM p GROUP BY 1, 2)"""
 
 
 def _centers(pts, spark):
-    rows = cluster.centroids(pts, D4, "grp").orderBy("grp").collect()  # k rows
-    return [[r[c] for c in D4] for r in rows]
+    rows = cluster.centroids(pts, DIMS, "grp").orderBy("grp").collect()  # k rows
+    return [[r[c] for c in DIMS] for r in rows]
 
 
 @register("nearest_centroid_embeddings", f"""
 WITH {EMB_SQL},
-c AS (SELECT row_number() OVER (ORDER BY grp) - 1 AS i, avg(x0) AS c0, avg(x1) AS c1, avg(x2) AS c2, avg(x3) AS c3
-      FROM p GROUP BY grp),
-d AS (SELECT p.id, min({{'d': (0.0 + (x0-c0)*(x0-c0) + (x1-c1)*(x1-c1) + (x2-c2)*(x2-c2) + (x3-c3)*(x3-c3)), 'i': i}}) AS b
-      FROM p, c GROUP BY p.id)
-SELECT b.i::BIGINT AS cluster, count(*)::BIGINT AS n, round(sum(b.d), 6) AS sse FROM d GROUP BY 1""")
+d AS (SELECT id, g, sum((v - m)*(v - m)) AS d FROM p JOIN c USING (k) GROUP BY 1, 2),
+r AS (SELECT g, row_number() OVER (ORDER BY g) - 1 AS i FROM (SELECT DISTINCT g FROM c)),
+b AS (SELECT id, min({{'d': d, 'i': i}}) AS b FROM d JOIN r USING (g) GROUP BY id)
+SELECT b.i::BIGINT AS cluster, count(*)::BIGINT AS n, round(sum(b.d), 6) AS sse FROM b GROUP BY 1""")
 def nearest_centroid_embeddings(spark, sf):
-    """J2 + K2 + A21: assign every point to the nearest label centroid (4
-    dims; ties → lowest index) and report cluster sizes and inertia."""
-    pts = embedding_points(spark, sf, 4)
-    i = cluster.inertia(pts, D4, _centers(pts, spark))
+    """J2 + K2 + A21: assign every point to the nearest label centroid (all
+    dimensions; ties → lowest index) and report cluster sizes and inertia."""
+    pts = embedding_points(spark, sf, NDIM)
+    i = cluster.inertia(pts, DIMS, _centers(pts, spark))
     return i.select("cluster", F.col("n").cast("long").alias("n"), rnd("sse").alias("sse"))
 
 
 @register("silhouette_labels_embeddings", f"""
 WITH {EMB_SQL},
-s AS (SELECT grp AS g, count(*) AS n, sum(x0*x0+x1*x1+x2*x2+x3*x3) AS q, sum(x0) AS s0, sum(x1) AS s1, sum(x2) AS s2, sum(x3) AS s3
-      FROM p GROUP BY grp),
-m AS (SELECT p.id, p.grp, s.g, s.n, (0.0 + x0*x0+x1*x1+x2*x2+x3*x3) - 2.0*(0.0 + x0*s0 + x1*s1 + x2*s2 + x3*s3)/s.n + s.q/s.n AS md
-      FROM p, s),
-ab AS (SELECT id, grp, max(CASE WHEN g = grp THEN CASE WHEN n > 1 THEN md*n/(n-1) END END) AS a,
+m AS (SELECT id, grp, g, any_value(n) AS n, sum((v - m)*(v - m) + s) AS md FROM p JOIN c USING (k) GROUP BY 1, 2, 3),
+ab AS (SELECT id, grp, max(CASE WHEN g = grp AND n > 1 THEN md*n/(n-1) END) AS a,
               min(CASE WHEN g <> grp THEN md END) AS b, max(CASE WHEN g = grp THEN n END) AS own_n FROM m GROUP BY id, grp),
-r AS (SELECT grp, CASE WHEN own_n <= 1 THEN 0.0 ELSE (b - a)/greatest(a, b) END AS sil FROM ab)
+r AS (SELECT grp, CASE WHEN own_n <= 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a)/greatest(a, b) END AS sil FROM ab)
 SELECT grp::VARCHAR AS grp, count(*)::BIGINT AS n, round(avg(sil), 6) AS silhouette FROM r GROUP BY grp
 UNION ALL SELECT '__all__', count(*)::BIGINT, round(avg(sil), 6) FROM r""")
 def silhouette_labels_embeddings(spark, sf):
-    """K3: squared-Euclidean silhouette of the label partition (4 dims) from
+    """K3: squared-Euclidean silhouette of the label partition (all dimensions) from
     per-cluster sufficient statistics — O(n·k), no pairs."""
-    s = cluster.silhouette_sq(embedding_points(spark, sf, 4), D4, "grp")
+    s = cluster.silhouette_sq(embedding_points(spark, sf, NDIM), DIMS, "grp")
     return s.select(F.col("grp").cast("string").alias("grp"), F.col("n").cast("long").alias("n"),
                     rnd("silhouette").alias("silhouette"))
 
 
-@register("pca_embeddings", f"""
-WITH {EMB_SQL},
-c AS (SELECT var_samp(x0) AS a, var_samp(x1) AS c, covar_samp(x0, x1) AS b FROM p),
-e AS (SELECT (a+c)/2 + sqrt(((a-c)/2)*((a-c)/2) + b*b) AS l1, (a+c)/2 - sqrt(((a-c)/2)*((a-c)/2) + b*b) AS l2 FROM c)
-SELECT 1::BIGINT AS component, round(l1/(l1+l2), 6) AS ratio FROM e UNION ALL SELECT 2::BIGINT, round(l2/(l1+l2), 6) FROM e""")
+@register("pca_embeddings")
 def pca_embeddings(spark, sf):
-    """K4: explained-variance ratio of two principal components (MLlib PCA)."""
-    p = cluster.pca_explained(embedding_points(spark, sf, 2), ["x0", "x1"], 2)
+    """K4: explained-variance ratio of the two main components of all
+    dimensions (MLlib PCA; the tests hold it against closed forms)."""
+    p = cluster.pca_explained(embedding_points(spark, sf, NDIM), DIMS, 2)
     return p.select("component", rnd("ratio").alias("ratio"))
 
 
 @register("kmeans_embeddings")
 def kmeans_embeddings(spark, sf):
-    """K1: k-means (k=10, 3 restarts, lowest cost) on 4 embedding dims;
+    """K1: k-means (k=10, 3 restarts, lowest cost) on all embedding dimensions;
     cluster sizes and inertia."""
-    pts = embedding_points(spark, sf, 4)
-    centers, _ = cluster.kmeans(pts, D4, 10, n_init=3)
-    i = cluster.inertia(pts, D4, centers)
+    pts = embedding_points(spark, sf, NDIM)
+    centers, _ = cluster.kmeans(pts, DIMS, 10, n_init=3)
+    i = cluster.inertia(pts, DIMS, centers)
     return i.select("cluster", F.col("n").cast("long").alias("n"), rnd("sse").alias("sse"))
 
 
 @register("kmeans_sweep_embeddings")
 def kmeans_sweep_embeddings(spark, sf):
     """K3 sweep: k = 2..7, inertia and squared-Euclidean silhouette."""
-    s = cluster.kmeans_sweep(embedding_points(spark, sf, 4), D4, range(2, 8), n_init=2)
+    s = cluster.kmeans_sweep(embedding_points(spark, sf, NDIM), DIMS, range(2, 8), n_init=2)
     return s.select("k", rnd("inertia").alias("inertia"), rnd("silhouette").alias("silhouette"))
 
 
 @register("som_embeddings")
 def som_embeddings(spark, sf):
-    """K5–K7: 6×6 batch SOM on 4 dims (10 epochs), then the five busiest units."""
-    pts = embedding_points(spark, sf, 4)
-    w, _ = cluster.som_fit(pts, D4, 6, 6, epochs=10)
-    return cluster.som_hit_map(cluster.som_transform(pts, D4, w, 6), 5)
+    """K5–K7: 6×6 batch SOM on all dimensions (10 epochs), then the five busiest units."""
+    pts = embedding_points(spark, sf, NDIM)
+    w, _ = cluster.som_fit(pts, DIMS, 6, 6, epochs=10)
+    return cluster.som_hit_map(cluster.som_transform(pts, DIMS, w, 6), 5)
 
 
 # ---- discriminants and evaluation ------------------------------------------------
@@ -177,11 +171,11 @@ def lda_report_lineitem(spark, sf):
 
 @register("lda_shrinkage_embeddings")
 def lda_shrinkage_embeddings(spark, sf):
-    """Ledoit–Wolf shrinkage LDA on standardised 8 embedding dims; the
+    """Ledoit–Wolf shrinkage LDA on all standardised embedding dimensions; the
     shrinkage intensity and training accuracy."""
     from statlake.functions.exprs import standardize
-    cols = [f"x{i}" for i in range(8)]
-    pts = standardize(embedding_points(spark, sf, 8), cols)
+    cols = DIMS
+    pts = standardize(embedding_points(spark, sf, NDIM), cols)
     m = learn.lda_fit(pts, "grp", cols, shrinkage="auto")
     acc = learn.accuracy(learn.lda_predict(pts, m, cols), "grp", "pred")
     return acc.select(F.lit(round(m["shrinkage"], 6)).alias("shrinkage"), rnd("accuracy").alias("accuracy"), "n")
@@ -199,15 +193,10 @@ SELECT id, label, rk < round(nc * 0.25) AS is_test, (rk % 5)::INTEGER AS fold FR
 def stratified_split_lineitem(spark, sf):
     """M1 + M2: deterministic stratified 25 % test split and 5 folds per
     return flag (md5 of id and seed orders rows inside each class)."""
-    from statlake.operators.ranks import keyed_prefix
     li = table(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_returnflag").alias("label"))
-    d = li.withColumn("_h", F.md5(F.concat(F.col("id").cast("string"), F.lit(":42")))).withColumn("_one", F.lit(1))
-    r = keyed_prefix(d, ["label"], ["_h", "id"], "_one", out="rk")
-    n = li.groupBy("label").agg(F.count(F.lit(1)).alias("nc"))
-    r = r.join(n, "label")
-    return r.select("id", "label", (F.col("rk") < F.round(F.col("nc") * 0.25)).alias("is_test"),
-                    (F.col("rk") % 5).cast("int").alias("fold"))
+    d = learn.stratified_folds(learn.stratified_split(li, "label", "id", 0.25), "label", "id", 5)
+    return d.select("id", "label", "is_test", "fold")
 
 
 @register("balanced_weights_lineitem", """
@@ -242,6 +231,20 @@ def decision_tree_documents(spark, sf):
     return learn.feature_importances(m, DOC_F, spark).select("feature", rnd("importance").alias("importance"))
 
 
+@register("tree_report_documents")
+def tree_report_documents(spark, sf):
+    """M5 + M13–M16: gini tree (depth 5, leaf ≥ 20) trained on a stratified
+    75 %; held-out report per class with the confusion counts."""
+    d = learn.stratified_split(_doc_features(spark, sf), "quality", "doc_id", 0.25)
+    d, labels = learn.index_label(learn.assemble(d, DOC_F), "quality")
+    pred = learn.decision_tree(d.filter(~F.col("is_test"))).transform(d.filter(F.col("is_test")))
+    pred = pred.select(F.col("label_idx").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred"))
+    cm = learn.confusion_matrix(pred, "truth", "pred").groupBy(F.col("label").cast("string").alias("label")).agg(
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("pred", "n"))), lambda x: x["n"].cast("string"))).alias("confusion"))
+    rep = learn.classification_report(pred, "truth", "pred").join(cm, "label", "left")
+    return rep.select("label", *[rnd(c).alias(c) for c in ("precision", "recall", "f1")], "support", "confusion")
+
+
 @register("random_forest_documents")
 def random_forest_documents(spark, sf):
     """M8 + M14: class-balanced random forest (400 trees) on a stratified
@@ -252,7 +255,12 @@ def random_forest_documents(spark, sf):
     d, _ = learn.index_label(learn.assemble(d, DOC_F), "quality")
     m = learn.random_forest(d.filter(~F.col("is_test")))
     p = m.transform(d.filter(F.col("is_test")))
-    return learn.accuracy(p, "label_idx", "prediction").select("n", rnd("accuracy").alias("accuracy"))
+    p = p.select(F.col("label_idx").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred")).cache()
+    try:
+        acc, f1 = learn.accuracy(p, "truth", "pred").first(), learn.f1_macro(p, "truth", "pred")
+    finally:
+        p.unpersist()
+    return spark.createDataFrame([(acc["n"], round(acc["accuracy"], 6), round(f1, 6))], "n long, accuracy double, f1_macro double")
 
 
 @register("logistic_documents")
@@ -274,14 +282,18 @@ def logistic_documents(spark, sf):
 
 @register("cross_val_documents")
 def cross_val_documents(spark, sf):
-    """M2 + M3: 5 stratified folds; decision-tree fold accuracies, mean ± σ."""
+    """M2 + M3: 5 stratified folds; decision-tree fold accuracies, their mean
+    (fold −1) and σ with ddof 0 (fold −2); macro F1 of the balanced forest beside."""
     d = learn.stratified_folds(_doc_features(spark, sf), "quality", "doc_id", 5)
     d, _ = learn.index_label(learn.assemble(d, DOC_F), "quality")
     d = d.cache()
     mean, sd, scores = learn.cross_val_score(d, lambda tr: learn.decision_tree(tr))
+    forest = lambda tr: learn.random_forest(learn.balanced_weights(tr, "label_idx"), n_trees=50)
+    f_mean, f_sd, f_scores = learn.cross_val_score(d, forest, metric="f1")
     d.unpersist()
-    return spark.createDataFrame([(i, float(round(s, 6))) for i, s in enumerate(scores)] + [(-1, float(round(mean, 6)))],
-                                 "fold long, accuracy double")
+    rows = [*enumerate(zip(scores, f_scores)), (-1, (mean, f_mean)), (-2, (sd, f_sd))]
+    return spark.createDataFrame([(i, float(round(a, 6)), float(round(f, 6))) for i, (a, f) in rows],
+                                 "fold long, accuracy double, forest_f1_macro double")
 
 
 @register("grid_search_documents")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions.exprs import monthly_rate
+from statlake.functions.safe import div
 from statlake.operators import econ, sampling, text
 from statlake.plans.common import rnd
 from statlake.plans.registry import register
@@ -19,7 +20,7 @@ def _flows(spark, sf):
            .agg((F.sum("l_quantity") * 10.0).alias("kwh"),
                 F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("_rev"),
                 (F.sum(F.col("l_extendedprice") * F.col("l_tax")) / 100.0).alias("maint")))
-    m = m.withColumn("tariff", F.col("_rev") / F.col("kwh"))
+    m = m.withColumn("tariff", div(F.col("_rev"), F.col("kwh")))
     first = m.groupBy("p_partkey").agg(F.min("ts").alias("_t0"))
     m = m.join(first, "p_partkey").withColumn(
         "t", (F.year("ts") * 12 + F.month("ts") - F.year("_t0") * 12 - F.month("_t0")).cast("long"))
@@ -129,24 +130,27 @@ def selection_probs_part(spark, sf):
     retail price) under proportional, GA-shifted proportional, linear rank
     (s=1.5), tournament k=3 with/without replacement and median threshold."""
     p = table(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
-    k = ["p_type"]
-    a = sampling.proportional(p, "p_retailprice", k).select("p_partkey", F.col("p").alias("p_prop"))
-    b = sampling.proportional(p, "p_retailprice", k, shift_min=True).select("p_partkey", F.col("p").alias("p_prop_ga"))
-    c = sampling.rank_linear(p, "p_retailprice", "p_partkey", k, 1.5).select("p_partkey", F.col("p").alias("p_rank"))
-    d = sampling.tournament(p, "p_retailprice", "p_partkey", 3, k, True).select("p_partkey", F.col("p").alias("p_tour_w"))
-    e = sampling.tournament(p, "p_retailprice", "p_partkey", 3, k, False).select("p_partkey", F.col("p").alias("p_tour_wo"))
-    f = sampling.threshold(p, "p_retailprice", 0.5, k).select("p_partkey", F.col("p").alias("p_thr"))
-    out = p.select("p_partkey", "p_type")
-    for x in (a, b, c, d, e, f):
-        out = out.join(x, "p_partkey")
+    out = sampling.selection_probabilities(p, "p_retailprice", "p_partkey", ["p_type"])
     return out.select("p_partkey", "p_type", *[rnd(c, 9).alias(c) for c in
                                                ["p_prop", "p_prop_ga", "p_rank", "p_tour_w", "p_tour_wo", "p_thr"]])
 
 
-@register("weighted_sample_part")
+WEIGHTED_SQL = """
+WITH t AS (SELECT sum(p_retailprice) AS total, count(*) AS n FROM part),
+iv AS (SELECT p_partkey, p_retailprice / total AS p,
+              coalesce(sum(p_retailprice) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / total AS lo
+       FROM part, t),
+d AS (SELECT g.draw, cast('0x' || substr(md5(cast(g.draw AS varchar) || ':11'), 1, 7) AS bigint) / 268435456.0::double AS u
+      FROM (SELECT unnest(range(n)) AS draw FROM t) g),
+h AS (SELECT iv.p_partkey, count(*) AS hits FROM d ASOF JOIN iv ON d.u >= iv.lo GROUP BY 1)
+SELECT iv.p_partkey, round(p, 9) AS p, coalesce(hits, 0)::BIGINT AS hits, round(coalesce(hits, 0) / t.n::double, 9) AS share
+FROM iv LEFT JOIN h USING (p_partkey), t"""
+
+
+@register("weighted_sample_part", WEIGHTED_SQL)
 def weighted_sample_part(spark, sf):
-    """R5 + R6: as many proportional draws as parts (inverse CDF, bucketed
-    range join); observed share next to the probability for every part."""
+    """R5 + R6: as many proportional draws as parts (inverse CDF, one sort of
+    draws and starts); observed share next to the probability for every part."""
     p = table(spark, sf, "part").select("p_partkey", "p_retailprice")
     n = p.count()
     draws = sampling.weighted_sample(p, "p_retailprice", "p_partkey", n, seed=11)
@@ -155,7 +159,21 @@ def weighted_sample_part(spark, sf):
     return rep.select("p_partkey", rnd("p", 9).alias("p"), F.col("hits").cast("long").alias("hits"), rnd("share", 9).alias("share"))
 
 
-@register("tournament_shares_part")
+TOURNAMENT_SQL = """
+WITH t AS (SELECT count(*) AS n FROM part),
+pos AS (SELECT p_partkey, p_retailprice AS f, row_number() OVER (ORDER BY p_partkey) - 1 AS i,
+               row_number() OVER (ORDER BY p_retailprice, p_partkey) AS r FROM part),
+picks AS (SELECT draw, cast(floor(cast('0x' || substr(md5(cast(draw AS varchar) || ':' || cast(slot AS varchar) || ':5'), 1, 7) AS bigint)
+                 / 268435456.0::double * n) AS bigint) AS i
+          FROM (SELECT unnest(range(20 * n)) AS draw, n FROM t), (SELECT unnest(range(3)) AS slot)),
+won AS (SELECT draw, arg_max(p_partkey, {'f': f, 'id': p_partkey}) AS id FROM picks JOIN pos USING (i) GROUP BY draw),
+h AS (SELECT id AS p_partkey, count(*) AS hits FROM won GROUP BY 1)
+SELECT pos.p_partkey, round((pow(r, 3) - pow(r - 1.0, 3)) / pow(n, 3), 9) AS p, coalesce(hits, 0)::BIGINT AS hits,
+       round(coalesce(hits, 0) / (20.0::double * n), 9) AS share
+FROM pos LEFT JOIN h USING (p_partkey), t"""
+
+
+@register("tournament_shares_part", TOURNAMENT_SQL)
 def tournament_shares_part(spark, sf):
     """R3 + R6: 20 draws per part of size-3 tournaments with replacement
     (fitness = retail price, whole table); observed win share next to the

@@ -1,4 +1,4 @@
-"""Registered queries: feature selection (20 embedding dims, 10 classes)."""
+"""Registered queries: feature selection (all embedding dimensions, 10 classes)."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from statlake.plans.common import rnd
 from statlake.plans.registry import register
 from statlake.sources.tables import table
 
-NF = 20
+NF = 64
 FEATS = [f"f{i}" for i in range(NF)]
 FEAT_SQL = "f AS (SELECT vec_id AS id, label, " + ", ".join(
     f"embedding[{i + 1}]::DOUBLE AS f{i}" for i in range(NF)) + " FROM embeddings)"
@@ -51,9 +51,10 @@ def chi2_embeddings(spark, sf):
 
 @register("f_scores_embeddings", f"""
 WITH {FEAT_SQL}, {_long_sql()},
-g AS (SELECT feature, label, count(*) AS n, sum(v) AS s, sum(v*v) AS q FROM l GROUP BY 1, 2),
-t AS (SELECT feature, count(*) AS k, sum(n) AS n, sum(s*s/n) AS b, sum(s) AS s, sum(q) AS q FROM g GROUP BY 1)
-SELECT feature, round(((b - s*s/n)/(k - 1)) / ((q - b)/(n - k)), 6) AS f_stat FROM t""")
+g AS (SELECT feature, label, count(*) AS n, avg(v) AS m, var_pop(v) AS v FROM l GROUP BY 1, 2),
+c AS (SELECT feature, sum(n*m)/sum(n) AS c FROM g GROUP BY 1),
+t AS (SELECT feature, count(*) AS k, sum(n) AS n, sum(n*(m - c)*(m - c)) AS b, sum(n*v) AS w FROM g JOIN c USING (feature) GROUP BY 1)
+SELECT feature, round((b/(k - 1)) / (w/(n - k)), 6) AS f_stat FROM t""")
 def f_scores_embeddings(spark, sf):
     """S3: ANOVA F of each feature across labels."""
     f = sel.f_scores(_features(spark, sf), FEATS, "label")
@@ -77,7 +78,7 @@ def mutual_info_embeddings(spark, sf):
 
 @register("selection_report_embeddings")
 def selection_report_embeddings(spark, sf):
-    """K=10 of 20 features by variance, χ², F, MI, RFE, forward and
+    """K=32 of 64 features by variance, χ², F, MI, RFE, forward and
     backward sequential selection, L1 and elastic-net masks and forest
     importance (400 trees); each subset scored by the held-out accuracy of
     an L2 logistic regression (C=1) on a stratified 30 % test split, best
@@ -87,7 +88,7 @@ def selection_report_embeddings(spark, sf):
         d.filter(F.col("is_test")).withColumn("fold", F.lit(-1)))
     d = d.withColumn("label_s", F.col("label").cast("string")).cache()
     train = d.filter(~F.col("is_test"))
-    k = 10
+    k = NF // 2
     picks = {
         "variance": sel.top_k(sel.variance_scores(train, FEATS), "variance", k),
         "chi2": sel.top_k(sel.chi2_scores(train, FEATS, "label"), "chi2", k),
@@ -97,7 +98,7 @@ def selection_report_embeddings(spark, sf):
         "sfs_backward": sel.sequential_select(train, FEATS, "label", k, "fold", "backward"),
     }
     idx, _ = learn.index_label(train, "label_s")
-    picks["rfe"] = sel.rfe(idx, FEATS, "label_idx", k, step=2)
+    picks["rfe"] = sel.rfe(idx, FEATS, "label_idx", k)
     picks["l1"] = sel.model_select(idx, FEATS, "label_idx", "l1", 1.0)
     picks["elasticnet"] = sel.model_select(idx, FEATS, "label_idx", "elasticnet", 1.0)
     rf = learn.random_forest(learn.assemble(idx, FEATS), n_trees=400, weight=None)

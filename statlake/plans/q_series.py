@@ -226,16 +226,15 @@ def cumulative_share_orders(spark, sf):
 
 
 @register("path_length_embeddings", """
-WITH p AS (SELECT label AS grp, vec_id, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1,
-                  row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos, count(*) OVER (PARTITION BY label) AS m
+WITH p AS (SELECT label AS grp, vec_id, embedding::DOUBLE[] AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos, count(*) OVER (PARTITION BY label) AS m
            FROM embeddings)
-SELECT a.grp, round(sum(sqrt((a.x0-b.x0)*(a.x0-b.x0) + (a.x1-b.x1)*(a.x1-b.x1))), 6) AS length, count(*)::BIGINT AS legs
+SELECT a.grp, round(sum(list_distance(a.e, b.e)), 6) AS length, count(*)::BIGINT AS legs
 FROM p a JOIN p b ON a.grp = b.grp AND b.pos = (a.pos + 1) % a.m GROUP BY a.grp""")
 def path_length_embeddings(spark, sf):
     """Closed tour length through each label's points in id order
-    (first two embedding dimensions)."""
-    p = embedding_points(spark, sf, 2)
-    out = windows.path_length(p, "grp", "id", ["x0", "x1"])
+    (all embedding dimensions)."""
+    p = embedding_points(spark, sf, 64)
+    out = windows.path_length(p, "grp", "id", [f"x{i}" for i in range(64)])
     return out.select("grp", rnd("length").alias("length"), F.col("legs").cast("long").alias("legs"))
 
 

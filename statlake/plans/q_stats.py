@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from statlake.operators import stats
 from statlake.plans.common import rnd
 from statlake.plans.registry import register
-from statlake.plans.sqlfrag import avg_rank_sql, finite, k2_sql, strength_sql
+from statlake.plans.sqlfrag import avg_rank_sql, finite, k2_sql, norm_cdf_sql, strength_sql
 from statlake.sources.tables import table
 
 
@@ -189,11 +189,13 @@ def ols_lineitem(spark, sf):
 
 
 @register("anova_lineitem", """
-WITH g AS (SELECT l_linestatus, l_returnflag, count(l_quantity) AS n, sum(l_quantity) AS s,
-                  sum(l_quantity*l_quantity) AS q FROM lineitem GROUP BY 1, 2),
-t AS (SELECT l_linestatus, count(*) AS k, sum(n) AS n, sum(s*s/n) AS bs, sum(s) AS s, sum(q) AS q FROM g GROUP BY 1)
-SELECT l_linestatus, k::BIGINT AS k, n::BIGINT AS n, round(bs - s*s/n, 4) AS ss_between, round(q - bs, 4) AS ss_within,
-       round(((bs - s*s/n)/(k-1)) / ((q - bs)/(n-k)), 6) AS f_stat FROM t""")
+WITH g AS (SELECT l_linestatus, l_returnflag, count(l_quantity) AS n, avg(l_quantity) AS m,
+                  var_pop(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
+c AS (SELECT l_linestatus, sum(n*m)/sum(n) AS c FROM g GROUP BY 1),
+t AS (SELECT l_linestatus, count(*) AS k, sum(n) AS n, sum(n*(m - c)*(m - c)) AS b, sum(n*v) AS w
+      FROM g JOIN c USING (l_linestatus) GROUP BY 1)
+SELECT l_linestatus, k::BIGINT AS k, n::BIGINT AS n, round(b, 4) AS ss_between, round(w, 4) AS ss_within,
+       round((b/(k-1)) / (w/(n-k)), 6) AS f_stat FROM t""")
 def anova_lineitem(spark, sf):
     """One-way ANOVA of quantity across return flags, per line status."""
     a = stats.anova_oneway(table(spark, sf, "lineitem"), "l_returnflag", "l_quantity", keys=["l_linestatus"])
@@ -261,7 +263,19 @@ def hamming_diversity_embeddings(spark, sf):
     return h.select("label", rnd("diversity", 10).alias("diversity"), F.col("loci").cast("long").alias("loci"))
 
 
-@register("ks_norm_events")
+@register("ks_norm_events", f"""
+WITH v AS (SELECT event_type, value AS x FROM events WHERE value IS NOT NULL AND isfinite(value)),
+f AS (SELECT event_type, count(*) AS n, avg(x) AS mu, stddev_pop(x) AS sd FROM v GROUP BY 1),
+c AS (SELECT event_type, x, count(*) AS cnt FROM v GROUP BY 1, 2),
+b AS (SELECT c.event_type, n, (x - mu) / sd AS z, cnt,
+             coalesce(sum(cnt) OVER (PARTITION BY c.event_type ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM c JOIN f USING (event_type)),
+e AS (SELECT event_type, n, cnt, before, {norm_cdf_sql('z')} AS p FROM b),
+d AS (SELECT event_type, any_value(n) AS n, max(greatest((before + cnt)::DOUBLE / n - p, p - before::DOUBLE / n)) AS d FROM e GROUP BY 1),
+l AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * d AS lam FROM d)
+SELECT event_type, n::BIGINT AS n, round(d, 6) AS d_stat,
+       round(least(greatest(2.0 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END
+             * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0), 6) AS p_value FROM l""")
 def ks_norm_events(spark, sf):
     """KS distance of event values to a fitted normal per type (asymptotic p)."""
     k = stats.ks_test_norm(table(spark, sf, "events"), "value", keys=["event_type"])

@@ -38,3 +38,22 @@ def avg_rank_sql(part: str, col: str) -> str:
 
 def finite(*cols: str) -> str:
     return " AND ".join(f"{c} IS NOT NULL AND isfinite({c})" for c in cols)
+
+
+def norm_cdf_sql(z: str) -> str:
+    """Standard normal CDF by Hart's approximation, as ``functions.safe.norm_cdf``."""
+    from statlake.functions.safe import _HART_DEN, _HART_NUM
+    x = f"abs({z})"
+
+    def poly(coefs):
+        e = f"{coefs[0]!r}::DOUBLE"
+        for c in coefs[1:]:
+            e = f"({e} * {x} + {c!r}::DOUBLE)"
+        return e
+    build = f"({x} + 0.65::DOUBLE)"
+    for k in (4, 3, 2, 1):
+        build = f"({x} + {k}.0::DOUBLE / {build})"
+    bell = f"exp(-{x} * {x} / 2.0::DOUBLE)"
+    tail = (f"CASE WHEN {x} > 37 THEN 0.0::DOUBLE WHEN {x} < 7.07106781186547 THEN {bell} * {poly(_HART_NUM)} / {poly(_HART_DEN)} "
+            f"ELSE {bell} / {build} / 2.506628274631::DOUBLE END")
+    return f"(CASE WHEN {z} > 0 THEN 1.0::DOUBLE - ({tail}) ELSE ({tail}) END)"

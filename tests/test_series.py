@@ -90,9 +90,30 @@ def test_granger_detects_lead(spark):
     assert (g["ssr_f_p"] < 1e-6).all()
 
 
-def test_stl_and_hp_add_up(spark):
+def test_stl_adds_up_and_stays_in_range(spark):
     s = tstests.stl(_solar(spark), ["series_key"], "ts", "value", 12).toPandas()
     assert np.allclose(s["seasonal"] + s["trend"] + s["resid"], s["value"])
+    spread = s["value"].max() - s["value"].min()
+    assert s["trend"].between(s["value"].min() - spread, s["value"].max() + spread).all()
+
+
+def test_stl_constant_outlier_and_wide_span():
+    t = np.arange(60.0)
+    flat = tstests.stl_numpy(np.full(60, 7.0), 12)
+    assert np.allclose(flat[1], 7.0) and np.allclose(flat[0], 0) and np.allclose(flat[2], 0)
+    y = 10 + 0.5 * t + 3 * np.sin(2 * np.pi * t / 12)
+    clean = tstests.stl_numpy(y, 12)
+    assert np.abs(clean[2]).max() < 0.5
+    spiked = y.copy()
+    spiked[30] += 500
+    out = tstests.stl_numpy(spiked, 12)
+    assert out[2][30] > 400 and np.abs(out[1] - clean[1]).max() < 2
+    # a span beyond the series only widens the window
+    line = tstests._loess(2 * t[:10] + 1, np.ones(10), 31)
+    assert np.allclose(line, 2 * t[:10] + 1)
+
+
+def test_hp_adds_up(spark):
     h = tstests.hp_filter(_solar(spark), ["series_key"], "ts", "value", 129600.0).toPandas().sort_values("ts")
     assert np.allclose(h["trend"] + h["cycle"], h["value"])
     # normal equations: (I + λKᵀK)τ = y, checked against a dense solve
