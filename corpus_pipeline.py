@@ -1,29 +1,67 @@
-"""The corpus pipeline: toxicity, near-duplicates, benchmark leaks, secrets, mix."""
+"""The corpus pipeline: documents to a clean, mixed training corpus.
+
+Every stage takes the rows that its predecessor kept, with the columns of
+``documents``, and returns the rows that it keeps:
+
+1. toxicity: documents that the lexicon scores 0.7 or more go;
+2. near-duplicates: of each group (five-word shingles, similarity 0.8) the
+   document with the smallest id stays;
+3. decontamination: documents that hold a benchmark item go;
+4. secrets: each secret is replaced by its kind in brackets, no document goes;
+5. mix: documents are repeated or left out to meet the sources' weights.
+"""
 
 from __future__ import annotations
 
-from statlake.llm import mixing, secrets, store, toxicity
+from pyspark.sql import functions as F
+
+from statlake.llm import decontaminate, minhash, mixing, secrets, store, toxicity
 from statlake.session import ship_package
 
 
+def _read(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def toxicity_stage(spark, docs, sf_dir):
+    ship_package(spark)
+    return toxicity.drop_toxic(docs, _read(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark, docs, sf_dir):
+    ship_package(spark)
+    return minhash.drop_near_duplicates(docs, words=5)
+
+
+def decontamination_stage(spark, docs, sf_dir):
+    ship_package(spark)
+    return decontaminate.drop_leaks(docs, _read(spark, sf_dir, "benchmark"))
 
-def _toxicity(spark, docs, sf_dir):
-    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+def secrets_stage(spark, docs, sf_dir):
+    ship_package(spark)
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mixing_stage(spark, docs, sf_dir):
+    ship_package(spark)
+    return mixing.systematic_mix(docs)
 
 
 STAGES = [
-    ("toxicity", _toxicity),
-    ("secrets", lambda spark, docs, sf_dir: secrets.redact(docs)),
-    ("mix", lambda spark, docs, sf_dir: mixing.systematic_mix(docs)),
+    ("toxicity", toxicity_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("mix", mixing_stage),
 ]
 
-#: Scores, MinHash, SimHash and tokenizers have no SQL form; tests hold the stages against brute force.
+#: Learned scores, MinHash, SimHash and tokenizers have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    ship_package(spark)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = store.table(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -219,7 +219,8 @@ class Model:
     """What the driver holds; workers open the files behind it."""
 
     def __init__(self, vocabulary: Vocabulary, pairs: list[list[str]], hot: np.ndarray, total: int, n_docs: int,
-                 d2: np.ndarray, d1: np.ndarray, types: int, back: float, start: tuple[float, float]):
+                 d2: np.ndarray, d1: np.ndarray, types: int, back: float, start: tuple[float, float], taken: int = TAKEN):
+        self.taken = taken
         self.vocabulary, self.pairs, self.hot = vocabulary, pairs, hot
         self.total, self.n_docs, self.d2, self.d1, self.types, self.back, self.start = total, n_docs, d2, d1, types, back, start
         self.unknown = back / (vocabulary.size + 1)
@@ -244,7 +245,7 @@ class Model:
             want = sorted_keys[at]
             i = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
             c = np.where(keys[i] == want, counts[i], 0).astype(np.int64)
-            big = np.flatnonzero(c == TAKEN)
+            big = np.flatnonzero(c == self.taken)
             if len(big):
                 c[big] = over_counts[np.searchsorted(over, want[big])]
             out[at] = c
@@ -287,7 +288,7 @@ class Model:
         return np.bincount(doc, minlength=n_docs), add(known[place]).astype(np.int64), add(base[place]), add(np.log10(p))
 
 
-def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text") -> Model:
+def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text", taken: int = TAKEN) -> Model:
     """Count the texts of ``docs`` and write the model's files."""
     spark = docs.sparkSession
     folder = store.new_path(spark, "kneser-ney")
@@ -334,8 +335,8 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
     def pairs_done(pdf):
         """The bucket's files, its counts of counts, and sums by context and by word, sent to their word buckets."""
         keys, counts = _merged(pdf)
-        big = counts >= TAKEN
-        files = _put(folder, "pairs", keys, np.minimum(counts, TAKEN).astype(np.uint8), keys[big], counts[big])
+        big = counts >= taken
+        files = _put(folder, "pairs", keys, np.minimum(counts, taken).astype(np.uint8), keys[big], counts[big])
         out = [(-1, int(pdf["bucket"].iloc[0]), files, [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [len(keys)], b"", b"", 0)]
         context, word = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
         k, sums = summed(context, np.column_stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.int64))
@@ -396,7 +397,7 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
         vocabulary.files[r["bucket"]] += [r["file"], *side[r["bucket"]]["files"][1:]]
     first = (float(begin[0]), float(begin[1:] @ d2[1:]) / begin[0])
     vocabulary.maps = {}
-    return Model(vocabulary, pairs, hot, total, n_docs, d2, d1, types, back, first)
+    return Model(vocabulary, pairs, hot, total, n_docs, d2, d1, types, back, first, taken)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -423,8 +424,8 @@ def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(10)) == 0, F.lit(True))
 
 
-def op7_query(docs: DataFrame) -> DataFrame:
-    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+def op7_query(docs: DataFrame, **options) -> DataFrame:
+    model = fit(docs.filter(~held_out(F.col("doc_id"))), **options)
     s = score(docs, model, ["doc_id"])
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                     F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
