@@ -14,7 +14,8 @@ distances: d^2 = |q|^2 + M - 2 q.x.  An M-tree can then search them exactly.
    radius and distance to the parent's object, down to pages of entries.
 4. Queries, in blocks, visit every cell whose ball can hold a better score
    than their bound (the best of a fixed sample to start with), and search
-   its tree best first.  ``| d(q, parent) - d(entry, parent) | - radius``
+   its tree best first, each in its own order; queries that stand at the same
+   page share a product.  ``| d(q, parent) - d(entry, parent) | - radius``
    is a lower bound that costs nothing; only entries below it are computed.
 5. The k best of each cell meet in a window by query.
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from statlake.llm import store
 
 PIVOTS, SAMPLE = 16, 2048  # fixed sizes of what the driver holds
-CELL, QUERIES, PAGE = 4096, 4096, 64
+CELL, QUERIES, PAGE = 4096, 4096, 256
 
 
 def scale(vectors: DataFrame, factor: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -126,53 +127,92 @@ class MTree:
 
     def search(self, q: np.ndarray, own: int, k: int, ids: list, least: float) -> list[tuple[int, int]]:
         """The k best (score, id) with score of at least ``least``, best first."""
+        return self.search_many(q[None, :], [own], k, ids, np.array([least], float))[0]
+
+    def search_many(self, q: np.ndarray, own: list[int], k: int, ids: list, least: np.ndarray) -> list[list[tuple[int, int]]]:
+        """``search`` for the rows of ``q``.  Every query visits its own pages
+        best first and stops by its own bound; in a round each takes its next
+        page, and queries that meet at a page share one matrix product."""
         qf = q.astype(np.float64)
-        length2 = float(qf @ qf)
-        best: list[tuple[int, int]] = []  # heap: worst on top, as (score, -id)
-        reach = self.space.radius(length2, least) if least > -math.inf else math.inf
-        margin = 1e-6 * (1 + math.sqrt(length2 + self.space.top))
+        length2 = np.einsum("ij,ij->i", qf, qf)
         base = length2 + self.space.top
-        queue = [(0.0, 0, self.root, None)]
+        margin = 1e-6 * (1 + np.sqrt(base))
+        floor = np.array(least, float)
+        reach = np.full(len(q), np.inf)
+        some = np.isfinite(floor)
+        reach[some] = np.sqrt(np.maximum(0.0, base[some] - 2 * floor[some]))
+        best: list[list[tuple[int, int]]] = [[] for _ in q]  # heaps: worst on top, as (score, -id)
+        queues: list[list] = [[] for _ in q]  # (low, tie, page, children in order, place, lows, distances)
+        groups = {id(self.root): (self.root, list(range(len(q))), None, None)}
         n = 0
-        while queue:
-            low, _, page, to_parent = heapq.heappop(queue)
-            if low > reach + margin:
-                break
-            rows = page.entries
-            if to_parent is not None and reach < math.inf:
-                bound = np.abs(page.parent - to_parent)
-                if page.radius is not None:
-                    bound = bound - page.radius
-                keep = np.flatnonzero(bound <= reach + margin)
-                if not len(keep):
+        while groups:
+            for page, members, to_parent, lows in groups.values():
+                at = np.array(members)
+                limit = (reach + margin)[at]
+                if to_parent is None:
+                    need = np.ones((len(at), len(page.entries)), bool)
+                else:
+                    bound = np.abs(page.parent[None, :] - np.array(to_parent)[:, None])
+                    if page.radius is not None:
+                        bound -= page.radius[None, :]
+                    need = bound <= limit[:, None]
+                cols = np.flatnonzero(need.any(0))
+                if not len(cols):
                     continue
-            else:
-                keep = np.arange(len(rows))
-            self.computed += len(keep)
-            products = self.f[rows[keep]] @ qf
-            if page.children is not None:
-                d = np.sqrt(np.maximum(0.0, base - 2 * products))
-                lows = np.maximum(low, d - page.radius[keep])
-                for i in np.flatnonzero(lows <= reach + margin):
-                    n += 1
-                    heapq.heappush(queue, (float(lows[i]), n, page.children[keep[i]], float(d[i])))
-                continue
-            scores = np.rint(products).astype(np.int64) if self.space.exact else self.space.scores(self.x[rows[keep]], q)
-            floor = best[0][0] if len(best) == k else least
-            for i in np.flatnonzero(scores >= floor):
-                s = int(scores[i])
-                for v in ids[rows[keep[i]]]:
-                    if v == own:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -v))
-                    elif (s, -v) > best[0]:
-                        heapq.heapreplace(best, (s, -v))
+                need = need[:, cols]
+                self.computed += int(need.sum())
+                rows = page.entries[cols]
+                products = qf[at] @ self.f[rows].T
+                if page.children is not None:
+                    d = np.sqrt(np.maximum(0.0, base[at][:, None] - 2 * products))
+                    low = d - page.radius[cols][None, :]
+                    if lows is not None:
+                        low = np.maximum(low, np.array(lows)[:, None])
+                    low[~need] = np.inf
+                    order = np.argsort(low, axis=1, kind="stable")
+                    for r, i in enumerate(members):
+                        if low[r, order[r, 0]] <= limit[r]:
+                            n += 1
+                            heapq.heappush(queues[i], (float(low[r, order[r, 0]]), n, page, cols[order[r]], 0, low[r, order[r]], d[r, order[r]]))
+                    continue
+                scores = np.rint(products).astype(np.int64) if self.space.exact else \
+                    np.stack([self.space.scores(self.x[rows], q[i]) for i in members])
+                r_hit, c_hit = np.nonzero(need & (scores >= floor[at][:, None]))
+                changed = set()
+                for r, c in zip(r_hit.tolist(), c_hit.tolist(), strict=True):
+                    i, s = members[r], int(scores[r, c])
+                    heap = best[i]
+                    for v in ids[rows[c]]:
+                        if v == own[i]:
+                            continue
+                        if len(heap) < k:
+                            heapq.heappush(heap, (s, -v))
+                        elif (s, -v) > heap[0]:
+                            heapq.heapreplace(heap, (s, -v))
+                        else:
+                            break
+                    changed.add(i)
+                for i in changed:
+                    if len(best[i]) == k:
+                        floor[i] = best[i][0][0]
+                        reach[i] = min(reach[i], math.sqrt(max(0.0, base[i] - 2 * floor[i])))
+            groups = {}
+            for i, queue in enumerate(queues):
+                if queue and queue[0][0] <= reach[i] + margin[i]:
+                    low, tie, page, order, place, lows, d = queue[0]
+                    child = page.children[order[place]]
+                    got = groups.get(id(child))
+                    if got is None:
+                        groups[id(child)] = (child, [i], [d[place]], [low])
+                    else:
+                        got[1].append(i)
+                        got[2].append(d[place])
+                        got[3].append(low)
+                    if place + 1 < len(order) and lows[place + 1] < np.inf:
+                        heapq.heapreplace(queue, (float(lows[place + 1]), tie, page, order, place + 1, lows, d))
                     else:
-                        break
-            if len(best) == k:
-                reach = min(reach, self.space.radius(length2, best[0][0]))
-        return [(s, -v) for s, v in sorted(best, reverse=True)]
+                        heapq.heappop(queue)
+        return [[(s, -v) for s, v in sorted(heap, reverse=True)] for heap in best]
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 20, factor: float = 64.0, id_col: str = "vec_id",
@@ -249,8 +289,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, factor: float = 64.0, id_co
             e = e.iloc[np.lexsort(_matrix(e["v"], dim).T[::-1])]
             tree = MTree(space, _matrix(e["v"], dim))
             ids = [list(x) for x in e["ids"]]
-            for own, x, least in zip(q["query_id"], _matrix(q["v"], dim), q["least"], strict=True):
-                found += [(own, i, s) for s, i in tree.search(x, int(own), k, ids, least)]
+            own = [int(x) for x in q["query_id"]]
+            for a, hits in zip(own, tree.search_many(_matrix(q["v"], dim), own, k, ids, q["least"].to_numpy(float)), strict=True):
+                found += [(a, i, s) for s, i in hits]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
     hits = routed.groupBy(*keys).cogroup(cells.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
