@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,14 +13,6 @@ from statlake.operators.ranks import keyed_prefix
 TOKEN_PATTERN = "[А-Яа-яA-Za-zЇїІіЄєҐґ-]{2,}"
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (``spark.checkpoint.dir``) so later jobs read the
-    counts instead of re-tokenising the corpus."""
-    from statlake.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def tokenize(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``(doc_id, term)`` one row per token occurrence, whole texts."""
     toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0)
@@ -36,9 +29,9 @@ def tfidf(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -
     aggregate; the idf table is joined back (AQE broadcasts it when small)."""
     docs = df.select(doc_id, text)
     n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
-    # tokenising whole texts is the expensive step and the counts feed two
-    # consumers: materialise them once in the shared checkpoint folder
-    tf = _materialize(term_counts(tokenize(docs, text, doc_id, pattern), doc_id))
+    # the counts feed the document frequencies and the weights: both read the
+    # same exchange, so whole texts are tokenised once
+    tf = term_counts(tokenize(docs, text, doc_id, pattern), doc_id)
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.crossJoin(F.broadcast(n_docs)).withColumn(
         "idf", F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).drop("_n")
@@ -52,8 +45,10 @@ def tfidf(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -
 def zipf_table(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
     """Corpus term counts with rank 1.. by (count desc, term); ranks
     from bucketed prefix counts, so a large vocabulary is never sorted in
-    one task.  ``(term, count, rank, log_rank, log_count)``."""
-    counts = _materialize(tokenize(df, text, doc_id, pattern).groupBy("term").agg(F.count(F.lit(1)).alias("count")))
+    one task.  ``(term, count, rank, log_rank, log_count)``.  The counts (one
+    row per term) are kept on the executors' disks for the sampling job and
+    the ranking that follow."""
+    counts = tokenize(df, text, doc_id, pattern).groupBy("term").agg(F.count(F.lit(1)).alias("count")).persist(StorageLevel.DISK_ONLY)
     c = counts.withColumn("_neg", -F.col("count")).withColumn("_one", F.lit(1))
     r = keyed_prefix(c, [], ["_neg", "term"], "_one", out="_before")
     return r.select("term", "count", (F.col("_before") + 1).cast("long").alias("rank")).withColumn(

@@ -33,7 +33,8 @@ ch AS (SELECT nt.k, n, p_x, p_y,
 SELECT k AS {key}, method, n::BIGINT AS n, round(r, 6) AS r, round(p_x, 6) AS p_x, round(p_y, 6) AS p_y,
        round(CASE WHEN n > 3 THEN tanh(atanh(r) - 1.96/sqrt(n-3.0)) END, 6) AS ci_lo,
        round(CASE WHEN n > 3 THEN tanh(atanh(r) + 1.96/sqrt(n-3.0)) END, 6) AS ci_hi,
-       {strength_sql('r')} AS strength
+       {strength_sql('r')} AS strength,
+       abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.959964 AS significant
 FROM ch"""
 
 
@@ -41,7 +42,7 @@ def _corr_choice(spark, sf, tbl, key, x, y):
     out = stats.auto_correlation(table(spark, sf, tbl), x, y, keys=[key])
     return out.select(key, "method", "n", rnd("r").alias("r"), rnd("p_x").alias("p_x"),
                       rnd("p_y").alias("p_y"), rnd("ci_lo").alias("ci_lo"), rnd("ci_hi").alias("ci_hi"),
-                      "strength")
+                      "strength", "significant")
 
 
 @register("corr_choice_lineitem",
