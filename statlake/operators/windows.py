@@ -81,7 +81,7 @@ def regularize_monthly(df: DataFrame, keys, ts: str, value: str) -> DataFrame:
     m = df.withColumn(ts, F.trunc(F.col(ts).cast("date"), "month"))
     b = m.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
     grid = b.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias(ts))
-    return grid.join(m.select(*keys, ts, value), keys + [ts], "left")
+    return same_keys(grid, m.select(*keys, ts, value), keys + [ts], "left")
 
 
 def interpolate_linear(df: DataFrame, keys, order: str, value: str, out: str | None = None) -> DataFrame:

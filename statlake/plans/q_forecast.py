@@ -6,17 +6,17 @@ from pyspark.sql import functions as F
 
 from statlake.operators import forecast as fc
 from statlake.operators import stats, tstests
-from statlake.plans.common import rnd
+from statlake.plans.common import monthly_series, rnd
+from statlake.plans.q_series import FILLED_SQL
 from statlake.plans.registry import register
 from statlake.session import ensure_checkpoint_dir
-from statlake.sources.tables import monthly_order_totals
 
 KEY = ["series_key"]
 
 
 def _prepared(spark, sf):
     """Monthly totals per priority with the stationarity choice (log, d, D)."""
-    s = monthly_order_totals(spark, sf)
+    s = monthly_series(spark, sf)
     st = tstests.stationarize(s, KEY, "ts", "value").select(
         *KEY, "log_applied", F.col("d").alias("d_fix"), F.col("seasonal_d").alias("sd_fix"))
     packed = fc.pack_series(s, KEY, "ts", "value", log=False)
@@ -83,7 +83,7 @@ def sarima_diagnostics_orders(spark, sf):
 @register("arima111_orders")
 def arima111_orders(spark, sf):
     """ARIMA(1,1,1) on the raw monthly totals, AIC and parameters."""
-    packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
+    packed = fc.pack_series(monthly_series(spark, sf), KEY, "ts", "value")
     fits = fc.sarima_grid(packed, KEY, fc.order_grid(p=[1], d=[1], q=[1], sp=[0], sd=[0], sq=[0]))
     return fits.select(*KEY, "ok", rnd("aic", 4).alias("aic"),
                        F.transform("params", lambda v: F.round(v, 6)).alias("params"))
@@ -91,16 +91,15 @@ def arima111_orders(spark, sf):
 
 HW_GRID = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 HW_SQL = f"""
-WITH RECURSIVE s AS (SELECT o_orderpriority AS series_key, date_trunc('month', o_orderdate)::DATE AS ts,
-                            sum(o_totalprice) AS value FROM orders GROUP BY 1, 2),
+WITH RECURSIVE {FILLED_SQL},
 y AS (SELECT series_key, value, row_number() OVER (PARTITION BY series_key ORDER BY ts) - 1 AS t,
              count(*) OVER (PARTITION BY series_key) AS n FROM s),
 init AS (SELECT series_key, any_value(n) AS n, avg(value) FILTER (WHERE t < 12) AS l0,
                 (avg(value) FILTER (WHERE t >= 12 AND t < 24) - avg(value) FILTER (WHERE t < 12)) / 12 AS b0,
                 list(value ORDER BY t) FILTER (WHERE t < 12) AS first12
          FROM y GROUP BY series_key HAVING count(*) >= 24 AND min(value) > 0),
-g AS (SELECT unnest({list(HW_GRID)})::DOUBLE AS v),
-p AS (SELECT a.v AS alpha, b.v AS beta, c.v AS gamma FROM g a, g b, g c),
+wt AS (SELECT unnest({list(HW_GRID)})::DOUBLE AS v),
+p AS (SELECT a.v AS alpha, b.v AS beta, c.v AS gamma FROM wt a, wt b, wt c),
 hw(series_key, alpha, beta, gamma, t, lvl, trd, sea, sse) AS (
   SELECT i.series_key, alpha, beta, gamma, 0::BIGINT, l0, b0, list_transform(first12, lambda x: x / l0), 0.0::DOUBLE FROM init i, p
   UNION ALL
@@ -124,7 +123,7 @@ FROM bs, range(1, 11) r(h)"""
 def holt_winters_orders(spark, sf):
     """additive-trend, multiplicative-season smoothing (period 12) with
     weights chosen by SSE over a grid; 10-month forecast."""
-    packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
+    packed = fc.pack_series(monthly_series(spark, sf), KEY, "ts", "value")
     hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID, refine=False)
     return hw.select(*KEY, "alpha", "beta", "gamma", "h_step", rnd("forecast", 2).alias("forecast"))
 
@@ -132,7 +131,7 @@ def holt_winters_orders(spark, sf):
 @register("holt_winters_refined_orders")
 def holt_winters_refined_orders(spark, sf):
     """F5 with weights optimised per series from the grid's best."""
-    packed = fc.pack_series(monthly_order_totals(spark, sf), KEY, "ts", "value")
+    packed = fc.pack_series(monthly_series(spark, sf), KEY, "ts", "value")
     hw = fc.holt_winters(packed, KEY, s=12, h=10, grid=HW_GRID)
     return hw.select(*KEY, rnd("alpha", 3).alias("alpha"), rnd("beta", 3).alias("beta"), rnd("gamma", 3).alias("gamma"), "h_step",
                      rnd("forecast", 0).alias("forecast"))
@@ -158,7 +157,7 @@ def sarimax_forecast_lineitem(spark, sf):
 @register("stl_orders")
 def stl_orders(spark, sf):
     """Robust STL (period 12) of monthly order totals per priority."""
-    s = tstests.stl(monthly_order_totals(spark, sf), KEY, "ts", "value", 12)
+    s = tstests.stl(monthly_series(spark, sf), KEY, "ts", "value", 12)
     return s.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("ts"), rnd("value", 2).alias("value"),
                     rnd("seasonal", 2).alias("seasonal"), rnd("trend", 2).alias("trend"), rnd("resid", 2).alias("resid"))
 
@@ -166,7 +165,7 @@ def stl_orders(spark, sf):
 @register("hp_filter_orders")
 def hp_filter_orders(spark, sf):
     """Hodrick–Prescott trend/cycle (λ = 129600, monthly) per priority."""
-    s = tstests.hp_filter(monthly_order_totals(spark, sf), KEY, "ts", "value", 129600.0)
+    s = tstests.hp_filter(monthly_series(spark, sf), KEY, "ts", "value", 129600.0)
     return s.select(*KEY, F.date_format("ts", "yyyy-MM-dd").alias("ts"), rnd("trend", 2).alias("trend"),
                     rnd("cycle", 2).alias("cycle"))
 

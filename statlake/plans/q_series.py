@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.operators import tstests, windows
-from statlake.plans.common import rnd
+from statlake.plans.common import monthly_series, rnd
 from statlake.plans.registry import register
 from statlake.sources.tables import daily_events, embedding_points, monthly_lineitem, monthly_order_totals, table
 
@@ -13,6 +13,20 @@ MONTHLY_SQL = """s AS (SELECT o_orderpriority AS series_key, date_trunc('month',
                        sum(o_totalprice) AS value FROM orders GROUP BY 1, 2)"""
 
 
+FILLED_SQL = MONTHLY_SQL.replace("s AS", "s0 AS", 1) + """,
+g AS (SELECT series_key, unnest(generate_series(min(ts)::TIMESTAMP, max(ts)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS ts
+      FROM s0 GROUP BY 1),
+r AS (SELECT g.series_key, g.ts, s0.value, row_number() OVER (PARTITION BY g.series_key ORDER BY g.ts) - 1 AS pos
+      FROM g LEFT JOIN s0 USING (series_key, ts)),
+i AS (SELECT *, last_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+            last_value(value IGNORE NULLS) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+            first_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np,
+            first_value(value IGNORE NULLS) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv
+      FROM r),
+s AS (SELECT series_key, ts, coalesce(value, CASE WHEN pv IS NOT NULL AND nv IS NOT NULL THEN
+          CASE WHEN np = pp THEN pv ELSE pv + (nv - pv) * (pos - pp) / (np - pp) END END, pv, nv) AS value FROM i)"""  # the same on the full month grid, gaps interpolated
+
+
 def _ds(c="ts"):
     return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
 
@@ -62,7 +76,7 @@ def monthly_windows_orders(spark, sf):
 
 
 ACF_SQL = f"""
-WITH {MONTHLY_SQL},
+WITH {FILLED_SQL},
 p AS (SELECT series_key, row_number() OVER (PARTITION BY series_key ORDER BY ts) - 1 AS t,
              value - avg(value) OVER (PARTITION BY series_key) AS c, count(*) OVER (PARTITION BY series_key) AS n FROM s),
 lags AS (SELECT unnest(range(0, 37)) AS lag),
@@ -77,7 +91,7 @@ a AS (SELECT pr.series_key, lag, n, CASE WHEN lag = 0 THEN 1.0 ELSE sc / s0 END
 SELECT series_key, lag::BIGINT AS lag, round(acf, 6) AS acf FROM a""")
 def acf_orders(spark, sf):
     """Biased autocorrelation, lags 0..min(36, max(10, n−1)) per priority."""
-    a = tstests.acf(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
+    a = tstests.acf(monthly_series(spark, sf), ["series_key"], "ts", "value")
     return a.select("series_key", "lag", rnd("acf").alias("acf"))
 
 
@@ -86,7 +100,7 @@ SELECT series_key, any_value(n)::BIGINT AS n, max(lag)::BIGINT AS lags, round(an
 FROM a WHERE lag >= 1 AND lag <= least(24, greatest(10, n // 5)) GROUP BY series_key""")
 def ljung_box_orders(spark, sf):
     """T5: Ljung–Box Q with the lag rule min(24, max(10, n//5))."""
-    q = tstests.ljung_box(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
+    q = tstests.ljung_box(monthly_series(spark, sf), ["series_key"], "ts", "value")
     return q.select("series_key", F.col("n").cast("long").alias("n"), F.col("lags").cast("long").alias("lags"),
                     rnd("lb_stat").alias("lb_stat"))
 
@@ -107,7 +121,7 @@ SELECT series_key, k::BIGINT AS lag, round(phi[k], 6) AS pacf FROM dl
 UNION ALL SELECT series_key, 0::BIGINT, 1.0 FROM l""")
 def pacf_orders(spark, sf):
     """T4: Yule–Walker PACF (Durbin–Levinson) per priority."""
-    a = tstests.acf(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
+    a = tstests.acf(monthly_series(spark, sf), ["series_key"], "ts", "value")
     p = tstests.pacf_yw(a, ["series_key"])
     return p.select("series_key", "lag", rnd("pacf").alias("pacf"))
 
@@ -115,7 +129,7 @@ def pacf_orders(spark, sf):
 @register("adf_orders")
 def adf_orders(spark, sf):
     """ADF (constant, AIC lag) per priority."""
-    a = tstests.adf(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
+    a = tstests.adf(monthly_series(spark, sf), ["series_key"], "ts", "value")
     return a.select("series_key", rnd("adf_stat").alias("adf_stat"), rnd("p_value").alias("p_value"),
                     "used_lag", "nobs", rnd("crit_5").alias("crit_5"), "is_stationary")
 
@@ -123,13 +137,13 @@ def adf_orders(spark, sf):
 @register("stationarize_orders")
 def stationarize_orders(spark, sf):
     """Log / d / D choice by ADF p per priority."""
-    s = tstests.stationarize(monthly_order_totals(spark, sf), ["series_key"], "ts", "value")
+    s = tstests.stationarize(monthly_series(spark, sf), ["series_key"], "ts", "value")
     return s.select("series_key", "log_applied", "d", "seasonal_d", rnd("adf_p_raw").alias("adf_p_raw"),
                     rnd("adf_p_after").alias("adf_p_after"))
 
 
 @register("decompose_orders", f"""
-WITH {MONTHLY_SQL},
+WITH {FILLED_SQL},
 p AS (SELECT series_key, ts, value, row_number() OVER o - 1 AS t, count(*) OVER (PARTITION BY series_key) AS n,
         CASE WHEN count(value) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13 THEN
           (0.5*lag(value, 6) OVER o + lag(value, 5) OVER o + lag(value, 4) OVER o + lag(value, 3) OVER o
@@ -146,16 +160,14 @@ tr AS (SELECT p.*, coalesce(ma, CASE WHEN t < 6 THEN a0 + b0*t ELSE a1 + b1*t EN
        FROM p JOIN f USING (series_key)),
 ph AS (SELECT series_key, phase, avg(value - trend) AS pm FROM tr GROUP BY 1, 2),
 phc AS (SELECT series_key, phase, pm - avg(pm) OVER (PARTITION BY series_key) AS seasonal FROM ph)
-SELECT series_key, strftime(ts, '%Y-%m-%d') AS ts, round(value, 2) AS value, round(trend, 5) AS trend,
-       round(seasonal, 2) AS seasonal, round(value - trend - seasonal, 2) AS resid
+SELECT series_key, strftime(ts, '%Y-%m-%d') AS ts, round(value, 5) AS value, round(trend, 5) AS trend,
+       round(seasonal, 5) AS seasonal, round(value - trend - seasonal, 5) AS resid
 FROM tr JOIN phc USING (series_key, phase)""")
 def decompose_orders(spark, sf):
     """Additive decomposition (period 12, trend ends extrapolated)."""
-    d = tstests.seasonal_decompose(monthly_order_totals(spark, sf), ["series_key"], "ts", "value", 12)
-    # the 2x12 moving average is a multiple of 1/2400 of a cent sum: 5 decimals
-    # never meets an exact rounding tie there
-    return d.select("series_key", _ds(), *[rnd(c, 5 if c == "trend" else 2).alias(c)
-                                           for c in ["value", "trend", "seasonal", "resid"]])
+    d = tstests.seasonal_decompose(monthly_series(spark, sf), ["series_key"], "ts", "value", 12)
+    # filled months are fractions of cents: 5 decimals keep clear of rounding ties
+    return d.select("series_key", _ds(), *[rnd(c, 5).alias(c) for c in ["value", "trend", "seasonal", "resid"]])
 
 
 GRANGER_SQL = """

@@ -136,3 +136,20 @@ def test_sarimax_recovers_exog_effect(spark):
                                "k string, t long, y double, x double")
     r = fc.sarimax_fit(df, ["k"], "t", "y", ["x"], dict(p=1, d=1, q=0, sp=0, sd=0, sq=0, s=12)).first()
     assert r["ok"] and abs(r["params"][-1] - 3.0) < 0.05
+
+
+def test_missing_months_are_filled_before_lags(spark):
+    from statlake.plans.common import regular_monthly
+    solar = _solar(spark)
+    gone = solar.filter("ts not in (date'2023-05-01', date'2024-11-01')")
+    full = {r["ts"]: r["value"] for r in solar.collect()}
+    got = {r["ts"]: r["value"] for r in regular_monthly(gone, ["series_key"], "ts", "value").collect()}
+    assert got.keys() == full.keys()
+    import datetime as d
+    for t in (d.date(2023, 5, 1), d.date(2024, 11, 1)):
+        before = (t.replace(day=1) - d.timedelta(days=1)).replace(day=1)
+        after = (t + d.timedelta(days=31)).replace(day=1)
+        assert abs(got[t] - (full[before] + full[after]) / 2) < 1e-9
+    a = {r["lag"]: r["acf"] for r in tstests.acf(regular_monthly(gone, ["series_key"], "ts", "value"), ["series_key"], "ts", "value", 12).collect()}
+    b = {r["lag"]: r["acf"] for r in tstests.acf(solar, ["series_key"], "ts", "value", 12).collect()}
+    assert max(abs(a[k] - b[k]) for k in a) < 0.01
