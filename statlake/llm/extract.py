@@ -6,7 +6,7 @@ reads the sequence and labels every block as article or not, so a block is
 judged with the whole page around it.
 
 The labeller is trained here, on the driver, on at most ``max_training``
-pages (those with the smallest hash of the id; 200 by default).  Labels come
+pages of at most 200,000 characters (those with the smallest hash; 200 by default).  Labels come
 from the pages' own markup: blocks in an article or main element count as
 article unless an enclosing element is a menu, header, footer, sidebar,
 notice, advert, form or comment list.  So that words, lengths and neighbours
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statlake.llm import store
 from statlake.llm import words as W
 from statlake.llm.bilstm import BiLSTM
 from statlake.llm.html_blocks import blocks
@@ -128,8 +129,9 @@ def _variant(page, r: random.Random):
 def train(pages: DataFrame, max_training: int = 200, hidden: int = 16, epochs: int = 8, seed: int = 5,
           id_col: str = "page_id", html_col: str = "html") -> BiLSTM | None:
     """Fit the labeller on a bounded sample; the same sample and seed give the same weights."""
-    rows = (pages.filter(F.length(html_col) > 0).select(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).alias("h"), F.col(html_col).alias("t"))
-            .filter(F.length("t") <= 200_000).orderBy("h", F.xxhash64("t")).limit(max_training).collect())
+    fit = pages.select(F.col(id_col).cast("string").alias("i"), F.col(html_col).alias("t")).filter("length(t) between 1 and 200000")
+    rows = store.sample(fit, F.xxhash64("i", "t", F.lit(seed)), max_training).collect()
+    rows.sort(key=lambda r: (r["i"] or "", r["t"]))
     r = random.Random(seed)
     memo: dict = {}
     sequences, labels = [], []

@@ -233,7 +233,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, factor: float = 64.0, id_co
     entries = (v.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(salts)).alias("salt")).agg(smallest(F.collect_list("vec_id")).alias("ids"))
                .groupBy("v").agg(smallest(F.flatten(F.collect_list("ids"))).alias("ids")))
     entries = store.table(entries, "entries")
-    sample = _matrix([r["v"] for r in entries.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()], dim)
+    sample = _matrix([r["v"] for r in store.sample(entries.select("v"), F.xxhash64("v"), SAMPLE).collect()], dim)
     pivots = space.lift(sample[:PIVOTS])
 
     def assign(batches):

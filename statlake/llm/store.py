@@ -10,10 +10,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+BATCH_ROWS = 1000  # rows in an Arrow batch: whole texts, some very long, go to Python workers
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +46,21 @@ def small(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
     """``df``, a slim written table, with a broadcast hint if it has at most
     ``rows`` rows; beyond that Spark shuffles both sides of the join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches at ``BATCH_ROWS`` rows at most."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def sample(df: DataFrame, key: Column, k: int) -> DataFrame:
+    """The ``k`` rows with the smallest hash ``key`` (a long), or all.  A cut
+    by the row count comes first, so that a task sends on a few of ``k`` rows
+    at most, however many tasks there are."""
+    n = df.count()
+    if n > 8 * k:
+        df = df.filter(key <= -(2 ** 63) + int(2 ** 64 * min(1.0, (k + 10 * k ** 0.5 + 50) / n)))
+    return df.withColumn("_sample_key", key).orderBy("_sample_key").limit(k).drop("_sample_key")
