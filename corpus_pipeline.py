@@ -23,28 +23,33 @@ def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def toxicity_stage(spark, docs, sf_dir):
+def _prepare(spark):
     ship_package(spark)
+    store.small_batches(spark)
+
+
+def toxicity_stage(spark, docs, sf_dir):
+    _prepare(spark)
     return toxicity.drop_toxic(docs, _read(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    ship_package(spark)
+    _prepare(spark)
     return minhash.drop_near_duplicates(docs, words=5)
 
 
 def decontamination_stage(spark, docs, sf_dir):
-    ship_package(spark)
+    _prepare(spark)
     return decontaminate.drop_leaks(docs, _read(spark, sf_dir, "benchmark"))
 
 
 def secrets_stage(spark, docs, sf_dir):
-    ship_package(spark)
+    _prepare(spark)
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing_stage(spark, docs, sf_dir):
-    ship_package(spark)
+    _prepare(spark)
     return mixing.systematic_mix(docs)
 
 

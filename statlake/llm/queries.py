@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, suffix_dedup, toxicity, warc
+from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, store, suffix_dedup, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -13,6 +13,7 @@ ORACLE: dict = {}
 def _op(name, sources, fn, sql=None):
     def run(spark, sf_dir):
         ship_package(spark)
+        store.small_batches(spark)
         return fn(*[table(spark, sf_dir, t) for t in sources.split()])
     run.__name__ = name
     QUERIES[name] = run
