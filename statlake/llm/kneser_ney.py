@@ -81,6 +81,15 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
+def by_bucket(bucket: np.ndarray):
+    """(bucket, places) of the buckets that occur, however many there are."""
+    order = np.argsort(bucket, kind="stable")
+    b = bucket[order]
+    cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, np.int64)
+    for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(b)], strict=True) if len(b) else ():
+        yield int(b[i]), order[i:j]
+
+
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the words of a slice, each document closed by END."""
     doc, h, _, _ = W.words(raw, offsets)
@@ -131,22 +140,22 @@ class Vocabulary:
     def number(self, sorted_hashes: np.ndarray) -> np.ndarray:
         """Numbers of sorted distinct hashes; -1 for unknown ones."""
         out = np.full(len(sorted_hashes), -1, np.int64)
-        cut = np.searchsorted(bucket_of(sorted_hashes, self.n), np.arange(self.n + 1)) if self.n else []
-        for b in range(self.n):
-            part = sorted_hashes[cut[b]:cut[b + 1]]
+        for b, places in by_bucket(bucket_of(sorted_hashes, self.n)) if self.n else ():
             have = self.column(b, 0, np.uint64)
-            if len(part) and len(have):
+            if len(have):
+                part = sorted_hashes[places]
                 at = np.minimum(np.searchsorted(have, part), len(have) - 1)
-                out[cut[b]:cut[b + 1]] = np.where(have[at] == part, at + self.offsets[b], -1)
+                out[places] = np.where(have[at] == part, at + self.offsets[b], -1)
         return out
 
+    def bucket(self, numbers: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.offsets, numbers, "right") - 1
+
     def values(self, sorted_numbers: np.ndarray, which: int, kind) -> np.ndarray:
         """Column ``which`` for sorted known numbers."""
         out = np.empty(len(sorted_numbers), kind)
-        cut = np.searchsorted(sorted_numbers, self.offsets)
-        for b in range(self.n):
-            if cut[b] < cut[b + 1]:
-                out[cut[b]:cut[b + 1]] = self.column(b, which, kind)[sorted_numbers[cut[b]:cut[b + 1]] - self.offsets[b]]
+        for b, places in by_bucket(self.bucket(sorted_numbers)):
+            out[places] = self.column(b, which, kind)[sorted_numbers[places] - self.offsets[b]]
         return out
 
 
@@ -159,16 +168,9 @@ def pair_bucket(keys: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
     return (W.mix64(context) % np.uint64(n)).astype(np.int64)
 
 
-def _send(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, n: int):
+def _send(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray):
     """Rows (bucket, n, keys, counts) of sorted distinct keys."""
-    order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange(n + 1))
-    rows = []
-    for b in range(n):
-        at = order[cut[b]:cut[b + 1]]
-        if len(at):
-            rows.append((b, len(at), pack(keys[at]), pack_small(counts[at])))
-    return _rows(rows)
+    return _rows([(b, len(at), pack(keys[at]), pack_small(counts[at])) for b, at in by_bucket(bucket)])
 
 
 def _rows(rows):
@@ -176,7 +178,7 @@ def _rows(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "n", "keys", "counts"])
 
 
-def _count(docs: DataFrame, keys_of, bucket_fn, n: int, start) -> DataFrame:
+def _count(docs: DataFrame, keys_of, bucket_fn, start) -> DataFrame:
     """Pre-counted keys of all texts, as rows of ``_send``."""
     def run(batches):
         state = start()
@@ -184,7 +186,7 @@ def _count(docs: DataFrame, keys_of, bucket_fn, n: int, start) -> DataFrame:
 
         def flush():
             k, c = summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
-            return _send(k, c, bucket_fn(k), n)
+            return _send(k, c, bucket_fn(k))
         for batch in batches:
             raw, offsets = W.text_bytes(batch.column(0))
             for a, e in W.slices(offsets):
@@ -230,12 +232,8 @@ class Model:
         n = len(self.pairs)
         if not n or not len(sorted_keys):
             return out
-        bucket = pair_bucket(sorted_keys, self.hot, n)
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(n + 1))
-        for b in range(n):
-            at = order[cut[b]:cut[b + 1]]
-            if not len(at) or not self.pairs[b]:
+        for b, at in by_bucket(pair_bucket(sorted_keys, self.hot, n)):
+            if not self.pairs[b]:
                 continue
             if b not in maps:
                 maps[b] = tuple(_map(p, k) for p, k in zip(self.pairs[b], (np.uint64, np.uint8, np.uint64, np.int64), strict=True))
@@ -308,7 +306,7 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
     def _largest(keys, counts, n):  # candidates for hot contexts: places in the bucket and counts
         top = np.argsort(-counts, kind="stable")[:8 * n]
         return [int(x) for i in top for x in (i, counts[i])]
-    rows = (_count(docs, words_of, lambda k: bucket_of(k, n), n, lambda: None).groupBy("bucket")
+    rows = (_count(docs, words_of, lambda k: bucket_of(k, n), lambda: None).groupBy("bucket")
             .applyInPandas(words_done, "bucket int, size long, total long, files array<string>, largest array<long>"))
     made = {r["bucket"]: r for r in store.table(rows, "words").collect()}
     if not made:
@@ -341,18 +339,15 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
         context, word = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
         k, sums = summed(context, np.column_stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.int64))
         w, ones = summed(word, np.ones(len(word), np.int64))
-        edge = offsets.astype(np.uint64)
         for kind, key, value in ((0, k, sums), (1, w, ones[:, None])):
-            cut = np.searchsorted(key, edge)
-            for b in range(n):
-                i, j = cut[b], cut[b + 1]
-                if i < j:
-                    out.append((b, kind, [], [], pack(key[i:j]), pack_small(value[i:j].ravel()), int(j - i)))
+            for b, at in by_bucket(vocabulary.bucket(key.astype(np.int64))):
+                if b < n:  # the start of a text is no word
+                    out.append((b, kind, [], [], pack(key[at]), pack_small(value[at].ravel()), len(at)))
             if kind == 0 and len(key) and key[-1] == start:
                 out.append((-2, 0, [], [int(x) for x in value[-1]], b"", b"", 0))
         return pd.DataFrame(out, columns=["bucket", "kind", "files", "sums", "keys", "counts", "n"])
     pair_rows = store.table(
-        _count(docs, pairs_of, lambda k: pair_bucket(k, hot, n), n, lambda: Vocabulary(vocabulary.files, sizes)).groupBy("bucket")
+        _count(docs, pairs_of, lambda k: pair_bucket(k, hot, n), lambda: Vocabulary(vocabulary.files, sizes)).groupBy("bucket")
         .applyInPandas(pairs_done, "bucket int, kind int, files array<string>, sums array<long>, keys binary, counts binary, n long"), "pairs")
     pairs: list[list[str]] = [[] for _ in range(n)]
     counts_of, types, begin = np.zeros(4, np.int64), 0, np.zeros(4, np.int64)
