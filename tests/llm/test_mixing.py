@@ -7,7 +7,7 @@ from tests.llm import helpers as H
 
 def _oracle(df):
     con = duckdb.connect()
-    con.register("documents", df.select("doc_id", "text", "source").toPandas())
+    con.register("documents", df.select("doc_id", "text", "source").toPandas().astype({"doc_id": "Int64"}))
     return con.execute(mixing.ORACLE).df()
 
 
