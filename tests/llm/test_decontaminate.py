@@ -69,3 +69,26 @@ def test_multi_index_meets_all_within_the_radius():
             b ^= np.uint64(1) << np.uint64(bit)
         x, y = (np.array([v], np.uint64).view(np.uint8) for v in (a, b))
         assert any(near[p, q] for p, q in zip(x, y)) and D.distance(a, b) <= D.RADIUS
+
+
+def test_swapped_parts_match_brute_force(spark):
+    """Shingle similarity ignores word order: parts of an item may stand in another order."""
+    r = random.Random(4)
+    items = [(i, " ".join(f"i{i}n{k}" for k in range(n))) for i, n in enumerate((60, 60, 90, 200, 40))]
+    items.append((9, " ".join(["again and again we say it"] * 12)))
+    docs = []
+    for k in range(60):
+        w = r.choice(items)[1].split(" ")
+        cuts = sorted(r.sample(range(1, len(w)), r.choice((1, 1, 2, 3))))
+        if k < 5:
+            w, cuts = items[k][1].split(" "), [len(items[k][1].split(" ")) // 2]
+        parts = [w[a:b] for a, b in zip([0, *cuts], [*cuts, len(w)])]
+        parts.reverse()
+        docs.append((k, " ".join([H.prose(r, 40), *[x for p in parts for x in p], H.prose(r, 40)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in D.op10_query(H.documents(spark, docs), bench).collect()}
+    want = {(d, i): s for d, t in docs for i, x in items if (s := D.brute_force(t, x)) >= 0.8}
+    assert {(0, 0), (1, 1), (2, 2), (3, 3)} <= set(want) and abs(want[0, 0] - 52 / 60) < 1e-12
+    assert got.keys() == want.keys() and all(abs(got[k] - s) < 1e-12 for k, s in want.items())
+    kept = {x["doc_id"] for x in D.drop_leaks(H.documents(spark, docs), bench).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
