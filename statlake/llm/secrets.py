@@ -3,8 +3,11 @@
 Three fixed patterns find assignments, access keys and hex strings.  A run of
 key characters that no pattern caught is tested for token efficiency: a BPE
 vocabulary packs ordinary text at well over two characters a token, random
-strings at little over one.  Known digests (hex of a digest's length), UUIDs,
-numbers, e-mail and URL parts are left out before the test.
+strings at little over one.  Segments between dots are runs of their own; a run
+that is not random as a whole, or is part of a URL's path, is tested piece by
+piece between slashes.  Left out before the test are pieces that are wholly a
+known digest (hex of a digest's length), a UUID or a number, the host of a URL
+and both parts of an e-mail address; user and password of a URL are tested.
 
 The vocabulary file (``.tiktoken`` ranks, a parameter) is read once on the
 driver and broadcast: its size is that of the file, under 1 MB.
@@ -18,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +39,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9_+/-]{16,}={0,2}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: user and password of a URL, if any, and its host; the domain of an e-mail address
+URL = re.compile(r"://([^\s/?#@]*@)?([^\s/?#@:]+)")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+TOP = re.compile(r"[A-Za-z]{2,24}")
+SHORTEST = 16
 ANY_HEX = re.compile(r"[0-9A-Fa-f]+")
 NUMBER = re.compile(r"[0-9+/_-]+=*")
 #: Fixed: hex lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
@@ -62,10 +72,49 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def known(run: str, before: str, after: str) -> bool:
-    """Whether a run is a digest, a UUID, a number or part of an address."""
-    return bool((ANY_HEX.fullmatch(run) and len(run) in DIGEST_LENGTHS) or UUID.search(run) or NUMBER.fullmatch(run)
-                or "@" in (before[-1:], after[:1]) or before.endswith(("://", ".", "://www.")) or "//" in run)
+def known(run: str) -> bool:
+    """Whether a run is wholly a digest, a UUID or a number."""
+    return bool((ANY_HEX.fullmatch(run) and len(run) in DIGEST_LENGTHS) or UUID.fullmatch(run) or NUMBER.fullmatch(run))
+
+
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Hosts of URLs and e-mail addresses."""
+    out, users = [], set()
+    if "://" in text:
+        for m in URL.finditer(text):
+            out.append(m.span(2))
+            users.add(m.end(1) - 1)
+    if "@" in text:
+        for m in DOMAIN.finditer(text):
+            at = m.start()
+            s = at
+            while s and at - s <= 64 and text[s - 1] in LOCAL:
+                s -= 1
+            # a local part has 64 characters at most; what follows a colon is a password
+            if at not in users and 0 < at - s <= 64 and (text[s - 1:s] != ":" or text[max(0, s - 7):s].lower() == "mailto:"):
+                out.append((s, m.end()))
+    return out
+
+
+class Cover:
+    """Tells whether given spans cover, or touch, a stretch of text."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def covers(self, s: int, e: int) -> bool:
+        i = bisect_right(self.starts, s) - 1
+        return i >= 0 and e <= self.ends[i]
+
+    def touches(self, s: int, e: int) -> bool:
+        i = bisect_right(self.starts, e - 1) - 1
+        return i >= 0 and s < self.ends[i]
 
 
 class Scanner:
@@ -92,15 +141,38 @@ class Scanner:
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         out = base_spans(text)
-        taken = sorted((s, e) for _, s, e in out)
+        taken, hosts = Cover([(s, e) for _, s, e in out]), None
         for m in RUN.finditer(text):
             s, e = m.span()
-            if any(a < e and s < b for a, b in taken):
+            if taken.touches(s, e):
                 continue
-            if not known(m[0], text[max(0, s - 8):s], text[e:e + 1]) and self.random(m[0]):
-                out.append(("random", s, e))
+            if hosts is None:
+                hosts = Cover(addresses(text))
+            out += [("random", a, b) for a, b in self.within(text, s, e, taken, hosts)]
         return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
+    def within(self, text: str, s: int, e: int, taken: Cover, hosts: Cover) -> list[tuple[int, int]]:
+        """The run itself if it is random, else its random pieces between slashes."""
+        run = text[s:e]
+        if "/" not in run:
+            return [(s, e)] if not (known(run) or hosts.touches(s, e)) and self.random(run) else []
+        pieces, at = [], s
+        for part in run.split("/"):
+            pieces.append((at, at + len(part)))
+            at += len(part) + 1
+        path = hosts.touches(s, e)
+        if run.startswith("//"):
+            path = True
+            if text[max(0, s - 1):s] != ":" and text[e:e + 1] == ".":  # a host without a scheme
+                pieces = []
+        elif text[max(0, s - 1):s] == "." and TOP.fullmatch(run, 0, pieces[0][1] - s):
+            path, pieces = True, pieces[1:]  # host.com/path
+        same = [known(text[a:b]) or taken.covers(a, b) for a, b in pieces]
+        if not path and not known(run) and not any(x and b - a >= SHORTEST for x, (a, b) in zip(same, pieces, strict=True)) and self.random(run):
+            return [(s, e)]
+        return [(a, b) for x, (a, b) in zip(same, pieces, strict=True)
+                if not x and b - a >= SHORTEST and not hosts.touches(a, b) and self.random(text[a:b])]
+
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, ratio: float = 1.8,
                  letters_ratio: float = 1.45, out: str = "spans", keep: list[str] | None = None) -> DataFrame:

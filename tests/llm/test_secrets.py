@@ -52,3 +52,22 @@ def test_redaction(spark):
 @pytest.mark.parametrize("text", ["token=" + "a" * 6, "token=" + "a" * 5])
 def test_assignment_length(text):
     assert len(S.base_spans(text)) == (len(text) == 12)
+
+
+def test_random_strings_in_dotted_names_urls_and_after_at(spark):
+    r = random.Random(3)
+    key = lambda n: "".join(r.choices(string.ascii_letters + string.digits, k=n))
+    jwt = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", key(80), key(43)
+    mail, two, password, hook, joined, path = (key(n) for n in (22, 43, 24, 24, 20, 30))
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    texts = [f"jwt {'.'.join(jwt)} end", f"mail SG.{mail}.{two}", f"db scheme://user:{password}@host.example.com/base",
+             f"post host.com/services/T0AB12/B0CD34/{hook} now", f"post https://hooks.example.com/services/T0AB12/B0CD34/{hook}",
+             f"id {joined}-{uuid} end", f"see https://example.com/{path}/readme https://{two}@example.com",
+             f"https://{key(20)}.example.com/a {key(20)}@example.com mailto:{key(20)}@example.com x/{uuid}/y https://example.com/v1/objects/{uuid}"]
+    want = [jwt, (mail, two), (password,), (hook,), (hook,), (joined,), (path, two), ()]
+    out = {x["doc_id"]: x["text"] for x in S.redact(H.documents(spark, list(enumerate(texts)))).collect()}
+    for i, hidden in enumerate(want):
+        assert not any(w in out[i] for w in hidden), out[i]
+    assert out[7] == texts[7] and "services/T0AB12" in out[3] and "host.example.com" in out[2]
+    scan = S.Scanner(S.load_vocabulary(S.VOCABULARY), 1.8, 1.45)
+    assert not scan.spans("org.springframework.transaction.interceptor.TransactionInterceptor example.com/documentation/installation-guide")
