@@ -7,7 +7,8 @@ strings at little over one.  Segments between dots are runs of their own; a run
 that is not random as a whole, or is part of a URL's path, is tested piece by
 piece between slashes.  Left out before the test are pieces that are wholly a
 known digest (hex of a digest's length), a UUID or a number, the host of a URL
-and both parts of an e-mail address; user and password of a URL are tested.
+and both parts of an e-mail address; user and password of a URL are tested.  A
+run that a pattern caught only in part is tested as a whole.
 
 The vocabulary file (``.tiktoken`` ranks, a parameter) is read once on the
 driver and broadcast: its size is that of the file, under 1 MB.
@@ -144,7 +145,7 @@ class Scanner:
         taken, hosts = Cover([(s, e) for _, s, e in out]), None
         for m in RUN.finditer(text):
             s, e = m.span()
-            if taken.touches(s, e):
+            if taken.covers(s, e):
                 continue
             if hosts is None:
                 hosts = Cover(addresses(text))
@@ -194,7 +195,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCA
 
 def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every secret replaced by its kind in brackets; hex of a
-    digest's length is no secret and stays."""
+    digest's length is no secret and stays, unless it is part of a random run."""
     names = docs.columns
     d = scan_secrets(docs, text_col, out="_spans", **options)
     hide = F.filter("_spans", lambda s: ~((s["kind"] == "hex") & (s["end"] - s["start"]).isin(*sorted(DIGEST_LENGTHS))))

@@ -71,3 +71,15 @@ def test_random_strings_in_dotted_names_urls_and_after_at(spark):
     assert out[7] == texts[7] and "services/T0AB12" in out[3] and "host.example.com" in out[2]
     scan = S.Scanner(S.load_vocabulary(S.VOCABULARY), 1.8, 1.45)
     assert not scan.spans("org.springframework.transaction.interceptor.TransactionInterceptor example.com/documentation/installation-guide")
+
+
+@pytest.mark.parametrize("n", [32, 40, 64])
+def test_keys_around_hex_of_a_digest_length(spark, n):
+    r = random.Random(n)
+    digest = lambda: "a" + "".join(r.choices("0123456789abcdef", k=n - 2)) + "7"
+    a, b, c, d, e = (digest() for _ in range(5))
+    rows = [(0, f"x SK{a} y"), (1, f"x key-{b} y"), (2, f"x {c}-us12 y"), (3, f"x {d} y objects/{e} z")]
+    got = {x["doc_id"]: x["text"] for x in S.redact(H.documents(spark, rows)).collect()}
+    assert [got[i] for i in range(3)] == ["x [random] y"] * 3 and got[3] == rows[3][1]
+    base = {x["doc_id"]: x["n_hex"] for x in S.op2_query(H.documents(spark, rows)).collect()}
+    assert base == {0: 1, 1: 1, 2: 1, 3: 2}
