@@ -9,7 +9,9 @@ The labeller is trained here, on the driver, on at most ``max_training``
 pages of at most 200,000 characters (those with the smallest hash; 200 by default).  Labels come
 from the pages' own markup: blocks in an article or main element count as
 article unless an enclosing element is a menu, header, footer, sidebar,
-notice, advert, form or comment list.  So that words, lengths and neighbours
+notice, advert, form or comment list.  Such names do not count on html, on body
+and, if they would leave no article, on the elements around the largest one;
+pages without an article are not trained on.  So that words, lengths and neighbours
 are learned too, and kinds of clutter that the sample lacks, copies of the
 pages are trained with clutter blocks put in and with renamed containers.
 
@@ -43,17 +45,46 @@ CLUTTER = frozenset("nav header footer aside form menu sidebar side notice cooki
 ARTICLE = frozenset("article main articlebody".split())
 
 
-def by_markup(path: tuple[str, ...]) -> bool:
-    """Whether the path alone says article: in one, and in no clutter."""
+def by_markup(path: tuple[str, ...], free: set[tuple[str, ...]] = frozenset()) -> bool:
+    """Whether the path alone says article: in one, and in no clutter.  Names of
+    html, of body and of the elements at ``free`` paths are no clutter."""
     inside = False
-    for e in path:
+    for i, e in enumerate(path):
         names = e.split(" ")
-        if CLUTTER.intersection(names):
+        if names[0] in ("html", "body"):
+            continue
+        if CLUTTER.intersection(names) and path[:i + 1] not in free:
             return False
         inside = inside or not ARTICLE.isdisjoint(names)
     return inside
 
 
+def markup_labels(page) -> list[bool]:
+    """``by_markup`` of a page's blocks.  If clutter names leave no article, they
+    do not count on the elements around the one that holds the most text: first
+    of articles without such a name, then of article and main elements with one."""
+    out = [by_markup(b[0]) for b in page]
+    if any(out):
+        return out
+    plain: dict[tuple[str, ...], int] = {}
+    named: dict[tuple[str, ...], int] = {}
+    for path, text, *_ in page:
+        for i, e in enumerate(path):
+            names = e.split(" ")
+            if names[0] in ("html", "body") or ARTICLE.isdisjoint(names):
+                continue
+            to = plain if CLUTTER.isdisjoint(names) else named if names[0] in ("article", "main") else None
+            if to is not None:
+                to[path[:i + 1]] = to.get(path[:i + 1], 0) + len(text)
+    for found in (plain, named):
+        for best in sorted(found, key=lambda k: (-found[k], len(k))):
+            free = {best[:k] for k in range(1, len(best) + 1)}
+            out = [by_markup(b[0], free) for b in page]
+            if any(out):
+                return out
+    return out
+
+
 def _path_slots(path: tuple[str, ...], memo: dict) -> np.ndarray:
     got = memo.get(path)
     if got is None:
@@ -114,7 +145,8 @@ def _variant(page, r: random.Random):
     rename = r.choice(({}, {}, {"article": "main"}, {"article": "div articlebody"}, {"article": "div content"}, {"article": "section"}))
     cut = lambda t: " ".join(t.split(" ")[:r.choice((2, 5, 12, 30, 80))])
     texts = [t for _, t, _ in page] or ["x"]
-    out = [(tuple(rename.get(e, e) for e in path), text, linked, by_markup(path)) for path, text, linked in page]
+    out = [(tuple(rename.get(e, e) for e in path), text, linked, label)
+           for (path, text, linked), label in zip(page, markup_labels(page), strict=True)]
     inside = [i for i, b in enumerate(out) if b[3]]
     for _ in range(r.randrange(5)):
         end = r.choice(_CLUTTER_PATHS)
@@ -137,10 +169,12 @@ def train(pages: DataFrame, max_training: int = 200, hidden: int = 16, epochs: i
     sequences, labels = [], []
     for row in rows:
         page = blocks(row["t"])
+        if not any(markup_labels(page)):  # no article to learn from
+            continue
         if len(page) > 120:  # for training only: both ends of a long page
             page = page[:60] + page[-60:]
         if page:
-            for v in ([(*b, by_markup(b[0])) for b in page], _variant(page, r), _variant(page, r)):
+            for v in ([(*b, k) for b, k in zip(page, markup_labels(page), strict=True)], _variant(page, r), _variant(page, r)):
                 sequences.append([b[:3] for b in v])
                 labels.append(np.array([float(b[3]) for b in v]))
     if not sequences:
@@ -169,7 +203,7 @@ def extract(pages: DataFrame, model: BiLSTM | None, keep: list[str], html_col: s
             for at in range(0, b.num_rows, 256):
                 parsed = [blocks(h.as_py() or "") for h in source.slice(at, 256)]
                 if model is None:
-                    chosen = [[by_markup(p) for p, _, _ in page] for page in parsed]
+                    chosen = [markup_labels(page) for page in parsed]
                 else:
                     chosen = [p > cut for p in model.predict(vectors(parsed, memo))]
                 texts += ["\n".join(t for (_, t, _), k in zip(page, c, strict=True) if k) for page, c in zip(parsed, chosen, strict=True)]

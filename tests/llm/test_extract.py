@@ -93,3 +93,21 @@ def test_real_pages_hold_out(spark):
 def test_no_pages(pages):
     assert X.op9_query(pages.filter("false")).count() == 0
     assert [r["text"] for r in X.extract(pages.filter("page_id = 1"), None, ["page_id"]).collect()][0].startswith("Title 1")
+
+
+@pytest.mark.parametrize("body, wrapper", [("<body class='post has-sidebar'>", "<div id='page' class='header-fixed'>"), ("<body>", "<div class='site with-menu'>")])
+def test_clutter_words_around_the_article(spark, body, wrapper):
+    def wrapped(i, text):
+        return _page(i, text).replace("<body>", body + wrapper).replace("</body>", "</div></body>")
+    rows = [(i, f"u{i}", wrapped(i, "".join(f"<p>Sentence {k} of page {i}, it goes on.</p>" for k in range(1 + i % 5)))) for i in range(40)]
+    rows += [(200 + i, "u", f"<html>{body}<div><p>Just {i} words</p></div></body></html>") for i in range(40)]  # no article container
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: "\n".join([f"Title {i}"] + [f"Sentence {k} of page {i}, it goes on." for k in range(1 + i % 5)]) for i in range(40)}
+    for model in (X.train(frame), None):
+        got = {r["page_id"]: r["text"] for r in X.extract(frame, model, ["page_id"]).collect()}
+        assert {i: got[i] for i in want} == want
+    assert X.train(frame.filter("page_id >= 200")) is None
+    aside = "<article><p>Text.</p><aside class='sidebar'><p>More</p></aside><p>On.</p></article>"
+    aside += "<div class='comments'><article class='comment'><p>Nice, and a longer text than the other.</p></article></div>"
+    page = blocks(f"<html>{body}{wrapper}<header><p>Top</p></header>{aside}</div></body></html>")
+    assert [b[1] for b, k in zip(page, X.markup_labels(page)) if k] == ["Text.", "On."]
