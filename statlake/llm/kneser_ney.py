@@ -16,7 +16,7 @@ A bigram model of lower-cased words, each text ended by an end token.
 
 Files lie in the shared folder; the number of buckets grows with the text, so
 a bucket stays near ``BUCKET_BYTES`` of text.  The driver holds bucket paths,
-offsets, hot contexts (fewer than 8 a bucket) and a dozen sums.
+offsets, hot contexts (fewer than 8 a bucket, chosen in Spark) and a dozen sums.
 
 Defined cases: null and empty texts have the end token only; a row without an
 id is scored but not learned from; repeated rows count and are scored each;
@@ -300,15 +300,13 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
 
     def words_done(pdf):
         keys, counts = _merged(pdf)
+        top = np.argsort(-counts, kind="stable")[:8 * n]  # candidates for hot contexts
         return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "size": [len(keys)], "total": [int(counts.sum())],
-                             "files": [_put(folder, "words", keys, counts)], "largest": [_largest(keys, counts, n)]})
-
-    def _largest(keys, counts, n):  # candidates for hot contexts: places in the bucket and counts
-        top = np.argsort(-counts, kind="stable")[:8 * n]
-        return [int(x) for i in top for x in (i, counts[i])]
+                             "files": [_put(folder, "words", keys, counts)], "places": [top.tolist()], "counts": [counts[top].tolist()]})
     rows = (_count(docs, words_of, lambda k: bucket_of(k, n), lambda: None).groupBy("bucket")
-            .applyInPandas(words_done, "bucket int, size long, total long, files array<string>, largest array<long>"))
-    made = {r["bucket"]: r for r in store.table(rows, "words").collect()}
+            .applyInPandas(words_done, "bucket int, size long, total long, files array<string>, places array<long>, counts array<long>"))
+    rows = store.table(rows, "words")
+    made = {r["bucket"]: r for r in rows.select("bucket", "size", "total", "files").collect()}
     if not made:
         return Model(Vocabulary([], []), [], np.zeros(0, np.uint64), 0, 0, np.zeros(4), np.zeros(4), 0, 1.0, (0.0, 1.0))
     sizes = [made[b]["size"] if b in made else 0 for b in range(n)]
@@ -316,7 +314,9 @@ def fit(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text_col: str = "text
     vocabulary = Vocabulary([list(made[b]["files"]) if b in made else [none, none] for b in range(n)], sizes)
     total = sum(r["total"] for r in made.values())
     offsets, start = vocabulary.offsets, vocabulary.size
-    hot = [int(offsets[b]) + i for b, r in made.items() for i, c in zip(r["largest"][::2], r["largest"][1::2], strict=True) if 8 * n * c > total]
+    large = (rows.select("bucket", F.explode(F.arrays_zip("places", "counts")).alias("x"))
+             .filter(F.col("x.counts") * F.lit(8 * n).cast("long") > F.lit(total).cast("long")).select("bucket", F.col("x.places").alias("place")))
+    hot = [int(offsets[r["bucket"]]) + r["place"] for r in large.collect()]
     hot = np.array(sorted([*hot, start]), np.uint64)
 
     def pairs_of(v, raw, offs):

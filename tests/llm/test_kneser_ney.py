@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -79,3 +80,18 @@ def test_packing():
         c = r.integers(0, 1 << 40, n)
         assert (K.unpack_small(K.pack_small(c), n) == c).all()
     assert (K.discounts([0, 0, 0, 0]) < [1, 1, 2, 3]).all()
+
+
+def test_candidates_for_hot_contexts_stay_in_spark(spark, monkeypatch):
+    r = random.Random(9)
+    docs = H.documents(spark, [(i, "the " * 30 + H.prose(r, 100, 3000)) for i in range(60)])
+    cls, rows = type(docs), []
+    collect = cls.collect
+
+    def recorded(self):
+        rows.extend(got := collect(self))
+        return got
+    monkeypatch.setattr(cls, "collect", recorded)
+    model = K.fit(docs)
+    assert 1 < len(model.hot) <= 8 * 24 + 1
+    assert max(len(x) for row in rows for x in row if isinstance(x, list)) <= 8
