@@ -2,24 +2,36 @@
 
 Every round rewires each node's larger neighbours, then its smaller ones, to
 its smallest neighbour; the number of rounds grows with the logarithm of the
-longest path.  Each half round is an aggregate and a join on node ids; a
-node with very many neighbours is one key of a join, which adaptive execution
-splits.  Nothing reaches the driver but counts and checksums.
+longest path.  Each half round is an aggregate and a join on node ids.  A
+node's neighbours are dealt over ``SALTS`` cells by their hash: minima are
+taken per cell, then over the at most ``SALTS`` cells of the node, and the
+edges join their cell, so the centre of a large star is many keys and never
+one.  Nothing reaches the driver but counts and checksums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.llm import store
 
+SALTS = 64
+
 
 def _sum(edges: DataFrame) -> tuple:
     h = F.xxhash64("a", "b").cast("decimal(38,0)")
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h)).first())
 
 
+def _with_lowest(edges: DataFrame) -> DataFrame:
+    """``(u, v, m)``: each edge with the smallest neighbour ``v`` of its ``u``."""
+    edges = edges.withColumn("cell", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    cells = edges.groupBy("u", "cell").agg(F.min("v").alias("m"))
+    cells = cells.select("u", "cell", F.min("m").over(Window.partitionBy("u")).alias("m"))
+    return edges.join(cells, ["u", "cell"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``: the smallest
     id that can be reached.  Loops and repeated edges are allowed."""
@@ -33,14 +45,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         before = now
         # large star: every node's larger neighbours go to its smallest one (or itself)
-        both = e.union(e.select("b", "a")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = _with_lowest(e.union(e.select("b", "a")).toDF("u", "v")).filter("v > u")
+        large = large.select(F.least("u", "m").alias("a"), F.col("v").alias("b"))
         e = store.table(large.filter("a < b").distinct(), "large-star")
         # small star: a node and its smaller neighbours go to the smallest of them
-        low = e.groupBy("b").agg(F.min("a").alias("m"))
-        small = e.join(low, "b")
-        small = small.select(F.col("m").alias("a"), F.col("a").alias("b")).union(low.select("m", "b").toDF("a", "b"))
+        small = _with_lowest(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        small = small.select(F.col("m").alias("a"), F.explode(F.array("u", "v")).alias("b"))
         e = store.table(small.filter("a < b").distinct(), "small-star")
     else:
         raise RuntimeError("components did not converge")
