@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, store, suffix_dedup, toxicity, warc
+from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, secrets, simhash, store, suffix_dedup, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -31,3 +31,4 @@ _op("op7_kneser_ney", "documents", kneser_ney.op7_query)
 _op("op8_toxicity", "documents labels", toxicity.op8_query)
 _op("op9_block_labeller", "pages", extract.op9_query)
 _op("op10_decontaminate", "documents benchmark", decontaminate.op10_query)
+_op("op13_simhash_tiles", "documents", simhash.op13_query)

@@ -48,6 +48,17 @@ def small(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def lookup(rows: DataFrame, named: DataFrame, keys: list[str], salt: str, salts: int = 64) -> DataFrame:
+    """``rows`` left-joined with ``named``, which has one row for each of
+    ``keys``.  Rows of one key are dealt over ``salts`` cells by the hash of
+    their column ``salt``; each (key, cell) that occurs fetches the named row
+    once, so a key that holds most rows is spread over many tasks.  ``rows``
+    is read twice and should be a written table."""
+    rows = rows.withColumn("_cell", F.pmod(F.xxhash64(salt), F.lit(salts)))
+    cells = rows.select(*keys, "_cell").distinct().join(named, keys)
+    return rows.join(cells, [*keys, "_cell"], "left").drop("_cell")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep the session's Arrow batches at ``BATCH_ROWS`` rows at most."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
