@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontaminate, extract, kneser_ney, minhash, mixing, mtree, prefix_trie, secrets, simhash, store, suffix_dedup, toxicity, warc
+from statlake.llm import decontaminate, extract, kneser_ney, lexical, minhash, mixing, mtree, prefix_trie, secrets, simhash, store, suffix_dedup, toxicity, warc
 from statlake.session import ship_package
 from statlake.sources.tables import table
 
@@ -31,5 +31,6 @@ _op("op7_kneser_ney", "documents", kneser_ney.op7_query)
 _op("op8_toxicity", "documents labels", toxicity.op8_query)
 _op("op9_block_labeller", "pages", extract.op9_query)
 _op("op10_decontaminate", "documents benchmark", decontaminate.op10_query)
+_op("op11_norm_buckets", "documents benchmark", lexical.op11_query, lexical.ORACLE)
 _op("op12_prefix_trie", "conversations", prefix_trie.op12_query, prefix_trie.ORACLE)
 _op("op13_simhash_tiles", "documents", simhash.op13_query)
