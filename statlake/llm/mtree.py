@@ -23,9 +23,11 @@ Distances only prune, with a margin for rounding; scores are exact integers.
 
 Defined cases: null vectors and those with null or non-finite components take
 no part; shorter vectors count as padded with zeros; rows that repeat id and
-vector count once; a query with fewer candidates returns all; vectors with a
-component of 2**31 or more after scaling, whose scores a long can't hold, take
-no part; an empty table gives an empty result.
+vector count once; a query with fewer candidates returns all; an empty table
+gives an empty result.  Vectors whose squared length is 2**50 or more stay out
+of the trees: they are compared in blocks, by floats with an error bound and,
+where that leaves a choice, by integers of any size; a score in the result that
+64 bits can't hold is an error.
 """
 
 from __future__ import annotations
@@ -43,20 +45,57 @@ from statlake.llm import store
 
 PIVOTS, SAMPLE = 16, 2048  # fixed sizes of what the driver holds
 CELL, QUERIES, PAGE = 4096, 4096, 256
+WIDE = 2.0 ** 50  # squared length from which products of floats may not be exact
 
 
 def scale(vectors: DataFrame, factor: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``(vec_id, v array<int>)`` of the vectors that take part."""
+    """``(vec_id, v array<double>, wide)`` of the vectors that take part: whole
+    numbers, wide if their products can pass what floats hold exactly."""
     d = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("e"))
-    fine = F.col("e").isNotNull() & F.forall("e", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) * factor < 2.0 ** 31), F.lit(False)))
+    fine = F.col("e").isNotNull() & F.forall("e", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    whole = lambda x: F.when(F.abs(x) < 2.0 ** 52, F.floor(x).cast("double")).otherwise(x) + F.lit(0.0)
+    length2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     return (d.filter(F.col("vec_id").isNotNull() & fine)
-            .select("vec_id", F.transform("e", lambda x: F.floor(x * factor).cast("int")).alias("v")).distinct())
+            .select("vec_id", F.transform("e", lambda x: whole(x * factor)).alias("v")).distinct()
+            .withColumn("wide", length2 >= WIDE))
 
 
-def _matrix(col, dim: int) -> np.ndarray:
-    """Rows of an Arrow or pandas column of integer lists, padded to ``dim``."""
+def _exact_blocks(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """The k best of each query in each block of candidates, any numbers: ``query_id,
+    vec_id, score, over``; a score beyond 64 bits is cut there and marked over."""
+    n_q, n_c = (max(1, -(-x.count() // QUERIES)) for x in (queries, candidates))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select(F.col("vec_id").alias("query_id"), "v", deal("vec_id", n_q).alias("block")).withColumn("cell", every(n_c))
+    c = candidates.select("vec_id", "v", deal("vec_id", n_c).alias("cell")).withColumn("block", every(n_q))
+
+    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(a) and len(b):
+            dim = max(1, *map(len, a["v"]), *map(len, b["v"]))
+            x, ids = _matrix(b["v"], dim, np.float64), b["vec_id"].to_numpy()
+            for own, v in zip(a["query_id"], _matrix(a["v"], dim, np.float64), strict=True):
+                with np.errstate(all="ignore"):
+                    about = x @ v
+                    error = np.sqrt(np.einsum("ij,ij->i", x, x)) * math.sqrt(v @ v) * dim * 2.0 ** -50
+                unsure = ~np.isfinite(about) | ~np.isfinite(error)
+                low, high = np.where(unsure, -np.inf, about - error), np.where(unsure, np.inf, about + error)
+                rows = np.flatnonzero(ids != own)
+                if len(rows) > k:
+                    rows = rows[high[rows] >= np.partition(low[rows], len(rows) - k)[len(rows) - k]]
+                whole = [int(p) for p in v]
+                best = sorted((-sum(p * int(y) for p, y in zip(whole, x[r])), int(ids[r])) for r in rows)[:k]
+                found += [(own, i, min(max(-s, -(2 ** 63)), 2 ** 63 - 1), not -(2 ** 63) <= -s < 2 ** 63) for s, i in best]
+        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "over"])
+        return out.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "over": "bool"})
+    keys = ["block", "cell"]
+    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long, over boolean")
+
+
+def _matrix(col, dim: int, kind=np.int64) -> np.ndarray:
+    """Rows of an Arrow or pandas column of lists of whole numbers, padded to ``dim``."""
     rows = col.to_pylist() if hasattr(col, "to_pylist") else list(col)
-    out = np.zeros((len(rows), dim), np.int64)
+    out = np.zeros((len(rows), dim), kind)
     for i, r in enumerate(rows):
         out[i, :len(r)] = r
     return out
@@ -219,11 +258,25 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, factor: float = 64.0, id_co
           vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows that ``is_query`` (a
     function of the id column) selects, against all rows."""
-    spark = vectors.sparkSession
-    v = store.table(scale(vectors, factor, id_col, vec_col), "vectors")
+    rows = store.table(scale(vectors, factor, id_col, vec_col), "vectors")
+    narrow, wide = rows.filter("not wide"), rows.filter("wide")
+    hits = _tree_hits(narrow.select("vec_id", F.col("v").cast("array<int>").alias("v")), is_query, k)
+    if not wide.isEmpty():
+        chosen = lambda d: d.filter(is_query(F.col("vec_id")))
+        # written first: a later count must not prune columns out of the grouped tables
+        hits = store.table(hits.union(_exact_blocks(chosen(rows), wide, k)).union(_exact_blocks(chosen(wide), narrow, k)), "hits")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    score = F.when(F.col("over"), F.raise_error(F.lit("a score does not fit in 64 bits")).cast("long")).otherwise(F.col("score"))
+    return hits.select("query_id", "rank", "vec_id", score.alias("score"))
+
+
+def _tree_hits(v: DataFrame, is_query, k: int) -> DataFrame:
+    """The k best of each query in each cell it visits: ``query_id, vec_id, score, over``."""
+    spark = v.sparkSession
     length2 = F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x.cast("double") * x)
     facts = v.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"), F.max(length2).alias("top")).first()
-    empty = "query_id long, rank int, vec_id long, score long"
+    empty = "query_id long, vec_id long, score long, over boolean"
     if not facts["n"]:
         return spark.createDataFrame([], empty)
     space = Space(facts["dim"] or 1, int(facts["top"]))
@@ -294,8 +347,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, factor: float = 64.0, id_co
                 found += [(a, i, s) for s, i in hits]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
     hits = routed.groupBy(*keys).cogroup(cells.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return hits.withColumn("over", F.lit(False))
 
 
 def op1_query(embeddings: DataFrame) -> DataFrame:

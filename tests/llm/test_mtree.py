@@ -30,7 +30,7 @@ def rows():
     out = [(i, [c + r.gauss(0, 0.2) for c in r.choice(centres)]) for i in range(400)]
     out += [(1000 + i, [0.5] * 8) for i in range(150)]  # one very common vector
     out += [(2000, None), (2020, [None] + [1.0] * 7), (2040, [float("nan")] + [1.0] * 7), (2060, [float("inf")] + [1.0] * 7), (None, [1.0] * 8),
-            (2080, [0.0] * 8), (2100, [-1.0] * 8), (2101, [1e30] * 8)]
+            (2080, [0.0] * 8), (2100, [-1.0] * 8), (2101, [1e9] * 8)]
     return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in out]
 
 
@@ -42,7 +42,7 @@ def test_all_neighbours(spark, rows, monkeypatch):
     monkeypatch.setattr(M, "CELL", 60)
     monkeypatch.setattr(M, "QUERIES", 10)
     monkeypatch.setattr(M, "PAGE", 8)
-    want = _truth([x for x in rows if x[0] != 2101])
+    want = _truth(rows)
     assert _got(M.op1_query(_frame(spark, rows + rows[:5]))) == want
 
 
@@ -79,3 +79,19 @@ def test_tree_prunes_and_keeps_its_radii():
         want = sorted(((-int(s[j]), j) for j in range(len(x)) if j != i))[:5]
         assert got == [(-a, j) for a, j in want]
     assert tree.computed < 20 * len(x) / 2  # most distances are never computed
+
+
+def test_wide_vectors_take_part(spark):
+    """Components and scores beyond what floats hold exactly, among ordinary ones."""
+    r = random.Random(6)
+    rows = [(i, [r.gauss(0, 1) for _ in range(3)]) for i in range(60)]
+    rows += [(20, [1e8, 1.0, 0.0]), (101, [1.0, 0.0, 0.0]), (102, [2.0, 0.0, 0.0]), (140, [2e7, -2e7, 3.0]), (103, [2e7 + 1 / 64, -2e7, 3.0]),
+             (104, [float(2 ** 24), 0.0, 0.0]), (160, [float(2 ** 24) + 1 / 64, 1 / 64, 0.0]), (105, [-1e200, 0.0, 0.0])]
+    rows = [x for x in rows if x[0] not in (20, 40) or abs(x[1][0]) > 1e6]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _got(M.top_k(df.filter("vec_id != 105"), lambda i: i % 20 == 0, 5)) == _truth([x for x in rows if x[0] != 105], 5)
+    only = df.filter("vec_id in (20, 101, 102)")
+    assert _got(M.top_k(only, lambda i: i % 20 == 0, 5)) == {(20, 1, 102, 819200000000), (20, 2, 101, 409600000000)}
+    assert M.top_k(df.filter("vec_id in (20, 101, 102, 105)"), lambda i: i == 20, 2).count() == 2  # too low to be returned
+    with pytest.raises(Exception, match="64 bits"):
+        M.top_k(df.filter("vec_id in (20, 101, 105)"), lambda i: i == 20, 2).collect()
