@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statlake.llm import store
 from statlake.llm import words as W
 
 RADIUS, BLOCKS, NEAR = 20, 8, 2
@@ -252,9 +253,10 @@ def op10_query(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that leak no item, columns as given."""
-    names = docs.columns
-    return find_leaks(docs, items, **options).toDF(*names, "_leaks").filter(F.size("_leaks") == 0).drop("_leaks")
+    """The rows of ``docs`` that leak no item; columns of any name are carried as they are."""
+    d, at = store.renamed(docs)
+    found = find_leaks(d, items, text_col=at[options.pop("text_col", "text")], out="_leaks", **options)
+    return store.named_back(found.filter(F.size("_leaks") == 0), at)
 
 
 def brute_force(text: str | None, item: str | None, shingle: int = 5) -> float:

@@ -244,10 +244,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its group."""
-    id_col = options.get("id_col", "doc_id")
-    gone = store.table(near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(store.small(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` whose document is the smallest of its group; columns
+    of any name are carried as they are."""
+    d, at = store.renamed(docs)
+    options |= {"id_col": at[options.get("id_col", "doc_id")], "text_col": at[options.get("text_col", "text")]}
+    gone = store.table(near_duplicates(d, **options).filter("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return store.named_back(d.join(store.small(gone), F.col(options["id_col"]) == F.col("gone"), "left_anti"), at)
 
 
 def op5_query(docs: DataFrame) -> DataFrame:

@@ -106,20 +106,21 @@ def systematic_mix(docs: DataFrame, plan: DataFrame | None = None, id_col: str =
                    source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as planned.
 
-    The n-th row of a doc_id takes the n-th plan row of that doc_id, by size
-    and source; documents whose plan is 0 copies are left out."""
+    The n-th row of a doc_id, source and size takes the n-th plan row of them;
+    documents whose plan is 0 copies are left out.  Columns of any name are
+    carried as they are."""
     if plan is None:
         plan = mix_plan(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    names = docs.columns
-    nth = Window.partitionBy("_k").orderBy("_s", F.col("_src").asc_nulls_last())
-    d = (docs.withColumns({"_k": F.coalesce(F.col(id_col).cast("string"), F.lit("null")), "_src": F.col(source_col),
-                           "_s": word_count(F.col(text_col))})
-         .withColumn("_nth", F.row_number().over(nth)))
-    p = (plan.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_k"),
-                     F.col("source").alias("_src"), F.col("size").alias("_s"), F.col("copies").alias("_copies"))
-         .withColumn("_nth", F.row_number().over(nth)).select("_k", "_nth", "_copies").filter("_copies > 0"))
-    j = d.join(p, ["_k", "_nth"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return j.select(*[F.col(f"`{c}`") for c in names])
+    d, at = store.renamed(docs)
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    own = ["key", "source", "size"]
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy(F.lit(0)))
+    d = d.withColumns({"key": key(at[id_col]), "source": key(at[source_col]), "size": word_count(F.col(at[text_col]))}).withColumn("nth", nth)
+    by_copies = F.row_number().over(Window.partitionBy(*own).orderBy("copies"))
+    p = (plan.select(key("doc_id").alias("key"), key("source").alias("source"), "size", "copies")
+         .withColumn("nth", by_copies).filter("copies > 0"))
+    j = d.join(p, [*own, "nth"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return store.named_back(j, at)
 
 
 def op3_query(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statlake.llm import store
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed: how text is cut before byte pairs are merged (the vocabulary's published pattern).
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -195,12 +197,13 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCA
 
 def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every secret replaced by its kind in brackets; hex of a
-    digest's length is no secret and stays, unless it is part of a random run."""
-    names = docs.columns
-    d = scan_secrets(docs, text_col, out="_spans", **options)
+    digest's length is no secret and stays, unless it is part of a random run.
+    Other columns, of any name, are carried as they are."""
+    d, at = store.renamed(docs)
+    d = scan_secrets(d, at[text_col], out="_spans", **options)
     hide = F.filter("_spans", lambda s: ~((s["kind"] == "hex") & (s["end"] - s["start"]).isin(*sorted(DIGEST_LENGTHS))))
     d = d.withColumn("_hide", hide)
-    text = F.col(f"`{text_col}`")
+    text = F.col(at[text_col])
     # overlapping spans: each starts where the ones before it have ended
     cut = F.aggregate("_hide", F.struct(F.lit("").alias("t"), F.lit(0).cast("long").alias("at")), lambda acc, s: F.struct(
         F.when(s["start"] >= acc["at"], F.concat(acc["t"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
@@ -208,7 +211,7 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
         F.greatest(acc["at"], s["end"]).alias("at")),
         lambda acc: F.concat(acc["t"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
     clean = F.when(F.size("_hide") > 0, cut).otherwise(text)
-    return d.withColumn(text_col, clean).select(*[F.col(f"`{c}`") for c in names])
+    return store.named_back(d.withColumn(at[text_col], clean), at)
 
 
 def op2_query(docs: DataFrame, **options) -> DataFrame:

@@ -59,6 +59,18 @@ def lookup(rows: DataFrame, named: DataFrame, keys: list[str], salt: str, salts:
     return rows.join(cells, [*keys, "_cell"], "left").drop("_cell")
 
 
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns called c0, c1, ..., and the new name of each, so
+    that columns of any name can be carried beside those that an operator adds."""
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*at.values()), at
+
+
+def named_back(docs: DataFrame, at: dict[str, str]) -> DataFrame:
+    """The columns that ``renamed`` called ``at``, under their own names."""
+    return docs.select(*[F.col(a).alias(c) for c, a in at.items()])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep the session's Arrow batches at ``BATCH_ROWS`` rows at most."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
