@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.exprs import clean_numeric
 from statlake.functions.safe import same_keys
-from statlake.operators.ranks import keyed_prefix
+from statlake.operators.ranks import keyed_prefix, row_hash
 
 WIDE = 16  # columns beyond which per-pair aggregates give way to numpy partials
 
@@ -30,11 +30,14 @@ def _k(keys) -> list[str]:
 # ---- M1, M2: stratified split and folds ---------------------------------------------
 
 def _class_rank(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
-    """Rank of each row within its class (a null class is one too) by the MD5 of id and seed."""
-    d = df.withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))).withColumn("_one", F.lit(1))
-    r = keyed_prefix(d, [label], ["_h", id_col], "_one", out="_r")
-    n = d.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    return same_keys(r, n, [label]).drop("_one")
+    """Rank of each row within its class (a null class is one too) by the MD5 of
+    id and seed.  Rows that repeat an id follow each other by a hash of all
+    their columns; only equal rows tie, so any partitioning gives the same rows."""
+    d = df.withColumns({"_h": F.coalesce(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))), F.lit("")),
+                        "_row": row_hash(df), "_one": F.lit(1)})
+    r = keyed_prefix(d, [label], ["_h", "_row"], "_one", out="_r")
+    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    return same_keys(r, n, [label]).drop("_one", "_row", "_h")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.25, seed: int = 42) -> DataFrame:
@@ -42,13 +45,20 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
     hash order are test rows, so class shares match to within one row."""
     r = _class_rank(df, label, id_col, seed)
     cut = F.round(F.col("_nc") * F.lit(test_size))
-    return r.withColumn("is_test", F.col("_r") < cut).drop("_r", "_nc", "_h")
+    return r.withColumn("is_test", F.col("_r") < cut).drop("_r", "_nc")
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Adds ``fold`` = (rank within class in hash order) mod k."""
     r = _class_rank(df, label, id_col, seed)
-    return r.withColumn("fold", (F.col("_r") % k).cast("int")).drop("_r", "_nc", "_h")
+    return r.withColumn("fold", (F.col("_r") % k).cast("int")).drop("_r", "_nc")
+
+
+def stratified_split_folds(df: DataFrame, label: str, id_col: str, test_size: float = 0.25, k: int = 5, seed: int = 42) -> DataFrame:
+    """Both columns from one rank, so that they agree for rows that repeat an id."""
+    r = _class_rank(df, label, id_col, seed)
+    return (r.withColumn("is_test", F.col("_r") < F.round(F.col("_nc") * F.lit(test_size)))
+             .withColumn("fold", (F.col("_r") % k).cast("int")).drop("_r", "_nc"))
 
 
 # ---- M13-M16: evaluation -------------------------------------------------------------

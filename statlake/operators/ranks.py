@@ -124,10 +124,12 @@ def _range_buckets(cells: DataFrame, cols: list[str], n_buckets: int) -> DataFra
 
 def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
                  out: str = "before", buckets: int | None = None, seed: int = 17,
-                 plan: tuple[list, float] | None = None) -> DataFrame:
+                 plan: tuple[list, float] | None = None, position: str | None = None) -> DataFrame:
     """Add ``out`` = Σ ``weight`` over rows with the same ``keys`` and a
-    strictly smaller ``order`` tuple.  ``(keys, order)`` must be unique and
-    non-null in ``cells`` (collapse duplicates with a groupBy first).
+    strictly smaller ``order`` tuple, and ``position``, if named, the number of
+    such rows.  ``(keys, order)`` must be unique and non-null in ``cells``
+    (collapse duplicates with a groupBy first) or tie for equal rows only
+    (``row_hash``): those then get consecutive sums and positions.
 
     ``buckets``: None = automatic (≤ MAX_BUCKETS boundary tree, range
     partitioner + checkpoint beyond), n = that many tree buckets, -1 = force
@@ -149,20 +151,32 @@ def keyed_prefix(cells: DataFrame, keys: Sequence[str], order: Sequence[str], we
     w_local = (Window.partitionBy(*part).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, -1))
     b = b.withColumn("_local", F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
+    if position:
+        b = b.withColumn(position, F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("long") - 1)
     if not bounds and not keys:
         # one bucket, no key: nothing precedes it, the local sum is the answer
         return b.withColumnRenamed("_local", out).drop("_bkt")
-    totals = b.groupBy(*part).agg(F.sum(weight).alias("_tot"))
+    totals = b.groupBy(*part).agg(F.sum(weight).alias("_tot"), F.count(F.lit(1)).alias("_rows"))
     w_off = (Window.partitionBy(*keys).orderBy("_bkt")
              .rowsBetween(Window.unboundedPreceding, -1)) if keys else \
         Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     # totals has at most (#buckets + #keys) rows, so this window is small
-    offs = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
+    offs = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).withColumn(
+        "_rows", F.coalesce(F.sum("_rows").over(w_off), F.lit(0))).drop("_tot")
     # null-safe on the keys: a null key is a group like any other
-    offs = offs.select(*[F.col(c).alias(f"_o_{c}") for c in part], "_off")
+    offs = offs.select(*[F.col(c).alias(f"_o_{c}") for c in part], "_off", "_rows")
     cond = [b[c].eqNullSafe(offs[f"_o_{c}"]) for c in part]
-    return (b.join(offs, cond).withColumn(out, F.col("_off") + F.col("_local"))
-             .drop("_off", "_local", "_bkt", *[f"_o_{c}" for c in part]))
+    j = b.join(offs, cond).withColumn(out, F.col("_off") + F.col("_local"))
+    if position:
+        j = j.withColumn(position, F.col(position) + F.col("_rows"))
+    return j.drop("_off", "_rows", "_local", "_bkt", *[f"_o_{c}" for c in part])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns (maps aside), to place rows that tie otherwise;
+    rows with equal hashes are equal, so their places can be swapped."""
+    from pyspark.sql import types as T
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
 def value_cells(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -220,16 +234,17 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
 def cumulative_share(df: DataFrame, weight: str, order: Sequence[str], keys: Sequence[str] = (),
                      buckets: int | None = None) -> DataFrame:
     """Per row: ``cum_lo``/``cum_hi`` = normalised prefix sums of ``weight``
-    in ``order`` (``order`` unique within key), i.e. the inverse-CDF
-    interval of each row.  The last row of a key, told by its position and
-    not by float sums, closes at exactly 1; a bound never passes 1."""
+    in ``order``, i.e. the inverse-CDF interval of each row.  Rows that tie in
+    ``order`` follow each other by a hash of all their columns; intervals never
+    overlap.  The last row of a key, told by its position and not by float
+    sums, closes at exactly 1; a bound never passes 1."""
     keys = list(keys)
-    pre = keyed_prefix(df, keys, order, weight, buckets=buckets)
-    last = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-    tot = df.groupBy(*keys).agg(F.sum(weight).alias("_total"))
-    j = same_keys(pre, same_keys(tot, last, keys), keys)
+    rows = df.withColumn("_row", row_hash(df))
+    pre = keyed_prefix(rows, keys, [*order, "_row"], weight, buckets=buckets, position="_at").drop("_row")
+    tot = df.groupBy(*keys).agg(F.sum(weight).alias("_total"), F.count(F.lit(1)).alias("_n"))
+    j = same_keys(pre, tot, keys)
     share = lambda x: F.when(F.col("_total") != 0, F.least(x / F.col("_total"), F.lit(1.0)))
-    is_last = F.struct(*order) == F.col("_last")
+    is_last = F.col("_at") == F.col("_n") - 1
     return (j.withColumn("cum_lo", share(F.col("before")))
              .withColumn("cum_hi", F.when(is_last, F.lit(1.0)).otherwise(share(F.col("before") + F.col(weight))))
-             .drop("before", "_total", "_last"))
+             .drop("before", "_total", "_at", "_n"))

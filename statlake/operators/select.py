@@ -1,11 +1,10 @@
 """Feature selection: filter scores from one aggregate, wrapper searches
-whose candidate models come from per-class moment aggregates.
+whose candidate models are fitted together.
 
 Filter scores (variance, χ², ANOVA F, binned mutual information) are
-computed for every feature in one or two keyed aggregates.  Sequential
-selection scores all candidate subsets of a step in ONE pass: the small
-per-fold LDA models (classes × p) are shipped to the tasks and a
-``mapInPandas`` counts correct predictions per (candidate, fold).
+computed for every feature in one or two keyed aggregates.  Wrapper
+searches fit the logistic regressions of all candidates, folds and classes
+of a step in the same passes (:mod:`statlake.operators.logit`).
 """
 
 from __future__ import annotations
@@ -13,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.exprs import is_finite, minmax_scale
 from statlake.functions.safe import div
-from statlake.operators.ranks import keyed_prefix
+from statlake.operators import logit
+from statlake.operators.ranks import keyed_prefix, row_hash
 
 
 def _long(df: DataFrame, cols: Sequence[str], id_col: str, label: str) -> DataFrame:
@@ -71,8 +70,9 @@ def mutual_info_binned(df: DataFrame, cols: Sequence[str], label: str, id_col: s
     """S4 (re-aimed from the k-NN estimator, which needs all pairs):
     mutual information between equal-frequency bins of each feature (rank
     order, ties by id) and the class, in nats."""
-    lg = _long(df, cols, id_col, label).withColumn("_one", F.lit(1))
-    r = keyed_prefix(lg, ["feature"], ["v", id_col], "_one", out="_r")
+    lg = _long(df, cols, id_col, label)
+    lg = lg.withColumns({"_one": F.lit(1), "_row": row_hash(lg)})
+    r = keyed_prefix(lg, ["feature"], ["v", id_col, "_row"], "_one", out="_r")
     n = df.count()
     r = r.withColumn("bin", F.floor(F.col("_r") * bins / F.lit(n)).cast("int"))
     joint = r.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("nbc"))
@@ -88,115 +88,21 @@ def top_k(scores: DataFrame, score: str, k: int) -> list[str]:
     return [r["feature"] for r in scores.orderBy(F.desc(score), "feature").limit(k).collect()]
 
 
-# ---- wrapper searches (LDA scored by fold accuracy) ---------------------------------------
-
-def _fold_models(df, cols, label, fold_col, k_folds):
-    """Per fold: class counts, sums and cross products of the training part
-    (all folds' complements from one aggregate by fold)."""
-    p = len(cols)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"_q{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
-    rows = df.groupBy(fold_col, label).agg(*aggs).collect()  # folds × classes rows
-    stats = {}
-    for r in rows:
-        s = np.array([r[f"_s{i}"] for i in range(p)], float)
-        q = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                q[i, j] = q[j, i] = r[f"_q{i}_{j}"]
-        stats[(r[fold_col], r[label])] = (float(r["_n"]), s, q)
-    classes = sorted({c for _, c in stats})
-    folds = sorted({f for f, _ in stats})
-    return stats, classes, folds
-
-
-def _lda_params(stats, classes, folds, hold, subset):
-    """LDA (pooled covariance) trained on every fold except ``hold``,
-    restricted to feature indices ``subset``."""
-    idx = list(subset)
-    n_c, s_c, q_c = {}, {}, {}
-    for c in classes:
-        n = sum(stats[(f, c)][0] for f in folds if f != hold and (f, c) in stats)
-        s = sum(stats[(f, c)][1] for f in folds if f != hold and (f, c) in stats)
-        q = sum(stats[(f, c)][2] for f in folds if f != hold and (f, c) in stats)
-        n_c[c], s_c[c], q_c[c] = n, np.asarray(s)[idx], np.asarray(q)[np.ix_(idx, idx)]
-    n = sum(n_c.values())
-    scatter = sum(q_c[c] - np.outer(s_c[c], s_c[c]) / n_c[c] for c in classes if n_c[c] > 0)
-    cov = scatter / max(n - len(classes), 1)
-    inv = np.linalg.pinv(cov)
-    w = np.array([inv @ (s_c[c] / n_c[c]) if n_c[c] > 0 else np.zeros(len(idx)) for c in classes])
-    b = np.array([(-0.5 * (s_c[c] / n_c[c]) @ inv @ (s_c[c] / n_c[c]) + np.log(n_c[c] / n)) if n_c[c] > 0 else -np.inf
-                  for c in classes])
-    return w, b
-
-
-def score_subsets(df: DataFrame, cols: Sequence[str], label: str, fold_col: str, subsets: list[tuple[int, ...]],
-                  stats, classes, folds) -> dict:
-    """Mean fold accuracy of an LDA on each feature subset, all subsets and
-    folds scored in one ``mapInPandas`` pass (models are tiny)."""
-    models = {(si, f): _lda_params(stats, classes, folds, f, sub) for si, sub in enumerate(subsets) for f in folds}
-    cls_index = {c: i for i, c in enumerate(classes)}
-
-    def run(it):
-        acc = {}
-        for pdf in it:
-            x = pdf[list(cols)].to_numpy(float)
-            y = pdf[label].map(cls_index).to_numpy()
-            fold = pdf[fold_col].to_numpy()
-            for (si, f), (w, b) in models.items():
-                m = fold == f
-                if not m.any():
-                    continue
-                pred = np.argmax(x[m][:, list(subsets[si])] @ w.T + b, axis=1)
-                key = (si, f)
-                c, t = acc.get(key, (0, 0))
-                acc[key] = (c + int((pred == y[m]).sum()), t + int(m.sum()))
-        yield pd.DataFrame([(k[0], k[1], v[0], v[1]) for k, v in acc.items()],
-                           columns=["subset", "fold", "correct", "total"])
-
-    res = (df.select(*cols, label, fold_col)
-             .mapInPandas(run, "subset long, fold long, correct long, total long")
-             .groupBy("subset", "fold").agg(F.sum("correct").alias("c"), F.sum("total").alias("t")).collect())
-    per = {}
-    for r in res:
-        per.setdefault(r["subset"], []).append(r["c"] / r["t"])
-    return {si: float(np.mean(v)) for si, v in per.items()}
-
+# ---- wrapper searches (logistic regressions, all candidates of a step together) -------------
 
 def sequential_select(df: DataFrame, cols: Sequence[str], label: str, k: int, fold_col: str = "fold",
-                      direction: str = "forward") -> list[str]:
-    """Greedy forward or backward selection to ``k`` features by
-    cross-validated accuracy; one data pass per step."""
-    cols = list(cols)
-    stats, classes, folds = _fold_models(df, cols, label, fold_col, None)
-    chosen = [] if direction == "forward" else list(range(len(cols)))
-    while (len(chosen) < k) if direction == "forward" else (len(chosen) > k):
-        if direction == "forward":
-            cands = [tuple(sorted(chosen + [j])) for j in range(len(cols)) if j not in chosen]
-        else:
-            cands = [tuple(x for x in chosen if x != j) for j in chosen]
-        scores = score_subsets(df, cols, label, fold_col, cands, stats, classes, folds)
-        best = max(range(len(cands)), key=lambda i: (scores.get(i, -1), -i))
-        chosen = list(cands[best])
-    return [cols[i] for i in sorted(chosen)]
-
-
-def rfe(df: DataFrame, cols: Sequence[str], label_idx: str, k: int, step: int = 1) -> list[str]:
-    """Recursive elimination — refit an L2 logistic regression and drop
-    the feature with the smallest Σ coef² each round."""
-    from statlake.operators.learn import assemble, logistic
-    keep = list(cols)
-    data = df.select(*cols, label_idx).cache()
-    n = data.count()
-    try:
-        while len(keep) > k:
-            m = logistic(assemble(data, keep), n, 1.0, "l2", label=label_idx)
-            w = (m.coefficientMatrix.toArray() ** 2).sum(axis=0)
-            for j in sorted(np.argsort(w)[:step], reverse=True):
-                keep.pop(int(j))
-        return keep
-    finally:
-        data.unpersist()
+                      direction: str = "forward", c: float = 1.0) -> list[str]:
+    """Greedy forward or backward selection to ``k`` features by the
+    cross-validated accuracy of one-against-rest L2 logistic regressions."""
+    with logit.Rows(df, cols, label, fold_col, c) as rows:
+        return [cols[i] for i in logit.sequential(rows, k, direction)]
+
+
+def rfe(df: DataFrame, cols: Sequence[str], label: str, k: int, step: int = 1, fold_col: str | None = None, c: float = 1.0) -> list[str]:
+    """Recursive elimination — refit the L2 logistic regressions and drop
+    the feature with the smallest Σ coef² each round.  Rows of fold −1 take no part."""
+    with logit.Rows(df, cols, label, fold_col, c) as rows:
+        return [cols[i] for i in logit.eliminate(rows, k, step)]
 
 
 def model_select(df: DataFrame, cols: Sequence[str], label_idx: str, penalty: str = "l1", c: float = 1.0) -> list[str]:

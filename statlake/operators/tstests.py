@@ -20,6 +20,7 @@ from statlake.functions import special
 from statlake.functions.exprs import clean_numeric
 from statlake.functions.safe import div, same_keys
 from statlake.operators.moments import gram_agg, gram_from_row, merge_rows, ols_gram
+from statlake.operators.seams import lag_products, smooth_penalised
 
 # MacKinnon (1994/2010) response-surface constants for the
 # ADF test with a constant and one series (p-value and critical values).
@@ -219,17 +220,12 @@ def acf(df: DataFrame, keys, order: str, value: str, nlags: int | None = None) -
     autocorrelation 1 at lag 0 and null beyond."""
     keys = _k(keys)
     kmax = nlags if nlags is not None else 36
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    w = _series_w(keys, order)
     d = clean_numeric(df.select(*keys, order, value), [value])
-    d = d.withColumn("_c", F.col(value) - F.avg(value).over(wk))
-    lagged = d.select(*keys, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, kmax + 1)])
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_c") * F.col("_c")).alias("_s0")]
-    aggs += [F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, kmax + 1)]
-    g = lagged.groupBy(*keys).agg(*aggs)
-    entries = [F.struct(F.lit(k).cast("long").alias("lag"),
-                        F.when(F.col("_s0") != 0, F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.col("_s0")).alias("acf")) for k in range(0, kmax + 1)]
-    out = g.select(*keys, "n", F.explode(F.array(*entries)).alias("e")).select(*keys, "n", "e.lag", "e.acf")
+    facts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("_m"))
+    centred = same_keys(d, facts.drop("n"), keys).select(*keys, order, (F.col(value) - F.col("_m")).alias("_c"))
+    products = lag_products(centred, keys, order, "_c", kmax)
+    products = same_keys(products, products.filter("lag = 0").select(*keys, F.col("product").alias("_s0")), keys)
+    out = same_keys(products, facts.drop("_m"), keys).select(*keys, "n", "lag", F.when(F.col("_s0") != 0, F.col("product") / F.col("_s0")).alias("acf"))
     if nlags is None:
         out = out.filter(F.col("lag") <= F.least(F.lit(36), F.greatest(F.lit(10), F.col("n") - 1)))
     return out.withColumn("acf", F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(F.col("acf")))
@@ -515,8 +511,7 @@ def stl(df: DataFrame, keys, order: str, value: str, period: int = 12, robust: b
 
 
 def hp_filter(df: DataFrame, keys, order: str, value: str, lamb: float = 129600.0) -> DataFrame:
-    """Hodrick–Prescott split per series: ``trend`` and ``cycle``."""
-    def fn(y):
-        t = hp_numpy(y, lamb)
-        return t, y - t
-    return _per_series(df, keys, order, value, fn, ["trend", "cycle"], "trend double, cycle double")
+    """Hodrick–Prescott split per series of any length: ``trend`` and
+    ``cycle``.  The banded system is solved chunk by chunk."""
+    d = smooth_penalised(df.select(*_k(keys), order, value), keys, order, value, lamb)
+    return d.withColumn("cycle", F.col(value) - F.col("trend"))

@@ -1,8 +1,10 @@
 """Window and sequence operators over keyed series.
 
-Series here are *regular* sequences (months, days, tour stops): a window
+Keyed series here are *regular* sequences (months, days, tour stops): a window
 ``partitionBy(key).orderBy(t)`` holds one series, whose length is bounded
-by the calendar or the route, not by the data volume.  Operators whose
+by the calendar or the route, not by the data volume.  A series without a
+key, and with ``chunk`` a keyed one of any length, is cut into chunks with halo
+rows instead (:mod:`statlake.operators.seams`); values are the same.  Operators whose
 input can be an arbitrarily large group (cumulative shares, running
 extremes over raw rows, path lengths) avoid such windows and use the
 bucketed prefix sums of :mod:`statlake.operators.ranks` or equi-joins on
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.functions.safe import same_keys
+from statlake.operators import seams
 from statlake.operators.ranks import keyed_prefix
 
 
@@ -30,30 +33,41 @@ def _w(keys, order):
     return (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order)
 
 
-def positions(df: DataFrame, keys, order: str, out: str = "t") -> DataFrame:
+def _over(df: DataFrame, keys, order: str, before: int, after: int, chunk: int | None):
+    """(rows, window, last step) for values that look that far back and ahead."""
+    if _k(keys) and chunk is None:
+        return df, _w(keys, order), lambda d: d
+    return *seams.chunked(df, keys, order, before, after, chunk), seams.own_rows
+
+
+def positions(df: DataFrame, keys, order: str, out: str = "t", chunk: int | None = None) -> DataFrame:
     """Dense 0-based position of each row within its series."""
+    if not _k(keys) or chunk is not None:
+        return seams.numbered(df, keys, order, out)
     return df.withColumn(out, (F.row_number().over(_w(keys, order)) - 1).cast("long"))
 
 
-def lag_diff(df: DataFrame, keys, order: str, value: str, k: int = 1, out: str | None = None) -> DataFrame:
+def lag_diff(df: DataFrame, keys, order: str, value: str, k: int = 1, out: str | None = None,
+             chunk: int | None = None) -> DataFrame:
     """y_t − y_{t−k} (k=2 is a lag-2 difference, not a second difference)."""
-    return df.withColumn(out or f"{value}_d{k}", F.col(value) - F.lag(value, k).over(_w(keys, order)))
+    d, w, finish = _over(df, keys, order, k, 0, chunk)
+    return finish(d.withColumn(out or f"{value}_d{k}", F.col(value) - F.lag(value, k).over(w)))
 
 
 def diff_order(df: DataFrame, keys, order: str, value: str, d: int, seasonal: int = 0,
-               big_d: int = 0, out: str | None = None) -> DataFrame:
+               big_d: int = 0, out: str | None = None, chunk: int | None = None) -> DataFrame:
     """(1−B)^d (1−B^s)^D y_t as one linear combination of lags."""
     coefs = {0: 1.0}
     for _ in range(d):
         coefs = _mul(coefs, {0: 1.0, 1: -1.0})
     for _ in range(big_d):
         coefs = _mul(coefs, {0: 1.0, seasonal: -1.0})
-    w = _w(keys, order)
+    d_, w, finish = _over(df, keys, order, max(coefs), 0, chunk)
     expr = None
     for lag, c in sorted(coefs.items()):
         term = F.lit(c) * (F.col(value) if lag == 0 else F.lag(value, lag).over(w))
         expr = term if expr is None else expr + term
-    return df.withColumn(out or f"{value}_diff", expr)
+    return finish(d_.withColumn(out or f"{value}_diff", expr))
 
 
 def _mul(a: dict, b: dict) -> dict:
@@ -65,13 +79,13 @@ def _mul(a: dict, b: dict) -> dict:
 
 
 def rolling_mean_centered(df: DataFrame, keys, order: str, value: str, window: int = 12,
-                          out: str | None = None) -> DataFrame:
+                          out: str | None = None, chunk: int | None = None) -> DataFrame:
     """Centred rolling mean with min_periods=1; for an even window the
     frame is t−w/2 … t+w/2−1 (same as pandas ``center=True``)."""
     lo = -(window // 2)
     hi = window - 1 + lo
-    w = _w(keys, order).rowsBetween(lo, hi)
-    return df.withColumn(out or f"{value}_rm{window}", F.avg(value).over(w))
+    d, w, finish = _over(df, keys, order, -lo, max(hi, 0), chunk)
+    return finish(d.withColumn(out or f"{value}_rm{window}", F.avg(value).over(w.rowsBetween(lo, hi))))
 
 
 def regularize_monthly(df: DataFrame, keys, ts: str, value: str) -> DataFrame:
@@ -84,21 +98,27 @@ def regularize_monthly(df: DataFrame, keys, ts: str, value: str) -> DataFrame:
     return same_keys(grid, m.select(*keys, ts, value), keys + [ts], "left")
 
 
-def interpolate_linear(df: DataFrame, keys, order: str, value: str, out: str | None = None) -> DataFrame:
+def interpolate_linear(df: DataFrame, keys, order: str, value: str, out: str | None = None,
+                       chunk: int | None = None) -> DataFrame:
     """Linear interpolation by position; leading/trailing gaps take the
     nearest observed value (``limit_direction='both'``)."""
     keys = _k(keys)
-    d = positions(df, keys, order, "_pos")
-    w = _w(keys, "_pos")
-    obs = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(value).alias("v")))
-    d = (d.withColumn("_prev", F.last(obs, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-          .withColumn("_next", F.first(obs, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+    observed = lambda at: F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("p"), F.col(value).alias("v")))
+    if keys and chunk is None:
+        d = positions(df, keys, order, "_pos")
+        w, obs, finish = _w(keys, "_pos"), observed("_pos"), lambda x: x
+        d = (d.withColumn("_prev", F.last(obs, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_next", F.first(obs, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+    else:
+        d, w = seams.chunked(df, keys, order, chunk=chunk)
+        d, finish = seams.nearest_seen(d.withColumn("_seen", observed("_t")), keys, w, "_seen").drop("_seen"), seams.own_rows
+        d = d.withColumn("_pos", F.col("_t"))
     frac = (F.col("_pos") - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p"))
     mid = F.when(F.col("_next.p") == F.col("_prev.p"), F.col("_prev.v")).otherwise(
         F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * frac)
     filled = F.coalesce(F.col(value), F.when(F.col("_prev").isNotNull() & F.col("_next").isNotNull(), mid),
                         F.col("_prev.v"), F.col("_next.v"))
-    return d.withColumn(out or value, filled).drop("_pos", "_prev", "_next")
+    return finish(d.withColumn(out or value, filled).drop("_pos", "_prev", "_next"))
 
 
 def future_months(df: DataFrame, keys, ts: str, h: int) -> DataFrame:
@@ -110,10 +130,11 @@ def future_months(df: DataFrame, keys, ts: str, h: int) -> DataFrame:
         *keys, "h_step", F.add_months(F.col("_last"), F.col("h_step")).alias(ts))
 
 
-def lag_matrix(df: DataFrame, keys, order: str, value: str, lags: int, prefix: str = "lag") -> DataFrame:
+def lag_matrix(df: DataFrame, keys, order: str, value: str, lags: int, prefix: str = "lag",
+               chunk: int | None = None) -> DataFrame:
     """Columns lag1..lagL of ``value`` in one window pass."""
-    w = _w(keys, order)
-    return df.select("*", *[F.lag(value, i).over(w).alias(f"{prefix}{i}") for i in range(1, lags + 1)])
+    d, w, finish = _over(df, keys, order, lags, 0, chunk)
+    return finish(d.select("*", *[F.lag(value, i).over(w).alias(f"{prefix}{i}") for i in range(1, lags + 1)]))
 
 
 def cumulative(df: DataFrame, keys, order: Sequence[str], weight: str, out: str = "cum") -> DataFrame:

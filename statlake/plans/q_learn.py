@@ -195,8 +195,7 @@ def stratified_split_lineitem(spark, sf):
     return flag (md5 of id and seed orders rows inside each class)."""
     li = table(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_returnflag").alias("label"))
-    d = learn.stratified_folds(learn.stratified_split(li, "label", "id", 0.25), "label", "id", 5)
-    return d.select("id", "label", "is_test", "fold")
+    return learn.stratified_split_folds(li, "label", "id", 0.25, 5).select("id", "label", "is_test", "fold")
 
 
 @register("balanced_weights_lineitem", """

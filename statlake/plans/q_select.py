@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statlake.operators import learn
+from statlake.operators import learn, logit
 from statlake.operators import select as sel
 from statlake.plans.common import rnd
 from statlake.plans.registry import register
@@ -81,40 +81,37 @@ def selection_report_embeddings(spark, sf):
     """K=32 of 64 features by variance, χ², F, MI, RFE, forward and
     backward sequential selection, L1 and elastic-net masks and forest
     importance (400 trees); each subset scored by the held-out accuracy of
-    an L2 logistic regression (C=1) on a stratified 30 % test split, best
-    first.  Sequential search scores candidates by 5-fold LDA accuracy."""
+    an L2 logistic regression (C=1, one class against the rest) on a stratified
+    30 % test split, best first.  Sequential search scores candidates by the
+    5-fold accuracy of the same regression."""
     d = learn.stratified_split(_features(spark, sf), "label", "id", 0.3)
     d = learn.stratified_folds(d.filter(~F.col("is_test")), "label", "id", 5).unionByName(
         d.filter(F.col("is_test")).withColumn("fold", F.lit(-1)))
-    d = d.withColumn("label_s", F.col("label").cast("string")).cache()
+    d = d.withColumn("label_s", F.col("label").cast("string")).persist()
     train = d.filter(~F.col("is_test"))
     k = NF // 2
-    picks = {
-        "variance": sel.top_k(sel.variance_scores(train, FEATS), "variance", k),
-        "chi2": sel.top_k(sel.chi2_scores(train, FEATS, "label"), "chi2", k),
-        "anova_f": sel.top_k(sel.f_scores(train, FEATS, "label"), "f_stat", k),
-        "mutual_info": sel.top_k(sel.mutual_info_binned(train, FEATS, "label", "id"), "mi", k),
-        "sfs_forward": sel.sequential_select(train, FEATS, "label", k, "fold", "forward"),
-        "sfs_backward": sel.sequential_select(train, FEATS, "label", k, "fold", "backward"),
-    }
-    idx, _ = learn.index_label(train, "label_s")
-    picks["rfe"] = sel.rfe(idx, FEATS, "label_idx", k)
-    picks["l1"] = sel.model_select(idx, FEATS, "label_idx", "l1", 1.0)
-    picks["elasticnet"] = sel.model_select(idx, FEATS, "label_idx", "elasticnet", 1.0)
-    rf = learn.random_forest(learn.assemble(idx, FEATS), n_trees=400, weight=None)
-    picks["rf_importance"] = [r["feature"] for r in learn.feature_importances(rf, FEATS, spark).limit(k).collect()]
-    test_idx, _ = learn.index_label(d, "label_s")
-    test_idx = test_idx.filter(F.col("is_test"))
-    n_train = idx.count()
-    rows = []
-    for name, feats in picks.items():
-        if not feats:
-            rows.append((name, "", None))
-            continue
-        m = learn.logistic(learn.assemble(idx, feats), n_train, 1.0, "l2")
-        pred = m.transform(learn.assemble(test_idx, feats))
-        acc = learn.accuracy(pred, "label_idx", "prediction").first()["accuracy"]
-        rows.append((name, ",".join(feats), float(round(acc, 6))))
+    with logit.Rows(d, FEATS, "label", "fold") as rows:
+        names = lambda picked: [FEATS[i] for i in picked]
+        picks = {
+            "variance": sel.top_k(sel.variance_scores(train, FEATS), "variance", k),
+            "chi2": sel.top_k(sel.chi2_scores(train, FEATS, "label"), "chi2", k),
+            "anova_f": sel.top_k(sel.f_scores(train, FEATS, "label"), "f_stat", k),
+            "mutual_info": sel.top_k(sel.mutual_info_binned(train, FEATS, "label", "id"), "mi", k),
+            "sfs_forward": names(logit.sequential(rows, k, "forward")),
+            "sfs_backward": names(logit.sequential(rows, k, "backward")),
+            "rfe": names(logit.eliminate(rows, k)),
+        }
+        idx, _ = learn.index_label(train, "label_s")
+        idx = learn.assemble(idx, FEATS).select("features", "label_idx").persist()
+        n = idx.count()
+        for name in ("l1", "elasticnet"):
+            weights = learn.logistic(idx, n, 1.0, name).coefficientMatrix.toArray()
+            picks[name] = [f for f, z in zip(FEATS, (abs(weights) > 0).any(axis=0)) if z]
+        rf = learn.random_forest(idx, n_trees=400, weight=None)
+        idx.unpersist()
+        picks["rf_importance"] = [r["feature"] for r in learn.feature_importances(rf, FEATS, spark).limit(k).collect()]
+        scores = logit.holdout_accuracy(rows, [[FEATS.index(f) for f in p] for p in picks.values()])
     d.unpersist()
-    rep = spark.createDataFrame(rows, "method string, selected string, test_acc double")
+    out = [(name, ",".join(p), round(s, 6) if p else None) for (name, p), s in zip(picks.items(), scores)]
+    rep = spark.createDataFrame(out, "method string, selected string, test_acc double")
     return rep.orderBy(F.desc_nulls_last("test_acc"), "method")
