@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.exprs import clean_numeric
 
+TASK_ROWS = 2000     # rows from which a pass is worth a task of its own
 GATHER = 32          # rows of partial sums that reach the driver
 CELLS = 2_000_000    # row x model values that a task holds at a time
 MEMORY = 6           # steps that L-BFGS remembers
@@ -47,16 +48,17 @@ class Rows:
         self.classes = sorted(r[0] for r in d.select("_label").distinct().collect())
         y = F.array_position(F.array(*[F.lit(x) for x in self.classes]), F.col("_label")) - 1
         x = F.array(*[F.col(f).cast("double") for f in self.cols], F.lit(1.0))
-        self.data = d.select(x.alias("x"), y.cast("int").alias("y"), "fold").persist()
-        self.folds = {r["fold"]: r["count"] for r in self.data.groupBy("fold").count().collect()}
+        self.held = d.select(x.alias("x"), y.cast("int").alias("y"), "fold").persist()
+        self.folds = {r["fold"]: r["count"] for r in self.held.groupBy("fold").count().collect()}
         self.n_train = sum(n for f, n in self.folds.items() if f >= 0)
-        self.parts = self.data.rdd.getNumPartitions()
+        self.parts = max(1, min(self.held.rdd.getNumPartitions(), -(-sum(self.folds.values()) // TASK_ROWS)))
+        self.data = self.held.coalesce(self.parts)
 
     def __enter__(self):
         return self
 
     def __exit__(self, *_):
-        self.data.unpersist()
+        self.held.unpersist()
 
     def _sum(self, run, beta: np.ndarray, batch: Batch) -> np.ndarray:
         """The sum over partitions of the vectors that ``run`` makes of their batches."""
@@ -145,7 +147,8 @@ class Rows:
             uphill = slope >= 0
             direction[:, uphill], slope[uphill] = -grad[:, uphill], -(grad[:, uphill] ** 2).sum(0)
             trial = np.where(active, x + step * direction, x)
-            t_loss, t_grad = self.evaluate(trial, batch)
+            t_loss, t_grad, go = loss.copy(), grad.copy(), np.flatnonzero(active)  # only these are evaluated
+            t_loss[go], t_grad[:, go] = self.evaluate(trial[:, go], Batch(batch.mask[:, go], batch.target[go], batch.fold[go]))
             t_grad = np.where(batch.mask, t_grad, 0.0)
             ok = active & (t_loss <= loss + 1e-4 * step * slope + 1e-12 * np.abs(loss))
             ds, dy = (trial - x)[:, ok], (t_grad - grad)[:, ok]

@@ -79,23 +79,32 @@ def nearest_seen(d: DataFrame, keys, window, seen: str, chunk_col: str = "_chunk
              .drop("_carried", "_coming"))
 
 
-def lag_products(df: DataFrame, keys, order: str | Sequence[str], value: str, lags: int, chunk: int | None = None) -> DataFrame:
-    """``(*keys, lag, product)``: sums of value(t) * value(t - lag) for lag 0 to
-    ``lags``.  A chunk's sums are one numpy pass; the plan does not grow with
-    ``lags``.  ``value`` has no nulls."""
+def lag_products(df: DataFrame, keys, order: str, value: str, lags: int, chunk: int | None = None) -> DataFrame:
+    """``(*keys, n, lag, product)``: the number of rows and, for lag 0 to
+    ``lags``, the sum of c(t) * c(t - lag), c being ``value`` less its mean.  A
+    chunk's sums are one numpy pass; the plan does not grow with ``lags``.
+    ``value`` has no nulls.  As for windows, a keyed series is one chunk unless
+    ``chunk`` is given."""
     keys = _k(keys)
-    d, _ = chunked(df.select(*keys, *_k(order), value), keys, order, before=lags, chunk=chunk)
+    rows = df.select(*keys, order, value)
+    facts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("_mean"))
+    if keys and chunk is None:
+        d = rows.withColumns({"_t": F.col(order), "_own": F.lit(True), "_chunk": F.lit(0)})
+    else:
+        d, _ = chunked(rows, keys, order, before=lags, chunk=chunk)
+    d = same_keys(d, facts, keys)
+    keys = [*keys, "n"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_t")
-        y, own = pdf[value].to_numpy(float), pdf["_own"].to_numpy(bool)
+        y, own = pdf[value].to_numpy(float) - pdf["_mean"].iloc[0], pdf["_own"].to_numpy(bool)
         out = np.zeros(lags + 1)
         for k in range(min(lags, len(y) - 1) + 1):
             out[k] = (y[k:] * y[:len(y) - k])[own[k:]].sum()
         return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "products": [out]})
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    sums = d.groupBy(*keys, "_chunk").applyInPandas(run, (kinds + ", " if kinds else "") + "products array<double>")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.select(*keys).schema.fields)
+    sums = d.groupBy(*keys, "_chunk").applyInPandas(run, kinds + ", products array<double>")
     return (sums.select(*keys, F.posexplode("products").alias("lag", "product")).groupBy(*keys, "lag")
             .agg(F.sum("product").alias("product")).withColumn("lag", F.col("lag").cast("long")))
 

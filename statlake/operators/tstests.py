@@ -214,18 +214,17 @@ def stationarize(df: DataFrame, keys, order: str, value: str, season: int = 12)
 
 # ---- T3-T5: ACF, PACF, Ljung-Box ------------------------------------------------
 
-def acf(df: DataFrame, keys, order: str, value: str, nlags: int | None = None) -> DataFrame:
+def acf(df: DataFrame, keys, order: str, value: str, nlags: int | None = None, chunk: int | None = None) -> DataFrame:
     """Biased ACF per series as long ``(keys, lag, acf)`` for lag 0..nlags;
     default nlags = min(36, max(10, n−1)) per series.  A constant series has
     autocorrelation 1 at lag 0 and null beyond."""
     keys = _k(keys)
     kmax = nlags if nlags is not None else 36
     d = clean_numeric(df.select(*keys, order, value), [value])
-    facts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("_m"))
-    centred = same_keys(d, facts.drop("n"), keys).select(*keys, order, (F.col(value) - F.col("_m")).alias("_c"))
-    products = lag_products(centred, keys, order, "_c", kmax)
-    products = same_keys(products, products.filter("lag = 0").select(*keys, F.col("product").alias("_s0")), keys)
-    out = same_keys(products, facts.drop("_m"), keys).select(*keys, "n", "lag", F.when(F.col("_s0") != 0, F.col("product") / F.col("_s0")).alias("acf"))
+    products = lag_products(d, keys, order, value, kmax, chunk)
+    per = Window.partitionBy(*keys, "n")  # one row a lag
+    products = products.withColumn("_s0", F.max(F.when(F.col("lag") == 0, F.col("product"))).over(per))
+    out = products.select(*keys, "n", "lag", F.when(F.col("_s0") != 0, F.col("product") / F.col("_s0")).alias("acf"))
     if nlags is None:
         out = out.filter(F.col("lag") <= F.least(F.lit(36), F.greatest(F.lit(10), F.col("n") - 1)))
     return out.withColumn("acf", F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(F.col("acf")))

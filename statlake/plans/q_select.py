@@ -102,7 +102,7 @@ def selection_report_embeddings(spark, sf):
             "rfe": names(logit.eliminate(rows, k)),
         }
         idx, _ = learn.index_label(train, "label_s")
-        idx = learn.assemble(idx, FEATS).select("features", "label_idx").persist()
+        idx = learn.assemble(idx, FEATS).select("features", "label_idx").coalesce(rows.parts).persist()
         n = idx.count()
         for name in ("l1", "elasticnet"):
             weights = learn.logistic(idx, n, 1.0, name).coefficientMatrix.toArray()

@@ -75,6 +75,43 @@ def monthly_windows_orders(spark, sf):
                                            for c in ["value", "d1", "d2lag", "d12", "dd2", "rm12", "lag1", "lag3"]])
 
 
+@register("long_windows_events", """
+WITH e AS (SELECT event_id, ts, value, CASE WHEN event_type <> 'click' THEN value END AS gap,
+             row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events),
+i AS (SELECT *, last_value(CASE WHEN gap IS NOT NULL THEN pos END IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+        last_value(gap IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+        first_value(CASE WHEN gap IS NOT NULL THEN pos END IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np,
+        first_value(gap IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv FROM e)
+SELECT event_id, pos::BIGINT AS pos, round(value - lag(value, 1) OVER o, 6) AS d1, round(value - lag(value, 12) OVER o, 6) AS d12,
+       round(value - 2*lag(value, 1) OVER o + lag(value, 2) OVER o, 6) AS dd2,
+       round(avg(value) OVER (ORDER BY pos ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING), 6) AS rm12, round(lag(value, 3) OVER o, 6) AS lag3,
+       round(coalesce(gap, CASE WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * (pos - pp) / (np - pp) END, pv, nv), 6) AS filled
+FROM i WINDOW o AS (ORDER BY pos)""")
+def long_windows_events(spark, sf):
+    """W1–W4, W6, W12 on all events as one series without a key: chunks with
+    halo rows, no task holds the series; clicks' values are filled in."""
+    e = table(spark, sf, "events").select("event_id", "ts", "value", F.when(F.col("event_type") != "click", F.col("value")).alias("gap"))
+    s = windows.positions(e, None, ["ts", "event_id"], "pos")
+    s = windows.lag_diff(s, None, "pos", "value", 1, "d1")
+    s = windows.lag_diff(s, None, "pos", "value", 12, "d12")
+    s = windows.diff_order(s, None, "pos", "value", 2, out="dd2")
+    s = windows.rolling_mean_centered(s, None, "pos", "value", 12, "rm12")
+    s = windows.lag_matrix(s, None, "pos", "value", 3)
+    s = windows.interpolate_linear(s, None, "pos", "gap", "filled")
+    return s.select("event_id", "pos", *[rnd(c).alias(c) for c in ("d1", "d12", "dd2", "rm12", "lag3", "filled")])
+
+
+@register("long_acf_events", """
+WITH e AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS t, value - avg(value) OVER () AS c FROM events WHERE value IS NOT NULL),
+p AS (SELECT l.lag, sum(a.c * b.c) AS s FROM e a CROSS JOIN (SELECT unnest(range(0, 25)) AS lag) l JOIN e b ON b.t = a.t - l.lag GROUP BY 1)
+SELECT lag::BIGINT AS lag, round(s / (SELECT s FROM p WHERE lag = 0), 6) AS acf FROM p""")
+def long_acf_events(spark, sf):
+    """Autocorrelation of all events as one series without a key, lags 0 to 24."""
+    e = windows.positions(table(spark, sf, "events").filter(F.col("value").isNotNull()).select("event_id", "ts", "value"),
+                          None, ["ts", "event_id"], "pos")
+    return tstests.acf(e, None, "pos", "value", 24).select("lag", rnd("acf").alias("acf"))
+
+
 ACF_SQL = f"""
 WITH {FILLED_SQL},
 p AS (SELECT series_key, row_number() OVER (PARTITION BY series_key ORDER BY ts) - 1 AS t,

@@ -98,6 +98,7 @@ def test_fits_and_holdout_equal_plain_newton(data):
 def test_many_partitions_and_bad_rows(spark, data, monkeypatch):
     rows, df, cols = data
     monkeypatch.setattr(logit, "GATHER", 2)
+    monkeypatch.setattr(logit, "TASK_ROWS", 10)
     bad = spark.createDataFrame([("c0", 0, float("nan"), *[0.0] * 6), (None, 0, *[0.0] * 7), ("c1", None, *[0.0] * 7)], df.schema)
     with logit.Rows(df.union(bad), cols, "label", "fold") as r, logit.Rows(df, cols, "label", "fold") as clean:
         assert r.n_train == clean.n_train and r.classes == ["c0", "c1", "c2"]
