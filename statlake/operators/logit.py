@@ -95,8 +95,9 @@ class Rows:
             used = (fold[:, None] >= 0) & (fold[:, None] != left_out)
             sign = np.where(y[:, None] == target, 1.0, -1.0)
             margin = sign * (x @ beta)
-            loss = (used * np.logaddexp(0.0, -margin)).sum(0)
-            p = used / (1.0 + np.exp(np.clip(margin, -500, 500)))  # chance of the other side
+            small = np.exp(-np.abs(margin))
+            loss = (used * (np.maximum(-margin, 0.0) + np.log1p(small))).sum(0)
+            p = used * np.where(margin >= 0, small, 1.0) / (1.0 + small)  # chance of the other side
             out = [loss, (x.T @ (-sign * p)).ravel()]
             if hessian:
                 w = p * (1.0 - p)
@@ -113,7 +114,7 @@ class Rows:
     def accuracy(self, beta: np.ndarray, batch: Batch) -> dict:
         """``{(group, fold): accuracy}`` on the rows left out: models lie in groups
         of one per class, all of a group leaving out the same fold; the class of
-        the largest value is the answer."""
+        the largest value is the answer, the first of those equal to 9 places."""
         classes, groups = len(self.classes), beta.shape[1] // len(self.classes)
 
         def run(x, y, fold, beta, target, left_out):
@@ -122,7 +123,7 @@ class Rows:
             for f in np.unique(of):
                 rows, some = fold == f, np.flatnonzero(of == f)
                 if rows.any():
-                    z = (x[rows] @ beta[:, (some[:, None] * classes + np.arange(classes)).ravel()]).reshape(-1, len(some), classes)
+                    z = (x[rows] @ beta[:, (some[:, None] * classes + np.arange(classes)).ravel()]).round(9).reshape(-1, len(some), classes)
                     hits[some] += (z.argmax(2) == y[rows][:, None]).sum(0)
             return hits
         hits = self._sum(run, beta, batch)
