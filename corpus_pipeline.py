@@ -9,6 +9,12 @@ Every stage takes the rows that its predecessor kept, with the columns of
 3. decontamination: documents that hold a benchmark item go;
 4. secrets: each secret is replaced by its kind in brackets, no document goes;
 5. mix: documents are repeated or left out to meet the sources' weights.
+
+Defined cases: null and empty texts are clean, no copies and hold no secret,
+and count no words in the mix; documents without an id stay through the first
+four stages; rows that repeat an id belong to one document; columns of any
+name are carried as they are; an empty table gives an empty result, and empty
+labels or benchmark tables reject nothing.
 """
 
 from __future__ import annotations
