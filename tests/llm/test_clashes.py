@@ -56,3 +56,16 @@ def test_decontamination(spark, docs):
 def test_toxicity(spark, docs):
     labels = spark.createDataFrame([(i, 0) for i in range(30)], "doc_id long, toxic int")
     assert len(_check(docs, toxicity.drop_toxic(docs, labels))) == docs.count()
+
+
+def test_stages_take_empty_tables(spark, docs, tmp_path):
+    """No labels and no items reject nothing; no documents give no rows; an id that is null stays until the mix."""
+    import corpus_pipeline as P
+    path = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id is null or doc_id < 12")
+    for name, stage in P.STAGES[:4]:
+        assert stage(spark, plain, path).count() == plain.count(), name
+    for name, stage in P.STAGES:
+        assert stage(spark, plain.filter("false"), path).count() == 0, name
