@@ -443,48 +443,6 @@ def stl_numpy(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True
     return season, trend, y - season - trend
 
 
-def hp_numpy(y: np.ndarray, lamb: float) -> np.ndarray:
-    """Hodrick–Prescott trend: solve (I + λ KᵀK) τ = y, K the second-
-    difference operator.  The matrix is symmetric pentadiagonal, so a banded
-    Cholesky factorisation solves it in O(n)."""
-    y = np.asarray(y, float)
-    n = len(y)
-    if n < 3:
-        return y.copy()
-    # bands of KᵀK: main, first and second off-diagonals
-    d0 = np.full(n, 6.0)
-    d0[[0, -1]] = 1.0
-    d0[[1, -2]] = 5.0
-    d1 = np.full(n - 1, -4.0)
-    d1[[0, -1]] = -2.0
-    d2 = np.ones(n - 2)
-    a0, a1, a2 = 1.0 + lamb * d0, lamb * d1, lamb * d2
-    l0, l1, l2 = np.zeros(n), np.zeros(n), np.zeros(n)  # L[i,i], L[i,i-1], L[i,i-2]
-    for i in range(n):
-        if i >= 2:
-            l2[i] = a2[i - 2] / l0[i - 2]
-        if i >= 1:
-            l1[i] = (a1[i - 1] - l2[i] * l1[i - 1]) / l0[i - 1]
-        l0[i] = math.sqrt(a0[i] - l1[i] ** 2 - l2[i] ** 2)
-    z = np.zeros(n)
-    for i in range(n):
-        acc = y[i]
-        if i >= 1:
-            acc -= l1[i] * z[i - 1]
-        if i >= 2:
-            acc -= l2[i] * z[i - 2]
-        z[i] = acc / l0[i]
-    x = np.zeros(n)
-    for i in range(n - 1, -1, -1):
-        acc = z[i]
-        if i + 1 < n:
-            acc -= l1[i + 1] * x[i + 1]
-        if i + 2 < n:
-            acc -= l2[i + 2] * x[i + 2]
-        x[i] = acc / l0[i]
-    return x
-
-
 def _per_series(df, keys, order, value, fn, out_cols, schema_tail):
     keys = _k(keys)
     d = df.select(*keys, order, value)
