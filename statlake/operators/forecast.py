@@ -252,8 +252,22 @@ _FIT_SCHEMA = ("p long, d long, q long, sp long, sd long, sq long, s long, ok bo
                "sigma2 double, n_eff long, params array<double>, stderr array<double>, error string")
 
 
-def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: bool = False) -> DataFrame:
-    """F1 + F2: fit every order in ``orders`` for every packed series.
+def _fitter(method: str):
+    """The fit of one series: conditional least squares (``css``) or maximum
+    likelihood by the Kalman filter (``exact``: diffuse start, differencing in
+    the state; ``stationary``: the differenced series from its stationary start)."""
+    if method == "css":
+        return fit_css
+    if method not in ("exact", "stationary"):
+        raise ValueError(f"unknown method {method!r}")
+    from statlake.operators.statespace import fit_exact
+    start = "diffuse" if method == "exact" else method
+    return lambda y, o: fit_exact(y, o, start)
+
+
+def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: bool = False, method: str = "css") -> DataFrame:
+    """F1 + F2: fit every order in ``orders`` for every packed series by
+    ``method``: ``css``, ``exact`` or ``stationary``.
     Failed fits keep ``ok=false`` and an ``error`` text (never dropped).
     With ``fixed_diff`` the packed frame carries ``d_fix``/``sd_fix`` (e.g.
     from :func:`stationarize`) and only orders with those d, D are fitted."""
@@ -269,6 +283,7 @@ def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: boo
     work = work.repartition(parts, *keys, *ORDER_FIELDS)
 
     def run(it):
+        fit_one = _fitter(method)
         for pdf in it:
             out = []
             for r in pdf.itertuples(index=False):
@@ -276,7 +291,7 @@ def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: boo
                 rec = {k: getattr(r, k) for k in keys}
                 rec.update(o)
                 try:
-                    fit = fit_css(np.asarray(r.y, dtype=float), o)
+                    fit = fit_one(np.asarray(r.y, dtype=float), o)
                     rec.update(ok=True, aic=fit["aic"], sigma2=fit["sigma2"], n_eff=fit["n_eff"],
                                params=[float(v) for v in fit["theta"]], stderr=[float(v) for v in fit["stderr"]],
                                error=None)
@@ -290,6 +305,29 @@ def sarima_grid(packed: DataFrame, keys, orders: Sequence[dict], fixed_diff: boo
     return work.mapInPandas(run, (kschema + ", " if kschema else "") + _FIT_SCHEMA)
 
 
+def likelihood_grid(packed: DataFrame, keys, o: dict, points: Sequence[Sequence[float]]) -> DataFrame:
+    """``(keys, point, params, llf, sigma2, aic)``: the exact likelihood of
+    the differenced series at given coefficients, the variance at its maximum.
+    The points of a series go through the filter together; inadmissible
+    points (a root on or inside the unit circle) have null results."""
+    keys = _k(keys)
+    pts = np.asarray(points, float)
+    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema.fields if f.name in keys)
+
+    def run(it):
+        from statlake.operators.statespace import concentrated
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                ll, s2 = concentrated(pts, r.y, o)
+                ok = np.isfinite(ll)
+                yield pd.DataFrame({**{k: [getattr(r, k)] * len(pts) for k in keys}, "point": np.arange(len(pts)), "params": list(pts),
+                                    "llf": np.where(ok, ll, None), "sigma2": np.where(ok, s2, None),
+                                    "aic": np.where(ok, -2 * ll + 2 * (pts.shape[1] + 1), None)})
+
+    return packed.select(*keys, "y").mapInPandas(run, (kschema + ", " if kschema else "") + (
+        "point long, params array<double>, llf double, sigma2 double, aic double"))
+
+
 def best_by_aic(fits: DataFrame, keys) -> DataFrame:
     """Lowest-AIC successful fit per series (ties → first order in grid order)."""
     keys = _k(keys)
@@ -300,9 +338,10 @@ def best_by_aic(fits: DataFrame, keys) -> DataFrame:
 
 
 def forecast(packed: DataFrame, models: DataFrame, keys, h: int = 10, alpha: float = 0.05,
-             exp_back: bool | str = False) -> DataFrame:
+             exp_back: bool | str = False, method: str = "css") -> DataFrame:
     """F4 + F8 inputs: ``(keys, h_step, forecast, lower, upper)`` from each
-    series' chosen model; ``exp_back`` maps log-scale results back."""
+    series' chosen model; ``exp_back`` maps log-scale results back.  With
+    ``method`` ``exact`` the mean and its variance come from the filter's state."""
     keys = _k(keys)
     j = same_keys(packed, models, keys)
     if isinstance(exp_back, str):
@@ -317,8 +356,14 @@ def forecast(packed: DataFrame, models: DataFrame, keys, h: int = 10, alpha: flo
                 o = {f: int(getattr(r, f)) for f in ORDER_FIELDS}
                 y = np.asarray(r.y, dtype=float)
                 theta = np.asarray(r.params, dtype=float)
-                e, _ = _residuals(theta, np.convolve(y, _diff_poly(o["d"], o["sd"], o["s"])[::-1], mode="valid"), o)
-                mean, lo, hi = forecast_path(y, o, theta, float(r.sigma2), e, h, alpha)
+                if method == "exact":
+                    from statlake.operators.statespace import predict
+                    _, mean, se = predict(y, o, theta, float(r.sigma2), h)
+                    zq = float(special.norm_ppf(np.array([1 - alpha / 2]))[0])
+                    lo, hi = mean - zq * se, mean + zq * se
+                else:
+                    e, _ = _residuals(theta, np.convolve(y, _diff_poly(o["d"], o["sd"], o["s"])[::-1], mode="valid"), o)
+                    mean, lo, hi = forecast_path(y, o, theta, float(r.sigma2), e, h, alpha)
                 if r.exp_flag:
                     mean, lo, hi = np.exp(mean), np.exp(lo), np.exp(hi)
                 for i in range(h):
@@ -331,9 +376,10 @@ def forecast(packed: DataFrame, models: DataFrame, keys, h: int = 10, alpha: flo
     return j.mapInPandas(run, (kschema + ", " if kschema else "") + "h_step long, forecast double, lower double, upper double")
 
 
-def residual_frame(packed: DataFrame, models: DataFrame, keys, drop_startup: bool = True) -> DataFrame:
+def residual_frame(packed: DataFrame, models: DataFrame, keys, drop_startup: bool = True, method: str = "css") -> DataFrame:
     """``(keys, t, resid)`` of each chosen model, for Spark-side diagnostics
-    (Ljung–Box, Jarque–Bera).  Start-up residuals are conditioned away."""
+    (Ljung–Box, Jarque–Bera).  Start-up residuals are conditioned away; with
+    ``method`` ``exact`` they are the filter's one-step innovations."""
     keys = _k(keys)
     j = same_keys(packed, models, keys)
 
@@ -345,10 +391,16 @@ def residual_frame(packed: DataFrame, models: DataFrame, keys, drop_startup: boo
                 y = np.asarray(r.y, dtype=float)
                 dp = _diff_poly(o["d"], o["sd"], o["s"])
                 w = np.convolve(y, dp[::-1], mode="valid") if len(dp) > 1 else y
-                e, start = _residuals(np.asarray(r.params, dtype=float), w, o)
+                if method == "exact":
+                    from statlake.operators.statespace import predict
+                    e = predict(y, o, r.params, float(r.sigma2), 0)[0]
+                    first = len(y) - len(e)
+                else:
+                    e, start = _residuals(np.asarray(r.params, dtype=float), w, o)
+                    first = start + len(dp) - 1
                 for i, v in enumerate(e):
                     rec = {k: getattr(r, k) for k in keys}
-                    rec.update(t=start + len(dp) - 1 + i, resid=float(v))
+                    rec.update(t=first + i, resid=float(v))
                     out.append(rec)
             yield pd.DataFrame(out, columns=keys + ["t", "resid"])
 

@@ -216,3 +216,58 @@ def sarima_search_orders(spark, sf):
     out = fits.groupBy(*KEY).agg(F.min_by(F.struct(*fc.ORDER_FIELDS, "aic"), order).alias("b"), F.count(F.lit(1)).alias("fits"),
                                  F.sum(F.col("ok").cast("long")).alias("fits_ok")).filter("fits_ok > 0")
     return out.select(*KEY, "b.*", "fits", "fits_ok").withColumn("aic", rnd("aic", 4))
+
+
+@register("sarima_exact_orders")
+def sarima_exact_orders(spark, sf):
+    """F1 + F2 + F4 by exact likelihood: the lowest-AIC order of p, q, P, Q in
+    0..1 per priority (d, D from the stationarity step) and its 10-month
+    forecast from the filter's state."""
+    packed = _prepared(spark, sf)
+    fits = fc.sarima_grid(packed, KEY, fc.order_grid(p=range(2), q=range(2), sp=range(2), sq=range(2)), fixed_diff=True, method="exact")
+    ensure_checkpoint_dir(spark)
+    best = fc.best_by_aic(fits, KEY).checkpoint()
+    f = fc.forecast(packed.select(*KEY, "y", "log_applied"), best, KEY, h=10, exp_back="log_applied", method="exact")
+    return best.select(*KEY, *fc.ORDER_FIELDS, rnd("aic", 2).alias("aic"), "n_eff").join(
+        f.select(*KEY, "h_step", rnd("forecast", 0).alias("forecast"), rnd("lower", 0).alias("lower"), rnd("upper", 0).alias("upper")), KEY)
+
+
+@register("arima111_exact_orders")
+def arima111_exact_orders(spark, sf):
+    """F6 by exact likelihood: ARIMA(1,1,1) of the log monthly totals from the
+    stationary start."""
+    packed = fc.pack_series(monthly_series(spark, sf), KEY, "ts", "value", log=True)
+    fits = fc.sarima_grid(packed, KEY, fc.order_grid(p=[1], d=[1], q=[1], sp=[0], sd=[0], sq=[0]), method="stationary")
+    return fits.select(*KEY, "ok", rnd("aic", 3).alias("aic"), "n_eff", F.transform("params", lambda v: F.round(v, 3)).alias("params"))
+
+
+ARMA_GRID = [round(-0.9 + 0.3 * i, 1) for i in range(7)]
+LIKELIHOOD_SQL = f"""
+WITH RECURSIVE {FILLED_SQL},
+l AS (SELECT series_key, ts, ln(value) AS v FROM s),
+w AS (SELECT series_key, v - lag(v) OVER o AS w, row_number() OVER o - 1 AS t, count(*) OVER (PARTITION BY series_key) - 1 AS n
+      FROM l WINDOW o AS (PARTITION BY series_key ORDER BY ts)),
+steps AS (SELECT unnest({ARMA_GRID})::DOUBLE AS v),
+p AS (SELECT a.v AS ar, b.v AS ma FROM steps a, steps b),
+k(series_key, ar, ma, t, n, w, ahead, r, ss, ld) AS (
+  SELECT series_key, ar, ma, t, n, w, 0.0::DOUBLE, (1 + 2 * ar * ma + ma * ma) / (1 - ar * ar),
+         w * w * (1 - ar * ar) / (1 + 2 * ar * ma + ma * ma), ln((1 + 2 * ar * ma + ma * ma) / (1 - ar * ar))
+  FROM w, p WHERE t = 1
+  UNION ALL
+  SELECT series_key, ar, ma, t, n, w, ahead, r, ss + (w - ahead) * (w - ahead) / r, ld + ln(r) FROM (
+    SELECT k.series_key, k.ar, k.ma, w.t, w.n, w.w, k.ar * k.w + k.ma / k.r * (k.w - k.ahead) AS ahead,
+           1 + k.ma * k.ma - k.ma * k.ma / k.r AS r, k.ss, k.ld
+    FROM k JOIN w ON w.series_key = k.series_key AND w.t = k.t + 1)),
+e AS (SELECT series_key, ar, ma, ss / n AS s2, -n / 2.0 * (ln(2 * pi() * ss / n) + 1) - ld / 2 AS llf FROM k WHERE t = n)
+SELECT series_key, ar, ma, round(llf, 6) AS llf, round(s2, 9) AS sigma2, round(6 - 2 * llf, 6) AS aic FROM e"""
+
+
+@register("arima111_likelihood_orders", LIKELIHOOD_SQL)
+def arima111_likelihood_orders(spark, sf):
+    """exact likelihood of ARIMA(1,1,1) of the log monthly totals over a
+    grid of coefficients, the variance at its maximum."""
+    packed = fc.pack_series(monthly_series(spark, sf), KEY, "ts", "value", log=True)
+    o = dict(p=1, d=1, q=1, sp=0, sd=0, sq=0, s=12)
+    f = fc.likelihood_grid(packed, KEY, o, [(a, b) for a in ARMA_GRID for b in ARMA_GRID])
+    return f.select(*KEY, F.col("params")[0].alias("ar"), F.col("params")[1].alias("ma"), rnd("llf").alias("llf"),
+                    rnd("sigma2", 9).alias("sigma2"), rnd("aic").alias("aic"))
