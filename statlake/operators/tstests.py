@@ -1,9 +1,9 @@
 """Time-series tests and decomposition on keyed regular series.
 
 Input is a long frame ``(keys..., order, value)`` holding many series.
-Lag matrices come from one window pass per series; regressions for every
-candidate lag order come from one Gram aggregate (``variant`` rows per
-key); the tiny solves run in ``applyInPandas`` over those Gram rows only.
+Regressions on lags come from sums of lag products
+(:mod:`statlake.operators.laggrams`); the small solves run in ``mapInPandas``
+over one row per series only.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from statlake.functions import special
 from statlake.functions.exprs import clean_numeric
 from statlake.functions.safe import div, same_keys
-from statlake.operators.moments import gram_agg, gram_from_row, merge_rows, ols_gram
+from statlake.operators.laggrams import LagGram, lag_sums, nested_ssr
+from statlake.operators.moments import ols_gram
 from statlake.operators.seams import lag_products, smooth_penalised
 
 # MacKinnon (1994/2010) response-surface constants for the
@@ -58,13 +59,6 @@ def mackinnon_crit(nobs: float) -> dict:
     return {k: b[0] + b[1] / nobs + b[2] / nobs ** 2 + b[3] / nobs ** 3 for k, b in ADF_CRIT.items()}
 
 
-def _max_n(df: DataFrame, keys) -> int:
-    keys = _k(keys)
-    c = df.groupBy(*keys).count() if keys else df.groupBy().count()
-    v = c.agg(F.max("count")).first()[0]
-    return int(v or 0)
-
-
 def _series_w(keys, order):
     keys = _k(keys)
     return (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order)
@@ -74,40 +68,32 @@ ADF_SCHEMA_FIELDS = ("adf_stat double, p_value double, used_lag long, nobs long,
                      "crit_5 double, crit_10 double, is_stationary boolean, error string")
 
 
-def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> DataFrame:
-    """Augmented Dickey–Fuller (constant, lag by AIC) per series.
+def adf_lags(n: int) -> int:
+    """The longest lag of the test on n values."""
+    return max(min(math.ceil(12 * (max(n, 1) / 100) ** 0.25), n // 2 - 2), 0)
+
+
+def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05, lags: int | None = None, chunk: int | None = None) -> DataFrame:
+    """Augmented Dickey–Fuller (constant) per series, the lag by AIC or given
+    by ``lags``.
 
     maxlag = min(⌈12 (n/100)^¼⌉, n//2 − 2); AIC compared on the common
-    sample, the chosen lag refitted on its longest sample.  One Gram row per
-    series covers the common sample; the at most maxlag earlier rows come
-    beside it, and the refit sample of a lag is the common one plus its own
-    earlier rows.  A constant or too short series has null results and an
-    ``error``; null, NaN and infinite values are left out first."""
+    sample, the chosen lag refitted on its longest sample.  All regressions of
+    a series come from its sums of lag products (:mod:`laggrams`), so a series
+    without a key may be of any length.  A constant or too short series has
+    null results and an ``error``; null, NaN and infinite values are left out
+    first."""
     keys = _k(keys)
     d = clean_numeric(df.select(*keys, order, value), [value])
-    lmax = max(0, math.ceil(12 * (max(_max_n(d, keys), 1) / 100) ** 0.25))
-    w = _series_w(keys, order)
-    d = (d.withColumn("_t", F.row_number().over(w) - 1)
-          .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys) if keys else Window.partitionBy()))
-          .withColumn("_ylag", F.lag(value, 1).over(w)))
-    d = d.withColumn("_dy", F.col(value) - F.col("_ylag"))
-    for j in range(1, lmax + 1):
-        d = d.withColumn(f"_dl{j}", F.coalesce(F.lag("_dy", j).over(w), F.lit(0.0)))
-    ml = F.least(F.ceil(12 * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2).cast("long")
-    d = d.withColumn("_ml", F.greatest(F.least(ml, F.lit(lmax)), F.lit(0)))
-    d = d.filter((F.col("_t") >= 1) & F.col("_dy").isNotNull())
-    cols = ["_ylag"] + [f"_dl{j}" for j in range(1, lmax + 1)] + ["_dy"]
-    common = gram_agg(d.filter(F.col("_t") > F.col("_ml")), cols, keys, extra=[F.first("_ml").alias("_ml")])
-    early = d.filter(F.col("_t") <= F.col("_ml")).groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_t", F.array(*cols).alias("x")))).alias("_early"))
-    g = same_keys(common, early, keys, "left") if keys else common.join(F.broadcast(early), how="left")
+    longest = adf_lags if lags is None else (lambda n: lags)
+    g = lag_sums(d, keys, order, [value], "level and difference", longest, chunk)
     names = keys + [f.split()[0] for f in ADF_SCHEMA_FIELDS.split(", ")]
 
     def solve(it):
         for pdf in it:
             out = []
             for _, row in pdf.iterrows():
-                res = _adf_from_gram(row, cols)
+                res = _adf_of(LagGram(row, "level and difference", longest(int(row["n"]))), lags is None)
                 out.append({**{k: row[k] for k in keys}, **res,
                             "is_stationary": None if res["p_value"] is None else bool(res["p_value"] < alpha)})
             yield pd.DataFrame(out, columns=names)
@@ -116,36 +102,38 @@ def adf(df: DataFrame, keys, order: str, value: str, alpha: float = 0.05) -> Dat
     fitted = g.mapInPandas(solve, (kschema + ", " if kschema else "") + ADF_SCHEMA_FIELDS)
     if not keys:
         return fitted
-    # series too short for one common row keep a row that says so
+    # series without any usable value keep a row that says so
     every = df.select(*keys).distinct()
     out = same_keys(every, fitted.withColumn("_found", F.lit(True)), keys, "left")
     return out.withColumn("error", F.when(F.col("_found").isNull(), F.lit("too few rows")).otherwise(F.col("error"))).select(*names)
 
 
-def _adf_from_gram(row, cols: list[str]) -> dict:
+def _adf_of(sums: LagGram, by_aic: bool) -> dict:
     """One series: lag by AIC on the common sample, then the refit."""
     none = {"adf_stat": None, "p_value": None, "used_lag": None, "nobs": None, "crit_1": None, "crit_5": None, "crit_10": None}
-    n, m, c = gram_from_row(row, cols)
-    ml, yi = int(row["_ml"]), len(cols) - 1
-    early = row["_early"]
-    early = [] if early is None or isinstance(early, float) else [(int(r["_t"]), list(r["x"])) for r in early]
-    if c[0, 0] <= 1e-14 * max(1.0, m[0] ** 2) * n:
-        return {**none, "error": "constant series"}
-    best = None
-    for lag in range(0, ml + 1):
-        xi = list(range(0, lag + 1))
-        if n <= len(xi) + 1:
-            break
-        _, ssr, _, k = ols_gram(n, m, c, xi, yi)
-        llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
-        aic = -2 * llf + 2 * k
-        if best is None or aic < best[0]:
-            best = (aic, lag)
-    if best is None:
+    most = sums.lags
+    columns = [(0, 0)] + [(1, j) for j in range(1, most + 1)] + [(1, 0)]  # level, lagged differences, difference
+    n, m, c = sums.gram(columns)
+    if n < 2:
         return {**none, "error": "too few rows"}
-    lag = best[1]
-    n, m, c = merge_rows(n, m, c, np.array([x for t, x in early if t > lag], dtype=float).reshape(-1, len(cols)))
-    beta, ssr, inv, k = ols_gram(n, m, c, list(range(0, lag + 1)), yi)
+    if c[0, 0] <= 1e-14 * max(1.0, (m[0] + sums.centre[0]) ** 2) * n:
+        return {**none, "error": "constant series"}
+    lag = most
+    if by_aic:
+        ssr = nested_ssr(c)
+        best = None
+        for j in range(0, most + 1):
+            if n <= j + 2:
+                break
+            s = ols_gram(n, m, c, list(range(j + 1)), len(columns) - 1)[1] if ssr is None else ssr[j + 1]
+            aic = n * (math.log(2 * math.pi) + math.log(s / n) + 1) + 2 * (j + 2)
+            if best is None or aic < best[0]:
+                best = (aic, j)
+        if best is None:
+            return {**none, "error": "too few rows"}
+        lag = best[1]
+    n, m, c = sums.gram(columns, start=lag)
+    beta, ssr, inv, k = ols_gram(n, m, c, list(range(0, lag + 1)), len(columns) - 1)
     if n <= k:
         return {**none, "error": "too few rows"}
     s2 = ssr / (n - k)
@@ -320,45 +308,39 @@ def seasonal_decompose(df: DataFrame, keys, order: str, value: str, period: int
 # ---- T9: Granger causality (ssr F, χ², LR) ------------------------------------------
 
 def granger(df: DataFrame, keys, order: str, y: str, x: str, maxlag: int = 6,
-            difference: bool = True) -> DataFrame:
+            difference: bool = True, chunk: int | None = None) -> DataFrame:
     """Does ``x`` help predict ``y``?  For L = 1..maxlag compare
     y ~ const + y lags and y ~ const + y lags + x lags on the rows where all
-    L lags exist.  One Gram aggregate per (series, L).  The F test that all
-    x coefficients are 0 (``params_f``) is the SSR F test for least squares."""
+    L lags exist.  All regressions of a series come from its sums of lag
+    products.  The F test that all x coefficients are 0 (``params_f``) is the
+    SSR F test for least squares.  Rows with a null, NaN or infinite value are
+    left out first; a lag without a row is left out of the result."""
     keys = _k(keys)
-    w = _series_w(keys, order)
-    d = df.select(*keys, order, y, x)
-    if difference:
-        d = (d.withColumn(y, F.col(y) - F.lag(y, 1).over(w)).withColumn(x, F.col(x) - F.lag(x, 1).over(w))
-              .filter(F.col(y).isNotNull() & F.col(x).isNotNull()))
-    d = d.withColumn("_t", F.row_number().over(_series_w(keys, order)) - 1)
-    w2 = _series_w(keys, order)
-    for j in range(1, maxlag + 1):
-        d = (d.withColumn(f"_y{j}", F.coalesce(F.lag(y, j).over(w2), F.lit(0.0)))
-              .withColumn(f"_x{j}", F.coalesce(F.lag(x, j).over(w2), F.lit(0.0))))
-    d = d.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(maxlag)))).filter(F.col("_t") >= F.col("lag"))
-    cols = [f"_y{j}" for j in range(1, maxlag + 1)] + [f"_x{j}" for j in range(1, maxlag + 1)] + [y]
-    g = gram_agg(d, cols, keys + ["lag"])
+    shape = "differences" if difference else "as is"
+    lost = 1 if difference else 0
+    lags_of = lambda n: max(min(maxlag, n - lost - 1), 0)
+    g = lag_sums(clean_numeric(df.select(*keys, order, y, x), [y, x]), keys, order, [y, x], shape, lags_of, chunk)
 
     def solve(it):
         for pdf in it:
             out = []
             for _, row in pdf.iterrows():
-                L = int(row["lag"])
-                n, m, c = gram_from_row(row, cols)
-                yi = len(cols) - 1
-                _, ssr_r, _, _ = ols_gram(n, m, c, list(range(L)), yi)
-                _, ssr_u, _, ku = ols_gram(n, m, c, list(range(L)) + [maxlag + j for j in range(L)], yi)
-                dfd = n - ku
-                f = ((ssr_r - ssr_u) / L) / (ssr_u / dfd) if dfd > 0 else np.nan
-                rec = {k: row[k] for k in keys}
-                rec.update({"lag": L, "nobs": int(n), "ssr_f": f, "ssr_f_p": float(special.f_sf(f, L, dfd)),
-                            "ssr_chi2": n * (ssr_r - ssr_u) / ssr_u,
-                            "ssr_chi2_p": float(special.chi2_sf(n * (ssr_r - ssr_u) / ssr_u, L)),
-                            "lr": n * math.log(ssr_r / ssr_u),
-                            "lr_p": float(special.chi2_sf(n * math.log(ssr_r / ssr_u), L)),
-                            "params_f": f, "params_f_p": float(special.f_sf(f, L, dfd))})
-                out.append(rec)
+                sums = LagGram(row, shape, lags_of(int(row["n"])))
+                for L in range(1, sums.lags + 1):
+                    columns = [(c, j) for c in (0, 1) for j in range(1, L + 1)] + [(0, 0)]
+                    n, m, c = sums.gram(columns, start=L)
+                    _, ssr_r, _, _ = ols_gram(n, m, c, list(range(L)), 2 * L)
+                    _, ssr_u, _, ku = ols_gram(n, m, c, list(range(2 * L)), 2 * L)
+                    dfd = n - ku
+                    f = ((ssr_r - ssr_u) / L) / (ssr_u / dfd) if dfd > 0 else np.nan
+                    rec = {k: row[k] for k in keys}
+                    rec.update({"lag": L, "nobs": int(n), "ssr_f": f, "ssr_f_p": float(special.f_sf(f, L, dfd)),
+                                "ssr_chi2": n * (ssr_r - ssr_u) / ssr_u,
+                                "ssr_chi2_p": float(special.chi2_sf(n * (ssr_r - ssr_u) / ssr_u, L)),
+                                "lr": n * math.log(ssr_r / ssr_u),
+                                "lr_p": float(special.chi2_sf(n * math.log(ssr_r / ssr_u), L)),
+                                "params_f": f, "params_f_p": float(special.f_sf(f, L, dfd))})
+                    out.append(rec)
             yield pd.DataFrame(out, columns=keys + ["lag", "nobs", "ssr_f", "ssr_f_p", "ssr_chi2", "ssr_chi2_p",
                                                    "lr", "lr_p", "params_f", "params_f_p"])
 

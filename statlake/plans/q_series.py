@@ -171,6 +171,43 @@ def adf_orders(spark, sf):
                     "used_lag", "nobs", rnd("crit_5").alias("crit_5"), "is_stationary")
 
 
+def _adf_sql(given: str) -> str:
+    """ADF with 0 and 1 lags of the series ``y(series_key, t, v)``."""
+    return given + """,
+d AS (SELECT series_key, t, lag(v) OVER o AS l, v - lag(v) OVER o AS dy FROM y WINDOW o AS (PARTITION BY series_key ORDER BY t)),
+e AS (SELECT *, lag(dy) OVER (PARTITION BY series_key ORDER BY t) AS d1 FROM d),
+z AS (SELECT series_key, 0 AS lag, l, dy, 0.0::DOUBLE AS d1 FROM e WHERE dy IS NOT NULL
+      UNION ALL SELECT series_key, 1, l, dy, d1 FROM e WHERE d1 IS NOT NULL),
+m AS (SELECT series_key, lag, count(*) AS n, var_pop(l) AS ll, var_pop(dy) AS yy, covar_pop(l, dy) AS ly,
+             var_pop(d1) AS dd, covar_pop(l, d1) AS ld, covar_pop(d1, dy) AS dy1 FROM z GROUP BY 1, 2),
+q AS (SELECT series_key, lag, n, ll - CASE WHEN lag = 1 THEN ld * ld / dd ELSE 0 END AS a,
+             ly - CASE WHEN lag = 1 THEN ld * dy1 / dd ELSE 0 END AS b, yy - CASE WHEN lag = 1 THEN dy1 * dy1 / dd ELSE 0 END AS c FROM m)
+SELECT series_key, lag::BIGINT AS used_lag, n::BIGINT AS nobs, round(b / a / sqrt((c - b * b / a) * n / (n - 2 - lag) / n / a), 6) AS adf_stat,
+       round(-2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n), 6) AS crit_5 FROM q"""
+
+
+def _adf_two(df, keys, order, value):
+    both = None
+    for lag in (0, 1):
+        a = tstests.adf(df, keys, order, value, lags=lag)
+        both = a if both is None else both.unionByName(a)
+    return both
+
+
+@register("adf_fixed_orders", _adf_sql(f"WITH {FILLED_SQL}, y AS (SELECT series_key, ts AS t, value AS v FROM s)"))
+def adf_fixed_orders(spark, sf):
+    """T1 at 0 and 1 lags per priority."""
+    a = _adf_two(monthly_series(spark, sf), ["series_key"], "ts", "value")
+    return a.select("series_key", "used_lag", "nobs", rnd("adf_stat").alias("adf_stat"), rnd("crit_5").alias("crit_5"))
+
+
+@register("long_adf_events", _adf_sql("WITH y AS (SELECT 'events' AS series_key, event_id AS t, value AS v FROM events WHERE value IS NOT NULL)"))
+def long_adf_events(spark, sf):
+    """T1 at 0 and 1 lags of the whole event table as one series, in chunks."""
+    a = _adf_two(table(spark, sf, "events").select("event_id", "value"), [], "event_id", "value")
+    return a.select(F.lit("events").alias("series_key"), "used_lag", "nobs", rnd("adf_stat").alias("adf_stat"), rnd("crit_5").alias("crit_5"))
+
+
 @register("stationarize_orders")
 def stationarize_orders(spark, sf):
     """Log / d / D choice by ADF p per priority."""
@@ -234,6 +271,36 @@ def granger_l1_lineitem(spark, sf):
                     rnd("ssr_chi2", 4).alias("ssr_chi2"), rnd("lr", 4).alias("lr"))
 
 
+GRANGER_LAGS_SQL = """
+WITH RECURSIVE m AS (SELECT l_returnflag AS k, date_trunc('month', l_shipdate)::DATE AS ts, sum(l_extendedprice) AS y,
+                            avg(l_discount) AS x FROM lineitem GROUP BY 1, 2),
+d AS (SELECT k, ts, y - lag(y) OVER o AS y, x - lag(x) OVER o AS x FROM m WINDOW o AS (PARTITION BY k ORDER BY ts)),
+e AS (SELECT k, row_number() OVER o - 1 AS t, y::DOUBLE AS y,
+             [lag(y, 1) OVER o, lag(y, 2) OVER o, lag(y, 3) OVER o, lag(y, 4) OVER o, lag(y, 5) OVER o, lag(y, 6) OVER o]::DOUBLE[] AS ly,
+             [lag(x, 1) OVER o, lag(x, 2) OVER o, lag(x, 3) OVER o, lag(x, 4) OVER o, lag(x, 5) OVER o, lag(x, 6) OVER o]::DOUBLE[] AS lx
+      FROM d WHERE y IS NOT NULL WINDOW o AS (PARTITION BY k ORDER BY ts)),
+z AS (SELECT k, h AS lag, t, list_concat(ly[1:h], lx[1:h], [y]) AS z FROM e, range(1, 7) r(h) WHERE t >= h),
+c AS (SELECT k, lag, t, unnest(z) AS v, unnest(range(1, len(z) + 1)) AS i FROM z),
+g AS (SELECT a.k, a.lag, a.i, b.i AS j, count(*) AS n, corr(a.v, b.v) AS r FROM c a JOIN c b USING (k, lag, t) GROUP BY ALL),
+w AS (SELECT k, lag, i, any_value(n) AS n, list(r ORDER BY j) AS r FROM g GROUP BY ALL),
+s(k, lag, n, p, r) AS (
+  SELECT k, lag, any_value(n), 0, list(r ORDER BY i) FROM w GROUP BY ALL
+  UNION ALL
+  SELECT k, lag, n, p + 1, list_transform(r, lambda a: list_transform(range(1, len(r) + 1), lambda j: a[j] - a[p + 1] * r[p + 1][j] / r[p + 1][p + 1]))
+  FROM s WHERE p < 2 * lag),
+f AS (SELECT k, lag, any_value(n) AS n, max(r[2 * lag + 1][2 * lag + 1]) FILTER (WHERE p = lag) AS ssr_r,
+             max(r[2 * lag + 1][2 * lag + 1]) FILTER (WHERE p = 2 * lag) AS ssr_u FROM s GROUP BY ALL)
+SELECT k AS series_key, lag, n AS nobs, round((ssr_r - ssr_u) / lag / (ssr_u / (n - 2 * lag - 1)), 4) AS ssr_f,
+       round(n * (ssr_r - ssr_u) / ssr_u, 4) AS ssr_chi2, round(n * ln(ssr_r / ssr_u), 4) AS lr FROM f"""
+
+
+@register("granger_lags_lineitem", GRANGER_LAGS_SQL)
+def granger_lags_lineitem(spark, sf):
+    """T9 for lags 1..6: F, χ² and LR statistics."""
+    g = tstests.granger(monthly_lineitem(spark, sf), ["series_key"], "ts", "revenue", "discount", maxlag=6)
+    return g.select("series_key", "lag", "nobs", rnd("ssr_f", 4).alias("ssr_f"), rnd("ssr_chi2", 4).alias("ssr_chi2"), rnd("lr", 4).alias("lr"))
+
+
 @register("granger_lineitem")
 def granger_lineitem(spark, sf):
     """T9 for lags 1..6 with F and χ² p-values."""
