@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.exprs import is_finite, minmax_scale
 from statlake.functions.safe import div
 from statlake.operators import logit
 from statlake.operators.ranks import keyed_prefix, row_hash
+from statlake.operators.seams import CHUNK, chunked, own_rows
 
 
 def _long(df: DataFrame, cols: Sequence[str], id_col: str, label: str) -> DataFrame:
@@ -67,9 +68,8 @@ def f_scores(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def mutual_info_binned(df: DataFrame, cols: Sequence[str], label: str, id_col: str, bins: int = 10) -> DataFrame:
-    """S4 (re-aimed from the k-NN estimator, which needs all pairs):
-    mutual information between equal-frequency bins of each feature (rank
-    order, ties by id) and the class, in nats."""
+    """S4 by bins (beside :func:`mutual_info_nearest`): mutual information between
+    equal-frequency bins of each feature (rank order, ties by id) and the class, in nats."""
     lg = _long(df, cols, id_col, label)
     lg = lg.withColumns({"_one": F.lit(1), "_row": row_hash(lg)})
     r = keyed_prefix(lg, ["feature"], ["v", id_col, "_row"], "_one", out="_r")
@@ -83,6 +83,65 @@ def mutual_info_binned(df: DataFrame, cols: Sequence[str], label: str, id_col: s
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 
+def digamma_col(x: Column) -> Column:
+    """ψ(x) for x >= 1: eight steps up by the recurrence, then the asymptotic series."""
+    up = x + F.lit(8.0)
+    tail = F.log(up) - 0.5 / up
+    for i, c in enumerate((1 / 12, -1 / 120, 1 / 252, -1 / 240, 1 / 132)):
+        tail = tail - F.lit(c) / F.pow(up, F.lit(2.0 * (i + 1)))
+    for i in range(8):
+        tail = tail - 1.0 / (x + F.lit(float(i)))
+    return tail
+
+
+def mutual_info_nearest(df: DataFrame, cols: Sequence[str], label: str, k: int = 3, chunk: int | None = None) -> DataFrame:
+    """Mutual information (nats) of each feature with the class by nearest
+    neighbours, ``(feature, n, mi)``.
+
+    With d the distance of a row to the min(k, class size - 1)-th nearest
+    other row of its class, N the rows, N_c those of its class and m the rows
+    of any class nearer than d (itself counted; if d is 0, the rows at its
+    value): ψ(N) + mean ψ(min(k, N_c - 1)) - mean ψ(N_c) - mean ψ(m), at least
+    0.  Classes of one row take no part; neither do null and non-finite values
+    and null classes.
+
+    One dimension needs no pairs: the neighbours are among the k rows to
+    either side in the order of the class (chunks with halo rows), and m is a
+    difference of two prefix counts over values and interval ends sorted
+    together.  No task holds a feature or a class."""
+    feats = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
+    lg = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("c"), F.explode(feats).alias("e")).select("c", "e.feature", "e.v")
+    lg = lg.filter(is_finite("v"))
+    sizes = lg.groupBy("feature", "c").agg(F.count(F.lit(1)).alias("nc")).filter("nc > 1")
+    lg = lg.join(sizes, ["feature", "c"])
+    d, w = chunked(lg, ["feature", "c"], "v", before=k, after=k, chunk=chunk or CHUNK)
+    near = [f(F.col("v"), i).over(w) for i in range(1, k + 1) for f in (F.lag, F.lead)]
+    near = F.array_sort(F.array_compact(F.array(*[F.when(x.isNotNull(), F.struct(F.abs(x - F.col("v")).alias("d"), x.alias("at"))) for x in near])))
+    d = d.withColumn("kk", F.least(F.lit(k), F.col("nc") - 1).cast("int")).withColumn("_near", near)
+    d = own_rows(d.withColumn("nn", F.element_at("_near", F.col("kk"))), "_near")
+    # equal (value, class, neighbour) rows have the same ends: counted once
+    cell = d.groupBy("feature", "v", "nc", "kk", "nn").agg(F.count(F.lit(1)).alias("w"))
+    v, gap, at = F.col("v"), F.col("nn.d"), F.col("nn.at")
+    tied = gap == 0
+    # the neighbour itself is an end, so rounding of v +- d can't count it in
+    low = F.when(tied, F.struct(v.alias("x"), F.lit(0).alias("side"))).otherwise(
+        F.struct(F.when(at < v, at).otherwise(v - gap).alias("x"), F.lit(2).alias("side")))
+    high = F.when(tied, F.struct(v.alias("x"), F.lit(2).alias("side"))).otherwise(
+        F.struct(F.when(at > v, at).otherwise(v + gap).alias("x"), F.lit(0).alias("side")))
+    cell = cell.select("*", low.alias("low"), high.alias("high"))
+    ends = cell.select("feature", F.explode(F.array("low", "high")).alias("e")).distinct().select("feature", "e.x", "e.side", F.lit(0).cast("long").alias("w"))
+    values = lg.groupBy("feature", F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("w")).select("feature", "x", F.lit(1).alias("side"), "w")
+    # an end of side 0 comes before the values equal to it, one of side 2 after them
+    before = keyed_prefix(values.unionByName(ends), ["feature"], ["x", "side"], "w", out="below").filter("side <> 1")
+    before = before.select("feature", F.struct("x", "side").alias("end"), "below")
+    cell = cell.join(before.select("feature", F.col("end").alias("low"), F.col("below").alias("n_low")), ["feature", "low"])
+    cell = cell.join(before.select("feature", F.col("end").alias("high"), F.col("below").alias("n_high")), ["feature", "high"])
+    psi = lambda c: digamma_col(F.col(c).cast("double"))
+    m = cell.withColumn("m", F.col("n_high") - F.col("n_low"))
+    t = m.groupBy("feature").agg(F.sum("w").alias("n"), F.sum(F.col("w") * (psi("kk") - psi("nc") - psi("m"))).alias("s"))
+    return t.select("feature", "n", F.greatest(psi("n") + F.col("s") / F.col("n"), F.lit(0.0)).alias("mi"))
+
+
 def top_k(scores: DataFrame, score: str, k: int) -> list[str]:
     """Names of the k best features (score desc, name) — k rows collected."""
     return [r["feature"] for r in scores.orderBy(F.desc(score), "feature").limit(k).collect()]

@@ -76,6 +76,28 @@ def mutual_info_embeddings(spark, sf):
     return m.select("feature", rnd("mi").alias("mi"))
 
 
+def _psi(x: str) -> str:
+    return (f"(ln({x} + 8.0) - 0.5 / ({x} + 8.0) - 1.0 / 12 / ({x} + 8.0) ** 2 + 1.0 / 120 / ({x} + 8.0) ** 4 - 1.0 / 252 / ({x} + 8.0) ** 6"
+            f" + 1.0 / 240 / ({x} + 8.0) ** 8" + "".join(f" - 1.0 / ({x} + {i}.0)" for i in range(8)) + ")")
+
+
+@register("nearest_mutual_info_embeddings", f"""
+WITH {FEAT_SQL}, {_long_sql()},
+s AS (SELECT feature, label, v, count(*) OVER (PARTITION BY feature, label) AS nc,
+             [lag(v, 1) OVER o, lag(v, 2) OVER o, lag(v, 3) OVER o, lead(v, 1) OVER o, lead(v, 2) OVER o, lead(v, 3) OVER o] AS near
+      FROM l WINDOW o AS (PARTITION BY feature, label ORDER BY v)),
+r AS (SELECT feature, v, nc, least(3, nc - 1) AS kk,
+             list_sort(list_transform(list_filter(near, lambda x: x IS NOT NULL), lambda x: abs(x - v)))[least(3, nc - 1)] AS d FROM s WHERE nc > 1),
+a AS (SELECT feature, list(v) AS vs FROM r GROUP BY 1),
+m AS (SELECT r.feature, r.nc, r.kk, len(list_filter(a.vs, lambda x: abs(x - r.v) < r.d OR x = r.v)) AS m FROM r JOIN a USING (feature))
+SELECT feature, count(*) AS n, round(greatest({_psi("count(*)")} + avg({_psi("kk")} - {_psi("nc")} - {_psi("m")}), 0), 6) AS mi
+FROM m GROUP BY feature""")
+def nearest_mutual_info_embeddings(spark, sf):
+    """Nearest-neighbour mutual information (k = 3) of every dimension with the label."""
+    m = sel.mutual_info_nearest(_features(spark, sf), FEATS, "label", 3)
+    return m.select("feature", "n", rnd("mi").alias("mi"))
+
+
 @register("selection_report_embeddings")
 def selection_report_embeddings(spark, sf):
     """K=32 of 64 features by variance, χ², F, MI, RFE, forward and
