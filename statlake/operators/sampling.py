@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.exprs import clean_numeric
@@ -91,9 +91,9 @@ def threshold(df: DataFrame, fitness: str, q: float, keys=()) -> DataFrame:
 
 def uniform(seed: int, *parts) -> Column:
     """A number in [0, 1) from the MD5 of the parts and a seed: the same for
-    any partitioning (28 bits, exact in a double)."""
+    any partitioning (52 bits, exact in a double: every place of up to 2^52 can be drawn)."""
     text = F.concat_ws(":", *[F.col(p).cast("string") if isinstance(p, str) else p.cast("string") for p in parts], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("double") / F.lit(float(1 << 28))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def weighted_sample(df: DataFrame, weight: str, id_col: str, n_draws: int, seed: int = 7,
@@ -102,26 +102,22 @@ def weighted_sample(df: DataFrame, weight: str, id_col: str, n_draws: int, seed:
     CDF: draw j has u_j from the MD5 of (j, seed) and takes the row whose
     interval [lo, hi) holds it.  ``(draw, id)``.
 
-    Draws and interval starts are sorted together by range buckets, so the
-    work grows with rows plus draws: inside a bucket a draw takes the last
-    start before it; draws before a bucket's first start take the last start
-    of the buckets before, one row per bucket."""
+    Draws and interval starts are counted together by bucketed prefix sums: a
+    draw with c starts at or before it takes the c-th.  Buckets follow a
+    sample of both, so neither many draws nor many tiny weights at one place
+    share a task (draws that hit one row are told apart by their number)."""
     spark = df.sparkSession
     iv = cumulative_share(clean_numeric(df.select(id_col, weight), [weight]).filter(F.col(weight) > 0), weight, [id_col])
-    starts = iv.select(F.col("cum_lo").alias("u"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("draw"), F.col(id_col).alias("id"))
-    draws = (spark.range(n_draws).withColumnRenamed("id", "draw").withColumn("u", uniform(seed, "draw"))
-             .select("u", F.lit(1).alias("kind"), "draw", F.lit(None).cast(starts.schema["id"].dataType).alias("id")))
-    n = buckets or max(1, min(4096, n_draws // 4096))
-    both = starts.unionByName(draws).withColumn("b", F.least(F.floor(F.col("u") * n), F.lit(n - 1)).cast("long"))
+    kind_of = df.schema[id_col].dataType
+    none = F.lit(0).cast(kind_of)
     # of starts at one place (rows of no visible width) the last by id holds it
-    own = Window.partitionBy("b").orderBy("u", "kind", "id").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("at", F.last(F.when(F.col("kind") == 0, F.struct("id")), ignorenulls=True).over(own))
-    tops = both.filter("kind = 0").groupBy("b").agg(F.max_by("id", F.struct("u", "id")).alias("top"))
-    every = spark.range(n).withColumnRenamed("id", "b").join(tops, "b", "left")
-    carry = every.withColumn("top", F.last(F.when(F.col("top").isNotNull(), F.struct("top")), ignorenulls=True).over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))  # at most 4,096 rows
-    hit = both.filter("kind = 1").join(F.broadcast(carry), "b")
-    return hit.select("draw", F.coalesce(F.col("at.id"), F.col("top.top")).alias("id")).filter(F.col("id").isNotNull())
+    starts = iv.select(F.col("cum_lo").alias("u"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("draw"), F.col(id_col).alias("id"),
+                       F.lit(1).cast("long").alias("one"))
+    draws = spark.range(n_draws).withColumnRenamed("id", "draw").select(
+        uniform(seed, "draw").alias("u"), F.lit(1).alias("kind"), "draw", none.alias("id"), F.lit(0).cast("long").alias("one"))
+    c = keyed_prefix(starts.unionByName(draws), [], ["u", "kind", "draw", "id"], "one", out="c", buckets=buckets)
+    rows = c.filter("kind = 0").select("id", (F.col("c") + 1).alias("c"))  # its own place among the starts
+    return c.filter("kind = 1").select("draw", "c").join(rows, "c").select("draw", "id")
 
 
 def selection_probabilities(df: DataFrame, fitness: str, id_col: str, keys=(), s: float = 1.5, k: int = 3,

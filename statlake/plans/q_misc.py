@@ -140,7 +140,7 @@ WITH t AS (SELECT sum(p_retailprice) AS total, count(*) AS n FROM part),
 iv AS (SELECT p_partkey, p_retailprice / total AS p,
               coalesce(sum(p_retailprice) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / total AS lo
        FROM part, t),
-d AS (SELECT g.draw, cast('0x' || substr(md5(cast(g.draw AS varchar) || ':11'), 1, 7) AS bigint) / 268435456.0::double AS u
+d AS (SELECT g.draw, cast('0x' || substr(md5(cast(g.draw AS varchar) || ':11'), 1, 13) AS bigint) / 4503599627370496.0::double AS u
       FROM (SELECT unnest(range(n)) AS draw FROM t) g),
 h AS (SELECT iv.p_partkey, count(*) AS hits FROM d ASOF JOIN iv ON d.u >= iv.lo GROUP BY 1)
 SELECT iv.p_partkey, round(p, 9) AS p, coalesce(hits, 0)::BIGINT AS hits, round(coalesce(hits, 0) / t.n::double, 9) AS share
@@ -163,8 +163,8 @@ TOURNAMENT_SQL = """
 WITH t AS (SELECT count(*) AS n FROM part),
 pos AS (SELECT p_partkey, p_retailprice AS f, row_number() OVER (ORDER BY p_partkey) - 1 AS i,
                row_number() OVER (ORDER BY p_retailprice, p_partkey) AS r FROM part),
-picks AS (SELECT draw, cast(floor(cast('0x' || substr(md5(cast(draw AS varchar) || ':' || cast(slot AS varchar) || ':5'), 1, 7) AS bigint)
-                 / 268435456.0::double * n) AS bigint) AS i
+picks AS (SELECT draw, cast(floor(cast('0x' || substr(md5(cast(draw AS varchar) || ':' || cast(slot AS varchar) || ':5'), 1, 13) AS bigint)
+                 / 4503599627370496.0::double * n) AS bigint) AS i
           FROM (SELECT unnest(range(20 * n)) AS draw, n FROM t), (SELECT unnest(range(3)) AS slot)),
 won AS (SELECT draw, arg_max(p_partkey, {'f': f, 'id': p_partkey}) AS id FROM picks JOIN pos USING (i) GROUP BY draw),
 h AS (SELECT id AS p_partkey, count(*) AS hits FROM won GROUP BY 1)

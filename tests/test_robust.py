@@ -173,3 +173,16 @@ def test_normal_cdf_column(spark):
     z = [-40.0, -8.0, -7.1, -3.0, -0.5, 0.0, 0.5, 3.0, 8.0, 40.0]
     got = [r["p"] for r in spark.createDataFrame([(x,) for x in z], "z double").select("z", norm_cdf(F.col("z")).alias("p")).orderBy("z").collect()]
     assert np.allclose(got, [0.5 * math.erfc(-x / math.sqrt(2)) for x in sorted(z)], rtol=1e-9, atol=1e-14)
+
+
+def test_weighted_sample_reaches_tiny_weights_beside_a_large_one(spark):
+    """Many weights next to one that holds nearly all, and draws finer than 2^-28."""
+    df = spark.range(3000).select("id", F.when(F.col("id") == 1500, 1e6).otherwise(1.0).alias("w"))
+    got = sampling.weighted_sample(df, "w", "id", 4000, seed=5, buckets=8).toPandas()
+    w = np.where(np.arange(3000) == 1500, 1e6, 1.0)
+    hi = np.cumsum(w) / w.sum()
+    u = np.array([r["u"] for r in spark.range(4000).select("id", sampling.uniform(5, "id").alias("u")).orderBy("id").collect()])
+    want = np.searchsorted(hi, u, side="right")
+    assert len(got) == 4000 and (got.sort_values("draw")["id"].to_numpy() == want).mean() > 0.999
+    scaled = u * 2 ** 28
+    assert (scaled != np.floor(scaled)).all()
