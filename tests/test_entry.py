@@ -10,7 +10,8 @@ FAST = ["corr_choice_lineitem", "describe_lineitem", "quantiles_lineitem", "spea
         "tfidf_documents", "zipf_documents", "selection_probs_part", "kendall_events", "lda_report_lineitem",
         "corr_choice_events", "anova_lineitem", "ks_norm_events", "weighted_sample_part", "tournament_shares_part",
         "f_scores_embeddings", "chi2_embeddings", "nearest_centroid_embeddings", "silhouette_labels_embeddings",
-        "path_length_embeddings", "stratified_split_lineitem", "holt_winters_orders", "decompose_orders", "granger_l1_lineitem"]
+        "path_length_embeddings", "stratified_split_lineitem", "holt_winters_orders", "decompose_orders", "granger_l1_lineitem",
+        "tree_nodes_lineitem"]
 
 
 def test_entry_runs(spark):
