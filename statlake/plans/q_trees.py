@@ -8,6 +8,7 @@ from statlake.operators import learn, trees
 from statlake.plans.common import rnd
 from statlake.plans.q_learn import DOC_F, _doc_features
 from statlake.plans.registry import register
+from statlake.session import ensure_checkpoint_dir
 from statlake.sources.tables import table
 
 LINE_F = ["l_quantity", "l_discount", "l_tax"]
@@ -77,7 +78,9 @@ def tree_grid_documents(spark, sf):
     unlimited too × min_samples_split × min_samples_leaf) by accuracy over five
     stratified folds of the training 75 %, ranked, with the accuracy on the
     held-out 25 %."""
-    d = learn.stratified_split(_doc_features(spark, sf), "quality", "doc_id", 0.25).withColumnRenamed("is_test", "test_row")
+    ensure_checkpoint_dir(spark)
+    d = _doc_features(spark, sf).checkpoint()  # texts are read for their features once, not for every rank
+    d = learn.stratified_split(d, "quality", "doc_id", 0.25).withColumnRenamed("is_test", "test_row")
     d = learn.stratified_folds(d.filter("not test_row"), "quality", "doc_id", 5).unionByName(
         d.filter("test_row").withColumn("fold", F.lit(-1)))
     names = ["criterion", "max_depth", "min_samples_split", "min_samples_leaf", "mean_accuracy", "sd_accuracy", "rank", "test_accuracy"]
