@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from statlake.functions.exprs import payback_class, clip, correlation_strength
@@ -114,3 +115,24 @@ def test_tournament_draws_follow_closed_form(spark):
     for r in range(1, 11):
         expect = (r ** 3 - (r - 1) ** 3) / 1000
         assert abs(share.get(r - 1, 0.0) - expect) < 0.01
+
+
+def test_affine_models_read_the_rows_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 2))
+    y = 5.0 + x @ [2.0, -1.0] + rng.normal(scale=0.3, size=300)
+    df = spark.createDataFrame([(float(c), *map(float, r)) for c, r in zip(y, x)], "y double, x1 double, x2 double").repartition(40)
+
+    def model(p, x):
+        return p[0] + p[1] * x["x1"] + p[2] * x["x2"]
+    model.np = model
+    methods = {"gd": ("gd", 0.1), "adam": ("adam", 0.2)}
+    slow = fits.gradient_fit(df, model, "y", ["x1", "x2"], [0.0] * 3, methods=methods, max_iter=12)
+    slow_cg = fits.cg_fit(df, model, "y", ["x1", "x2"], [0.0] * 3, rules=("pr+", "fr"), max_iter=4)
+    model.affine = True
+    monkeypatch.setattr(fits, "_normal_eq_many", None)  # no pass a step
+    fast = fits.gradient_fit(df, model, "y", ["x1", "x2"], [0.0] * 3, methods=methods, max_iter=12)
+    fast_cg = fits.cg_fit(df, model, "y", ["x1", "x2"], [0.0] * 3, rules=("pr+", "fr"), max_iter=4)
+    for a, b in ((slow, fast), (slow_cg, fast_cg)):
+        for k in a:
+            assert np.allclose(a[k][0], b[k][0], atol=1e-6) and np.allclose(a[k][1], b[k][1], atol=1e-6)
