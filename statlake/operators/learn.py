@@ -147,7 +147,8 @@ def _wide_moments(df: DataFrame, label: str, cols: list[str]):
             for lab, part in pdf.groupby(label):
                 x = part[cols].to_numpy(float) - means[lab][1]
                 acc[lab] = acc.get(lab, 0) + x.T @ x
-        yield pd.DataFrame({"label": list(acc), "scatter": [a.ravel().tolist() for a in acc.values()]})
+        if acc:  # a partition without rows sends nothing: an empty column has no type to convert to a list
+            yield pd.DataFrame({"label": list(acc), "scatter": [a.ravel().tolist() for a in acc.values()]})
 
     def add(pdf):
         return pd.DataFrame({"label": [pdf["label"].iloc[0]], "scatter": [np.sum(np.stack(pdf["scatter"].to_numpy()), axis=0).tolist()]})
@@ -240,6 +241,8 @@ def _wide_predict(df: DataFrame, model, cols: list[str], out: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols])
             best = (x @ w + b).argmax(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([labels[i] for i in best])], [*batch.schema.names, out])

@@ -136,3 +136,12 @@ def test_affine_models_read_the_rows_once(spark, monkeypatch):
     for a, b in ((slow, fast), (slow_cg, fast_cg)):
         for k in a:
             assert np.allclose(a[k][0], b[k][0], atol=1e-6) and np.allclose(a[k][1], b[k][1], atol=1e-6)
+
+
+def test_wide_discriminant_on_empty_partitions(spark):
+    rng = np.random.default_rng(1)
+    cols = [f"x{i}" for i in range(20)]
+    rows = [(i % 2, *map(float, rng.normal(i % 2, 1, size=20))) for i in range(60)]
+    df = spark.createDataFrame(rows, "grp long, " + ", ".join(f"{c} double" for c in cols)).repartition(16, "grp")
+    m = learn.lda_fit(df, "grp", cols, shrinkage="auto")
+    assert m["classes"] == [0, 1] and learn.lda_predict(df, m, cols).filter("grp = pred").count() > 50
