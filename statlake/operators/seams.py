@@ -43,11 +43,13 @@ def numbered(df: DataFrame, keys, order: str | Sequence[str], out: str = "_t") -
     return keyed_prefix(d, _k(keys), [*_k(order), "_row"], "_one", out=out).drop("_one", "_row")
 
 
-def chunked(df: DataFrame, keys, order: str | Sequence[str], before: int = 0, after: int = 0, chunk: int | None = None):
+def chunked(df: DataFrame, keys, order: str | Sequence[str], before: int = 0, after: int = 0, chunk: int | None = None,
+            places: bool = False):
     """(rows, window): rows with ``_t`` (place), ``_chunk`` and ``_own``, false
-    for copies from the neighbour chunks; the window runs over one chunk."""
+    for copies from the neighbour chunks; the window runs over one chunk.  With
+    ``places`` the order is a column of ``numbered`` and the rows are not numbered again."""
     span = max(chunk or CHUNK, before, after)
-    d = numbered(df, keys, order)
+    d = df.withColumn("_t", F.col(order)) if places else numbered(df, keys, order)
     home, at = F.floor(F.col("_t") / span), F.col("_t") % span
     chunks = [home]
     if before:
@@ -70,12 +72,15 @@ def nearest_seen(d: DataFrame, keys, window, seen: str, chunk_col: str = "_chunk
     keys = _k(keys)
     ends = d.groupBy(*keys, chunk_col).agg(F.max_by(seen, F.when(F.col(seen).isNotNull(), F.col("_t"))).alias("_last"),
                                            F.min_by(seen, F.when(F.col(seen).isNotNull(), F.col("_t"))).alias("_first"))
-    over = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(chunk_col)  # one row a chunk
-    ends = ends.select(*keys, chunk_col, F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
-                       F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_coming"))
+    part = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # one row a chunk
+    # what comes next is what was last seen from behind: a frame that ends with the partition is read anew for every row
+    back = Window.partitionBy(*keys, chunk_col).orderBy(F.desc("_t"))
+    before = (Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, chunk_col, F.last("_last", ignorenulls=True).over(part.orderBy(chunk_col).rowsBetween(*before)).alias("_carried"),
+                       F.last("_first", ignorenulls=True).over(part.orderBy(F.desc(chunk_col)).rowsBetween(*before)).alias("_coming"))
     d = same_keys(d, ends, [*keys, chunk_col])
     return (d.withColumn("_prev", F.coalesce(F.last(seen, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)), "_carried"))
-             .withColumn("_next", F.coalesce(F.first(seen, ignorenulls=True).over(window.rowsBetween(0, Window.unboundedFollowing)), "_coming"))
+             .withColumn("_next", F.coalesce(F.last(seen, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)), "_coming"))
              .drop("_carried", "_coming"))
 
 

@@ -33,11 +33,11 @@ def _w(keys, order):
     return (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order)
 
 
-def _over(df: DataFrame, keys, order: str, before: int, after: int, chunk: int | None):
+def _over(df: DataFrame, keys, order: str, before: int, after: int, chunk: int | None, places: bool):
     """(rows, window, last step) for values that look that far back and ahead."""
     if _k(keys) and chunk is None:
         return df, _w(keys, order), lambda d: d
-    return *seams.chunked(df, keys, order, before, after, chunk), seams.own_rows
+    return *seams.chunked(df, keys, order, before, after, chunk, places), seams.own_rows
 
 
 def positions(df: DataFrame, keys, order: str, out: str = "t", chunk: int | None = None) -> DataFrame:
@@ -48,21 +48,21 @@ def positions(df: DataFrame, keys, order: str, out: str = "t", chunk: int | None
 
 
 def lag_diff(df: DataFrame, keys, order: str, value: str, k: int = 1, out: str | None = None,
-             chunk: int | None = None) -> DataFrame:
+             chunk: int | None = None, places: bool = False) -> DataFrame:
     """y_t − y_{t−k} (k=2 is a lag-2 difference, not a second difference)."""
-    d, w, finish = _over(df, keys, order, k, 0, chunk)
+    d, w, finish = _over(df, keys, order, k, 0, chunk, places)
     return finish(d.withColumn(out or f"{value}_d{k}", F.col(value) - F.lag(value, k).over(w)))
 
 
 def diff_order(df: DataFrame, keys, order: str, value: str, d: int, seasonal: int = 0,
-               big_d: int = 0, out: str | None = None, chunk: int | None = None) -> DataFrame:
+               big_d: int = 0, out: str | None = None, chunk: int | None = None, places: bool = False) -> DataFrame:
     """(1−B)^d (1−B^s)^D y_t as one linear combination of lags."""
     coefs = {0: 1.0}
     for _ in range(d):
         coefs = _mul(coefs, {0: 1.0, 1: -1.0})
     for _ in range(big_d):
         coefs = _mul(coefs, {0: 1.0, seasonal: -1.0})
-    d_, w, finish = _over(df, keys, order, max(coefs), 0, chunk)
+    d_, w, finish = _over(df, keys, order, max(coefs), 0, chunk, places)
     expr = None
     for lag, c in sorted(coefs.items()):
         term = F.lit(c) * (F.col(value) if lag == 0 else F.lag(value, lag).over(w))
@@ -79,12 +79,12 @@ def _mul(a: dict, b: dict) -> dict:
 
 
 def rolling_mean_centered(df: DataFrame, keys, order: str, value: str, window: int = 12,
-                          out: str | None = None, chunk: int | None = None) -> DataFrame:
+                          out: str | None = None, chunk: int | None = None, places: bool = False) -> DataFrame:
     """Centred rolling mean with min_periods=1; for an even window the
     frame is t−w/2 … t+w/2−1 (same as pandas ``center=True``)."""
     lo = -(window // 2)
     hi = window - 1 + lo
-    d, w, finish = _over(df, keys, order, -lo, max(hi, 0), chunk)
+    d, w, finish = _over(df, keys, order, -lo, max(hi, 0), chunk, places)
     return finish(d.withColumn(out or f"{value}_rm{window}", F.avg(value).over(w.rowsBetween(lo, hi))))
 
 
@@ -99,7 +99,7 @@ def regularize_monthly(df: DataFrame, keys, ts: str, value: str) -> DataFrame:
 
 
 def interpolate_linear(df: DataFrame, keys, order: str, value: str, out: str | None = None,
-                       chunk: int | None = None) -> DataFrame:
+                       chunk: int | None = None, places: bool = False) -> DataFrame:
     """Linear interpolation by position; leading/trailing gaps take the
     nearest observed value (``limit_direction='both'``)."""
     keys = _k(keys)
@@ -108,9 +108,9 @@ def interpolate_linear(df: DataFrame, keys, order: str, value: str, out: str | N
         d = positions(df, keys, order, "_pos")
         w, obs, finish = _w(keys, "_pos"), observed("_pos"), lambda x: x
         d = (d.withColumn("_prev", F.last(obs, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_next", F.first(obs, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+              .withColumn("_next", F.last(obs, ignorenulls=True).over(_w(keys, F.desc("_pos")).rowsBetween(Window.unboundedPreceding, 0))))
     else:
-        d, w = seams.chunked(df, keys, order, chunk=chunk)
+        d, w = seams.chunked(df, keys, order, chunk=chunk, places=places)
         d, finish = seams.nearest_seen(d.withColumn("_seen", observed("_t")), keys, w, "_seen").drop("_seen"), seams.own_rows
         d = d.withColumn("_pos", F.col("_t"))
     frac = (F.col("_pos") - F.col("_prev.p")) / (F.col("_next.p") - F.col("_prev.p"))
@@ -131,9 +131,9 @@ def future_months(df: DataFrame, keys, ts: str, h: int) -> DataFrame:
 
 
 def lag_matrix(df: DataFrame, keys, order: str, value: str, lags: int, prefix: str = "lag",
-               chunk: int | None = None) -> DataFrame:
+               chunk: int | None = None, places: bool = False) -> DataFrame:
     """Columns lag1..lagL of ``value`` in one window pass."""
-    d, w, finish = _over(df, keys, order, lags, 0, chunk)
+    d, w, finish = _over(df, keys, order, lags, 0, chunk, places)
     return finish(d.select("*", *[F.lag(value, i).over(w).alias(f"{prefix}{i}") for i in range(1, lags + 1)]))
 
 

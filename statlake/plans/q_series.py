@@ -92,12 +92,12 @@ def long_windows_events(spark, sf):
     halo rows, no task holds the series; clicks' values are filled in."""
     e = table(spark, sf, "events").select("event_id", "ts", "value", F.when(F.col("event_type") != "click", F.col("value")).alias("gap"))
     s = windows.positions(e, None, ["ts", "event_id"], "pos")
-    s = windows.lag_diff(s, None, "pos", "value", 1, "d1")
-    s = windows.lag_diff(s, None, "pos", "value", 12, "d12")
-    s = windows.diff_order(s, None, "pos", "value", 2, out="dd2")
-    s = windows.rolling_mean_centered(s, None, "pos", "value", 12, "rm12")
-    s = windows.lag_matrix(s, None, "pos", "value", 3)
-    s = windows.interpolate_linear(s, None, "pos", "gap", "filled")
+    s = windows.lag_diff(s, None, "pos", "value", 1, "d1", places=True)
+    s = windows.lag_diff(s, None, "pos", "value", 12, "d12", places=True)
+    s = windows.diff_order(s, None, "pos", "value", 2, out="dd2", places=True)
+    s = windows.rolling_mean_centered(s, None, "pos", "value", 12, "rm12", places=True)
+    s = windows.lag_matrix(s, None, "pos", "value", 3, places=True)
+    s = windows.interpolate_linear(s, None, "pos", "gap", "filled", places=True)
     return s.select("event_id", "pos", *[rnd(c).alias(c) for c in ("d1", "d12", "dd2", "rm12", "lag3", "filled")])
 
 

@@ -95,3 +95,15 @@ def test_cumulative_share_with_repeated_rows(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 3, 1.0), ("a", 3, 1.0), ("a", 2, 4.0), ("b", 1, 5.0)], "k string, o long, w double")
     got = sorted((r["k"], round(r["cum_lo"], 9), round(r["cum_hi"], 9)) for r in cumulative_share(df, "w", ["o"], ["k"]).collect())
     assert got == [("a", 0.0, 0.25), ("a", 0.25, 0.75), ("a", 0.75, 0.875), ("a", 0.875, 1.0), ("b", 0.0, 1.0)]
+
+
+def test_chain_on_places_numbers_once(spark):
+    rows = [(i * 7 % 50, float(i), None if i % 4 else float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, v double, gap double")
+    s = windows.positions(df, None, ["k"], "pos")
+    slow = windows.interpolate_linear(windows.lag_diff(s, None, "pos", "v", 2, "d"), None, "pos", "gap", "filled", chunk=9)
+    fast = windows.interpolate_linear(windows.lag_diff(s, None, "pos", "v", 2, "d", places=True), None, "pos", "gap", "filled", chunk=9, places=True)
+    assert sorted(map(tuple, fast.select("k", "d", "filled").collect()), key=str) == sorted(map(tuple, slow.select("k", "d", "filled").collect()), key=str)
+    plan = fast._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedfollowing" not in plan  # such a frame is read anew for every row
+    assert plan.count("xxhash64") < slow._jdf.queryExecution().optimizedPlan().toString().lower().count("xxhash64")
