@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from statlake.operators import cluster, learn
 from statlake.plans.common import rnd
 from statlake.plans.registry import register
+from statlake.session import ensure_checkpoint_dir
 from statlake.sources.tables import embedding_points, table
 
 NDIM = 64  # all embedding dimensions
@@ -209,13 +210,15 @@ def balanced_weights_lineitem(spark, sf):
 
 
 def _doc_features(spark, sf):
+    """Features of the labelled texts, written once: a fit reads its rows many times."""
+    ensure_checkpoint_dir(spark)
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     return d.select("doc_id", F.col("quality").cast("string").alias("quality"),
                     F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
                     (F.size(F.split("text", "\n")) * 1.0).alias("lines"),
-                    (F.length(F.regexp_replace("text", "[^.,;:!?]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("punct"),
-                    (F.length(F.regexp_replace("text", "[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digits"),
-                    (F.length(F.regexp_replace("text", "[^A-Z]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("upper"))
+                    (F.length(F.regexp_replace("text", "[^.,;:!?]+", "")) / F.greatest(F.length("text"), F.lit(1))).alias("punct"),
+                    (F.length(F.regexp_replace("text", "[^0-9]+", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digits"),
+                    (F.length(F.regexp_replace("text", "[^A-Z]+", "")) / F.greatest(F.length("text"), F.lit(1))).alias("upper")).checkpoint()
 
 
 DOC_F = ["log_chars", "lines", "punct", "digits", "upper"]
