@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -351,25 +352,57 @@ def cross_val_score(df: DataFrame, fit_fn, label: str = "label_idx", fold_col: s
     return float(np.mean(scores)), float(np.std(scores)), scores
 
 
+class GridSearch(NamedTuple):
+    bestModel: object
+    avgMetrics: list[float]  # in the order impurity, depth, leaf size
+
+
+def cut_prediction(model, depth: int, features: str = "features") -> Column:
+    """What ``model``, an MLlib tree, would predict if it ended at ``depth``."""
+    from pyspark.ml.functions import vector_to_array
+    x = vector_to_array(F.col(features))
+
+    def below(node, left: int) -> Column:
+        if not left or node.getClass().getSimpleName() == "LeafNode":
+            return F.lit(float(node.prediction()))
+        split = node.split()
+        return F.when(x[split.featureIndex()] <= F.lit(float(split.threshold())), below(node.leftChild(), left - 1)).otherwise(
+            below(node.rightChild(), left - 1))
+    return below(model._call_java("rootNode"), depth)
+
+
 def grid_search(df: DataFrame, features: str = "features", label: str = "label_idx", fold_col: str = "fold",
                 parallelism: int = 4, grid: dict | None = None, folds: int = 5):
     """M4: decision-tree grid (impurity × depth × leaf size) scored by fold
-    accuracy through ``CrossValidator(foldCol=…)``.  The reference grid is
+    accuracy; the best setting (the first of equals) is refitted on all rows.  A
+    split does not depend on the depth limit, so each fold, impurity and leaf
+    size needs one tree, of the largest depth: cut at a lower depth it is the tree
+    of that limit.  The reference grid is
     criterion {gini, entropy, log_loss} × max_depth {None, 2, 3, 4, 5} ×
     min_samples_split {2, 4, 6, 8} × min_samples_leaf {1, 2, 3}; log_loss is
     entropy, an unlimited depth maps to 30 (MLlib's maximum) and
     min_samples_split has no MLlib parameter, leaving 30 distinct settings."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from itertools import product
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     # The reference grid after mapping to MLlib parameters
     g = grid or {"impurity": ["gini", "entropy", "entropy"], "maxDepth": [30, 2, 3, 4, 5],
                  "minInstancesPerNode": [1, 2, 3]}
-    dt = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=42)
-    pg = ParamGridBuilder()
-    pg = pg.addGrid(dt.impurity, sorted(set(g["impurity"]))).addGrid(dt.maxDepth, g["maxDepth"]).addGrid(
-        dt.minInstancesPerNode, g["minInstancesPerNode"]).build()
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col,
-                        numFolds=folds, parallelism=parallelism)
-    return cv.fit(df)
+    impurities, depths, leaves = sorted(set(g["impurity"])), list(g["maxDepth"]), list(g["minInstancesPerNode"])
+    fold, deepest = F.col(fold_col), max(depths)
+
+    def score(job):
+        f, impurity, leaf = job
+        model = decision_tree(df.filter(fold != f), features, label, deepest, leaf, impurity)
+        held = model.transform(df.filter(fold == f))
+        right = [F.avg((F.col(label) == (F.col("prediction") if d == deepest else cut_prediction(model, d, features))).cast("double"))
+                 for d in depths]
+        return list(held.agg(*right).first())
+    jobs = list(product(range(folds), impurities, leaves))
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        scores = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(score), jobs)))
+    settings = list(product(impurities, depths, leaves))
+    metrics = [float(np.mean([scores[f, i, m][depths.index(d)] for f in range(folds)])) for i, d, m in settings]
+    impurity, depth, leaf = settings[int(np.argmax(metrics))]
+    return GridSearch(decision_tree(df, features, label, depth, leaf, impurity), metrics)

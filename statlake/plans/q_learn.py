@@ -306,7 +306,7 @@ def grid_search_documents(spark, sf):
     d = learn.stratified_split(_doc_features(spark, sf), "quality", "doc_id", 0.25)
     train = learn.stratified_folds(d.filter(~F.col("is_test")), "quality", "doc_id", 5)
     train, _ = learn.index_label(learn.assemble(train, DOC_F), "quality")
-    train = train.cache()
+    train = train.coalesce(spark.sparkContext.defaultParallelism).cache()
     cv = learn.grid_search(train, parallelism=4)
     best = cv.bestModel
     test, _ = learn.index_label(learn.assemble(d.filter(F.col("is_test")), DOC_F), "quality")

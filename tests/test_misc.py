@@ -145,3 +145,20 @@ def test_wide_discriminant_on_empty_partitions(spark):
     df = spark.createDataFrame(rows, "grp long, " + ", ".join(f"{c} double" for c in cols)).repartition(16, "grp")
     m = learn.lda_fit(df, "grp", cols, shrinkage="auto")
     assert m["classes"] == [0, 1] and learn.lda_predict(df, m, cols).filter("grp = pred").count() > 50
+
+
+def test_grid_cuts_the_deepest_tree(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(240, 3))
+    y = (x[:, 0] * x[:, 1] + 0.3 * x[:, 2] + rng.normal(scale=0.4, size=240) > 0).astype(float)
+    df = learn.assemble(spark.createDataFrame([(*map(float, r), float(v), i % 3) for i, (r, v) in enumerate(zip(x, y))],
+                                              "a double, b double, c double, label_idx double, fold int").coalesce(1), ["a", "b", "c"]).cache()
+    grid = {"impurity": ["gini", "entropy"], "maxDepth": [8, 1, 3], "minInstancesPerNode": [1, 6]}
+    fit, fits_ = learn.decision_tree, []
+    monkeypatch.setattr(learn, "decision_tree", lambda *a, **k: fits_.append(1) or fit(*a, **k))
+    got = learn.grid_search(df, grid=grid, folds=3)
+    assert len(fits_) == 3 * 2 * 2 + 1
+    truth = [learn.cross_val_score(df, lambda tr: fit(tr, max_depth=d, min_leaf=m, impurity=i), k=3)[0]  # noqa: B023
+             for i in ("entropy", "gini") for d in grid["maxDepth"] for m in grid["minInstancesPerNode"]]
+    assert got.avgMetrics == pytest.approx(truth)
+    df.unpersist()
