@@ -33,6 +33,8 @@ from statlake.functions.exprs import clean_numeric
 from statlake.session import ensure_checkpoint_dir
 
 TILE = 2_000_000  # distances held at once
+CACHED = 250_000  # distances that stay in a core's cache
+NEAR = 1e-6  # of the largest squared lengths: nearer pairs are not left to a matrix product
 
 
 def _k(keys) -> list[str]:
@@ -46,6 +48,20 @@ def _sq(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return d
 
 
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances by one matrix product.  Pairs so near that the product
+    lost more than half of the digits are taken from their differences."""
+    aa, bb = (a * a).sum(1), (b * b).sum(1)
+    d = (-2.0 * a) @ b.T
+    d += aa[:, None]
+    d += bb
+    close = np.flatnonzero(d < NEAR * (aa.max(initial=0.0) + bb.max(initial=0.0)))
+    for s in range(0, len(close), TILE // 16):
+        i, j = np.divmod(close[s:s + TILE // 16], len(b))
+        d.flat[close[s:s + TILE // 16]] = ((a[i] - b[j]) ** 2).sum(1)
+    return np.sqrt(d, out=d)
+
+
 class _Tree:
     """A k-d tree; coordinate -1 is the group.  Rows at or below a cut go left."""
 
@@ -253,14 +269,19 @@ def silhouette(df: DataFrame, cols: Sequence[str], label: str, score_rows: int |
 
         def add(batches):
             q = held.value
+            middle = q.mean(0)  # distances between rows far from the origin keep their digits
+            q = q - middle
             sums, step = np.zeros((len(q), len(names))), 0
             for pdf in batches:
                 x, w, c = pdf[xs].to_numpy(), pdf["w"].to_numpy(), pdf["label"].map(place).to_numpy()
                 hot = np.zeros((len(x), len(names)))
                 hot[np.arange(len(x)), c] = w
-                step = max(1, TILE // max(1, len(x)))
-                for s in range(0, len(q), step):
-                    sums[s:s + step] += np.sqrt(_sq(q[s:s + step], x)) @ hot
+                x = x - middle
+                step = 512
+                for t in range(0, len(x), CACHED // step):
+                    u, v = x[t:t + CACHED // step], hot[t:t + CACHED // step]
+                    for s in range(0, len(q), step):
+                        sums[s:s + step] += _distances(q[s:s + step], u) @ v
             if step:
                 yield pd.DataFrame({"i": np.arange(len(q)), **{f"s{j}": sums[:, j] for j in range(len(names))}})
         part = d.mapInPandas(add, "i long, " + ", ".join(f"s{j} double" for j in range(len(names))))

@@ -4,6 +4,7 @@ import math
 import numpy as np
 import pytest
 
+from statlake.operators import neighbours
 from statlake.operators.neighbours import knn, silhouette
 
 SCHEMA = "grp string, id long, a double, b double"
@@ -76,3 +77,13 @@ def test_silhouette_equals_all_pairs(spark):
     assert part["error"] > 0 and abs(part["silhouette"] - np.mean(every)) < 5 * part["error"]
     assert silhouette(df.limit(0), ["a"], "grp").count() == 0
     assert [r["silhouette"] for r in silhouette(df.filter("grp = 'c1'"), ["a", "b", "c"], "grp").collect()] == [0.0, 0.0]
+
+
+def test_distances_keep_their_digits():
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(50, 8)), rng.normal(size=(70, 8))
+    b[:20] = a[:20] + 1e-7 * rng.normal(size=(20, 8))
+    b[20] = a[20]
+    for shift in (0.0, 3.0):
+        truth = np.sqrt((((a + shift)[:, None] - (b + shift)[None]) ** 2).sum(2))
+        assert np.allclose(neighbours._distances(a + shift, b + shift), truth, rtol=1e-8, atol=0)
