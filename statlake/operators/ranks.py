@@ -64,7 +64,7 @@ def _pick(pts: list[tuple], b: int) -> list[tuple]:
 
 
 def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, seed: int = 17,
-                with_estimate: bool = False):
+                with_estimate: bool = False, per_bucket: int | None = None):
     """Range-bucket boundaries over ``cols`` (lexicographic) from ONE job.
 
     The K rows with the smallest hash form a uniform, deterministic sample
@@ -80,7 +80,7 @@ def plan_bounds(cells: DataFrame, cols: list[str], buckets: int | None = None, s
     else:
         frac = (rows[-1]["__kmv_hash"] + 2 ** 63) / 2 ** 64
         n_est = (k - 1) / max(frac, 1e-18)
-    b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / ROWS_PER_BUCKET)))
+    b = buckets or max(1, min(MAX_BUCKETS, math.ceil(n_est / (per_bucket or ROWS_PER_BUCKET))))
     bounds = []
     if b > 1 and len(rows) >= b:
         bounds = _pick([tuple(r[c] for c in cols) for r in rows], b)

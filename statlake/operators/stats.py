@@ -403,6 +403,9 @@ def weighted_inversions(y, w) -> int:
     return total
 
 
+PAIR_ROWS = 250_000  # cells that one Python task counts at a time
+
+
 def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, buckets: int | None,
                 depth: int = 0) -> DataFrame:
     """``(keys, d)`` = Σ w_a·w_b over cell pairs with (x_a, y_a) < (x_b, y_b)
@@ -428,8 +431,9 @@ def _discordant(cells: DataFrame, keys: list[str], x: str, y: str, w: str, bucke
             return pd.DataFrame(out)
         return fn
 
-    bx, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, keys + [x, y], buckets, 17 + depth, with_estimate=True)
-    want = buckets or _m.ceil(n_est / ROWS_PER_BUCKET)
+    per = min(PAIR_ROWS, ROWS_PER_BUCKET)
+    bx, n_est = ([], 0) if buckets == 1 else plan_bounds(cells, keys + [x, y], buckets, 17 + depth, True, per)
+    want = buckets or _m.ceil(n_est / per)
     if want <= 1:
         grp = cells.groupBy(*keys) if keys else cells.groupBy()
         return grp.applyInPandas(local([x, y]), ks + "d decimal(38,0)")

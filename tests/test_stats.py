@@ -1,10 +1,11 @@
 import math
+import random
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from statlake.operators import stats
+from statlake.operators import ranks, stats
 
 
 def test_covariance_4x3_closed_form(spark):
@@ -97,3 +98,22 @@ def test_spearman_shared_plan_many_buckets(spark, monkeypatch):
     for key, g in pdf.groupby("k"):
         exp = g["x"].rank().corr(g["y"].rank())
         assert math.isclose(got.loc[key, "r"], exp, abs_tol=1e-10)
+
+
+def test_kendall_counts_in_small_pieces(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [("a" if i % 3 else "b", rng.randrange(40), rng.randrange(40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, x long, y long")
+    monkeypatch.setattr(stats, "PAIR_ROWS", 50)
+    most, bounds = [], ranks.plan_bounds
+
+    def spy(*a, **k):
+        most.append(a[5] if len(a) > 5 else k.get("per_bucket"))
+        return bounds(*a, **k)
+    monkeypatch.setattr(ranks, "plan_bounds", spy)
+    got = {r["g"]: (int(r["concordant"]), int(r["discordant"])) for r in stats.kendall_tau_b(df, "x", "y", ["g"]).collect()}
+    assert 50 in most
+    for g in "ab":
+        p = [(x, y) for k, x, y in rows if k == g]
+        s = [(a[0] - b[0]) * (a[1] - b[1]) for i, a in enumerate(p) for b in p[:i]]
+        assert got[g] == (sum(v > 0 for v in s), sum(v < 0 for v in s))
