@@ -66,26 +66,87 @@ def centroids(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return df.groupBy(label).agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, max_iter: int = 300,
-           tol: float = 1e-4, seed: int = 42):
-    """K1: MLlib k-means (k-means|| seeding) restarted ``n_init`` times with
-    different seeds on a cached assembled frame; the lowest training cost
-    wins.  Returns (centres as list, cost)."""
+BLOCK_ROWS = 4096
+
+
+def _lloyd(df: DataFrame, cols: Sequence[str], starts: Sequence[np.ndarray], max_iter: int, tol: float):
+    """(centres, cost) of Lloyd's iterations from each of ``starts``.
+
+    All runs advance together: a step is one pass over the rows, held as blocks
+    of doubles, in which a task adds up, for every run that still moves, the
+    rows, sums and squared distances of each centre (a few numbers a centre
+    reach the driver).  A run ends when no centre moves more than ``tol``; its
+    cost is that of its last assignment; a centre without rows stays."""
+    import pyarrow as pa
+    p = len(cols)
+
+    def pack(batches):
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            parts = [x[i:i + BLOCK_ROWS].tobytes() for i in range(0, len(x), BLOCK_ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["x"])
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    blocks = df.select(*cols).mapInArrow(pack, "x binary").coalesce(2 * parallel).persist()
+    runs = [[np.array(c, float), 0.0, False] for c in starts]
+    try:
+        for _ in range(max_iter):
+            live = [r for r in runs if not r[2]]
+            if not live:
+                break
+            centres = [r[0] for r in live]
+
+            def add(batches):
+                cost = np.zeros(len(centres))
+                sums = [np.zeros((len(c), p + 1)) for c in centres]
+                for b in batches:
+                    for v in b.column(0):
+                        x = np.frombuffer(v.as_buffer(), float).reshape(-1, p)
+                        one = np.column_stack([x, np.ones(len(x))])
+                        for i, c in enumerate(centres):
+                            best = ((c * c).sum(1) - 2.0 * (x @ c.T)).argmin(1)
+                            cost[i] += ((x - c[best]) ** 2).sum()
+                            sums[i] += (best == np.arange(len(c))[:, None]).astype(float) @ one
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([cost, *[s.ravel() for s in sums]])])], ["v"])
+            total = np.sum([r["v"] for r in blocks.mapInArrow(add, "v array<double>").collect()], axis=0)
+            at = len(live)
+            for i, r in enumerate(live):
+                c = r[0]
+                s = total[at:at + c.shape[0] * (p + 1)].reshape(-1, p + 1)
+                at += s.size
+                some = s[:, p] > 0
+                new = c.copy()
+                new[some] = s[some, :p] / s[some, p:]
+                r[:] = [new, float(total[i]), bool((((new - c) ** 2).sum(1) <= tol * tol).all())]
+        return [(c.tolist(), cost) for c, cost, _ in runs]
+    finally:
+        blocks.unpersist()
+
+
+def _kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int, max_iter: int, tol: float, seed: int):
+    """{k: (centres, cost)} of the best of ``n_init`` runs for each k: MLlib's
+    k-means|| gives the starts, all runs then share the passes of :func:`_lloyd`."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
     df = clean_numeric(df.select(*cols), cols)
-    data = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df.select(*cols)).select("_features")
-    data = data.cache()
-    best = None
+    data = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df).select("_features")
+    data = data.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism).cache()
     try:
-        for i in range(n_init):
-            m = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol="_features").fit(data)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = ([list(map(float, c)) for c in m.clusterCenters()], cost)
+        jobs = [(k, seed + i) for k in ks for i in range(n_init)]
+        starts = [np.array(KMeans(k=k, maxIter=0, tol=tol, seed=s, featuresCol="_features").fit(data).clusterCenters()) for k, s in jobs]
     finally:
         data.unpersist()
-    return best
+    out: dict = {}
+    for (k, _), (centres, cost) in zip(jobs, _lloyd(df, cols, starts, max_iter, tol)):
+        if k not in out or cost < out[k][1]:
+            out[k] = (centres, cost)
+    return out
+
+
+def kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, max_iter: int = 300,
+           tol: float = 1e-4, seed: int = 42):
+    """K1: k-means (k-means|| seeding) started ``n_init`` times with different
+    seeds; the lowest cost wins.  Returns (centres as list, cost)."""
+    return _kmeans_many(df, cols, [k], n_init, max_iter, tol, seed)[k]
 
 
 def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -128,10 +189,9 @@ def silhouette_sq(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks=range(2, 8), seed: int = 42, n_init: int = 3):
-    """K3 sweep: k-means for each k, squared-Euclidean silhouette of each."""
+    """K3 sweep: k-means for each k, all runs together, squared-Euclidean silhouette of each."""
     out = []
-    for k in ks:
-        centers, cost = kmeans(df, cols, k, n_init=n_init, seed=seed)
+    for k, (centers, cost) in _kmeans_many(df, cols, list(ks), n_init, 300, 1e-4, seed).items():
         lab = nearest_center(df, cols, centers)
         sil = silhouette_sq(lab, cols, "cluster").filter(F.col("cluster") == "__all__").first()["silhouette"]
         out.append((k, cost, sil))

@@ -162,3 +162,20 @@ def test_grid_cuts_the_deepest_tree(spark, monkeypatch):
              for i in ("entropy", "gini") for d in grid["maxDepth"] for m in grid["minInstancesPerNode"]]
     assert got.avgMetrics == pytest.approx(truth)
     df.unpersist()
+
+
+def test_lloyd_runs_together(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 0.6, size=(40, 3)) for c in (0.0, 2.0, 4.0)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double").repartition(5)
+    starts = [x[:2], x[[0, 50, 100]], np.vstack([x[:2], [[99.0, 99.0, 99.0]]])]
+    for start, (centres, cost) in zip(starts, cluster._lloyd(df, ["a", "b", "c"], starts, 300, 1e-4)):
+        c = start.copy()
+        for _ in range(300):
+            d = ((x[:, None] - c) ** 2).sum(2)
+            own = d.argmin(1)
+            new = np.array([x[own == j].mean(0) if (own == j).any() else c[j] for j in range(len(c))])
+            still, c = (((new - c) ** 2).sum(1) <= 1e-8).all(), new
+            if still:
+                break
+        assert np.allclose(centres, c) and cost == pytest.approx(d.min(1).sum())
