@@ -23,19 +23,41 @@ def term_counts(tokens: DataFrame, doc_id: str) -> DataFrame:
     return tokens.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def row_term_counts(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """``(doc_id, term, tf)`` with one row per row of ``df`` and different term,
+    counted where the text lies: no token is shuffled."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql import types as T
+    toks = df.select(doc_id, F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0).alias("_t"))
+
+    def count(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                terms = b.column(1).flatten().dictionary_encode()
+                m = max(1, len(terms.dictionary))
+                row = pc.list_parent_indices(b.column(1)).to_numpy().astype(np.int64)
+                cell, n = np.unique(row * m + terms.indices.to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cell // m)), terms.dictionary.take(pa.array(cell % m)),
+                                                  pa.array(n, pa.int64())], [doc_id, "term", "tf"])
+    return toks.mapInArrow(count, T.StructType([toks.schema[doc_id], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]))
+
+
 def tfidf(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
     """tf·(ln((1+n)/(1+df)) + 1), rows L2-normalised; long
-    ``(doc_id, term, tf, df, tfidf)``.  Document frequencies are one
-    aggregate; the idf table is joined back (AQE broadcasts it when small)."""
+    ``(doc_id, term, tf, df, tfidf)``.  The counts are shuffled twice: by term,
+    where rows that repeat an id are added up and the document frequencies
+    are counted and joined, and by document for the norms.  Weights are taken
+    after that, so they are not shuffled."""
     docs = df.select(doc_id, text)
     n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
-    # the counts feed the document frequencies and the weights: both read the
-    # same exchange, so whole texts are tokenised once
-    tf = term_counts(tokenize(docs, text, doc_id, pattern), doc_id)
+    # the term's partition holds all its documents: neither the sums nor the join below shuffle again
+    tf = row_term_counts(docs, text, doc_id, pattern).repartition("term").groupBy(doc_id, "term").agg(F.sum("tf").alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.crossJoin(F.broadcast(n_docs)).withColumn(
-        "idf", F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0).drop("_n")
-    w = tf.join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    w = tf.join(dfreq.hint("shuffle_hash"), "term").repartition(doc_id).crossJoin(F.broadcast(n_docs))
+    w = w.withColumn("_w", F.col("tf") * (F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0))
     # L2 norm per document: a window over one document's distinct terms
     # (bounded by the document, never by the corpus)
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc_id)))

@@ -179,3 +179,18 @@ def test_lloyd_runs_together(spark):
             if still:
                 break
         assert np.allclose(centres, c) and cost == pytest.approx(d.min(1).sum())
+
+
+def test_tfidf_shuffles_twice_and_adds_up_repeated_ids(spark):
+    rows = [(1, "aa bb aa"), (1, "bb cc"), (2, None), (None, "aa dd"), (3, "")]
+    d = text.tfidf(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id")
+    got = {(r["doc_id"], r["term"]): (r["tf"], r["df"]) for r in d.collect()}
+    assert got == {(1, "aa"): (2, 2), (1, "bb"): (2, 1), (1, "cc"): (1, 1), (None, "aa"): (1, 2), (None, "dd"): (1, 1)}
+    for doc in (1, None):
+        w = {t: got[doc, t][0] * (np.log(6 / (1 + got[doc, t][1])) + 1) for k, t in got if k == doc}
+        norm = sum(v * v for v in w.values()) ** 0.5
+        for r in d.collect():
+            if r["doc_id"] == doc:
+                assert r["tfidf"] == pytest.approx(w[r["term"]] / norm)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and ", term" not in plan.split("hashpartitioning(doc_id")[1].split(")")[0]
