@@ -37,10 +37,11 @@ def row_term_counts(df: DataFrame, text: str, doc_id: str, pattern: str = TOKEN_
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 terms = b.column(1).flatten().dictionary_encode()
-                m = max(1, len(terms.dictionary))
+                m = b.num_rows
                 row = pc.list_parent_indices(b.column(1)).to_numpy().astype(np.int64)
-                cell, n = np.unique(row * m + terms.indices.to_numpy(), return_counts=True)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cell // m)), terms.dictionary.take(pa.array(cell % m)),
+                # rows of one term follow each other, which the shuffle's compression makes use of
+                cell, n = np.unique(terms.indices.to_numpy().astype(np.int64) * m + row, return_counts=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cell % m)), terms.dictionary.take(pa.array(cell // m)),
                                                   pa.array(n, pa.int64())], [doc_id, "term", "tf"])
     return toks.mapInArrow(count, T.StructType([toks.schema[doc_id], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())]))
 
