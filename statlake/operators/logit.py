@@ -26,7 +26,10 @@ from statlake.functions.exprs import clean_numeric
 
 TASK_ROWS = 2000     # rows from which a pass is worth a task of its own
 GATHER = 32          # rows of partial sums that reach the driver
-CELLS = 2_000_000    # row x model values that a task holds at a time
+CELLS = 1 << 17      # row x model values that a task holds at a time: as many as stay in a core's cache
+RUN = 100            # factors from 1 to 2 whose product a float holds
+SINGLE_ROWS = 50_000 # rows from which losses and gradients are summed from single-precision values ...
+SINGLE_MAX = 100.0   # ... if no feature is larger: the error is then far below the tolerance of the fits
 MEMORY = 6           # steps that L-BFGS remembers
 
 
@@ -37,7 +40,8 @@ class Batch(NamedTuple):
 
 
 class Rows:
-    """Rows with all features finite, held in memory for the passes of a search.
+    """Rows with all features finite, held in memory for the passes of a search
+    as blocks of one fold each: a pass reads only the folds that its models use.
     Rows of fold -1 are never trained on.  Use as a context."""
 
     def __init__(self, df: DataFrame, cols: Sequence[str], label: str, fold_col: str | None = None, c: float = 1.0):
@@ -45,14 +49,30 @@ class Rows:
         fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
         d = clean_numeric(df.select(F.col(label).alias("_label"), fold.alias("fold"), *self.cols), self.cols)
         d = d.filter(F.col("_label").isNotNull() & F.col("fold").isNotNull())
-        self.classes = sorted(r[0] for r in d.select("_label").distinct().collect())
+        size = F.array_max(F.array(*[F.abs(F.col(f).cast("double")) for f in self.cols]))
+        counts = d.groupBy("_label", "fold").agg(F.count(F.lit(1)).alias("count"), F.max(size).alias("size")).collect()
+        self.classes = sorted({r["_label"] for r in counts})
+        self.folds: dict[int, int] = {}
+        for r in counts:
+            self.folds[r["fold"]] = self.folds.get(r["fold"], 0) + r["count"]
+        self.n_train = sum(n for f, n in self.folds.items() if f >= 0)
+        self.single = self.n_train >= SINGLE_ROWS and max(r["size"] for r in counts) <= SINGLE_MAX
         y = F.array_position(F.array(*[F.lit(x) for x in self.classes]), F.col("_label")) - 1
         x = F.array(*[F.col(f).cast("double") for f in self.cols], F.lit(1.0))
-        self.held = d.select(x.alias("x"), y.cast("int").alias("y"), "fold").persist()
-        self.folds = {r["fold"]: r["count"] for r in self.held.groupBy("fold").count().collect()}
-        self.n_train = sum(n for f, n in self.folds.items() if f >= 0)
-        self.parts = max(1, min(self.held.rdd.getNumPartitions(), -(-sum(self.folds.values()) // TASK_ROWS)))
-        self.data = self.held.coalesce(self.parts)
+        most = max(d.rdd.getNumPartitions(), 2 * d.sparkSession.sparkContext.defaultParallelism)
+        self.parts = max(1, min(most, -(-sum(self.folds.values()) // TASK_ROWS)))
+        width = len(self.cols) + 1
+
+        def pack(batches):
+            for b in batches:
+                x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                y, fold = b.column("y").to_numpy(), b.column("fold").to_numpy()
+                for f in np.unique(fold):
+                    at = fold == f
+                    yield pa.RecordBatch.from_arrays([pa.array([int(f)], pa.int32()), pa.array([x[at].tobytes()], pa.binary()),
+                                                      pa.array([y[at].tobytes()], pa.binary())], ["fold", "x", "y"])
+        rows = d.select(x.alias("x"), y.cast("int").alias("y"), "fold").repartition(self.parts)
+        self.held = rows.mapInArrow(pack, "fold int, x binary, y binary").persist()
 
     def __enter__(self):
         return self
@@ -60,56 +80,89 @@ class Rows:
     def __exit__(self, *_):
         self.held.unpersist()
 
-    def _sum(self, run, beta: np.ndarray, batch: Batch) -> np.ndarray:
-        """The sum over partitions of the vectors that ``run`` makes of their batches."""
-        sc = self.data.sparkSession.sparkContext
+    def _sum(self, run, beta: np.ndarray, batch: Batch, folds: Sequence[int], size: int) -> np.ndarray:
+        """The sum of the vectors of ``size`` that ``run(fold, beta, target, left_out)``
+        makes of ``folds``: it returns what takes a block and what gives their vector."""
+        sc = self.held.sparkSession.sparkContext
         cast = sc.broadcast((beta, batch.target, batch.fold))
         width = len(self.cols) + 1
 
         def partial(batches):
-            total = None
+            work = {}
             for b in batches:
-                x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                y, fold = b.column("y").to_numpy(), b.column("fold").to_numpy()
-                step = max(1, CELLS // max(1, cast.value[0].shape[1]))
-                for at in range(0, len(x), step):
-                    s = slice(at, at + step)
-                    part = run(x[s], y[s], fold[s], *cast.value)
-                    total = part if total is None else total + part
-            if total is not None:
+                for fold, x, y in zip(b.column("fold").to_pylist(), b.column("x"), b.column("y")):
+                    if fold not in work:
+                        work[fold] = run(fold, *cast.value)
+                    work[fold][0](np.frombuffer(x.as_buffer()).reshape(-1, width), np.frombuffer(y.as_buffer(), np.int32))
+            if work:
+                total = sum(end() for _, end in work.values())
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
-        parts = self.data.mapInArrow(partial, "sums binary")
+        parts = self.held.filter(F.col("fold").isin([int(f) for f in folds])).mapInArrow(partial, "sums binary")
         if self.parts > GATHER:
             def add(pdf):
                 total = np.sum([np.frombuffer(v) for v in pdf["sums"]], axis=0)
                 return pdf.iloc[:1].assign(sums=[total.tobytes()])[["sums"]]
             parts = (parts.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(GATHER))).groupBy("part").applyInPandas(add, "sums binary"))
-        total = np.sum([np.frombuffer(r[0]) for r in parts.collect()], axis=0)
+        total = np.zeros(size)
+        for r in parts.collect():
+            total += np.frombuffer(r[0])
         cast.unpersist()
         return total
 
     def evaluate(self, beta: np.ndarray, batch: Batch, hessian: bool = False):
         """(loss, gradient[, Hessians]) of each model at its column of ``beta``;
         gradients and Hessians are over all features, in use or not."""
-        def run(x, y, fold, beta, target, left_out):
-            used = (fold[:, None] >= 0) & (fold[:, None] != left_out)
-            sign = np.where(y[:, None] == target, 1.0, -1.0)
-            margin = sign * (x @ beta)
-            small = np.exp(-np.abs(margin))
-            loss = (used * (np.maximum(-margin, 0.0) + np.log1p(small))).sum(0)
-            p = used * np.where(margin >= 0, small, 1.0) / (1.0 + small)  # chance of the other side
-            out = [loss, (x.T @ (-sign * p)).ravel()]
-            if hessian:
-                w = p * (1.0 - p)
-                out += [((x.T * w[:, m]) @ x).ravel() for m in range(beta.shape[1])]
-            return np.concatenate(out)
         k, m = beta.shape
-        total = self._sum(run, beta, batch)
+        classes, half = len(self.classes), k * (k + 1) // 2
+        kind = np.float32 if self.single and not hessian else np.float64
+
+        def run(fold, beta, target, left_out):
+            use = np.flatnonzero(left_out != fold)
+            b, of = beta[:, use].astype(kind), target[use]
+            step = max(1, min(RUN, CELLS // max(1, len(use))))
+            loss, grad, h = np.zeros(len(use)), np.zeros((k, len(use))), np.zeros((len(use) if hessian else 0, half))
+            own = np.zeros((classes, k))
+            room = np.empty((3, step, len(use)), kind)
+
+            def add(x, y):
+                nonlocal loss, grad, h
+                x = x.astype(kind, copy=False)
+                for c in range(classes):
+                    own[c] += x[y == c].sum(0, dtype=np.float64)
+                for at in range(0, len(x), step):
+                    xs = x[at:at + step]
+                    z, e, p = room[:, :len(xs)]
+                    np.matmul(xs, b, out=z)
+                    np.exp(np.negative(np.abs(z, out=e), out=e), out=e)
+                    np.maximum(e, (z >= 0).view(np.uint8), out=p)
+                    e += 1.0
+                    p /= e  # chance of the model's class
+                    loss += np.log(np.multiply.reduce(e, axis=0).astype(float))
+                    loss += np.maximum(z, 0.0, out=z).sum(0)
+                    grad += xs.T @ p
+                    for r in range(0, len(xs) if hessian else 0, 128):
+                        w, xr = p[r:r + 128], xs[r:r + 128]
+                        h += (w * (1.0 - w)).T @ np.concatenate([xr[:, i:i + 1] * xr[:, i:] for i in range(k)], axis=1)
+
+            def end():
+                # a row adds log(1 + e^z) to the loss, less z if it is of the model's class
+                mine = own[of].T
+                out = np.zeros(m), np.zeros((k, m)), np.zeros((m if hessian else 0, half))
+                out[0][use], out[1][:, use] = loss - (mine * b).sum(0), grad - mine
+                if hessian:
+                    out[2][use] = h
+                return np.concatenate([v.ravel() for v in out])
+            return add, end
+        size = m + k * m + (m * half if hessian else 0)
+        total = self._sum(run, beta, batch, [f for f in self.folds if f >= 0], size)
         loss = self.c * total[:m] + 0.5 * (beta ** 2).sum(0)
         grad = self.c * total[m:m + k * m].reshape(k, m) + beta
         if not hessian:
             return loss, grad
-        return loss, grad, self.c * total[m + k * m:].reshape(m, k, k) + np.eye(k)
+        h = np.zeros((m, k, k))
+        i, j = np.triu_indices(k)
+        h[:, i, j] = h[:, j, i] = total[m + k * m:].reshape(m, half)
+        return loss, grad, self.c * h + np.eye(k)
 
     def accuracy(self, beta: np.ndarray, batch: Batch) -> dict:
         """``{(group, fold): accuracy}`` on the rows left out: models lie in groups
@@ -117,25 +170,28 @@ class Rows:
         the largest value is the answer, the first of those equal to 9 places."""
         classes, groups = len(self.classes), beta.shape[1] // len(self.classes)
 
-        def run(x, y, fold, beta, target, left_out):
+        def run(fold, beta, target, left_out):
             hits = np.zeros(groups)
-            of = left_out[::classes]
-            for f in np.unique(of):
-                rows, some = fold == f, np.flatnonzero(of == f)
-                if rows.any():
-                    z = (x[rows] @ beta[:, (some[:, None] * classes + np.arange(classes)).ravel()]).round(9).reshape(-1, len(some), classes)
-                    hits[some] += (z.argmax(2) == y[rows][:, None]).sum(0)
-            return hits
-        hits = self._sum(run, beta, batch)
+            some = np.flatnonzero(left_out[::classes] == fold)
+            b = beta[:, (some[:, None] * classes + np.arange(classes)).ravel()]
+            step = max(1, CELLS // max(1, b.shape[1]))
+
+            def add(x, y):
+                for at in range(0, len(x), step):
+                    z = (x[at:at + step] @ b).round(9).reshape(-1, len(some), classes)
+                    hits[some] += (z.argmax(2) == y[at:at + step, None]).sum(0)
+            return add, lambda: hits
         of = batch.fold[::classes]
+        hits = self._sum(run, beta, batch, sorted({int(f) for f in of} & set(self.folds)), groups)
         return {(g, int(of[g])): hits[g] / self.folds[int(of[g])] for g in range(groups) if self.folds.get(int(of[g]))}
 
-    def fit(self, batch: Batch, start: np.ndarray, precondition, max_passes: int = 60) -> np.ndarray:
+    def fit(self, batch: Batch, start: np.ndarray, precondition, max_passes: int = 60, known=None) -> np.ndarray:
         """The coefficients of each model, from ``start``; ``precondition`` maps
-        gradients to steps, close to multiplying by the inverse Hessian."""
+        gradients to steps, close to multiplying by the inverse Hessian;
+        ``known``: loss and gradient at ``start`` if an earlier pass gave them."""
         tol = 1e-4 * self.c * max(self.n_train, 1)
         x = np.where(batch.mask, start, 0.0)
-        loss, grad = self.evaluate(x, batch)
+        loss, grad = known or self.evaluate(x, batch)
         grad = np.where(batch.mask, grad, 0.0)
         s_, y_, r_ = (np.zeros((MEMORY, *x.shape)), np.zeros((MEMORY, *x.shape)), np.zeros((MEMORY, x.shape[1])))
         step = np.ones(x.shape[1])
@@ -233,7 +289,7 @@ def sequential(rows: Rows, k: int, direction: str = "forward") -> list[int]:
         h = rows.evaluate(base, base_batch, hessian=True)[2]
         base = rows.fit(base_batch, base, _by_matrix(_inverse(h, base_batch.mask.T)))
     while (len(chosen) < k) if forward else (len(chosen) > k):
-        h = rows.evaluate(base, base_batch, hessian=True)[2]
+        loss, grad, h = rows.evaluate(base, base_batch, hessian=True)
         inv = _inverse(h, base_batch.mask.T)
         cand = [j for j in range(p) if j not in chosen] if forward else list(chosen)
         js = np.array(cand)
@@ -264,7 +320,8 @@ def sequential(rows: Rows, k: int, direction: str = "forward") -> list[int]:
             if not forward:
                 a = inv[b][:, js]
                 start[:, cols] -= a * (base[js, b] / a[js, here])
-        beta = rows.fit(batch, start, step)
+        # a feature joins with coefficient 0, where loss and gradient are those of the base
+        beta = rows.fit(batch, start, step, known=(np.tile(loss, len(cand)), np.tile(grad, len(cand))) if forward else None)
         scores = rows.accuracy(beta, batch)
         mean = [np.mean([scores[c * len(folds) + i, f] for i, f in enumerate(folds)]) for c in range(len(cand))]
         best = int(np.argmax(np.round(mean, 12)))

@@ -103,3 +103,32 @@ def test_many_partitions_and_bad_rows(spark, data, monkeypatch):
     with logit.Rows(df.union(bad), cols, "label", "fold") as r, logit.Rows(df, cols, "label", "fold") as clean:
         assert r.n_train == clean.n_train and r.classes == ["c0", "c1", "c2"]
         assert logit.holdout_accuracy(r, [[0, 3]]) == logit.holdout_accuracy(clean, [[0, 3]])
+
+
+def test_passes_read_what_they_use(data, monkeypatch):
+    rows, df, cols = data
+    passes, plain_sum = [], logit.Rows._sum
+
+    def spy(self, run, beta, batch, folds, size):
+        passes.append((beta, list(folds)))
+        return plain_sum(self, run, beta, batch, folds, size)
+    monkeypatch.setattr(logit.Rows, "_sum", spy)
+    assert sel.sequential_select(df, cols, "label", 2, "fold") == [cols[j] for j in Plain(rows).greedy(2, True)]
+    assert all(-1 not in folds for _, folds in passes)  # test rows take no part in a search
+    bases = 4 * 3  # folds x classes
+    assert all(beta.any() for beta, _ in passes if beta.shape[1] > bases)  # loss and gradient at the start are those of the base
+
+
+def test_single_precision_equals_plain_newton(spark, data, monkeypatch):
+    rows, df, cols = data
+    plain = Plain(rows)
+    monkeypatch.setattr(logit, "SINGLE_ROWS", 1)
+    with logit.Rows(df, cols, "label", "fold") as r:
+        assert r.single
+        assert logit.sequential(r, 3) == plain.greedy(3, True)
+        assert logit.sequential(r, 3, "backward") == plain.greedy(3, False)
+        beta, _ = logit.fit_subsets(r, [list(range(7))])
+    assert beta == pytest.approx(plain.accuracy(list(range(7)), plain.fold >= 0, plain.fold == -1)[1], abs=0.02)
+    large = spark.createDataFrame([("c0", 0, 1e6, *[0.0] * 6)], df.schema)
+    with logit.Rows(df.union(large), cols, "label", "fold") as r:
+        assert not r.single
